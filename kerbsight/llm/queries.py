@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbsight.llm.chat_format import format_preferences, replaced_replies
 from kerbsight.llm.exact_dedup import exact_dedup, normalised
+from kerbsight.llm.jaccard_join import jaccard_components
 from kerbsight.llm.runtime import table
 from kerbsight.llm.url_filter import Rule, filter_urls
 
@@ -30,10 +31,15 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs).join(digests, "doc_id").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op4_url_filters": op4_url_filters,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE = {

@@ -1,34 +1,11 @@
-"""What the operators of this subpackage share: scratch tables and clash-free column handling."""
+"""What the operators of this subpackage share."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        jvm = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = jvm.get() if jvm.isDefined() else None
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="kerbsight-")
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it again: cuts lineage and gives the planner a true size."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def crc_bucket(id_col: str, n: int = 5):
     """crc32 of the id written as text, modulo ``n``."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
