@@ -9,6 +9,7 @@ from kerbsight.llm.chat_format import format_preferences, replaced_replies
 from kerbsight.llm.exact_dedup import exact_dedup, normalised
 from kerbsight.llm.jaccard_join import jaccard_components
 from kerbsight.llm.runtime import table
+from kerbsight.llm.suffix_dedup import remove_repeats
 from kerbsight.llm.url_filter import Rule, filter_urls
 
 RULES = [Rule("net", "/", "block"), Rule("example.net", "/en/", "allow"), Rule("example.com", "/de/", "block"), Rule("org", "/fr/", "allow")]
@@ -25,6 +26,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), RULES)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     digests = docs.select("doc_id", F.sha2(normalised(F.col("text")), 256).alias("text_sha256"))
@@ -38,6 +43,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op4_url_filters": op4_url_filters,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_jaccard_join": op10_jaccard_join,
 }
