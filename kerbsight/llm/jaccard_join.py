@@ -4,11 +4,12 @@
 2. A fixed-size count sketch over all texts tells frequent shingles from rare ones. A global token order sorts by that
    frequency level first and by a hash second; another hash gives another order. Any total order makes prefix filtering
    exact, so the sketch's error can cost candidates but never a link.
-3. Two sets with Jaccard similarity t share a token within the first n - ceil(t n) + 1 tokens under every order.
-   Postings of the first order's prefixes are shuffled in packed form; classes that meet in one are candidates. A posting
-   list beyond ``SMALL`` classes pairs its members with its first one only.
-4. Candidates that pass the length filter get their texts, must share a prefix token under the other orders too, and
-   are then verified by the exact size of the intersection.
+3. Two sets with Jaccard similarity t share a token within the first n - ceil(t n) + 1 tokens under every order. The
+   prefixes of two orders are shuffled as packed postings; classes that meet in one are candidates. A posting list
+   beyond ``SMALL`` classes pairs its members with its first one only.
+4. The filters of the orders are intersected: under each, the prefix tokens that a pair shares, those that it may share
+   in long lists and all that can follow the shorter prefix must reach the overlap that a link needs. What is left gets
+   its texts and is verified by the exact size of the intersection.
 5. Components of the links; long posting lists that still hold different components are paired across components,
    verified and added. Pairs inside a component can no longer change the result.
 """
@@ -34,8 +35,8 @@ SKETCH_BITS, SKETCH_ROWS = 20, 64
 SMALL = 64
 #: Members that one task compares with the same centre.
 MEMBERS = 512
-#: Hash keys of the second and further token orders.
-ORDERS = (0x51ED270B7F4A7C15, 0xD1B54A32D192ED03)
+#: Hash keys of the token orders.
+ORDERS = (0, 0x51ED270B7F4A7C15)
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -72,7 +73,7 @@ def prefix(s: np.ndarray, levels: np.ndarray, order: int, percent: int) -> np.nd
     p = n - -(-percent * n // 100) + 1
     if p >= n:
         return s
-    rank = s if order == 0 else bytescan.mix(s ^ U(ORDERS[order - 1]))
+    rank = bytescan.mix(s ^ U(ORDERS[order])) if ORDERS[order] else s
     key = (levels[_slot(s)].astype(U) << U(56)) | (rank >> U(8))
     return s[np.argpartition(key, p - 1)[:p]]
 
@@ -120,8 +121,9 @@ def _postings(size: int, percent: int, bits: int, levels):
                 for s in shingle_sets(batch.column("_text"), size):
                     if len(s) and (c := _digest(s)[0]) not in seen:
                         seen.add(c)
-                        p = prefix(s, lv, 0, percent)
-                        yield bytescan.mix(p), np.full(len(p), c)
+                        for k in range(len(ORDERS)):
+                            p = prefix(s, lv, k, percent)
+                            yield (bytescan.mix(p) >> U(1)) | U(k << 63), np.full(len(p), c)
 
         yield from pack(parts(), bits)
 
@@ -138,25 +140,41 @@ def _shared(h: np.ndarray, c: np.ndarray) -> dict[str, np.ndarray]:
     return {"h": h[many].astype(np.int64), "c": c[many], "size": np.repeat(length, length)[many]}
 
 
-_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_COUNTED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("k0", pa.int64()), ("k1", pa.int64())])
+
+
+def _first_pairs(bits: int):
+    """All pairs of short posting lists, and those with the first class of long ones. Rows come ordered by (h, c).
+
+    k0 and k1 count the short lists in which a pair meets under either order.
+    """
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h, c in _whole_groups(batches, ("h", "c")):
+            start, length = runs(h)
+            at, size = np.repeat(start, length), np.repeat(length, length)
+            second = (h >> (bits + 39)).astype(np.int64)
+            spoke = (size > SMALL) & (np.arange(len(h)) > at)
+            none = np.zeros(int(spoke.sum()), np.int64)
+            out = [np.stack([c[at[spoke]], c[spoke], none, none])]
+            i = np.flatnonzero(size <= SMALL)
+            for k in range(1, SMALL):
+                i = i[i + k < len(h)]
+                i = i[h[i] == h[i + k]]
+                if not len(i):
+                    break
+                out.append(np.stack([c[i], c[i + k], 1 - second[i], second[i]]))
+            x = np.concatenate(out, axis=1)
+            if not x.shape[1]:
+                continue
+            x = x[:, np.lexsort(x[1::-1])]
+            first = np.flatnonzero(np.concatenate([[True], (x[:2, 1:] != x[:2, :-1]).any(axis=0)]))
+            yield pa.RecordBatch.from_arrays([pa.array(x[0][first]), pa.array(x[1][first]), *(pa.array(np.add.reduceat(x[k], first)) for k in (2, 3))], schema=_COUNTED)
+
+    return emit
 
 
-def _first_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of short posting lists, and those with the first class of long ones. Rows come ordered by (h, c)."""
-    for h, c in _whole_groups(batches, ("h", "c")):
-        start, length = runs(h)
-        out = []
-        at, size = np.repeat(start, length), np.repeat(length, length)
-        spoke = (size > SMALL) & (np.arange(len(h)) > at)
-        out.append(np.stack([c[at[spoke]], c[spoke]]))
-        i = np.flatnonzero(size <= SMALL)
-        for k in range(1, SMALL):
-            i = i[i + k < len(h)]
-            i = i[h[i] == h[np.minimum(i + k, len(h) - 1)]]
-            if not len(i):
-                break
-            out.append(np.stack([c[i], c[i + k]]))
-        yield from _pairs(np.concatenate(out, axis=1))
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _pairs(x: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -208,27 +226,23 @@ def _cross_pairs(percent: int, block: int = 1 << 20):
     return emit
 
 
-def _verify(size: int, percent: int, levels):
+def _verify(size: int, percent: int):
     """Rows ordered by (centre, salt, centre's own row first)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lv = np.frombuffer(levels.value, np.uint8)
-        centre, own, fronts = None, None, []
+        centre, own = None, None
         for batch in batches:
             a, b = [], []
             rows = zip(batch.column("centre").to_pylist(), batch.column("c").to_pylist(), shingle_sets(batch.column("_text"), size), strict=True)
             for key, c, s in rows:
                 if key == c:
-                    if centre != key:
-                        centre, own, fronts = key, s, [prefix(s, lv, k + 1, percent) for k in range(len(ORDERS))]
-                    continue
-                if not all(len(np.intersect1d(f, prefix(s, lv, k + 1, percent), assume_unique=True)) for k, f in enumerate(fronts)):
-                    continue
-                at = np.minimum(np.searchsorted(own, s), len(own) - 1)
-                both = int((own[at] == s).sum())
-                if 100 * both >= percent * (len(own) + len(s) - both):
-                    a.append(key)
-                    b.append(c)
+                    centre, own = key, s
+                elif key == centre:
+                    at = np.minimum(np.searchsorted(own, s), len(own) - 1)
+                    both = int((own[at] == s).sum())
+                    if 100 * both >= percent * (len(own) + len(s) - both):
+                        a.append(key)
+                        b.append(c)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_PAIRS)
 
     return emit
@@ -249,29 +263,42 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame,
     for row in sketch.groupBy("part").agg(F.first("total").alias("total")).collect():
         counts[row["part"]] = np.frombuffer(row["total"], np.int64)
     levels = spark.sparkContext.broadcast(levels_of(counts.ravel()).tobytes())
-    bits = bucket_bits(docs)
+    bits = bucket_bits(docs) + 1
     packed = docs.mapInArrow(_postings(size, percent, bits, levels), PACKED)
     shared = written(by_range(packed, _shared, "h long, c long, size long"), "postings")
-    classes = written(members.where("n > 0").groupBy("c").agg(F.min("_id").alias("doc"), F.min("n").alias("n")), "classes")
-    first = shared.select("h", "c").repartition(partitions, "h").sortWithinPartitions("h", "c").mapInArrow(_first_pairs, "a long, b long").distinct()
-    tried = written(_sized(first, classes, percent), "pairs")
-    edges = written(_verified(tried, classes, docs, size, percent, levels), "links")
+    second = F.shiftright("h", bits + 39)
+    in_long = shared.where(F.col("size") > SMALL).groupBy("c").agg(F.sum(1 - second).alias("l0"), F.sum(second).alias("l1"))
+    sized = members.where("n > 0").groupBy("c").agg(F.min("_id").alias("doc"), F.min("n").alias("n"))
+    classes = written(sized.join(in_long, "c", "left").select("c", "doc", "n", *(F.coalesce(x, F.lit(0)).alias(x) for x in ("l0", "l1"))), "classes")
+    meet = shared.select("h", "c").repartition(partitions, "h").sortWithinPartitions("h", "c").mapInArrow(_first_pairs(bits), "a long, b long, k0 long, k1 long")
+    counted = meet.groupBy("a", "b").agg(F.sum("k0").alias("k0"), F.sum("k1").alias("k1"))
+    tried = written(_sized(counted, classes, percent), "pairs")
+    edges = written(_verified(tried, docs, size, percent), "links")
     comps = connected_components(edges)
-    long_lists = shared.where(F.col("size") > SMALL).join(classes, "c").join(comps.withColumnRenamed("node", "c"), "c", "left").withColumn("comp", F.coalesce("component", "c"))
+    long_lists = shared.where((F.col("size") > SMALL) & (second == 0)).join(classes, "c").join(comps.withColumnRenamed("node", "c"), "c", "left").withColumn("comp", F.coalesce("component", "c"))
     open_ = long_lists.groupBy("h").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("h")
     cross = long_lists.join(open_, "h", "left_semi").select("h", "comp", "c", "n").repartition(partitions, "h").sortWithinPartitions("h", "comp").mapInArrow(_cross_pairs(percent), "a long, b long").distinct()
-    more = written(_sized(cross.join(tried.select("a", "b"), ["a", "b"], "left_anti"), classes, percent), "pairs")
-    return members, edges.unionByName(_verified(more, classes, docs, size, percent, levels))
+    untried = cross.join(tried.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", F.lit(None).cast("long").alias("k0"), F.lit(None).cast("long").alias("k1"))
+    more = written(_sized(untried, classes, percent), "pairs")
+    return members, edges.unionByName(_verified(more, docs, size, percent))
 
 
 def _sized(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Adds the documents of both classes; leaves out pairs whose sizes rule a link out."""
-    of = lambda x: classes.select(F.col("c").alias(x), F.col("doc").alias(f"doc_{x}"), F.col("n").alias(f"n_{x}"))
-    fits = (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").where(fits).select("a", "b", "doc_a", "doc_b")
+    """Adds the documents of both classes; leaves out pairs whose sizes or, where known, counts rule a link out.
+
+    With p tokens in a prefix of a set of n, an overlap is at most the tokens shared within both prefixes and the n - p
+    beyond the one that ends first.
+    """
+    of = lambda x: classes.select(F.col("c").alias(x), *(F.col(k).alias(f"{k}_{x}") for k in ("doc", "n", "l0", "l1")))
+    big, total = F.greatest("n_a", "n_b"), F.col("n_a") + F.col("n_b")
+    keep = (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
+    for k in ("0", "1"):
+        most = F.col(f"k{k}") + F.least(f"l{k}_a", f"l{k}_b") + F.floor((percent * big + 99) / 100) - 1
+        keep &= F.col(f"k{k}").isNull() | ((100 + percent) * most >= percent * total)
+    return pairs.join(of("a"), "a").join(of("b"), "b").where(keep).select("a", "b", "doc_a", "doc_b")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int, levels) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs whose sets are similar enough. Each centre's members are split over salts of ``MEMBERS``."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = pairs.groupBy("a", "doc_a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts"))
@@ -279,7 +306,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
     hubs = groups.select(F.col("doc_a").alias("_id"), F.col("a").alias("centre"), F.col("a").alias("c"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     wanted = written(spokes.unionByName(hubs), "wanted")
     texts = docs.join(wanted, "_id").select("centre", "salt", "c", "_text").repartition(partitions, "centre", "salt").sortWithinPartitions("centre", "salt", F.col("c") != F.col("centre"))
-    return texts.mapInArrow(_verify(size, percent, levels), "a long, b long")
+    return texts.mapInArrow(_verify(size, percent), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -294,7 +321,6 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     members, edges = links(rows.where("_id is not null"), size, percent)
-    members = members.withColumn("n", F.col("n"))
     comps = connected_components(edges)
     own = members.where("n > 0").groupBy("c").agg(F.min("_id").alias("doc"))
     named = own.join(comps, own["c"] == comps["node"], "left").select("c", "doc", F.coalesce("component", "c").alias("comp"))
