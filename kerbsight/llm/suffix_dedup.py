@@ -1,7 +1,7 @@
 """Removal of repeated passages by blockwise suffix sorting.
 
 Sorting every suffix of the corpus would move each byte dozens of times, so two exact steps come before it. Each window
-of ``WINDOW`` bytes names as its anchor the least hash among its 16-byte grams (the leftmost of equal ones): equal
+of ``WINDOW`` bytes names as its anchor the least hash among its 20-byte grams (the leftmost of equal ones): equal
 windows have equal anchors at equal offsets. Windows whose anchor occurs in one document only cannot repeat and are done.
 What is left is cut into segments, the runs of windows that share an anchor, and dealt into suffix buckets by anchor.
 
@@ -32,7 +32,7 @@ from kerbsight.llm import bytescan
 from kerbsight.llm.postings import PACKED, bucket_bits, by_range, kept_bits, pack, runs
 
 U = np.uint64
-WINDOW, GRAM, COVER = 50, 16, 16
+WINDOW, GRAM, COVER = 50, 20, 16
 #: Postings of one anchor beyond which its windows are dealt out one by one.
 HOT = 4096
 #: Bits of a sliding-minimum key that hold the position; texts are scanned in pieces below 2**POSITION bytes.
@@ -85,7 +85,8 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         return none, none, none, none, np.zeros(0, U)
     w = words_at(data)
     h = w * U(0x9E3779B97F4A7C15)
-    h[: n - 8] += (w[8:] ^ (w[8:] >> U(29))) * U(0xC2B2AE3D27D4EB4F)
+    for k, odd in ((8, 0xC2B2AE3D27D4EB4F), (GRAM - 8, 0x165667B19E3779F9)):
+        h[: n - k] += (w[k:] ^ (w[k:] >> U(29))) * U(odd)
     h = bytescan.mix(h[: n - GRAM + 1])
     key = ((h >> U(POSITION)) << U(POSITION)) | np.arange(len(h), dtype=U)
     reach = WINDOW - GRAM + 1
@@ -153,7 +154,7 @@ def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in column.to_pylist() if x is not None), kind)
 
 
-SEGMENTS = "bucket int, ids binary, tags binary, starts binary, counts binary, places binary, text binary, done boolean"
+SEGMENTS = "bucket int, ids binary, tags binary, starts binary, counts binary, places binary, text binary, size int, done boolean"
 
 
 class _Segments:
@@ -166,6 +167,10 @@ class _Segments:
     def take(self, index: np.ndarray) -> _Segments:
         return _Segments(self.ids[index], self.tags[index], self.starts[index], self.counts[index], self.places[index], self.text[_ranges(self.at[index], self.counts[index] + WINDOW - 1)])
 
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each window's segment and its place in it."""
+        return np.repeat(np.arange(len(self.ids), dtype=np.int32), self.counts), _ranges(np.zeros(len(self.ids), np.int64), self.counts).astype(np.int32)
+
     def folded(self) -> tuple[np.ndarray, np.ndarray]:
         """(kept, removed): of segments with equal text, those of the smallest document, and the others."""
         n = len(self.ids)
@@ -250,8 +255,9 @@ def _segment_table(parts: dict) -> pa.Table:
             out["done"].append(done)
             for name, kind in (("ids", "<i8"), ("tags", "<u4"), ("starts", "<i4"), ("counts", "<u2"), ("places", "<u2")):
                 out[name].append(getattr(s, name)[a:b].astype(kind).tobytes())
-            out["text"].append(b"" if done else s.text[s.at[a] : s.at[b]].tobytes())
-    kinds = {"bucket": pa.int32(), "done": pa.bool_()}
+            out["text"].append(b"" if done else pa.compress(s.text[s.at[a] : s.at[b]].tobytes(), "zstd", asbytes=True))
+            out["size"].append(int(s.at[b] - s.at[a]))
+    kinds = {"bucket": pa.int32(), "size": pa.int32(), "done": pa.bool_()}
     return pa.table({k: pa.array(v, kinds.get(k, pa.binary())) for k, v in out.items()})
 
 
@@ -260,10 +266,9 @@ RANGES = "g int, ids binary, tags binary, starts binary, stops binary"
 
 def repeated_windows(s: _Segments) -> np.ndarray:
     """For each window of the segments, in their order, whether an equal window belongs to a smaller document."""
-    seg = np.repeat(np.arange(len(s.ids)), s.counts)
-    j = _ranges(np.zeros(len(s.ids), np.int64), s.counts)
-    at = s.at[seg] + j
-    place = s.places[seg] - j
+    seg, j = s.windows()
+    at = (s.at[:-1].astype(np.int32))[seg] + j
+    place = s.places.astype(np.int32)[seg] - j
     w = words_at(np.concatenate([s.text, np.zeros(2 * WINDOW, np.uint8)]))
     sampled = at + place % COVER
     sample = np.zeros(len(w), bool)
@@ -296,13 +301,13 @@ def _sort_bucket(groups: int):
             if finished:
                 ranges.append((ids, tags, starts, starts + counts + WINDOW - 1))
                 continue
-            s = _Segments(ids, tags, starts, counts, places, _joined(t["text"], np.uint8))
+            text = b"".join(pa.decompress(x, size, "zstd", asbytes=True) for x, size in zip(t["text"].to_pylist(), t["size"].to_pylist(), strict=True))
+            s = _Segments(ids, tags, starts, counts, places, np.frombuffer(text, np.uint8))
             kept, gone = s.folded()
             ranges.append((ids[gone], tags[gone], starts[gone], starts[gone] + counts[gone] + WINDOW - 1))
             s = s.take(kept)
             hit = repeated_windows(s)
-            seg = np.repeat(np.arange(len(s.ids)), s.counts)
-            j = _ranges(np.zeros(len(s.ids), np.int64), s.counts)
+            seg, j = s.windows()
             first = np.flatnonzero(hit & np.concatenate([[True], ~hit[:-1] | (seg[1:] != seg[:-1])]))
             last = np.flatnonzero(hit & np.concatenate([~hit[1:] | (seg[1:] != seg[:-1]), [True]]))
             ranges.append((s.ids[seg[first]], s.tags[seg[first]], s.starts[seg[first]] + j[first], s.starts[seg[last]] + j[last] + WINDOW))
@@ -365,7 +370,7 @@ def _plain(columns: dict) -> dict:
 def _pieces(rows: DataFrame, finish) -> DataFrame:
     """The whole plan; the texts are shuffled once, into groups that are used both before and after the sort."""
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups, bits = 4 * partitions + 1, bucket_bits(rows)
+    groups, bits = 4 * partitions + 1, bucket_bits(rows) + 2
     packed = rows.mapInArrow(_anchor_postings(bits), PACKED)
     found = by_range(packed, _repeated(groups), "g int, keys binary")
     dealt = rows.withColumn("g", _group_column("_id", groups))
