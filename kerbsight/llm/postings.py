@@ -16,9 +16,9 @@ _PACKED = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("owners",
 _KEY_BYTES = 5
 
 
-def bucket_bits(df: DataFrame) -> int:
+def bucket_bits(df: DataFrame, least: int = 8) -> int:
     """Ranges grow with the number of shuffle partitions, which is set by the size of the input."""
-    return max(8, int(np.ceil(np.log2(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
+    return max(least, int(np.ceil(np.log2(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
 
 
 def pack(parts: Iterable[tuple[np.ndarray, np.ndarray]], bits: int) -> Iterator[pa.RecordBatch]:
@@ -80,3 +80,51 @@ def by_range(packed: DataFrame, fold: Callable[[np.ndarray, np.ndarray], dict[st
         return pa.table(fold(*unpack(table)))
 
     return packed.groupBy("bucket").applyInArrow(each, schema)
+
+
+def by_range_packed(packed: DataFrame, fold: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, dict[str, np.ndarray]]], schema: str, unique: str = "") -> DataFrame:
+    """Applies ``fold`` to each hash range and packs what it gives, (group, columns), by group: one blob for a task."""
+    partitions = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for table in _ranges_of(batches):
+            held.append(fold(*unpack(table)))
+            n += len(held[-1][0])
+            if n >= FLUSH:
+                yield _merged(held, unique)
+                held, n = [], 0
+        if n:
+            yield _merged(held, unique)
+
+    return packed.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(apply, schema)
+
+
+def _ranges_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows that come ordered by bucket, one table for each bucket."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        start, length = runs(batch.column("bucket").to_numpy())
+        for a, n in zip(start, length, strict=True):
+            if held and held[0].column("bucket")[0] != batch.column("bucket")[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, n))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _merged(held: list, unique: str) -> pa.RecordBatch:
+    columns = {k: np.concatenate([c[k] for _, c in held]) for k in held[0][1]}
+    return pa.RecordBatch.from_pydict(dealt(np.concatenate([g for g, _ in held]), columns, unique))
+
+
+def dealt(group: np.ndarray, columns: dict[str, np.ndarray], unique: str = "") -> dict:
+    """One row for each group, with each column's values as a blob; those of ``unique`` once."""
+    order = np.argsort(group, kind="stable")
+    start, length = runs(group[order])
+    out: dict = {"g": pa.array(group[order][start].astype(np.int32))}
+    for name, x in columns.items():
+        x = x[order]
+        out[name] = pa.array([(np.unique(x[a : a + n]) if name == unique else x[a : a + n]).tobytes() for a, n in zip(start, length, strict=True)], pa.binary())
+    return out

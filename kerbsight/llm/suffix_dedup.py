@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbsight.llm import bytescan
-from kerbsight.llm.postings import PACKED, bucket_bits, by_range, kept_bits, pack, runs
+from kerbsight.llm.postings import PACKED, bucket_bits, by_range_packed, dealt, kept_bits, pack, runs
 
 U = np.uint64
 WINDOW, GRAM, COVER = 50, 20, 16
@@ -129,27 +129,16 @@ def _anchor_postings(bits: int):
 def _repeated(groups: int):
     """Anchors of more than one document, for each document group that has them; frequent ones are marked."""
 
-    def fold(h: np.ndarray, own: np.ndarray) -> dict:
+    def fold(h: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, dict]:
         start, length = runs(h)
         many = own[start] != own[start + length - 1] if len(start) else np.zeros(0, bool)
         mark = np.where(length > HOT, _HOT_BIT, U(0))
         take = np.repeat(many, length)
-        return _dealt(group_of(own[take], groups), {"keys": (h | np.repeat(mark, length))[take]}, unique="keys")
+        return group_of(own[take], groups), {"keys": (h | np.repeat(mark, length))[take]}
 
     return fold
 
 
-def _dealt(group: np.ndarray, columns: dict[str, np.ndarray], unique: str = "") -> dict:
-    """One row for each group, with each column's values as a blob."""
-    order = np.argsort(group, kind="stable")
-    start, length = runs(group[order])
-    out: dict = {"g": group[order][start].astype(np.int32)}
-    for name, x in columns.items():
-        x = x[order]
-        out[name] = pa.array([(np.unique(x[a : a + n]) if name == unique else x[a : a + n]).tobytes() for a, n in zip(start, length, strict=True)], pa.binary())
-    return out
-
-
 def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in column.to_pylist() if x is not None), kind)
 
@@ -312,7 +301,7 @@ def _sort_bucket(groups: int):
             last = np.flatnonzero(hit & np.concatenate([~hit[1:] | (seg[1:] != seg[:-1]), [True]]))
             ranges.append((s.ids[seg[first]], s.tags[seg[first]], s.starts[seg[first]] + j[first], s.starts[seg[last]] + j[last] + WINDOW))
         ids, tags, starts, stops = (np.concatenate(x) for x in zip(*ranges, strict=True)) if ranges else [np.zeros(0, np.int64)] * 4
-        return pa.table(_dealt(group_of(ids, groups), {"ids": ids.astype("<i8"), "tags": tags.astype("<u4"), "starts": starts.astype("<i4"), "stops": stops.astype("<i4")}))
+        return pa.table(dealt(group_of(ids, groups), {"ids": ids.astype("<i8"), "tags": tags.astype("<u4"), "starts": starts.astype("<i4"), "stops": stops.astype("<i4")}))
 
     return sort
 
@@ -370,10 +359,10 @@ def _plain(columns: dict) -> dict:
 def _pieces(rows: DataFrame, finish) -> DataFrame:
     """The whole plan; the texts are shuffled once, into groups that are used both before and after the sort."""
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups, bits = 4 * partitions + 1, bucket_bits(rows) + 2
+    groups, bits = 4 * partitions + 1, bucket_bits(rows, 10)
     packed = rows.mapInArrow(_anchor_postings(bits), PACKED)
-    found = by_range(packed, _repeated(groups), "g int, keys binary")
-    dealt = rows.withColumn("g", _group_column("_id", groups))
-    cut = dealt.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(_cut(bits), SEGMENTS)
+    found = by_range_packed(packed, _repeated(groups), "g int, keys binary", "keys")
+    texts = rows.withColumn("g", _group_column("_id", groups))
+    cut = texts.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(_cut(bits), SEGMENTS)
     ranges = cut.groupBy("bucket").applyInArrow(_sort_bucket(groups), RANGES)
-    return dealt.groupBy("g").cogroup(ranges.groupBy("g")).applyInArrow(lambda d, r: pa.table(finish(d, r)), RESULT)
+    return texts.groupBy("g").cogroup(ranges.groupBy("g")).applyInArrow(lambda d, r: pa.table(finish(d, r)), RESULT)
