@@ -18,10 +18,11 @@ U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(0, 2**64, 256, dtype=U)
-_FOLD = np.arange(256)
-_FOLD[65:91] += 32
+#: Each byte with A-Z as a-z.
+FOLD = np.arange(256)
+FOLD[65:91] += 32
 #: Hash values by byte, with A-Z as a-z.
-_FOLDED = _BYTE[_FOLD]
+_FOLDED = _BYTE[FOLD]
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of words between ASCII white space.
@@ -90,11 +91,18 @@ def words(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray = NOT_SPACE
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
-    """A hash of each word's bytes, with A-Z as a-z if ``fold``."""
-    up, down = powers(len(data) + 1)
+def folded_sums(data: np.ndarray, fold: bool = True) -> np.ndarray:
+    """Sums of the hash polynomial up to each place, with A-Z as a-z if ``fold``."""
+    up, _ = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, U)
     np.cumsum((_FOLDED if fold else _BYTE)[data] * up[: len(data)], out=sums[1:])
+    return sums
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """A hash of each word's bytes, with A-Z as a-z if ``fold``."""
+    _, down = powers(len(data) + 1)
+    sums = folded_sums(data, fold)
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U) * U(BASE))
 
 

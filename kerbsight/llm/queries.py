@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from kerbsight.llm.chat_format import format_preferences, replaced_replies
 from kerbsight.llm.exact_dedup import exact_dedup, normalised
 from kerbsight.llm.jaccard_join import jaccard_components
-from kerbsight.llm.runtime import table
+from kerbsight.llm.quality import fit, score_quality
+from kerbsight.llm.runtime import crc_bucket, table
 from kerbsight.llm.suffix_dedup import remove_repeats
+from kerbsight.llm.toxicity import score_toxicity
 from kerbsight.llm.url_filter import Rule, filter_urls
 
 RULES = [Rule("net", "/", "block"), Rule("example.net", "/en/", "allow"), Rule("example.com", "/de/", "block"), Rule("org", "/fr/", "allow")]
@@ -22,10 +24,25 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("pair_id", "n_common", "prompt", "chosen", spans(F.col("chosen_spans")).alias("chosen_mask"), "rejected", spans(F.col("rejected_spans")).alias("rejected_mask"))
 
 
+#: From this score on a document's quality is predicted as 1, or its toxicity.
+QUALITY_CUT, TOXIC_CUT = 0.3, 0.5
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_quality(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (crc_bucket("doc_id") == 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= QUALITY_CUT).cast("int").alias("predicted"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), RULES)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (crc_bucket("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= TOXIC_CUT).cast("int").alias("predicted"), "ratio", "n_words")
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -42,7 +59,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_url_filters": op4_url_filters,
+    "op6_toxicity": op6_toxicity,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_jaccard_join": op10_jaccard_join,
