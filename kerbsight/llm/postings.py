@@ -82,14 +82,17 @@ def by_range(packed: DataFrame, fold: Callable[[np.ndarray, np.ndarray], dict[st
     return packed.groupBy("bucket").applyInArrow(each, schema)
 
 
-def by_range_packed(packed: DataFrame, fold: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, dict[str, np.ndarray]]], schema: str, unique: str = "") -> DataFrame:
-    """Applies ``fold`` to each hash range and packs what it gives, (group, columns), by group: one blob for a task."""
+def by_range_packed(packed: DataFrame, fold: Callable[[pa.Table], tuple[np.ndarray, dict[str, np.ndarray]]], schema: str, unique: str = "") -> DataFrame:
+    """Applies ``fold`` to the rows of each bucket and packs what it gives, (group, columns), by group.
+
+    A task goes through its buckets one at a time and hands on one blob for each group, or more beyond FLUSH values.
+    """
     partitions = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for table in _ranges_of(batches):
-            held.append(fold(*unpack(table)))
+            held.append(fold(table))
             n += len(held[-1][0])
             if n >= FLUSH:
                 yield _merged(held, unique)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbsight.llm import bytescan
-from kerbsight.llm.postings import PACKED, bucket_bits, by_range_packed, dealt, kept_bits, pack, runs
+from kerbsight.llm.postings import PACKED, bucket_bits, by_range_packed, kept_bits, pack, runs, unpack
 
 U = np.uint64
 WINDOW, GRAM, COVER = 50, 20, 16
@@ -129,7 +129,8 @@ def _anchor_postings(bits: int):
 def _repeated(groups: int):
     """Anchors of more than one document, for each document group that has them; frequent ones are marked."""
 
-    def fold(h: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, dict]:
+    def fold(table: pa.Table) -> tuple[np.ndarray, dict]:
+        h, own = unpack(table)
         start, length = runs(h)
         many = own[start] != own[start + length - 1] if len(start) else np.zeros(0, bool)
         mark = np.where(length > HOT, _HOT_BIT, U(0))
@@ -279,7 +280,7 @@ def repeated_windows(s: _Segments) -> np.ndarray:
 
 
 def _sort_bucket(groups: int):
-    def sort(table: pa.Table) -> pa.Table:
+    def sort(table: pa.Table) -> tuple[np.ndarray, dict]:
         done = table["done"].to_numpy()
         ranges = []
         for finished in (True, False):
@@ -301,7 +302,7 @@ def _sort_bucket(groups: int):
             last = np.flatnonzero(hit & np.concatenate([~hit[1:] | (seg[1:] != seg[:-1]), [True]]))
             ranges.append((s.ids[seg[first]], s.tags[seg[first]], s.starts[seg[first]] + j[first], s.starts[seg[last]] + j[last] + WINDOW))
         ids, tags, starts, stops = (np.concatenate(x) for x in zip(*ranges, strict=True)) if ranges else [np.zeros(0, np.int64)] * 4
-        return pa.table(dealt(group_of(ids, groups), {"ids": ids.astype("<i8"), "tags": tags.astype("<u4"), "starts": starts.astype("<i4"), "stops": stops.astype("<i4")}))
+        return group_of(ids, groups), {"ids": ids.astype("<i8"), "tags": tags.astype("<u4"), "starts": starts.astype("<i4"), "stops": stops.astype("<i4")}
 
     return sort
 
@@ -359,10 +360,10 @@ def _plain(columns: dict) -> dict:
 def _pieces(rows: DataFrame, finish) -> DataFrame:
     """The whole plan; the texts are shuffled once, into groups that are used both before and after the sort."""
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups, bits = 4 * partitions + 1, bucket_bits(rows, 10)
+    groups, bits = 2 * partitions + 1, bucket_bits(rows, 10)
     packed = rows.mapInArrow(_anchor_postings(bits), PACKED)
     found = by_range_packed(packed, _repeated(groups), "g int, keys binary", "keys")
     texts = rows.withColumn("g", _group_column("_id", groups))
     cut = texts.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(_cut(bits), SEGMENTS)
-    ranges = cut.groupBy("bucket").applyInArrow(_sort_bucket(groups), RANGES)
+    ranges = by_range_packed(cut, _sort_bucket(groups), RANGES)
     return texts.groupBy("g").cogroup(ranges.groupBy("g")).applyInArrow(lambda d, r: pa.table(finish(d, r)), RESULT)
