@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from kerbsight.llm import bytescan
 from kerbsight.llm.postings import PACKED, bucket_bits, by_range, pack, runs
+from kerbsight.llm.runtime import marked
 from kerbsight.operators.components import connected_components
 from kerbsight.operators.scratch import written
 
@@ -33,8 +34,6 @@ U = np.uint64
 SKETCH_BITS, SKETCH_ROWS = 20, 64
 #: Posting lists up to this length give all their pairs at once.
 SMALL = 64
-#: Slots of the bitmap of wanted documents.
-MARKS = 1 << 23
 #: Members that one task compares with the same centre.
 MEMBERS = 512
 #: Hash keys of the token orders.
@@ -307,20 +306,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     spokes = pairs.join(groups.select("a", "salts"), "a").select(F.col("doc_b").alias("_id"), F.col("a").alias("centre"), F.col("b").alias("c"), F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
     hubs = groups.select(F.col("doc_a").alias("_id"), F.col("a").alias("centre"), F.col("a").alias("c"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     wanted = written(spokes.unionByName(hubs), "wanted")
-    texts = _marked(docs, wanted).join(wanted.hint("merge"), "_id").select("centre", "salt", "c", "_text").repartition(partitions, "centre", "salt").sortWithinPartitions("centre", "salt", F.col("c") != F.col("centre"))
+    texts = marked(docs, wanted, "_id").join(wanted.hint("merge"), "_id").select("centre", "salt", "c", "_text").repartition(partitions, "centre", "salt").sortWithinPartitions("centre", "salt", F.col("c") != F.col("centre"))
     return texts.mapInArrow(_verify(size, percent), "a long, b long")
 
 
-def _marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Documents whose id may be wanted, by a bitmap of ``MARKS`` slots in at most 1 MB, so that few others are shuffled."""
-    slot = F.pmod(F.xxhash64("_id"), F.lit(MARKS)) + 1
-    part, place = F.bitmap_bucket_number(slot), F.bitmap_bit_position(slot)
-    maps = wanted.groupBy(part.alias("_part")).agg(F.bitmap_construct_agg(place).alias("_bits"))
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(F.col("_place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.floor(byte / F.pow(F.lit(2), F.col("_place") % 8)) % 2 == 1
-    return docs.withColumn("_part", part).withColumn("_place", place).join(F.broadcast(maps), "_part").where(bit).select("_id", "_text")
-
-
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """Returns ``(id, n_shingles, component_id)``, one row for each input row.
 

@@ -13,3 +13,20 @@ def crc_bucket(id_col: str, n: int = 5):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Slots of the bitmap of wanted rows.
+MARKS = 1 << 23
+
+
+def marked(rows: DataFrame, wanted: DataFrame, id_col: str) -> DataFrame:
+    """Rows whose id may be among the wanted ones, by a broadcast bitmap of ``MARKS`` slots, at most 1 MB.
+
+    A filter before a shuffled join on the id, so that texts of other rows mostly stay where they are.
+    """
+    slot = F.pmod(F.xxhash64(id_col), F.lit(MARKS)) + 1
+    part, place = F.bitmap_bucket_number(slot), F.bitmap_bit_position(slot)
+    maps = wanted.groupBy(part.alias("_part")).agg(F.bitmap_construct_agg(place).alias("_bits"))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(F.col("_place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.floor(byte / F.pow(F.lit(2), F.col("_place") % 8)) % 2 == 1
+    return rows.withColumn("_part", part).withColumn("_place", place).join(F.broadcast(maps), "_part").where(bit).drop("_part", "_place", "_bits")
