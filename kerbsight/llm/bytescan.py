@@ -79,13 +79,17 @@ def pieces(data: np.ndarray, offsets: np.ndarray, limit: int = CHUNK) -> Iterato
 
 def words(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of all rows, and for each row the index of its first word (n + 1 values)."""
-    inside = letters[data]
-    edge = np.zeros(len(data) + 1, bool)
+    return runs_of(letters[data], offsets)
+
+
+def runs_of(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`words`, given for each byte whether it belongs to a word."""
+    edge = np.zeros(len(inside) + 1, bool)
     edge[offsets] = True
-    before = np.zeros(len(data), bool)
+    before = np.zeros(len(inside), bool)
     before[1:] = inside[:-1]
     starts = np.flatnonzero(inside & (~before | edge[:-1]))
-    after = np.zeros(len(data), bool)
+    after = np.zeros(len(inside), bool)
     after[:-1] = inside[1:]
     ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
     return starts, ends, np.searchsorted(starts, offsets)

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbsight.llm.chat_format import format_preferences, replaced_replies
+from kerbsight.llm.decontaminate import contaminated
 from kerbsight.llm.exact_dedup import exact_dedup, normalised
 from kerbsight.llm.jaccard_join import jaccard_components
+from kerbsight.llm.line_dedup import drop_frequent_lines
 from kerbsight.llm.quality import fit, score_quality
 from kerbsight.llm.runtime import crc_bucket, table
+from kerbsight.llm.sentencepiece_codec import SPACE, decode, encode
 from kerbsight.llm.suffix_dedup import remove_repeats
 from kerbsight.llm.toxicity import score_toxicity
 from kerbsight.llm.url_filter import Rule, filter_urls
@@ -24,6 +27,11 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("pair_id", "n_common", "prompt", "chosen", spans(F.col("chosen_spans")).alias("chosen_mask"), "rejected", spans(F.col("rejected_spans")).alias("rejected_mask"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = drop_frequent_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "source", F.col("_n_dropped").alias("n_dropped"), "text")
+
+
 #: From this score on a document's quality is predicted as 1, or its toxicity.
 QUALITY_CUT, TOXIC_CUT = 0.3, 0.5
 
@@ -38,6 +46,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), RULES)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", (crc_bucket("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= TOXIC_CUT).cast("int").alias("predicted"), "ratio", "n_words")
@@ -53,17 +65,31 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs).join(digests, "doc_id").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+#: The piece model of the ninth operator, a vocabulary file outside the repository.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECES) -> DataFrame:
+    """Ids of each whole text, and whether decoding them gives it back."""
+    coded = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model_path), model_path)
+    back = F.col("decoded") == F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " ")
+    return coded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", back.alias("round_trip"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_line_dedup": op2_line_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_url_filters": op4_url_filters,
+    "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
@@ -92,6 +118,16 @@ select pair_id, cast(any_value(n_common) as integer) as n_common,
   coalesce(string_agg(body, '' order by k) filter (where side = 'r' and k > n_common), '') as rejected,
   coalesce(string_agg(cast(base + length(head) as bigint) || '-' || cast(base + length(body) as bigint), ';' order by k) filter (where side = 'r' and k > n_common and role = 'assistant'), '') as rejected_mask
 from s group by pair_id""",
+    "op2_line_dedup": r"""
+with d as (select doc_id, source, coalesce(source, '') as host, text from documents),
+p as (select distinct host, coalesce(text, '') as body from d),
+t as (select host, count(*) as total from p group by host),
+l as (select distinct host, body, regexp_replace(unnest(string_split(body, chr(10))), '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') as line from p),
+b as (select host, line from l join t using (host) where line <> '' group by host, line, total having count(*) >= 5 and count(*) > 0.05 * total),
+x as (select doc_id, host, generate_subscripts(string_split(text, chr(10)), 1) as k, unnest(string_split(text, chr(10))) as line from d),
+k as (select x.*, b.line is not null as gone from x left join b on b.host = x.host and b.line = regexp_replace(x.line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')),
+a as (select doc_id, count(*) filter (where gone) as n_dropped, coalesce(string_agg(line, chr(10) order by k) filter (where not gone), '') as text from k group by doc_id)
+select d.doc_id, d.source, coalesce(a.n_dropped, 0) as n_dropped, a.text from d left join a using (doc_id)""",
     "op4_url_filters": r"""
 with u as (select page_id,
     case when strpos(coalesce(url, ''), '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
