@@ -16,9 +16,9 @@ _PACKED = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("owners",
 _KEY_BYTES = 5
 
 
-def bucket_bits(df: DataFrame, least: int = 8) -> int:
-    """Ranges grow with the number of shuffle partitions, which is set by the size of the input."""
-    return max(least, int(np.ceil(np.log2(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
+def bucket_bits(df: DataFrame, least: int = 8, each: int = 4) -> int:
+    """Ranges: ``each`` for a shuffle partition, whose number is set by the size of the input, or more."""
+    return max(least, int(np.ceil(np.log2(each * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
 
 
 def pack(parts: Iterable[tuple[np.ndarray, np.ndarray]], bits: int) -> Iterator[pa.RecordBatch]:

@@ -37,7 +37,7 @@ WINDOW, GRAM, COVER = 50, 20, 16
 HOT = 4096
 #: Bits of a sliding-minimum key that hold the position; texts are scanned in pieces below 2**POSITION bytes.
 POSITION = 24
-PIECE = 1 << 20
+PIECE = 1 << 19
 _HOT_BIT = U(1 << 63)
 
 
@@ -166,15 +166,13 @@ class _Segments:
         n = len(self.ids)
         if not n:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        padded = np.concatenate([self.text, np.zeros(8, np.uint8)])
-        words = words_at(padded)
         size = self.counts + WINDOW - 1
-        longest = int(size.max())
         cols = []
-        for k in range(0, longest, 8):
-            left = np.clip(size - k, 0, 8)
-            w = words[np.minimum(self.at[:-1] + k, len(padded) - 1)]
-            cols.append(np.where(left >= 8, w, np.where(left > 0, w >> (U(64) - U(8) * left.astype(U)) % U(64), U(0))))
+        for k in range(0, int(size.max()), 8):
+            w = np.zeros(n, U)
+            for j in range(8):
+                w = (w << U(8)) | np.where(k + j < size, self.text[np.minimum(self.at[:-1] + k + j, len(self.text) - 1)], 0).astype(U)
+            cols.append(w)
         key = size.astype(U)
         for c in cols:
             key = bytescan.mix(key ^ c) + U(1)
@@ -229,7 +227,8 @@ def _cut(bits: int):
         s = _Segments(*(np.concatenate([getattr(x, k) for x in held]) for k in ("ids", "tags", "starts", "counts", "places", "text")))
         bucket = np.concatenate(buckets)
         kept, gone = s.folded()
-        return _segment_table({False: (bucket[kept], s.take(kept)), True: (bucket[gone], s.take(gone))})
+        anywhere = np.full(len(gone), docs["g"][0].as_py() % (1 << bits), np.int32)
+        return _segment_table({False: (bucket[kept], s.take(kept)), True: (anywhere, s.take(gone))})
 
     return cut
 
@@ -360,7 +359,7 @@ def _plain(columns: dict) -> dict:
 def _pieces(rows: DataFrame, finish) -> DataFrame:
     """The whole plan; the texts are shuffled once, into groups that are used both before and after the sort."""
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups, bits = 2 * partitions + 1, bucket_bits(rows, 10)
+    groups, bits = 2 * partitions + 1, bucket_bits(rows, 9, 2)
     packed = rows.mapInArrow(_anchor_postings(bits), PACKED)
     found = by_range_packed(packed, _repeated(groups), "g int, keys binary", "keys")
     texts = rows.withColumn("g", _group_column("_id", groups))
