@@ -30,8 +30,8 @@ from kerbsight.operators.components import connected_components
 from kerbsight.operators.scratch import written
 
 U = np.uint64
-#: Counters of the frequency sketch (2**20) and the number of rows in which they are summed.
-SKETCH_BITS, SKETCH_ROWS = 20, 64
+#: Counters of the frequency sketch (2**22) and the number of rows in which they are summed.
+SKETCH_BITS, SKETCH_ROWS = 22, 64
 #: Posting lists up to this length give all their pairs at once.
 SMALL = 64
 #: Members that one task compares with the same centre.
@@ -64,7 +64,7 @@ def _slot(s: np.ndarray) -> np.ndarray:
 def levels_of(counts: np.ndarray) -> np.ndarray:
     """Frequency level of each counter: 0 up to what chance puts there, then the binary logarithm of the excess."""
     mean = counts.sum() / len(counts)
-    excess = counts - (mean + 6 * np.sqrt(mean) + 8)
+    excess = counts - (mean + 4 * np.sqrt(mean) + 4)
     return np.where(excess > 0, np.ceil(np.log2(np.maximum(excess, 1) + 1)), 0).astype(np.uint8)
 
 
@@ -98,7 +98,7 @@ def _scan(size: int):
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(d, pa.int64()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], schema=_SCAN)
         if seen:
             none = pa.nulls(SKETCH_ROWS, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(range(SKETCH_ROWS), pa.int32()), pa.array([x.tobytes() for x in np.split(counts, SKETCH_ROWS)], pa.binary())], schema=_SCAN)
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(range(SKETCH_ROWS), pa.int32()), pa.array([pa.compress(x.tobytes(), "zstd", asbytes=True) for x in np.split(counts, SKETCH_ROWS)], pa.binary())], schema=_SCAN)
 
     return scan
 
@@ -107,7 +107,7 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for part, blob in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            x = np.frombuffer(blob, np.uint32).astype(np.int64)
+            x = np.frombuffer(pa.decompress(blob, 4 << SKETCH_BITS >> 6, "zstd", asbytes=True), np.uint32).astype(np.int64)
             total[part] = total[part] + x if part in total else x
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["part", "total"])
 
