@@ -1 +1 @@
-
+"""Registered queries and the domain views they read."""

@@ -1,6 +1,509 @@
-"""The registered queries over the reference's own operators, and their DuckDB SQL."""
+"""The registered queries over the engine's own operators, and their DuckDB SQL.
+
+Each entry pairs a callable (spark, sf_dir) with the SQL, or with None where SQL can't say it without undue effort.
+"""
 
 from __future__ import annotations
 
+import datetime
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from kerbsight.functions import boxes, geo, text
+from kerbsight.operators import detections as ops
+from kerbsight.operators import evaluation, permits, sampling, spatial
+from kerbsight.plans import views
+
 QUERIES: dict = {}
 ORACLE: dict = {}
+DAY = datetime.date(2024, 1, 10)
+
+
+def query(sql: str | None = None, *ctes: str):
+    """Registers a query under its function's name, with its SQL after the given common table expressions."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = (f"with recursive {', '.join(ctes)} " if ctes else "") + sql
+        return f
+
+    return register
+
+
+def r3(c) -> F.Column:
+    return F.round(c, 3)
+
+
+HAVERSINE = "2 * 6371008.8::double * asin(sqrt(least(1.0::double, pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2))))"
+
+
+def hav(a: str, b: str, c: str, d: str) -> str:
+    return HAVERSINE.format(a=a, b=b, c=c, d=d)
+
+
+VALID = "gps_lat is not null and gps_lon is not null and gps_lat <> 0 and gps_lon <> 0 and (floor(epoch(image_timestamp)) - floor(epoch(gps_timestamp))) <= 5"
+INVALID = "(gps_lat is null or gps_lon is null or gps_lat = 0 or gps_lon = 0) and (floor(epoch(image_timestamp)) - floor(epoch(gps_timestamp))) > 5"
+THRESHOLD = "((object_class = 2 and confidence > 0.82::double) or (object_class = 3 and confidence > 0.83::double) or (object_class = 4 and confidence > 0.82::double))"
+BASE = f"""base as (select d.detection_id, d.frame_id, d.object_class, d.confidence, cast(d.width * d.height as float) as area, f.gps_lat, f.gps_lon, cast(f.gps_timestamp as date) as detection_date, f.image_name
+  from frames f join detections d on f.frame_id = d.frame_id where f.status = 'Pending' and d.status = 'Pending' and {VALID} and {THRESHOLD})"""
+EDGES = f"""pairs as (select a.detection_id as a, b.detection_id as b from base a join base b on a.object_class = b.object_class and a.detection_date = b.detection_date and a.detection_id <> b.detection_id
+  where abs(a.gps_lat - b.gps_lat) < 0.001 and {hav("a.gps_lat", "a.gps_lon", "b.gps_lat", "b.gps_lon")} <= 10.0),
+reach as (select detection_id as node, detection_id as seen from base union select r.node, p.b from reach r join pairs p on p.a = r.seen),
+clustered as (select base.*, m.cluster from base join (select node, min(seen) as cluster from reach group by node) m on m.node = base.detection_id)"""
+OBJECTS = """meaned as (select *, avg(confidence) over (partition by cluster) as mean from clustered),
+objects as (select * exclude (mean, k) from (select *, row_number() over (partition by cluster order by area desc, detection_id) as k from meaned where confidence >= mean) where k = 1)"""
+NEAR = f"""near as (select o.detection_id, arg_min(p.permit_id, struct_pack(d := {hav("o.gps_lat", "o.gps_lon", "p.lat", "p.lon")}, i := p.permit_id)) as permit_id, min({hav("o.gps_lat", "o.gps_lon", "p.lat", "p.lon")}) as distance
+  from objects o join permits p using (object_class) group by o.detection_id)"""
+SCORED = """scored as (select o.*, n.permit_id, n.distance, case when object_class in (2, 3, 4) and n.distance >= 40 then least(1.0::double, n.distance / 100) else 0 end as score from objects o join near n using (detection_id))"""
+PLACED = """placed as (select s.*, d.district, d.k as district_k from scored s join districts d on s.gps_lon >= d.x0 and s.gps_lon < d.x0 + 0.03::double and s.gps_lat >= d.y0 and s.gps_lat < d.y0 + 0.02::double)"""
+CHAIN = (views.FRAMES, views.DETECTIONS, BASE, EDGES, OBJECTS, views.PERMITS, NEAR, SCORED, views.DISTRICTS, PLACED)
+
+
+def base(spark, sf_dir) -> DataFrame:
+    """Pending detections of valid pending frames that pass the confidence thresholds."""
+    f = ops.valid_frames(views.frames(spark, sf_dir).where("status = 'Pending'")).drop("status")
+    d = views.detections(spark, sf_dir).where("status = 'Pending'").where(ops.above("confidence", ops.CONFIDENCE))
+    joined = f.join(d, "frame_id")
+    return joined.select("detection_id", "frame_id", "object_class", "confidence", (F.col("width") * F.col("height")).alias("area"), "gps_lat", "gps_lon", F.to_date("gps_timestamp").alias("detection_date"), "image_name")
+
+
+def clustered(spark, sf_dir) -> DataFrame:
+    return spatial.clusters(base(spark, sf_dir), 10.0, ["object_class", "detection_date"])
+
+
+def objects(spark, sf_dir) -> DataFrame:
+    return ops.representatives(clustered(spark, sf_dir), ["cluster"])
+
+
+def scored(spark, sf_dir) -> DataFrame:
+    near = spatial.nearest(objects(spark, sf_dir), views.permits(spark, sf_dir), "detection_id", "permit_id", ["object_class"], geo.haversine, place=("gps_lat", "gps_lon"))
+    return near.withColumn("score", ops.score())
+
+
+def placed(spark, sf_dir) -> DataFrame:
+    found = spatial.containing(scored(spark, sf_dir), views.districts(spark, sf_dir), "detection_id", "k", x="gps_lon", y="gps_lat")
+    return found.join(F.broadcast(views.districts(spark, sf_dir).select("k", "district")), "k")
+
+
+@query("""select detection_id, object_class, detection_date, district, round(score, 3) as score, cast(rank as integer) as rank from (
+  select *, row_number() over (partition by detection_date, district, object_class order by round(score, 6) desc, detection_id) as rank from placed where score >= 0.4)
+  where rank <= case object_class when 2 then 4 else 3 end""", *CHAIN)
+def flagship_report_candidates(spark, sf_dir):
+    best = ops.top_k(placed(spark, sf_dir), ops.SEND_LIMITS, ["detection_date", "district"], [F.desc(F.round("score", 6)), F.col("detection_id")])
+    return best.select("detection_id", "object_class", "detection_date", "district", r3("score").alias("score"), "rank")
+
+
+@query(f"select frame_id, image_name, gps_lat, gps_lon from frames where {VALID}", views.FRAMES)
+def frames_valid_reference(spark, sf_dir):
+    return ops.valid_frames(views.frames(spark, sf_dir)).select("frame_id", "image_name", "gps_lat", "gps_lon")
+
+
+@query(f"select frame_id, image_name from frames where {INVALID}", views.FRAMES)
+def frames_invalid_reference(spark, sf_dir):
+    return ops.invalid_frames(views.frames(spark, sf_dir)).select("frame_id", "image_name")
+
+
+@query(f"select frame_id, coalesce({VALID}, false) as valid from frames", views.FRAMES)
+def frames_partition(spark, sf_dir):
+    f = views.frames(spark, sf_dir)
+    return ops.valid_frames(f).select("frame_id", F.lit(True).alias("valid")).unionByName(ops.invalid_frames(f, "partition").select("frame_id", F.lit(False).alias("valid")))
+
+
+@query(f"select d.detection_id, d.frame_id, d.object_class from detections d join frames f on d.frame_id = f.frame_id where {VALID}", views.FRAMES, views.DETECTIONS)
+def detections_of_valid_frames(spark, sf_dir):
+    return views.detections(spark, sf_dir).join(ops.valid_frames(views.frames(spark, sf_dir)).select("frame_id"), "frame_id", "left_semi").select("detection_id", "frame_id", "object_class")
+
+
+@query("select detection_id from detections where frame_id in (select frame_id from frames where cast(gps_timestamp as date) = date '2024-01-10')", views.FRAMES, views.DETECTIONS)
+def detections_semi_date(spark, sf_dir):
+    day = views.frames(spark, sf_dir).where((F.col("gps_timestamp") >= F.lit("2024-01-10").cast("timestamp")) & (F.col("gps_timestamp") < F.lit("2024-01-11").cast("timestamp")))
+    return views.detections(spark, sf_dir).join(day.select("frame_id"), "frame_id", "left_semi").select("detection_id")
+
+
+@query("select event_id, cast(json_extract(props, '$.k') as integer) as k from events")
+def json_props_project(spark, sf_dir):
+    return views.table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
+
+
+@query("""select p_partkey as permit_id, case when p_partkey % 17 = 0 or p_partkey % 19 = 0 then '' when p_partkey % 5 = 0 then '2,3' when p_partkey % 3 = 0 then '2' when p_partkey % 3 = 1 then '3' else '4' end as classes from part""")
+def objecten_to_classes(spark, sf_dir):
+    return permits.with_classes(views.permits(spark, sf_dir)).select("permit_id", F.array_join("classes", ",").alias("classes"))
+
+
+@query(f"select detection_id, object_class, round(confidence, 3) as confidence from detections where {THRESHOLD} and ((object_class = 2 and area > 0.008::double) or (object_class = 3 and area > 0.004::double) or (object_class = 4 and area > 0.1::double))", views.DETECTIONS.replace("from events)", "from events)").replace("detections as (select", "detections as (select *, cast(width * height as float) as area from (select").replace("from events)", "from events))"))
+def class_threshold_filter(spark, sf_dir):
+    d = views.detections(spark, sf_dir).withColumn("area", F.col("width") * F.col("height"))
+    return d.where(ops.above("confidence", ops.CONFIDENCE) & ops.above("area", ops.BOX_AREA)).select("detection_id", "object_class", r3(F.col("confidence").cast("double")).alias("confidence"))
+
+
+@query("select detection_id, cluster from clustered", views.FRAMES, views.DETECTIONS, BASE, EDGES)
+def cluster_components(spark, sf_dir):
+    return clustered(spark, sf_dir).select("detection_id", "cluster")
+
+
+@query("select detection_id, cluster, object_class from objects", views.FRAMES, views.DETECTIONS, BASE, EDGES, OBJECTS)
+def cluster_representative(spark, sf_dir):
+    return objects(spark, sf_dir).select("detection_id", "cluster", "object_class")
+
+
+@query("select detection_id, detection_id as cluster from base", views.FRAMES, views.DETECTIONS, BASE)
+def cluster_disabled(spark, sf_dir):
+    return spatial.clusters(base(spark, sf_dir), -1.0, ["object_class", "detection_date"]).select("detection_id", "cluster")
+
+
+@query("select detection_id, permit_id, round(distance, 3) as distance from scored", *CHAIN[:8])
+def nearest_permit(spark, sf_dir):
+    return scored(spark, sf_dir).select("detection_id", "permit_id", r3("distance").alias("distance"))
+
+
+
+@query("""select frame_id, min(round(d, 3)) as distance from (select frame_id, sqrt(pow(x - (ax + t * (bx - ax)), 2) + pow(y - (ay + t * (by_ - ay)), 2)) as d from (
+  select *, least(1.0::double, greatest(0.0::double, ((x - ax) * (bx - ax) + (y - ay) * (by_ - ay)) / ((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)))) as t from points cross join bridges)) group by frame_id""", views.GRID)
+def nearest_segment(spark, sf_dir):
+    found = spatial.nearest_segment(views.grid_points(spark, sf_dir), views.bridges(spark, sf_dir), "frame_id", "bridge_id")
+    return found.select("frame_id", r3("distance").alias("distance"))
+
+
+@query("select f.frame_id, d.district from frames f join districts d on f.gps_lon >= d.x0 and f.gps_lon < d.x0 + 0.03::double and f.gps_lat >= d.y0 and f.gps_lat < d.y0 + 0.02::double", views.FRAMES, views.DISTRICTS)
+def district_lookup(spark, sf_dir):
+    d = views.districts(spark, sf_dir)
+    found = spatial.containing(views.frames(spark, sf_dir).where("gps_lat is not null"), d, "frame_id", "k", x="gps_lon", y="gps_lat")
+    return found.join(F.broadcast(d.select("k", "district")), "k").select("frame_id", "district")
+
+
+@query("""select frame_id, not exists (select 1 from terrain t where pow(greatest(t.x0 - x, 0, x - t.x0 - 60), 2) + pow(greatest(t.y0 - y, 0, y - t.y0 - 40), 2) <= 100) as private from points""", views.GRID, views.TERRAIN)
+def private_terrain(spark, sf_dir):
+    return spatial.apart_from(views.grid_points(spark, sf_dir), views.terrain(spark, sf_dir), "frame_id", 10.0).select("frame_id", F.col("apart").alias("private"))
+
+
+@query("select frame_id from points where exists (select 1 from terrain t where pow(x - t.x0, 2) + pow(y - t.y0, 2) <= 900)", views.GRID, views.TERRAIN)
+def permit_buffer_frames(spark, sf_dir):
+    centres = views.terrain(spark, sf_dir).select(F.col("ring")[0]["x"].alias("cx"), F.col("ring")[0]["y"].alias("cy"))
+    return spatial.within_any(views.grid_points(spark, sf_dir), centres, "frame_id", 30.0).select("frame_id")
+
+
+@query("select detection_id, round(score, 3) as score from scored", *CHAIN[:8])
+def score(spark, sf_dir):
+    return scored(spark, sf_dir).select("detection_id", r3("score").alias("score"))
+
+
+@query("select detection_id, detection_date, cast(row_number() over (partition by detection_date order by round(score, 6) desc, detection_id) as integer) as priority from scored", *CHAIN[:8])
+def priority(spark, sf_dir):
+    w = Window.partitionBy("detection_date").orderBy(F.desc(F.round("score", 6)), "detection_id")
+    return scored(spark, sf_dir).select("detection_id", "detection_date", F.row_number().over(w).alias("priority"))
+
+
+@query("""select detection_id, district, object_class from (select *, row_number() over (partition by district, object_class order by round(score, 6) desc, detection_id) as rank from placed where score >= 0.4)
+  where rank <= case object_class when 2 then 4 else 3 end""", *CHAIN)
+def topk_per_district_class(spark, sf_dir):
+    best = ops.top_k(placed(spark, sf_dir), ops.SEND_LIMITS, ["district"], [F.desc(F.round("score", 6)), F.col("detection_id")])
+    return best.select("detection_id", "district", "object_class")
+
+
+@query("select detection_id from detections d join frames f using (frame_id) where d.status = 'Pending' and cast(gps_timestamp as date) = date '2024-01-10'", views.FRAMES, views.DETECTIONS)
+def pending_ids(spark, sf_dir):
+    day = views.frames(spark, sf_dir).where(F.to_date("gps_timestamp") == F.lit(DAY)).select("frame_id")
+    return views.detections(spark, sf_dir).where("status = 'Pending'").join(day, "frame_id", "left_semi").select("detection_id")
+
+
+def _transition(spark, sf_dir, **kw):
+    d = views.detections(spark, sf_dir)
+    log = ops.transition(d, "detection_id", **kw).withColumn("processed_at", F.lit("2024-02-01").cast("timestamp"))
+    return ops.with_status(d, log, "detection_id").groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query("select 'Processed' as status, count(*) as n from events")
+def status_update_all(spark, sf_dir):
+    return _transition(spark, sf_dir)
+
+
+@query("select case when status = 'Processed' or detection_id % 4 = 0 then 'Processed' else 'Pending' end as status, count(*) as n from detections group by 1", views.DETECTIONS)
+def status_update_only(spark, sf_dir):
+    return _transition(spark, sf_dir, only=views.detections(spark, sf_dir).where("detection_id % 4 = 0"))
+
+
+@query("select case when status = 'Processed' or detection_id % 4 <> 0 then 'Processed' else 'Pending' end as status, count(*) as n from detections group by 1", views.DETECTIONS)
+def status_update_exclude(spark, sf_dir):
+    return _transition(spark, sf_dir, exclude=views.detections(spark, sf_dir).where("detection_id % 4 = 0"))
+
+
+KEPT = "kept as (select distinct f.image_name from frames f join scored s on f.image_name = s.image_name where s.detection_date >= date '2024-01-10' and s.score >= 0.4)"
+
+
+@query("select image_name from kept", *CHAIN[:8], KEPT)
+def retention_keep(spark, sf_dir):
+    return ops.kept_images(views.frames(spark, sf_dir), scored(spark, sf_dir), DAY)
+
+
+@query("select distinct image_name from frames where status = 'Processed' and frame_id % 5 <> 0 and image_name not in (select image_name from kept)", *CHAIN[:8], KEPT)
+def retention_delete(spark, sf_dir):
+    f = views.frames(spark, sf_dir)
+    return ops.deletable_images(f.where("status = 'Processed'"), ops.kept_images(f, scored(spark, sf_dir), DAY), f.where("frame_id % 5 <> 0"))
+
+
+PARTS = r"""parts as (select address_id, regexp_extract(address, '^\s*(.+?)\s+(\d+)\s*([A-Za-z0-9/-]*?)\s*,?\s+(\d{4}\s?[A-Z]{2})\b', ['street', 'number', 'addition', 'postcode']) as p from addresses)"""
+
+
+@query("select address_id, nullif(p.street, '') as street, try_cast(p.number as integer) as number, case when p.street <> '' then p.addition end as addition, nullif(replace(p.postcode, ' ', ''), '') as postcode from parts", views.ADDRESSES, PARTS)
+def address_split(spark, sf_dir):
+    a = views.addresses(spark, sf_dir)
+    return a.select("address_id", *[c.alias(k) for k, c in text.address(F.col("address")).items()])
+
+
+@query("""select a.address_id, cast(min(b.address_id) as bigint) as known_id from parts a join parts b on a.p.street = b.p.street and a.p.number = b.p.number and replace(a.p.postcode, ' ', '') = replace(b.p.postcode, ' ', '') and b.address_id % 3 = 0
+  where a.p.street <> '' group by a.address_id""", views.ADDRESSES, PARTS)
+def address_join(spark, sf_dir):
+    a = address_split(spark, sf_dir)
+    known = a.where("address_id % 3 = 0").groupBy("street", "number", "postcode").agg(F.min("address_id").alias("known_id"))
+    return a.join(known, ["street", "number", "postcode"]).select("address_id", "known_id")
+
+
+@query("""(select o_custkey, o_orderstatus, 'only_a' as side from orders where o_orderkey % 2 = 0 except select o_custkey, o_orderstatus, 'only_a' from orders where o_orderkey % 2 = 1)
+  union all (select o_custkey, o_orderstatus, 'only_b' from orders where o_orderkey % 2 = 1 except select o_custkey, o_orderstatus, 'only_b' from orders where o_orderkey % 2 = 0)""")
+def except_two_way(spark, sf_dir):
+    o = views.table(spark, sf_dir, "orders")
+    half = lambda k: o.where(f"o_orderkey % 2 = {k}").select("o_custkey", "o_orderstatus")
+    return sampling.differences(half(0), half(1))
+
+
+@query("""select case when b.k is null then 'only_a' when a.k is null then 'only_b' else 'both' end as side, count(*) as n from (select distinct o_custkey as k from orders where o_orderstatus = 'O') a
+  full join (select distinct c_custkey as k from customer where c_acctbal > 0) b on a.k = b.k group by 1""")
+def set_compare(spark, sf_dir):
+    a = views.table(spark, sf_dir, "orders").where("o_orderstatus = 'O'").select(F.col("o_custkey").alias("k"))
+    return sampling.compared(a, views.table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("k")), "k")
+
+
+@query("select object_class, round(quantile_cont(cast(confidence as double), 1.0/3), 3) as low, round(quantile_cont(cast(confidence as double), 2.0/3), 3) as high from detections group by object_class", views.DETECTIONS)
+def quantiles_by_class(spark, sf_dir):
+    q = F.percentile(F.col("confidence").cast("double"), F.array(F.lit(1 / 3), F.lit(2 / 3)))
+    return views.detections(spark, sf_dir).groupBy("object_class").agg(q.alias("q")).select("object_class", r3(F.col("q")[0]).alias("low"), r3(F.col("q")[1]).alias("high"))
+
+
+@query("""select l_returnflag, count(*) as n, round(avg(l_quantity), 3) as mean, round(stddev_samp(l_quantity), 3) as deviation, min(l_quantity) as least, max(l_quantity) as most,
+  round(quantile_cont(l_quantity, 0.1), 3) as p10, round(quantile_cont(l_quantity, 0.2), 3) as p20, round(quantile_cont(l_quantity, 0.8), 3) as p80, round(quantile_cont(l_quantity, 0.9), 3) as p90 from lineitem group by l_returnflag""")
+def describe_by_category(spark, sf_dir):
+    q = F.percentile("l_quantity", F.array(*[F.lit(p) for p in (0.1, 0.2, 0.8, 0.9)]))
+    s = views.table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("n"), r3(F.avg("l_quantity")).alias("mean"), r3(F.stddev_samp("l_quantity")).alias("deviation"), F.min("l_quantity").alias("least"), F.max("l_quantity").alias("most"), q.alias("q"))
+    return s.select("l_returnflag", "n", "mean", "deviation", "least", "most", *[r3(F.col("q")[k]).alias(x) for k, x in enumerate(("p10", "p20", "p80", "p90"))])
+
+
+@query(f"""select recording, round(coalesce(sum(step), 0), 2) as metres, round(epoch(max(gps_timestamp)) - epoch(min(gps_timestamp)), 3) as seconds, count(*) as points from (
+  select *, {hav("pl", "po", "gps_lat", "gps_lon")} as step from (select *, lag(gps_lat) over w as pl, lag(gps_lon) over w as po from (select *, frame_id % 10 as recording from frames where gps_lat <> 0) window w as (partition by recording order by gps_timestamp, frame_id))) group by recording""", views.FRAMES)
+def path_stats(spark, sf_dir):
+    f = views.frames(spark, sf_dir).where("gps_lat <> 0").withColumn("recording", F.col("frame_id") % 10)
+    return sampling.path_stats(f, "recording", "gps_timestamp", "frame_id").select("recording", F.round("metres", 2).alias("metres"), r3("seconds").alias("seconds"), "points")
+
+
+@query("select detection_id, cast(dense_rank() over (partition by object_class order by frame_id) as integer) as number from detections", views.DETECTIONS)
+def dense_frames(spark, sf_dir):
+    return views.detections(spark, sf_dir).select("detection_id", F.dense_rank().over(Window.partitionBy("object_class").orderBy("frame_id")).alias("number"))
+
+
+@query("select frame_id, detection_id from (select *, row_number() over (partition by frame_id, object_class order by detection_id) as k from detections) where k = 1", views.DETECTIONS)
+def dedup_first(spark, sf_dir):
+    w = Window.partitionBy("frame_id", "object_class").orderBy("detection_id")
+    return views.detections(spark, sf_dir).withColumn("k", F.row_number().over(w)).where("k = 1").select("frame_id", "detection_id")
+
+
+IMAGES = """u as (select distinct image_id from gt), t as (select distinct image_id, object_class from gt), s as (select distinct image_id, object_class from pred where image_id in (select image_id from u)),
+c as (select coalesce(t.object_class, s.object_class) as object_class, count(*) filter (where t.image_id is not null and s.image_id is not null) as tp, count(*) filter (where t.image_id is null) as fp, count(*) filter (where s.image_id is null) as fn
+  from t full join s on t.image_id = s.image_id and t.object_class = s.object_class group by 1)"""
+
+
+@query("""select object_class, tp, fp, fn, n - tp - fp - fn as tn, round(tp / nullif(tp + fp, 0), 6) as precision, round(tp / nullif(tp + fn, 0), 6) as recall, round(fp / nullif(n - tp - fn, 0), 6) as fpr, round(fn / nullif(fn + tp, 0), 6) as fnr
+  from c cross join (select count(*) as n from u)""", views.BOXES, IMAGES)
+def per_image_stats(spark, sf_dir):
+    s = evaluation.per_image_stats(views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir))
+    return s.select("object_class", "tp", "fp", "fn", "tn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "fpr", "fnr")])
+
+
+@query("select cast(sum(tp) as bigint) as tp, cast(sum(fp) as bigint) as fp, cast(sum(fn) as bigint) as fn from c", views.BOXES, IMAGES)
+def image_level_metrics(spark, sf_dir):
+    return evaluation.per_image_stats(views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir)).agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
+
+
+PIXELS = """clipped as (select image_id, object_class, 1 as k, least(1280, greatest(0, x0)) as x0, least(720, greatest(0, y0)) as y0, least(1280, greatest(0, x1)) as x1, least(720, greatest(0, y1)) as y1 from gt
+  union all select image_id, object_class, 2, least(1280, greatest(0, x0)), least(720, greatest(0, y0)), least(1280, greatest(0, x1)), least(720, greatest(0, y1)) from pred),
+xs as (select image_id, object_class, x as a, lead(x) over (partition by image_id, object_class order by x) as z from (select distinct image_id, object_class, unnest([x0, x1]) as x from clipped)),
+ys as (select image_id, object_class, y as a, lead(y) over (partition by image_id, object_class order by y) as z from (select distinct image_id, object_class, unnest([y0, y1]) as y from clipped)),
+cells as (select c.image_id, c.object_class, xs.a as xa, ys.a as ya, any_value((xs.z - xs.a) * (ys.z - ys.a)) as area, bool_or(k = 1) as g, bool_or(k = 2) as p
+  from clipped c join xs on xs.image_id = c.image_id and xs.object_class = c.object_class and c.x0 <= xs.a and c.x1 >= xs.z join ys on ys.image_id = c.image_id and ys.object_class = c.object_class and c.y0 <= ys.a and c.y1 >= ys.z group by 1, 2, 3, 4)"""
+
+
+@query("select object_class, cast(coalesce(sum(area) filter (where g and p), 0) as bigint) as tp, cast(coalesce(sum(area) filter (where p and not g), 0) as bigint) as fp, cast(coalesce(sum(area) filter (where g and not p), 0) as bigint) as fn from cells group by object_class", views.BOXES, PIXELS)
+def pixel_stats(spark, sf_dir):
+    return evaluation.pixel_stats(views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir), 1280, 720).select("object_class", "tp", "fp", "fn")
+
+
+AREAS = {"all": (0.0, float("inf")), "small": (0.0, 2500.0), "large": (2500.0, float("inf"))}
+
+
+@query()
+def coco_match(spark, sf_dir):
+    return evaluation.coco_match(views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir), areas=AREAS)
+
+
+@query()
+def coco_ap(spark, sf_dir):
+    gt = views.gt_boxes(spark, sf_dir)
+    return evaluation.average_precision(evaluation.coco_match(gt, views.pred_boxes(spark, sf_dir), areas=AREAS), gt, AREAS)
+
+
+@query("select object_class, step, count(*) as n, count(*) filter (where pred_id % 2 = 0) as tp from pred join (select unnest(range(1, 20)) * 0.05::double as step) on score >= step - 1e-9 group by object_class, step", views.BOXES)
+def conf_sweep(spark, sf_dir):
+    p = views.pred_boxes(spark, sf_dir).withColumn("score", F.col("score") + 1e-9)
+    return evaluation.sweep(p, "score", [k * 0.05 for k in range(1, 20)], ["object_class"], F.col("pred_id") % 2 == 0)
+
+
+@query("select object_class, step, count(*) as n, count(*) filter (where pred_id % 2 = 0) as tp from pred join (select unnest(range(0, 21)) * 0.005::double as step) on (x1 - x0) * (y1 - y0) / (1280 * 720) >= step group by object_class, step", views.BOXES)
+def size_sweep(spark, sf_dir):
+    p = views.pred_boxes(spark, sf_dir).withColumn("size", (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")) / (1280 * 720))
+    return evaluation.sweep(p, "size", [k * 0.005 for k in range(21)], ["object_class"], F.col("pred_id") % 2 == 0)
+
+
+RUN = """manual as (select frame_id, gps_lat, gps_lon, [cast(frame_id % 3 as int), cast(frame_id % 5 as int)] as classes from frames where gps_lat <> 0 and frame_id % 2 = 0),
+auto as (select frame_id as auto_id, gps_lat as la, gps_lon as lo, [cast(frame_id % 4 as int)] as auto_classes from frames where gps_lat <> 0 and frame_id % 2 = 1),
+met as (select m.frame_id, a.auto_id, 2 * 6371000::double * asin(sqrt(least(1.0::double, pow(sin(radians(la - gps_lat) / 2), 2) + cos(radians(gps_lat)) * cos(radians(la)) * pow(sin(radians(lo - gps_lon) / 2), 2)))) as d, list_has_any(classes, auto_classes) as shared
+  from manual m join auto a on abs(la - gps_lat) < 0.002)"""
+
+
+def _runs(spark, sf_dir):
+    f = views.frames(spark, sf_dir).where("gps_lat <> 0").select("frame_id", "gps_lat", "gps_lon")
+    return f.where("frame_id % 2 = 0").withColumn("classes", F.expr("array(cast(frame_id % 3 as int), cast(frame_id % 5 as int))")), f.where("frame_id % 2 = 1").withColumn("classes", F.expr("array(cast(frame_id % 4 as int))"))
+
+
+@query("select m.frame_id, n.auto_id, n.d as distance_m from manual m left join (select frame_id, arg_min(auto_id, struct_pack(d := d, i := auto_id)) as auto_id, round(min(d), 3) as d from met where d <= 50 group by frame_id) n using (frame_id)", views.FRAMES, RUN)
+def run_compare_distance(spark, sf_dir):
+    return sampling.nearest_in_run(*_runs(spark, sf_dir), 50.0).select("frame_id", "auto_id", r3("distance_m").alias("distance_m"))
+
+
+@query("select m.frame_id, n.auto_id, n.d as distance_m from manual m left join (select frame_id, arg_min(auto_id, struct_pack(d := d, i := auto_id)) as auto_id, round(min(d), 3) as d from met where d <= 50 and shared group by frame_id) n using (frame_id)", views.FRAMES, RUN)
+def run_compare_class(spark, sf_dir):
+    return sampling.nearest_in_run(*_runs(spark, sf_dir), 50.0, shared_class=True).select("frame_id", "auto_id", r3("distance_m").alias("distance_m"))
+
+
+@query("select step, count(*) as n from (select frame_id, min(d) as d from met where d <= 50 group by frame_id) join (select unnest(range(0, 26)) * 2.0::double as step) on d <= step group by step", views.FRAMES, RUN)
+def distance_sweep(spark, sf_dir):
+    steps = spark.range(26).select((F.col("id") * 2.0).alias("step"))
+    return sampling.nearest_in_run(*_runs(spark, sf_dir), 50.0).join(F.broadcast(steps), F.col("distance_m") <= F.col("step")).groupBy("step").agg(F.count("*").alias("n"))
+
+
+OVERLAP = """met as (select g.gt_id, p.pred_id, g.image_id, g.object_class, least(g.x1, p.x1) - greatest(g.x0, p.x0) as w, least(g.y1, p.y1) - greatest(g.y0, p.y0) as h, (g.x1 - g.x0) * (g.y1 - g.y0) + (p.x1 - p.x0) * (p.y1 - p.y0) as areas from gt g join pred p using (image_id, object_class))"""
+
+
+@query("select pred_id, arg_max(gt_id, struct_pack(i := w * h / (areas - w * h), g := -gt_id)) as gt_id, round(max(w * h / (areas - w * h)), 6) as iou from met where w > 0 and h > 0 group by pred_id", views.BOXES, OVERLAP)
+def best_iou(spark, sf_dir):
+    return evaluation.best_match(views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir)).select("pred_id", "gt_id", F.round("iou", 6).alias("iou"))
+
+
+@query("select 'fp' as kind, pred_id as id from pred where pred_id not in (select pred_id from met where w > 0 and h > 0) union all select 'fn', gt_id from gt where gt_id not in (select gt_id from met where w > 0 and h > 0)", views.BOXES, OVERLAP)
+def any_overlap_fp_fn(spark, sf_dir):
+    g, p = views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir)
+    return evaluation.false_positives(g, p).select(F.lit("fp").alias("kind"), F.col("pred_id").alias("id")).unionByName(evaluation.false_negatives(g, p).select(F.lit("fn").alias("kind"), F.col("gt_id").alias("id")))
+
+
+@query()
+def greedy_overlap(spark, sf_dir):
+    return evaluation.greedy_overlap(views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir))
+
+
+@query()
+def weighted_sample(spark, sf_dir):
+    f = views.frames(spark, sf_dir).withColumn("weight", F.when(F.col("frame_id") % 4 == 0, 0.8).otherwise(0.2))
+    return sampling.weighted_sample(f, 100, "weight", "frame_id").select("frame_id", "weight")
+
+
+@query("""select frame_id, recording, cast(row_number() over (partition by recording order by u) - 1 as integer) as new_frame_id from (
+  select *, row_number() over (partition by recording, u order by t, frame_id) as k from (select *, round_even(s, 0) as u from (
+    select frame_id, frame_id % 10 as recording, frame_id * 0.25::double as t, (frame_id * 0.25::double - min(frame_id * 0.25::double) over (partition by frame_id % 10)) * 0.1::double as s from frames) where s >= 0.5)) where k = 1""", views.FRAMES)
+def fps_thin(spark, sf_dir):
+    f = views.frames(spark, sf_dir).select("frame_id", (F.col("frame_id") % 10).alias("recording"), (F.col("frame_id") * 0.25).alias("t"))
+    return sampling.thinned(f, 0.1, "recording", "t", "frame_id").select("frame_id", "recording", "new_frame_id")
+
+
+@query("select signal_id, state, case when state <> 'Gemeld' then 'Processed' else 'Pending' end as status from tickets", views.TICKETS)
+def ticket_feedback(spark, sf_dir):
+    return views.tickets(spark, sf_dir).select("signal_id", "state", F.when(F.col("state") != "Gemeld", "Processed").otherwise("Pending").alias("status"))
+
+
+@query("select d.detection_id, f.gps_lat, f.gps_lon from detections d left join (select * from frames where frame_id % 2 = 0) f on d.frame_id = f.frame_id", views.FRAMES, views.DETECTIONS)
+def gps_attach(spark, sf_dir):
+    return views.detections(spark, sf_dir).join(views.frames(spark, sf_dir).where("frame_id % 2 = 0").select("frame_id", "gps_lat", "gps_lon"), "frame_id", "left").select("detection_id", "gps_lat", "gps_lon")
+
+
+@query("select coalesce(g.image_id, p.image_id) as image_id, coalesce(n_gt, 0) as n_gt, coalesce(n_pred, 0) as n_pred from (select image_id, count(*) as n_gt from gt where gt_id % 7 <> 1 group by 1) g full join (select image_id, count(*) as n_pred from pred where pred_id % 3 = 0 group by 1) p on g.image_id = p.image_id", views.BOXES)
+def outer_compare(spark, sf_dir):
+    g = views.gt_boxes(spark, sf_dir).where("gt_id % 7 <> 1").groupBy("image_id").agg(F.count("*").alias("n_gt"))
+    p = views.pred_boxes(spark, sf_dir).where("pred_id % 3 = 0").groupBy("image_id").agg(F.count("*").alias("n_pred"))
+    return g.join(p, "image_id", "full_outer").select("image_id", F.coalesce("n_gt", F.lit(0)).alias("n_gt"), F.coalesce("n_pred", F.lit(0)).alias("n_pred"))
+
+
+@query("select detection_id, case when score >= 0.8 then 'red' else 'orange' end as colour, permit_id, round(gps_lat, 6) as lat, round(gps_lon, 6) as lon from scored where score >= 0.4", *CHAIN[:8])
+def map_features(spark, sf_dir):
+    s = scored(spark, sf_dir).where(F.col("score") >= ops.MIN_SCORE)
+    return s.select("detection_id", ops.colour().alias("colour"), "permit_id", F.round("gps_lat", 6).alias("lat"), F.round("gps_lon", 6).alias("lon"))
+
+
+@query("select object_class, count(*) as n from detections group by object_class", views.DETECTIONS)
+def value_counts(spark, sf_dir):
+    return views.detections(spark, sf_dir).groupBy("object_class").agg(F.count("*").alias("n"))
+
+
+@query("select frame_id, count(*) as n, string_agg(distinct object_class, ';' order by object_class) as classes, max(case when object_class = 2 then round(confidence, 3) else 0 end) as best from detections group by frame_id", views.DETECTIONS)
+def frame_summary(spark, sf_dir):
+    d = views.detections(spark, sf_dir).withColumn("c", r3(F.col("confidence").cast("double")))
+    return d.groupBy("frame_id").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("object_class")), ";").alias("classes"), F.max(F.when(F.col("object_class") == 2, F.col("c")).otherwise(0.0)).alias("best"))
+
+
+@query("select permit_id, kenmerk from permits where valid_from <= date '2024-01-10' and valid_to >= date '2024-01-10'", views.PERMITS)
+def permits_valid(spark, sf_dir):
+    return permits.valid_on(views.permits(spark, sf_dir), DAY).select("permit_id", "kenmerk")
+
+
+@query("""select f.frame_id, f.image_name, d.detection_id, round(s.score, 3) as score from frames f left join detections d on f.frame_id = d.frame_id left join scored s on d.detection_id = s.detection_id
+  where f.status = 'Processed' or s.detection_id is null""", *CHAIN[:8])
+def delete_candidates(spark, sf_dir):
+    d, s = views.detections(spark, sf_dir).select("frame_id", "detection_id"), scored(spark, sf_dir).select("detection_id", r3("score").alias("score"), F.lit(True).alias("sent"))
+    j = views.frames(spark, sf_dir).join(d, "frame_id", "left").join(s, "detection_id", "left")
+    return j.where("status = 'Processed' or sent is null").select("frame_id", "image_name", "detection_id", "score")
+
+
+@query("select id, case when id % 5 = 0 then 'failed' else 'sent' end as outcome, case when id % 5 = 0 then null else signal_id end as signal_id from tickets where state = 'Gemeld'", views.TICKETS)
+def notification_split(spark, sf_dir):
+    ok = F.col("id") % 5 != 0
+    return views.tickets(spark, sf_dir).where("state = 'Gemeld'").select("id", F.when(ok, "sent").otherwise("failed").alias("outcome"), F.when(ok, F.col("signal_id")).alias("signal_id"))
+
+
+@query("select detection_id, round(cume, 6) as share from (select detection_id, cast(rank() over (partition by object_class order by confidence) as double) / count(*) over (partition by object_class) as cume from detections)", views.DETECTIONS)
+def empirical_cdf(spark, sf_dir):
+    w = Window.partitionBy("object_class")
+    return views.detections(spark, sf_dir).select("detection_id", F.round(F.rank().over(w.orderBy("confidence")) / F.count("*").over(w), 6).alias("share"))
+
+
+@query("select object_class, count(distinct tracking_id) as n, count(distinct case when confidence > 0.5::double then tracking_id end) as kept from detections group by object_class", views.DETECTIONS)
+def object_retention(spark, sf_dir):
+    return views.detections(spark, sf_dir).groupBy("object_class").agg(F.countDistinct("tracking_id").alias("n"), F.countDistinct(F.when(F.col("confidence") > 0.5, F.col("tracking_id"))).alias("kept"))
+
+
+@query("select pred_id, cast(trunc(x0) as integer) as x, round((x0 + (x1 - x0) / 2) / 1280, 8) as xc, round((y0 + (y1 - y0) / 2) / 720, 8) as yc, round((x1 - x0) / 1280, 8) as w, round((y1 - y0) / 720, 8) as h from pred", views.BOXES)
+def box_conversions(spark, sf_dir):
+    p = views.pred_boxes(spark, sf_dir)
+    xc, yc, w, h = boxes.centre_from_pixels(F.col("x0"), F.col("y0"), F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(1280.0), F.lit(720.0))
+    return p.select("pred_id", F.col("x0").cast("int").alias("x"), *[F.round(c, 8).alias(k) for k, c in (("xc", xc), ("yc", yc), ("w", w), ("h", h))])
+
+
+@query()
+def geodesic_distance(spark, sf_dir):
+    """Ellipsoidal against spherical distance from each frame to a fixed point."""
+    f = views.frames(spark, sf_dir).where("gps_lat <> 0")
+    return f.select("frame_id", r3(geo.geodesic(F.col("gps_lat"), F.col("gps_lon"), F.lit(52.37), F.lit(4.9))).alias("ellipsoid"), r3(geo.haversine(F.col("gps_lat"), F.col("gps_lon"), F.lit(52.37), F.lit(4.9))).alias("sphere"))
+
+
+@query("select recording, string_agg(frame_id, '>' order by gps_timestamp, frame_id) as path from (select *, frame_id % 50 as recording from frames where gps_lat <> 0) group by recording", views.FRAMES)
+def track_polyline(spark, sf_dir):
+    f = views.frames(spark, sf_dir).where("gps_lat <> 0").withColumn("recording", F.col("frame_id") % 50)
+    ordered = F.array_sort(F.collect_list(F.struct("gps_timestamp", "frame_id")))
+    return f.groupBy("recording").agg(F.array_join(F.transform(ordered, lambda x: x["frame_id"].cast("string")), ">").alias("path"))
+
