@@ -12,7 +12,7 @@ from kerbsight.llm.jaccard_join import jaccard_components
 from kerbsight.llm.line_dedup import drop_frequent_lines
 from kerbsight.llm.quality import fit, score_quality
 from kerbsight.llm.runtime import crc_bucket, table
-from kerbsight.llm.sentencepiece_codec import SPACE, decode, encode
+from kerbsight.llm.sentencepiece_codec import encode
 from kerbsight.llm.suffix_dedup import remove_repeats
 from kerbsight.llm.toxicity import score_toxicity
 from kerbsight.llm.url_filter import Rule, filter_urls
@@ -71,9 +71,8 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECES) -> DataFrame:
     """Ids of each whole text, and whether decoding them gives it back."""
-    coded = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model_path), model_path)
-    back = F.col("decoded") == F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " ")
-    return coded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", back.alias("round_trip"))
+    coded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model_path, check=True)
+    return coded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "round_trip")
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

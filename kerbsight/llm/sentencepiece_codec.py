@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding as relations.
 
-A text is its words: spaces become U+2581, one more goes before the text, and each word begins with its spaces. Every
+Spaces become U+2581 and one more goes before the text, which is then cut into words wherever no piece holds the two
+characters on either side: no path crosses such a place, so the best path is made of the words' best paths. Every
 distinct word is encoded once. Its substrings of bounded length are exploded and joined to the piece table, which gives
 the edges of its lattice; a character without a piece of its own gets an edge of byte pieces. Edges are grouped by word
 and a Viterbi pass over them, a higher-order ``aggregate``, keeps the best path to each place. Texts then look their words
@@ -12,14 +13,14 @@ result; a BPE model's merges can come to another segmentation of the same text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructType
 
 from kerbsight.llm import bytescan
 from kerbsight.operators.scratch import written
@@ -27,17 +28,42 @@ from kerbsight.operators.scratch import written
 U = np.uint64
 SPACE = "▁"
 _SPACE = np.frombuffer(SPACE.encode(), np.uint8)
-#: A word is cut after so many bytes (at a character's end), which bounds a lattice. Pieces don't cross such a cut.
+#: A word is also cut after so many bytes (at a character's end), which bounds a lattice. Pieces don't cross such a cut.
 MOST_BYTES = 192
 #: The dictionary of words is broadcast up to this size; a larger one is joined.
 BROADCAST_MB = 96
 #: What an edge of byte pieces scores below the worst piece, for each byte.
 BYTE_PENALTY = 10.0
-PIECE = 1 << 21
+PIECE = 1 << 19
 
 
-def piece_table(spark: SparkSession, model_path: str) -> tuple[DataFrame, list[bytes], int]:
-    """``(piece, id, score)`` of the pieces that stand for text, the bytes of every id, and the id of byte 0.
+class Joints:
+    """Which two characters stand next to each other within any piece."""
+
+    def __init__(self, pieces: list[str]):
+        pairs = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)}
+        self.chars = "".join(sorted({c for p in pairs for c in p}))
+        place = {c: k for k, c in enumerate(self.chars, 1)}
+        self.joined = np.zeros((len(place) + 1,) * 2, bool)
+        for a, b in pairs:
+            self.joined[place[a], place[b]] = True
+
+    def cuts(self) -> Callable[[np.ndarray], np.ndarray]:
+        """A function that tells for each code point of a text whether a word begins there."""
+        place = np.zeros(0x110000, np.uint16)
+        place[[ord(c) for c in self.chars]] = np.arange(1, len(self.chars) + 1)
+
+        def cut(points: np.ndarray) -> np.ndarray:
+            k = place[points]
+            out = np.ones(len(k), bool)
+            out[1:] = ~self.joined[k[:-1], k[1:]]
+            return out
+
+        return cut
+
+
+def piece_table(spark: SparkSession, model_path: str) -> tuple[DataFrame, list[bytes], int, Joints]:
+    """``(piece, id, score)`` of the pieces that stand for text, the bytes of every id, the id of byte 0, the joints.
 
     Its rows are as many as the model's vocabulary has, which bounds the broadcast side of the join.
     """
@@ -57,7 +83,7 @@ def piece_table(spark: SparkSession, model_path: str) -> tuple[DataFrame, list[b
             raw.append(piece.replace(SPACE, " ").encode())
     if zero < 0:
         raise ValueError("the model has no byte pieces")
-    return spark.createDataFrame(rows, "piece string, id int, score double"), raw, zero
+    return spark.createDataFrame(rows, "piece string, id int, score double"), raw, zero, Joints([r[0] for r in rows])
 
 
 def marked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,20 +104,12 @@ def marked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, out_offsets
 
 
-def word_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of all words of marked texts, and each text's first word (n + 1 values).
-
-    A word begins where spaces follow something else, at a line feed and after one, and after ``MOST_BYTES`` bytes.
-    """
+def word_starts(data: np.ndarray, offsets: np.ndarray, cut: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all words of marked texts, and each text's first word (n + 1 values). Long words are cut too."""
     n = len(data)
-    mark = np.zeros(n, bool)
-    if n > 2:
-        mark[:-2] = (data[:-2] == _SPACE[0]) & (data[1:-1] == _SPACE[1]) & (data[2:] == _SPACE[2])
-    begin = mark.copy()
-    begin[3:] &= ~mark[:-3]
-    feed = data == 10
-    begin |= feed
-    begin[1:] |= feed[:-1]
+    begin = np.zeros(n, bool)
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    begin[np.flatnonzero((data & 0xC0) != 0x80)[cut(points)]] = True
     begin[offsets[:-1][np.diff(offsets) > 0]] = True
     starts = np.flatnonzero(begin)
     length = np.diff(np.append(starts, n))
@@ -108,27 +126,30 @@ def word_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.searchsorted(starts, offsets)
 
 
-def _words_of(column: pa.Array):
+def _words_of(column: pa.Array, cut: Callable[[np.ndarray], np.ndarray]):
     """For each piece of a batch: rows, marked bytes, starts and ends of words, their hashes, each row's first word."""
     for i, j, d, o in bytescan.pieces(*bytescan.flat(column), PIECE):
         data, offsets = marked(d, o)
-        starts, first = word_starts(data, offsets)
+        starts, first = word_starts(data, offsets, cut)
         ends = np.append(starts[1:], len(data))
         yield i, j, data, starts, ends, bytescan.word_hashes(data, starts, ends, fold=False), first
 
 
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen = np.zeros(0, U)
-    for b in batches:
-        for _, _, data, starts, ends, h, _ in _words_of(b.column("_text")):
-            h, at = np.unique(h, return_index=True)
-            new = ~np.isin(h, seen, assume_unique=True)
-            seen = np.union1d(seen, h)
-            s, e = starts[at[new]], ends[at[new]]
-            if len(s):
-                offsets = np.concatenate([[0], np.cumsum(e - s)]).astype(np.int32)
-                index = np.arange(offsets[-1]) + np.repeat(s - offsets[:-1], e - s)
-                yield pa.RecordBatch.from_arrays([pa.StringArray.from_buffers(len(s), pa.py_buffer(offsets), pa.py_buffer(data[index]))], names=["word"])
+def _distinct_words(joints: Joints):
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, cut = np.zeros(0, U), joints.cuts()
+        for b in batches:
+            for _, _, data, starts, ends, h, _ in _words_of(b.column("_text"), cut):
+                h, at = np.unique(h, return_index=True)
+                new = ~np.isin(h, seen, assume_unique=True)
+                seen = np.union1d(seen, h)
+                s, e = starts[at[new]], ends[at[new]]
+                if len(s):
+                    offsets = np.concatenate([[0], np.cumsum(e - s)]).astype(np.int32)
+                    index = np.arange(offsets[-1]) + np.repeat(s - offsets[:-1], e - s)
+                    yield pa.RecordBatch.from_arrays([pa.StringArray.from_buffers(len(s), pa.py_buffer(offsets), pa.py_buffer(data[index]))], names=["word"])
+
+    return emit
 
 
 def encode_words(words: DataFrame, pieces: DataFrame, zero: int) -> DataFrame:
@@ -173,20 +194,52 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (h, np.diff(ids.offsets.to_numpy()).astype(np.uint16), ids.flatten().to_numpy().astype(np.int32))], schema=_BLOB)
 
 
-def encode(docs: DataFrame, model_path: str, text_col: str = "text", broadcast_mb: float = BROADCAST_MB) -> DataFrame:
+class Bytes:
+    """The bytes that ids stand for."""
+
+    def __init__(self, raw: list[bytes]):
+        self.flat, self.size = np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw])
+        self.start = np.cumsum(self.size) - self.size
+
+    def of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All bytes of the ids, one after another, and where each id's end."""
+        n = self.size[ids]
+        ends = np.cumsum(n)
+        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[ids] - (ends - n), n)], ends
+
+
+def _same(decoded: np.ndarray, ends: np.ndarray, at: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each row whether its ids' bytes are a space and its text; an empty text has none. U+2581 counts as a space."""
+    stop = np.concatenate([[0], ends])[at]
+    out = np.zeros(len(offsets) - 1, bool)
+    for k in range(len(out)):
+        text, back = data[offsets[k] : offsets[k + 1]], decoded[stop[k] : stop[k + 1]]
+        if not len(text):
+            out[k] = not len(back)
+        elif len(back) == len(text) + 1:
+            out[k] = back[0] == 0x20 and np.array_equal(back[1:], text)
+        else:
+            out[k] = back.tobytes() == b" " + text.tobytes().replace(_SPACE.tobytes(), b" ")
+    return out
+
+
+def encode(docs: DataFrame, model_path: str, text_col: str = "text", check: bool = False, broadcast_mb: float = BROADCAST_MB) -> DataFrame:
     """All columns and rows of ``docs``, and ``ids``, the ids of the text's pieces, in place of any column of that name.
 
+    With ``check`` there is also ``round_trip``: whether the ids, decoded in the same pass, give the text back.
+
     Null and empty texts have no ids. Repeated rows are encoded alike; an empty table gives an empty result. A word of more than ``MOST_BYTES`` bytes is cut, so texts without spaces are encoded too.
     """
     spark = docs.sparkSession
-    pieces, _, zero = piece_table(spark, model_path)
+    pieces, raw, zero, joints = piece_table(spark, model_path)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.drop("ids")
-    words = docs.select(F.col(text_col).alias("_text")).mapInArrow(_distinct_words, "word string").repartition(partitions, "word").distinct()
+    docs = docs.drop("ids", *["round_trip"] * check)
+    words = docs.select(F.col(text_col).alias("_text")).mapInArrow(_distinct_words(joints), "word string").repartition(partitions, "word").distinct()
     table = written(encode_words(words, pieces, zero), "words")
     size = table.agg(F.coalesce(F.sum(F.lit(10) + 4 * F.size("ids")), F.lit(0))).first()[0]
     if size > broadcast_mb * 1e6:
-        return _looked_up(docs, table, text_col)
+        looked_up = _looked_up(docs, table, text_col, joints)
+        return decode(looked_up, model_path, out_col="_back").withColumn("round_trip", F.col("_back") == F.regexp_replace(F.coalesce(text_col, F.lit("")), SPACE, " ")).drop("_back") if check else looked_up
     parts = [(np.frombuffer(r["hashes"], U), np.frombuffer(r["sizes"], np.uint16), np.frombuffer(r["ids"], np.int32)) for r in table.mapInArrow(_pack, "hashes binary, sizes binary, ids binary").toLocalIterator()]
     h, sizes, ids = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, U), np.zeros(0, np.uint16), np.zeros(0, np.int32))
     at = np.cumsum(sizes, dtype=np.int64) - sizes
@@ -195,25 +248,33 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", broadcast_m
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, sizes, at, ids = known.value
+        cut, back = joints.cuts(), Bytes(raw)
         for b in batches:
-            for i, j, _, _, _, h, first in _words_of(b.column(text_col)):
+            data, offsets = bytescan.flat(b.column(text_col))
+            for i, j, _, _, _, h, first in _words_of(b.column(text_col), cut):
                 distinct, place = np.unique(h, return_inverse=True)
                 entry = np.searchsorted(hashes, distinct)[place]
                 count = sizes[entry].astype(np.int64)
                 total = np.concatenate([[0], np.cumsum(count)])
-                index = np.arange(total[-1]) + np.repeat(at[entry].astype(np.int64) - total[:-1], count)
-                values = pa.ListArray.from_arrays(pa.array(total[first].astype(np.int32)), pa.array(ids[index]))
-                yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, values], names=[*b.schema.names, "ids"])
+                values = ids[np.arange(total[-1]) + np.repeat(at[entry].astype(np.int64) - total[:-1], count)]
+                bounds = total[first]
+                out = [*b.slice(i, j - i).columns, pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))]
+                if check:
+                    d, o = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                    out.append(pa.array(_same(*back.of(values), bounds, d, o)))
+                yield pa.RecordBatch.from_arrays(out, names=[*b.schema.names, "ids", *["round_trip"] * check])
 
-    return docs.mapInArrow(look_up, StructType([*docs.schema.fields]).add("ids", ArrayType(IntegerType())))
+    schema = StructType([*docs.schema.fields]).add("ids", ArrayType(IntegerType()))
+    return docs.mapInArrow(look_up, schema.add("round_trip", BooleanType()) if check else schema)
 
 
-def _looked_up(docs: DataFrame, table: DataFrame, text_col: str) -> DataFrame:
+def _looked_up(docs: DataFrame, table: DataFrame, text_col: str, joints: Joints) -> DataFrame:
     """The same by a shuffled join of all words with the dictionary, for one that is too large to broadcast."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = joints.cuts()
         for b in batches:
-            for i, _, data, starts, ends, _, first in _words_of(b.column("_text")):
+            for i, _, data, starts, ends, _, first in _words_of(b.column("_text"), cut):
                 row = np.repeat(np.arange(len(first) - 1), np.diff(first))
                 offsets = np.append(starts, len(data)).astype(np.int32) if len(starts) else np.zeros(1, np.int32)
                 word = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data))
@@ -231,25 +292,13 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out_col: s
     Control and unknown ids have no text; null ids give null, an id outside the vocabulary an error. Bytes that aren't
     UTF-8 become U+FFFD. A text with U+2581 in it comes back with spaces there, as SentencePiece does.
     """
-    _, raw, _ = piece_table(encoded.sparkSession, model_path)
+    _, raw, _, _ = piece_table(encoded.sparkSession, model_path)
     pieces = encoded.sparkSession.sparkContext.broadcast(raw)
 
     @F.pandas_udf("string")
     def text_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        flat = np.frombuffer(b"".join(pieces.value), np.uint8)
-        size = np.array([len(x) for x in pieces.value])
-        start = np.cumsum(size) - size
+        back = Bytes(pieces.value)
         for column in batches:
-            out = []
-            for ids in column:
-                if ids is None:
-                    out.append(None)
-                    continue
-                k = np.asarray(ids)
-                n = size[k]
-                total = np.cumsum(n)
-                index = np.arange(total[-1] if len(total) else 0) + np.repeat(start[k] - (total - n), n)
-                out.append(flat[index].tobytes().decode("utf-8", "replace").removeprefix(" "))
-            yield pd.Series(out, dtype=object)
+            yield pd.Series([None if ids is None else back.of(np.asarray(ids, np.int64))[0].tobytes().decode("utf-8", "replace").removeprefix(" ") for ids in column], dtype=object)
 
     return encoded.withColumn(out_col, text_of(ids_col))

@@ -94,8 +94,9 @@ TEXTS = ["Hello world", " leading", "two  spaces ", "line\nbreak\n\n", "", None,
 @needs_pieces
 def test_round_trips_and_both_ways_of_looking_up(spark):
     docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(TEXTS)], "doc_id long, text string, word string")
-    a = codec.encode(docs, queries.PIECES)
-    b = codec.encode(docs, queries.PIECES, broadcast_mb=0)
+    a = codec.encode(docs, queries.PIECES, check=True)
+    b = codec.encode(docs, queries.PIECES, check=True, broadcast_mb=0)
+    assert all(r.round_trip for r in [*a.collect(), *b.collect()])
     ids = {r.doc_id: r.ids for r in a.collect()}
     assert ids == {r.doc_id: r.ids for r in b.collect()}
     back = {r.doc_id: r.decoded for r in codec.decode(a, queries.PIECES).collect()}
@@ -110,7 +111,7 @@ def test_best_path_equals_plain_viterbi(spark):
     m = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
     score = {m.id_to_piece(i): (m.get_score(i), i) for i in range(m.get_piece_size()) if not m.is_byte(i) and not m.is_control(i) and not m.is_unknown(i)}
     words = ["▁hello", "▁internationalization", "▁xqzt", "▁the,", "▁"]
-    pieces, _, zero = codec.piece_table(spark, queries.PIECES)
+    pieces, _, zero, _ = codec.piece_table(spark, queries.PIECES)
     got = {r.word: r.ids for r in codec.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), pieces, zero).collect()}
     for w in words:
         best = [(0.0, [])]
