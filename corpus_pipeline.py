@@ -15,7 +15,7 @@ from kerbsight.llm.line_dedup import drop_frequent_lines
 from kerbsight.llm.quality import fit, score_quality
 from kerbsight.llm.queries import PIECES, QUALITY_CUT
 from kerbsight.llm.runtime import table
-from kerbsight.llm.sentencepiece_codec import SPACE, decode, encode
+from kerbsight.llm.sentencepiece_codec import encode
 from kerbsight.operators.scratch import written
 
 
@@ -45,9 +45,8 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document that is left as piece ids, and whether they decode to its text."""
-    coded = decode(encode(docs.select("doc_id", "text"), PIECES), PIECES)
-    back = F.col("decoded") == F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " ")
-    return coded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", back.alias("round_trip"))
+    coded = encode(docs.select("doc_id", "text"), PIECES, check=True)
+    return coded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "round_trip")
 
 
 STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("benchmark_leaks", benchmark_leaks), ("tokens", tokens)]
