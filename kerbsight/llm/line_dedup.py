@@ -13,9 +13,6 @@ def line_key(line: Column) -> Column:
     return F.xxhash64(F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""))
 
 
-EMPTY_KEY = F.xxhash64(F.lit(""))
-
-
 def frequent_lines(docs: DataFrame, host_col: str, text_col: str, ratio: float, min_pages: int) -> DataFrame:
     """``(_host, _drop)``: for each site that has some, the keys of its boilerplate lines.
 
@@ -26,7 +23,7 @@ def frequent_lines(docs: DataFrame, host_col: str, text_col: str, ratio: float,
     pages = docs.select(F.coalesce(F.col(host_col), F.lit("")).alias("_host"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_page"), lines.alias("_lines"))
     pages = pages.groupBy("_host", "_page").agg(F.first("_lines").alias("_lines"))
     totals = pages.groupBy("_host").agg(F.count("*").alias("_total"))
-    counts = pages.select("_host", F.explode("_lines").alias("_key")).where(F.col("_key") != EMPTY_KEY).groupBy("_host", "_key").agg(F.count("*").alias("_pages")).where(F.col("_pages") >= min_pages)
+    counts = pages.select("_host", F.explode("_lines").alias("_key")).where(F.col("_key") != F.xxhash64(F.lit(""))).groupBy("_host", "_key").agg(F.count("*").alias("_pages")).where(F.col("_pages") >= min_pages)
     return counts.join(totals, "_host").where(F.col("_pages") > ratio * F.col("_total")).groupBy("_host").agg(F.sort_array(F.collect_list("_key")).alias("_drop"))
 
 
