@@ -98,3 +98,25 @@ def kept_images(images: DataFrame, enriched: DataFrame, cutoff, min_score: float
 def deletable_images(candidates: DataFrame, kept: DataFrame, files: DataFrame) -> DataFrame:
     """Candidates that aren't kept and whose file is there."""
     return candidates.select("image_name").distinct().join(kept, "image_name", "left_anti").join(files.select("image_name").distinct(), "image_name", "left_semi")
+
+
+def feedback(notifications: DataFrame, states: DataFrame, first: str = "Gemeld") -> tuple[DataFrame, DataFrame]:
+    """Pending tickets by their present state: rows of those that moved on, and those that stay Pending.
+
+    ``states`` has signal_id, state, text, user and update_time; tickets it doesn't have stay Pending.
+    """
+    joined = notifications.where(F.col("status") == "Pending").select("signal_id").join(states, "signal_id", "left")
+    moved = F.coalesce(F.col("state") != first, F.lit(False))
+    return joined.where(moved).select("signal_id", F.col("state").alias("status"), "text", "user", "update_time"), joined.where(~moved).select("signal_id")
+
+
+def best_images(objects: DataFrame, detections: DataFrame) -> DataFrame:
+    """``(object_id, object_class, image_name)``: of an object's images that with its class's largest box there.
+
+    ``objects`` has object_id, object_class and image_name, one row for each image; without any detection of the class
+    on its images an object keeps the first of them by name. Ties go to the first name.
+    """
+    keys = ["object_id", "object_class"]
+    d = detections.groupBy("image_name", "object_class").agg(F.max("area").alias("area"))
+    order = F.struct(F.coalesce(-F.col("area"), F.lit(float("inf"))), F.col("image_name"))
+    return objects.join(d, ["image_name", "object_class"], "left").groupBy(*keys).agg(F.min_by("image_name", order).alias("image_name"))

@@ -226,3 +226,40 @@ def test_differences(spark):
     a, b = spark.createDataFrame([(1,), (1,), (2,)], "x int"), spark.createDataFrame([(1,), (3,)], "x int")
     assert rows(sampling.differences(a, b), "x", "side") == [(2, "only_a"), (3, "only_b")]
     assert rows(sampling.differences(a, b, all_rows=True), "x", "side") == [(1, "only_a"), (2, "only_a"), (3, "only_b")]
+
+
+def test_feedback_and_best_images(spark):
+    n = spark.createDataFrame([("a", "Pending"), ("b", "Pending"), ("c", "Processed"), ("d", "Pending")], "signal_id string, status string")
+    st = spark.createDataFrame([("a", "Gemeld", "t", "u", None), ("b", "Afgehandeld", "t", "u", None), ("c", "Afgehandeld", "t", "u", None)], "signal_id string, state string, text string, user string, update_time timestamp")
+    moved, stay = ops.feedback(n, st)
+    assert rows(moved, "signal_id", "status") == [("b", "Afgehandeld")] and rows(stay, "signal_id") == [("a",), ("d",)]
+    o = spark.createDataFrame([(1, 2, "x"), (1, 2, "y"), (2, 3, "q"), (2, 3, "p")], "object_id int, object_class int, image_name string")
+    d = spark.createDataFrame([("x", 2, 0.1), ("y", 2, 0.5), ("p", 2, 0.9)], "image_name string, object_class int, area double")
+    assert rows(ops.best_images(o, d), "object_id", "image_name") == [(1, "y"), (2, "p")]
+
+
+def test_ticket_texts(spark):
+    import json
+
+    from kerbsight.functions import tickets
+
+    day = F.to_date(F.lit("2024-01-02"))
+    near = tickets.ticket_text(F.lit(2), day, F.lit("P-1"), F.lit(41.6))
+    r = one(spark, a=near, b=tickets.ticket_text(F.lit(9), day, F.lit(None).cast("string"), F.lit(None).cast("double")), p=tickets.payload(near, F.lit(52.0), F.lit(4.0), day))
+    assert r.a == "A container was seen on 2024-01-02. The nearest permit is P-1, at 42 m." and r.b == "A object was seen on 2024-01-02. There is no permit nearby."
+    assert "district" not in json.loads(r.p)["location"]
+
+
+def test_settings():
+    import datetime
+
+    import pytest
+
+    from kerbsight.plans import settings
+
+    s = settings.from_parameters(settings.from_map({"min_score": 0.5, "send_limits": {"2": 1}}), date="2024-03-01", districts="noord, WEST", send_limits="2:-1, 3:4", skip_ids="5")
+    assert (s.min_score, s.districts, s.send_limits, s.skip_ids, s.cutoff) == (0.5, ("Noord", "West"), {2: -1, 3: 4}, (5,), datetime.date(2023, 3, 3))
+    assert settings.from_parameters(s) == s
+    for bad in ({"min_score": 2}, {"typo": 1}, {"confidence": {2: 7}}, {"send_limits": {9: 1}}):
+        with pytest.raises(ValueError):
+            settings.from_map(bad)
