@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 U = np.uint64
 #: Entries that a task gathers before it hands on one blob for each hash range.
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 PACKED = "bucket int, hashes binary, owners binary"
 _PACKED = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("owners", pa.binary())])
 _KEY_BYTES = 5
@@ -99,6 +99,7 @@ def by_range_packed(packed: DataFrame, fold: Callable[[pa.Table], tuple[np.ndarr
                 held, n = [], 0
         if n:
             yield _merged(held, unique)
+        pa.default_memory_pool().release_unused()
 
     return packed.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(apply, schema)
 

@@ -33,6 +33,8 @@ from kerbsight.llm.postings import PACKED, bucket_bits, by_range_packed, kept_bi
 
 U = np.uint64
 WINDOW, GRAM, COVER = 50, 20, 16
+#: Bytes of text that are sorted at once.
+BLOCK = 1 << 20
 #: Postings of one anchor beyond which its windows are dealt out one by one.
 HOT = 4096
 #: Bits of a sliding-minimum key that hold the position; texts are scanned in pieces below 2**POSITION bytes.
@@ -161,6 +163,21 @@ class _Segments:
         """Each window's segment and its place in it."""
         return np.repeat(np.arange(len(self.ids), dtype=np.int32), self.counts), _ranges(np.zeros(len(self.ids), np.int64), self.counts).astype(np.int32)
 
+    def blocks(self) -> Iterator[_Segments]:
+        """The segments in blocks of about BLOCK bytes, those with the same first bytes of their anchors together."""
+        k = -(-len(self.text) // BLOCK)
+        if k <= 1:
+            yield self
+            return
+        at = self.at[:-1] + self.places
+        key = np.zeros(len(at), U)
+        for j in range(8):
+            key = (key << U(8)) | self.text[at + j].astype(U)
+        block = (bytescan.mix(key) % U(k)).astype(np.int64)
+        for b in range(k):
+            if (index := np.flatnonzero(block == b)).size:
+                yield self.take(index)
+
     def folded(self) -> tuple[np.ndarray, np.ndarray]:
         """(kept, removed): of segments with equal text, those of the smallest document, and the others."""
         n = len(self.ids)
@@ -226,6 +243,7 @@ def _cut(bits: int):
             buckets.append((h >> U(64 - bits)).astype(np.int32))
         s = _Segments(*(np.concatenate([getattr(x, k) for x in held]) for k in ("ids", "tags", "starts", "counts", "places", "text")))
         bucket = np.concatenate(buckets)
+        held.clear()
         kept, gone = s.folded()
         anywhere = np.full(len(gone), docs["g"][0].as_py() % (1 << bits), np.int32)
         return _segment_table({False: (bucket[kept], s.take(kept)), True: (anywhere, s.take(gone))})
@@ -294,12 +312,12 @@ def _sort_bucket(groups: int):
             s = _Segments(ids, tags, starts, counts, places, np.frombuffer(text, np.uint8))
             kept, gone = s.folded()
             ranges.append((ids[gone], tags[gone], starts[gone], starts[gone] + counts[gone] + WINDOW - 1))
-            s = s.take(kept)
-            hit = repeated_windows(s)
-            seg, j = s.windows()
-            first = np.flatnonzero(hit & np.concatenate([[True], ~hit[:-1] | (seg[1:] != seg[:-1])]))
-            last = np.flatnonzero(hit & np.concatenate([~hit[1:] | (seg[1:] != seg[:-1]), [True]]))
-            ranges.append((s.ids[seg[first]], s.tags[seg[first]], s.starts[seg[first]] + j[first], s.starts[seg[last]] + j[last] + WINDOW))
+            for block in s.take(kept).blocks():
+                hit = repeated_windows(block)
+                seg, j = block.windows()
+                first = np.flatnonzero(hit & np.concatenate([[True], ~hit[:-1] | (seg[1:] != seg[:-1])]))
+                last = np.flatnonzero(hit & np.concatenate([~hit[1:] | (seg[1:] != seg[:-1]), [True]]))
+                ranges.append((block.ids[seg[first]], block.tags[seg[first]], block.starts[seg[first]] + j[first], block.starts[seg[last]] + j[last] + WINDOW))
         ids, tags, starts, stops = (np.concatenate(x) for x in zip(*ranges, strict=True)) if ranges else [np.zeros(0, np.int64)] * 4
         return group_of(ids, groups), {"ids": ids.astype("<i8"), "tags": tags.astype("<u4"), "starts": starts.astype("<i4"), "stops": stops.astype("<i4")}
 

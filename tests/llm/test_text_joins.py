@@ -105,6 +105,7 @@ def passages(seed):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_repeated_passages_equal_brute_force(spark, monkeypatch, seed, hot):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 1 << 20 if hot > 3 else 500)
     texts = passages(seed)
     ids = random.Random(seed).sample(range(10**12), len(texts))
     got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(frame(spark, texts, ids)).collect()}
