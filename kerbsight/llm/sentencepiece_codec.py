@@ -141,8 +141,9 @@ def _distinct_words(joints: Joints):
         for b in batches:
             for _, _, data, starts, ends, h, _ in _words_of(b.column("_text"), cut):
                 h, at = np.unique(h, return_index=True)
-                new = ~np.isin(h, seen, assume_unique=True)
-                seen = np.union1d(seen, h)
+                new = seen[np.minimum(np.searchsorted(seen, h), len(seen) - 1)] != h if len(seen) else np.ones(len(h), bool)
+                seen = np.concatenate([seen, h[new]])
+                seen.sort(kind="stable")  # a merge of two sorted runs
                 s, e = starts[at[new]], ends[at[new]]
                 if len(s):
                     offsets = np.concatenate([[0], np.cumsum(e - s)]).astype(np.int32)
