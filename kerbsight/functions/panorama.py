@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Faces by index.
@@ -25,3 +25,21 @@ def on_cube(px: Column, py: Column, width: int, height: int, face: int) -> tuple
     most = F.greatest(ax, ay, az)
     pixel = lambda c: F.round((c / most / 2 + 0.5) * (face - 1)).cast("int")
     return index, pixel(F.when(upright, x).when(side, z).otherwise(x)), pixel(F.when(upright, -z).otherwise(-y))
+
+
+def boxes_on_cube(boxes: DataFrame, id_col: str, width: int, height: int, face: int) -> DataFrame:
+    """``(id, face, x0, y0, x1, y1)``: a panorama's boxes (corner form) on every face that one of their corners is on.
+
+    A side without a corner on the face runs to the face's edge: the left and right side need one of their two corners,
+    the top the upper left (or right), the bottom the lower right (or left).
+    """
+    corner = lambda tag, x, y: F.struct(F.lit(tag).alias("tag"), F.col(x).alias("px"), F.col(y).alias("py"))
+    c = boxes.select(id_col, F.explode(F.array(corner("tl", "x0", "y0"), corner("tr", "x1", "y0"), corner("bl", "x0", "y1"), corner("br", "x1", "y1"))).alias("c"))
+    index, x, y = on_cube(F.col("c.px"), F.col("c.py"), width, height, face)
+    placed = c.select(id_col, index.alias("face"), "c.tag", x.alias("x"), y.alias("y"))
+    at = lambda tag, axis: F.max(F.when(F.col("tag") == tag, F.col(axis)))
+    zero, edge = F.lit(0), F.lit(face)
+    return placed.groupBy(id_col, "face").agg(
+        F.coalesce(at("tl", "x"), at("bl", "x"), zero).alias("x0"), F.greatest(F.coalesce(at("tl", "y"), zero), F.coalesce(at("tr", "y"), zero)).alias("y0"),
+        F.coalesce(at("br", "x"), at("tr", "x"), edge).alias("x1"), F.coalesce(at("br", "y"), at("bl", "y"), edge).alias("y1"),
+    )

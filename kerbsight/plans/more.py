@@ -144,6 +144,11 @@ def cube_faces(spark, sf_dir):
     return views.pred_boxes(spark, sf_dir).select("pred_id", face.alias("face"))
 
 
+@query()
+def cube_boxes(spark, sf_dir):
+    return panorama.boxes_on_cube(views.pred_boxes(spark, sf_dir), "pred_id", 1280, 720, 512)
+
+
 @query("""select image_id, '{"image_id":"' || image_id || '","category_id":' || object_class || '}' as value from pred where score >= 0.5""", views.BOXES)
 def coco_rows(spark, sf_dir):
     p = views.pred_boxes(spark, sf_dir).where("score >= 0.5")

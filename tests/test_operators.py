@@ -263,3 +263,14 @@ def test_settings():
     for bad in ({"min_score": 2}, {"typo": 1}, {"confidence": {2: 7}}, {"send_limits": {9: 1}}):
         with pytest.raises(ValueError):
             settings.from_map(bad)
+
+
+def test_boxes_across_cube_faces(spark):
+    from kerbsight.functions import panorama
+
+    b = spark.createDataFrame([(1, 310.0, 150.0, 330.0, 170.0), (2, 390.0, 150.0, 410.0, 170.0)], "id int, x0 double, y0 double, x1 double, y1 double")
+    got = {(r.id, r.face): (r.x0, r.y0, r.x1, r.y1) for r in panorama.boxes_on_cube(b, "id", 640, 320, 101).collect()}
+    assert set(got) == {(1, panorama.FRONT), (2, panorama.FRONT), (2, panorama.RIGHT)}
+    x0, y0, x1, y1 = got[1, panorama.FRONT]
+    assert 40 < x0 < 50 < x1 < 60 and 40 < y0 < 50 < y1 < 60
+    assert got[2, panorama.FRONT][2] == 101 and got[2, panorama.RIGHT][0] == 0
