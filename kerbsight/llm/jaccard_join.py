@@ -32,6 +32,7 @@ from kerbsight.operators.scratch import written
 U = np.uint64
 #: Counters of the frequency sketch (2**22) and the number of rows in which they are summed.
 SKETCH_BITS, SKETCH_ROWS = 22, 64
+_PART_BYTES = 4 * (1 << SKETCH_BITS) // SKETCH_ROWS
 #: Posting lists up to this length give all their pairs at once.
 SMALL = 64
 #: Members that one task compares with the same centre.
@@ -61,11 +62,15 @@ def _slot(s: np.ndarray) -> np.ndarray:
     return (bytescan.mix(s) >> U(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def levels_of(counts: np.ndarray) -> np.ndarray:
+def levels_of(parts: list[bytes]) -> np.ndarray:
     """Frequency level of each counter: 0 up to what chance puts there, then the binary logarithm of the excess."""
-    mean = counts.sum() / len(counts)
-    excess = counts - (mean + 4 * np.sqrt(mean) + 4)
-    return np.where(excess > 0, np.ceil(np.log2(np.maximum(excess, 1) + 1)), 0).astype(np.uint8)
+    counts = lambda x: np.frombuffer(pa.decompress(x, _PART_BYTES, "zstd", asbytes=True), np.uint32)
+    mean = sum(int(counts(x).sum(dtype=np.int64)) for x in parts) / (1 << SKETCH_BITS)
+    out = []
+    for x in parts:
+        excess = counts(x).astype(np.float32) - np.float32(mean + 4 * np.sqrt(mean) + 4)
+        out.append(np.where(excess > 0, np.ceil(np.log2(np.maximum(excess, 1) + 1)), 0).astype(np.uint8))
+    return np.concatenate(out)
 
 
 def prefix(s: np.ndarray, levels: np.ndarray, order: int, percent: int) -> np.ndarray:
@@ -107,9 +112,9 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for part, blob in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            x = np.frombuffer(pa.decompress(blob, 4 << SKETCH_BITS >> 6, "zstd", asbytes=True), np.uint32).astype(np.int64)
+            x = np.frombuffer(pa.decompress(blob, _PART_BYTES, "zstd", asbytes=True), np.uint32).astype(np.int64)
             total[part] = total[part] + x if part in total else x
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["part", "total"])
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([pa.compress(np.minimum(x, 2**32 - 1).astype(np.uint32).tobytes(), "zstd", asbytes=True) for x in total.values()], pa.binary())], names=["part", "total"])
 
 
 def _postings(size: int, percent: int, bits: int, levels):
@@ -260,10 +265,9 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame,
     scanned = written(docs.mapInArrow(_scan(size), "_id long, n long, c long, d long, part int, counts binary"), "sets")
     members = scanned.where("part is null").select("_id", "n", "c")
     sketch = scanned.where("part is not null").select("part", "counts").repartition(min(partitions, SKETCH_ROWS), "part").mapInArrow(_sum_counts, "part int, total binary")
-    counts = np.zeros((SKETCH_ROWS, (1 << SKETCH_BITS) // SKETCH_ROWS), np.int64)
-    for row in sketch.groupBy("part").agg(F.first("total").alias("total")).collect():
-        counts[row["part"]] = np.frombuffer(row["total"], np.int64)
-    levels = spark.sparkContext.broadcast(levels_of(counts.ravel()).tobytes())
+    found = {row["part"]: bytes(row["total"]) for row in sketch.collect()}
+    none = pa.compress(bytes(_PART_BYTES), "zstd", asbytes=True)
+    levels = spark.sparkContext.broadcast(levels_of([found.get(k, none) for k in range(SKETCH_ROWS)]).tobytes())
     bits = bucket_bits(docs) + 1
     packed = docs.mapInArrow(_postings(size, percent, bits, levels), PACKED)
     shared = written(by_range(packed, _shared, "h long, c long, size long"), "postings")
