@@ -58,7 +58,7 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
-        column = column.fill_null("")
+        column = (column.cast(pa.string()) if pa.types.is_null(column.type) else column).fill_null("")
     width = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
