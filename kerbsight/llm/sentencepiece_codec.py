@@ -34,7 +34,10 @@ MOST_BYTES = 192
 BROADCAST_MB = 96
 #: What an edge of byte pieces scores below the worst piece, for each byte.
 BYTE_PENALTY = 10.0
-PIECE = 1 << 19
+PIECE = 1 << 17
+#: Partitions of the distinct words at least. A vocabulary grows more slowly than its corpus, so that of a small input is
+#: large for its shuffle partitions, and a task sorts the edges of all its words.
+WORD_PARTITIONS = 48
 
 
 class Joints:
@@ -149,6 +152,7 @@ def _distinct_words(joints: Joints):
                     offsets = np.concatenate([[0], np.cumsum(e - s)]).astype(np.int32)
                     index = np.arange(offsets[-1]) + np.repeat(s - offsets[:-1], e - s)
                     yield pa.RecordBatch.from_arrays([pa.StringArray.from_buffers(len(s), pa.py_buffer(offsets), pa.py_buffer(data[index]))], names=["word"])
+        pa.default_memory_pool().release_unused()
 
     return emit
 
@@ -233,7 +237,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", check: bool
     """
     spark = docs.sparkSession
     pieces, raw, zero, joints = piece_table(spark, model_path)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(WORD_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = docs.drop("ids", *["round_trip"] * check)
     words = docs.select(F.col(text_col).alias("_text")).mapInArrow(_distinct_words(joints), "word string").repartition(partitions, "word").distinct()
     table = written(encode_words(words, pieces, zero), "words")
