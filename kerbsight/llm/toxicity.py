@@ -1,7 +1,7 @@
 """Toxicity by two class-conditional Kneser-Ney models that share their backoff.
 
-A word's likelihood is the product over its bytes, each given all bytes of the word before it, so inflected forms of one
-stem support each other. Each class has discounted counts of its own and backs off to the counts of both classes at the
+A word's likelihood is the product over all its bytes and its end, each given the word's beginning up to there, or, from
+byte ``DEPTH`` + 1 on, the ``DEPTH`` - 1 bytes before it, so inflected forms of one stem support each other. Each class has discounted counts of its own and backs off to the counts of both classes at the
 same place, and those to the continuation counts of bytes (after how many different beginnings a byte was seen). What is
 rare in both classes therefore has nearly the same likelihood in either and weighs nothing.
 
@@ -17,6 +17,7 @@ takes 42 MB at any input size; beginnings of words that share a slot share their
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,16 +32,18 @@ from kerbsight.operators.scratch import written
 
 U = np.uint64
 SLOT_BITS, PARTS = 21, 64
-#: Bytes of a word that are modelled; what follows them weighs nothing.
+#: Symbols of a word that are given its whole beginning; each later one is given the DEPTH - 1 bytes before it.
 DEPTH = 12
+#: Later symbols that are looked at together.
+BLOCK = 1 << 18
 #: Kneser-Ney discount of one class's counts, and of both classes' together. A smaller count has no mass of its own.
 DISCOUNT = 2
 #: Folds of crc32 modulo 5: one is held out, three give counts, one fits the curve.
 HELD_OUT, CURVE_FOLD = 0, 4
 #: A word stands out by how much it exceeds the median word's difference by more than each of these.
 MARGINS = (1.0, 2.0, 3.0)
-#: Symbol of a word's end, after the 256 byte values.
-END = 256
+#: Symbol of a word's end, after the 256 byte values, and what marks the count of a context rather than of a symbol in it.
+END, CONTEXT = 256, 511
 ROOT = U(0x1234567890ABCDEF)
 #: Bytes of text whose words are looked up together, each distinct one once.
 PIECE = 1 << 22
@@ -53,7 +56,7 @@ def slot_of(h: np.ndarray, bits: int) -> np.ndarray:
 
 
 def steps(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each depth, of the words that reach it: (word, hash of what precedes, hash with the symbol, symbol)."""
+    """Of every symbol of every word (word, hash of what precedes, hash with the symbol, symbol), by depth, then in blocks."""
     sums = bytescan.folded_sums(data)
     _, down = bytescan.powers(len(data) + 1)
     length = ends - starts
@@ -71,6 +74,22 @@ def steps(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tu
         yield index, before[index], h, symbol
         before[index] = h
         index = index[~stop]
+    yield from later(data, sums, starts, ends)
+
+
+def later(data: np.ndarray, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The same of the symbols after the first ``DEPTH``; a word stands there once for each of them."""
+    _, down = bytescan.powers(len(data) + 1)
+    count = np.maximum(ends - starts - DEPTH + 1, 0)
+    last = np.cumsum(count)
+    for low in range(0, int(last[-1]) if len(last) else 0, BLOCK):
+        n = np.arange(low, min(low + BLOCK, last[-1]))
+        word = np.searchsorted(last, n, "right")
+        place = ends[word] - (last[word] - 1 - n)
+        s, stop, at = place - DEPTH + 1, place == ends[word], np.minimum(place + 1, len(data))
+        before = bytescan.mix((sums[place] - sums[s]) * down[s] + U(101 * bytescan.BASE % 2**64))
+        h = bytescan.mix((sums[at] - sums[s]) * down[s] + U(102 * bytescan.BASE % 2**64))
+        yield word, before, np.where(stop, bytescan.mix(before + U(77)), h), np.where(stop, END, bytescan.FOLD[data[at - 1]])
 
 
 def _distinct(data: np.ndarray, offsets: np.ndarray):
@@ -90,7 +109,8 @@ def _count(bits: int):
                     toxic = np.repeat(label[i:j] == 1, np.diff(first))
                     for y in (0, 1):
                         n = np.bincount(place[toxic == y], minlength=len(starts))
-                        for word, before, h, symbol in steps(d, starts, ends):
+                        contexts = ((word, before, before, np.full(len(word), CONTEXT)) for word, before, _, _ in later(d, bytescan.folded_sums(d), starts, ends))
+                        for word, before, h, symbol in itertools.chain(steps(d, starts, ends), contexts):
                             has = n[word] > 0
                             h, index, inverse = np.unique(h[has], return_index=True, return_inverse=True)
                             total = np.minimum(np.bincount(inverse, n[word[has]], len(h)).astype(np.int64), (1 << 29) - 1)
@@ -110,6 +130,7 @@ def _tables(bits: int):
         start, _ = runs(h)
         n0, n1 = np.add.reduceat(np.where(y == 0, n, 0), start), np.add.reduceat(np.where(y == 1, n, 0), start)
         before, symbol = (own[start] >> 9) & ((1 << SLOT_BITS) - 1), own[start] & 511
+        own_symbol = symbol != CONTEXT
         kinds, parts, blobs = [], [], []
 
         def add(kind: str, part: int, x: np.ndarray) -> None:
@@ -118,16 +139,16 @@ def _tables(bits: int):
             blobs.append(pa.compress(x.astype("<u4").tobytes(), "zstd", asbytes=True))
 
         for kind, n in (("r0", n0), ("r1", n1), ("r", n0 + n1)):
-            for k, x in enumerate(np.split(np.bincount(before, np.minimum(n, DISCOUNT), 1 << SLOT_BITS), PARTS)):
+            for k, x in enumerate(np.split(np.bincount(before[own_symbol], np.minimum(n, DISCOUNT)[own_symbol], 1 << SLOT_BITS), PARTS)):
                 if x.any():
                     add(kind, k, x)
-        add("symbols", 0, np.bincount(symbol, minlength=512))
+        add("symbols", 0, np.bincount(symbol[own_symbol], minlength=512))
         bucket, size = int(h[0] >> U(40)), 1 << (SLOT_BITS - bits)
         slot = ((h[start] & U((1 << 40) - 1)) >> U(40 - (SLOT_BITS - bits))).astype(np.int64)
         often = n0 + n1 > DISCOUNT
         for kind, n in (("n0", n0), ("n1", n1)):
             add(kind, bucket, np.bincount(slot[often], n[often], size))
-        root = before == slot_of(np.array([ROOT]), bits)[0]
+        root = own_symbol & (before == slot_of(np.array([ROOT]), bits)[0])
         add("total", 0, np.array([n0[root].sum(), n1[root].sum()]))
         return {"kind": pa.array(kinds), "part": pa.array(parts, pa.int32()), "counts": pa.array(blobs, pa.binary())}
 
@@ -195,7 +216,7 @@ class KneserNey:
             total = [np.where(at == self.root, m["total"][c], m[k][at]).astype(np.float64) for c, k in enumerate(("n0", "n1"))]
             shared = discounted(n[0] + n[1], total[0] + total[1], m["r"][at], self.low[symbol])
             logs = [np.log(discounted(n[c], total[c], m[f"r{c}"][at], shared)) for c in (0, 1)]
-            out[word] += logs[1] - logs[0]
+            out += np.bincount(word, logs[1] - logs[0], len(out))
         return out
 
     def features(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

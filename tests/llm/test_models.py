@@ -80,6 +80,23 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.score_toxicity(docs.limit(0), labels).count() == 0
 
 
+def test_toxicity_reads_words_to_their_end():
+    data = np.frombuffer(b"abcdefghijklm Abcdefghijklmn " + "漢字".encode() * 40, np.uint8)
+    starts, ends, _ = toxicity.bytescan.words(data, np.array([0, len(data)]), toxicity.bytescan.ALNUM)
+    read = [[] for _ in starts]
+    for word, _, _, symbol in toxicity.steps(data, starts, ends):
+        for w, x in zip(word, symbol, strict=True):
+            read[w].append(x)
+    assert read == [[*data[a:b].tobytes().lower(), toxicity.END] for a, b in zip(starts, ends, strict=True)]
+
+
+def test_toxicity_behind_the_twelfth_byte(spark):
+    texts = {1: "字林山水" * 3 + "悪口言葉" * 3, 0: "字林山水" * 3 + "良薬苦口" * 3}
+    docs = spark.createDataFrame([(i, texts[i % 2]) for i in range(400)], "doc_id long, text string")
+    got = toxicity.score_toxicity(docs, docs.select("doc_id", (docs.doc_id % 2).cast("int").alias("toxic"))).collect()
+    assert all((r.ratio > 1) == (r.doc_id % 2 == 1) and abs(r.ratio) > 1 for r in got)
+
+
 def test_quality_odd_rows(spark):
     docs, labels = odd(spark)
     labels = labels.withColumnRenamed("toxic", "quality")
