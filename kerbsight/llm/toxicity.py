@@ -5,10 +5,11 @@ byte ``DEPTH`` + 1 on, the ``DEPTH`` - 1 bytes before it, so inflected forms of
 same place, and those to the continuation counts of bytes (after how many different beginnings a byte was seen). What is
 rare in both classes therefore has nearly the same likelihood in either and weighs nothing.
 
-A document's ratio is its log-likelihood difference, toxic against ordinary, by word. Its score takes the words that stand
-out above the document's own median word, as means over all its words, so that the share of a language in either class,
-which shifts all words alike, isn't taken for evidence. A logistic curve, fitted on labelled documents that gave no
-counts, maps them to a probability.
+A document's ratio is its log-likelihood difference, toxic against ordinary, by word. The share of a language in either
+class shifts all its words alike and isn't evidence, so the score takes by how much the ratio exceeds what ordinary
+documents with as many of each letter have, by a regression over the corpus; a short text's letters say little and leave
+the mean. With it go the words that stand out, as means over all words. A logistic curve that rises in each of these,
+fitted on labelled documents that gave no counts, maps them to a probability.
 
 Counts come from every labelled document outside the held-out fifth. Types are counted exactly, by 64-bit hash, in a
 shuffle that grows with the labelled text. Only then are counts added up in ``2**SLOT_BITS`` slots, so the broadcast model
@@ -40,8 +41,13 @@ BLOCK = 1 << 18
 DISCOUNT = 2
 #: Folds of crc32 modulo 5: one is held out, three give counts, one fits the curve.
 HELD_OUT, CURVE_FOLD = 0, 4
-#: A word stands out by how much it exceeds the median word's difference by more than each of these.
+#: A word stands out by how much its difference exceeds each of these.
 MARGINS = (1.0, 2.0, 3.0)
+#: Kinds of letters: a to z, digits, other characters' first and further bytes in eight ranges each; then all else.
+LETTERS = 43
+KIND = np.array([c - 97 if 97 <= c < 123 else c - 65 if 65 <= c < 91 else 26 if 48 <= c < 58 else LETTERS if c < 128 else 27 + (c >> 3) % 16 for c in range(256)])
+#: A text's shares of letters are taken as if it had so many more of the mean text.
+FEW_LETTERS = 20
 #: Symbol of a word's end, after the 256 byte values, and what marks the count of a context rather than of a symbol in it.
 END, CONTEXT = 256, 511
 ROOT = U(0x1234567890ABCDEF)
@@ -219,43 +225,64 @@ class KneserNey:
             out += np.bincount(word, logs[1] - logs[0], len(out))
         return out
 
-    def features(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each text: mean excess over its median word for each margin, mean difference, number of words."""
+    def features(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text: mean excess over each margin, mean difference, number of words, shares of letters."""
         data, offsets = bytescan.flat(column)
         n = len(offsets) - 1
-        excess, mean, size = np.zeros((n, len(MARGINS))), np.zeros(n), np.zeros(n, np.int64)
+        excess, mean, size, letters = np.zeros((n, len(MARGINS))), np.zeros(n), np.zeros(n, np.int64), np.zeros((n, LETTERS), np.float32)
         for i, j, d, o in bytescan.pieces(data, offsets, PIECE):
             starts, ends, place, first = _distinct(d, o)
-            x = self.differences(d, starts, ends)[place]
-            for k, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True), i):
-                if b > a:
-                    w = x[a:b]
-                    over = w - np.partition(w, (b - a - 1) // 2)[(b - a - 1) // 2]
-                    excess[k] = [np.maximum(over - t, 0).mean() for t in MARGINS]
-                    mean[k], size[k] = w.mean(), b - a
-        return excess, mean, size
+            x, size[i:j] = self.differences(d, starts, ends)[place], np.diff(first)
+            row = np.repeat(np.arange(j - i), size[i:j])
+            for out, w in [(mean[i:j], x), *((excess[i:j, k], np.maximum(x - t, 0)) for k, t in enumerate(MARGINS))]:
+                out += np.bincount(row, w, j - i) / np.maximum(size[i:j], 1)
+            kinds = np.bincount(np.repeat(np.arange(j - i) * (LETTERS + 1), np.diff(o)) + KIND[d], minlength=(j - i) * (LETTERS + 1)).reshape(j - i, -1)[:, :LETTERS]
+            letters[i:j] = kinds / (kinds.sum(axis=1, keepdims=True) + FEW_LETTERS)
+        return excess, mean, size, letters
+
+
+def fit_baseline(letters: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
+    """Slopes by letter and intercept of the ratio of ordinary documents; without any, of 0."""
+    if not len(ratio):
+        return np.zeros(LETTERS), 0.0
+    whole = letters.sum(axis=1, keepdims=True)
+    usual = letters.sum(axis=0) / max(whole.sum(), 1e-9)
+    x, y = letters - whole * usual, ratio - ratio.mean()
+    square = x.T @ x
+    slopes = np.linalg.solve(square + (0.01 * np.trace(square) / LETTERS + 1e-6) * np.eye(LETTERS), x.T @ y)
+    return slopes - slopes @ usual, float(ratio.mean())
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, float]:
-    """Slopes and intercept of a logistic curve with both classes weighing the same; a flat one without both classes."""
+    """Slopes and intercept of a logistic curve with both classes weighing the same; a flat one without both classes.
+
+    No slope is negative: more evidence never lowers a score. What would have the most negative slope is left out.
+    """
     if not len(y) or y.min() == y.max():
         return np.zeros(x.shape[1]), 0.0 if not len(y) else (4.0 if y.max() else -4.0)
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     scale, centre = np.maximum(x.std(axis=0), 1e-9), x.mean(axis=0)
-    z, beta = np.column_stack([(x - centre) / scale, np.ones(len(x))]), np.zeros(x.shape[1] + 1)
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
-        g = z.T @ (weight * (p - y)) + 0.1 * beta
-        beta -= np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + 0.1 * np.eye(len(beta)), g)
-    return beta[:-1] / scale, float(beta[-1] - (beta[:-1] * centre / scale).sum())
+    used = np.arange(x.shape[1])
+    while True:
+        z, beta = np.column_stack([((x - centre) / scale)[:, used], np.ones(len(x))]), np.zeros(len(used) + 1)
+        for _ in range(rounds):
+            p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
+            g = z.T @ (weight * (p - y)) + 0.1 * beta
+            beta -= np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + 0.1 * np.eye(len(beta)), g)
+        if not len(used) or beta[:-1].min() >= 0:
+            break
+        used = np.delete(used, beta[:-1].argmin())
+    slopes = np.zeros(x.shape[1])
+    slopes[used] = beta[:-1] / scale[used]
+    return slopes, float(beta[-1] - slopes @ centre)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", curve_rows: int = 5000) -> DataFrame:
     """Returns ``(id, score, ratio, n_words)``, one row for each input row.
 
     Words are runs of letters and digits with A-Z lower-cased. Null, empty and wordless texts have ratio 0 and the
-    curve's value there. Only labels 0 and 1 count; of repeated labels the larger does. Without labels of both classes
-    scores are flat. ``curve_rows`` bounds the labelled documents that fit the curve, those with the least hash of their
+    curve's value where nothing exceeds the baseline. Only labels 0 and 1 count; of repeated labels the larger does. Without labels of both classes
+    scores are flat. ``curve_rows`` bounds the labelled documents that fit the curve and the baseline, those with the least hash of their
     id; all else covers every document. Repeated rows score alike; other columns are ignored.
     """
     model = docs.sparkSession.sparkContext.broadcast(count(docs, labels, label, id_col, text_col))
@@ -263,14 +290,21 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kn = KneserNey(model.value)
         for b in batches:
-            excess, mean, size = kn.features(b.column("_text"))
-            yield pa.RecordBatch.from_arrays([b.column("_id"), *(pa.array(x) for x in excess.T), pa.array(mean), pa.array(size)], names=["_id", *stand_out, "ratio", "n_words"])
+            excess, mean, size, letters = kn.features(b.column("_text"))
+            shares = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * LETTERS), pa.array(letters.ravel()))
+            yield pa.RecordBatch.from_arrays([b.column("_id"), *(pa.array(x) for x in excess.T), pa.array(mean), pa.array(size), shares], names=["_id", *stand_out, "ratio", "n_words", "letters"])
 
     stand_out = [f"x{k}" for k in range(len(MARGINS))]
     kind = docs.schema[id_col].dataType.simpleString()
-    scored = written(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(apply, f"_id {kind}, {', '.join(f'{x} double' for x in stand_out)}, ratio double, n_words long"), "ratios")
+    scored = written(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(apply, f"_id {kind}, {', '.join(f'{x} double' for x in stand_out)}, ratio double, n_words long, letters array<float>"), "ratios")
     known = labels.where(F.col(label).isin(0, 1) & (crc_bucket(id_col) == CURVE_FOLD)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_y"))
-    sample = scored.where("n_words > 0").join(known, "_id").orderBy(F.xxhash64("_id", F.lit(5)), "_id").select(*stand_out, "_y").limit(curve_rows).collect()
-    slopes, intercept = fit_curve(np.array([r[:-1] for r in sample], np.float64).reshape(-1, len(MARGINS)), np.array([float(r["_y"]) for r in sample]))
-    z = sum((F.col(x) * float(s) for x, s in zip(stand_out, slopes, strict=True)), F.lit(intercept))
+    sample = scored.where("n_words > 0").join(known, "_id").orderBy(F.xxhash64("_id", F.lit(5)), "_id").select(*stand_out, "ratio", "letters", "_y").limit(curve_rows).collect()
+    y, ratio = np.array([float(r["_y"]) for r in sample]), np.array([r["ratio"] for r in sample])
+    letters = np.array([r["letters"] for r in sample], np.float64).reshape(-1, LETTERS)
+    by_letter, usual = fit_baseline(letters[y == 0], ratio[y == 0])
+    excess = np.array([r[: len(MARGINS)] for r in sample], np.float64).reshape(-1, len(MARGINS))
+    slopes, intercept = fit_curve(np.column_stack([excess, ratio - letters @ by_letter - usual]), y)
+    expected = F.aggregate(F.zip_with("letters", F.array(*(F.lit(float(c)) for c in by_letter)), lambda a, c: a * c), F.lit(usual), lambda s, c: s + c)
+    over = F.when(F.col("n_words") > 0, F.col("ratio") - expected).otherwise(0.0)
+    z = sum((x * float(s) for x, s in zip([*map(F.col, stand_out), over], slopes, strict=True)), F.lit(intercept))
     return scored.select(F.col("_id").alias(id_col), (1 / (1 + F.exp(-z))).alias("score"), "ratio", "n_words")

@@ -97,6 +97,27 @@ def test_toxicity_behind_the_twelfth_byte(spark):
     assert all((r.ratio > 1) == (r.doc_id % 2 == 1) and abs(r.ratio) > 1 for r in got)
 
 
+def test_toxicity_of_one_word_and_of_nothing_but_toxic_words(spark):
+    r = np.random.default_rng(3)
+    plain, bad = [f"{a}{b}" for a in ("hou", "gar", "tab", "win", "riv") for b in ("se", "den", "le", "dow", "er")], ["idiot", "moron", "scumbag"]
+    rows = [(i, " ".join([*r.choice(plain, 30), *(r.choice(bad, 3) if i % 2 else r.choice(plain, 3))])) for i in range(1000)]
+    odd = {2000: "idiot", 2001: "idiot " * 50, 2002: "moron scumbag idiot", 2003: "house", 2004: "garden " * 50, 2005: ""}
+    docs = spark.createDataFrame([*rows, *odd.items()], "doc_id long, text string")
+    got = {x.doc_id: x.score for x in toxicity.score_toxicity(docs, docs.where("doc_id < 1000").select("doc_id", (docs.doc_id % 2).cast("int").alias("toxic"))).collect()}
+    assert all(got[k] > 0.5 for k in (2000, 2001, 2002)) and all(got[k] < 0.5 for k in (2003, 2004, 2005)), {k: got[k] for k in odd}
+
+
+def test_toxicity_spread_over_many_words(spark):
+    r = np.random.default_rng(4)
+    words = np.array([f"{a}{b}" for a in ("hou", "gar", "tab", "win", "riv") for b in ("se", "den", "le", "dow", "er")])
+    often = np.array([np.where(np.arange(25) < 12, 1.0, 1.3), np.where(np.arange(25) < 12, 1.3, 1.0)])
+    rows = [(i, " ".join(r.choice(words, 500, p=often[i % 2] / often[i % 2].sum()))) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = toxicity.score_toxicity(docs, docs.select("doc_id", (docs.doc_id % 2).cast("int").alias("toxic"))).collect()
+    right = np.mean([(x.score > 0.5) == (x.doc_id % 2 == 1) for x in got])
+    assert right > 0.8, right
+
+
 def test_quality_odd_rows(spark):
     docs, labels = odd(spark)
     labels = labels.withColumnRenamed("toxic", "quality")
