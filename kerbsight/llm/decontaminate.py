@@ -2,7 +2,8 @@
 
 Both sides are cut into windows of ``WINDOW`` template tokens and hash-joined. Windows that match are aligned, document
 against item, and the values that stood in the placeholders are compared: an item that was only re-parameterised maps
-each of its values to one other value, throughout, and back.
+each of its values to one other value. Windows whose values contradict their alignment's mapping are left out; what the
+others cover is added up over all alignments, so inserted or deleted words split a copy but don't hide it.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbsight.llm import bytescan
@@ -82,8 +83,8 @@ def windows(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarra
     return h[keep], row[keep], place[keep], value, word, first
 
 
-WINDOWS = "_h long, _id long, _at int, _n int, _size int, _slots array<long>"
-_WINDOWS = pa.schema([("_h", pa.int64()), ("_id", pa.int64()), ("_at", pa.int32()), ("_n", pa.int32()), ("_size", pa.int32()), ("_slots", pa.list_(pa.int64()))])
+WINDOWS = "_h long, _id long, _at int, _n int, _size int, _slots array<long>, _spots array<int>"
+_WINDOWS = pa.schema([("_h", pa.int64()), ("_id", pa.int64()), ("_at", pa.int32()), ("_n", pa.int32()), ("_size", pa.int32()), ("_slots", pa.list_(pa.int64())), ("_spots", pa.list_(pa.int32()))])
 
 
 def _rows(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, size: int, keep) -> pa.RecordBatch | None:
@@ -97,7 +98,8 @@ def _rows(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, size: int, kee
     slot = ~word[index]
     at = np.concatenate([[0], np.cumsum(slot.sum(axis=1))]).astype(np.int32)
     slots = pa.ListArray.from_arrays(pa.array(at), pa.array(value[index][slot].view(np.int64)))
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[row]), pa.array(place, pa.int32()), pa.array(np.diff(first)[row], pa.int32()), pa.array(np.full(len(h), size), pa.int32()), slots], schema=_WINDOWS)
+    spots = pa.ListArray.from_arrays(pa.array(at), pa.array((place[:, None] + np.arange(size))[slot].astype(np.int32)))
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[row]), pa.array(place, pa.int32()), pa.array(np.diff(first)[row], pa.int32()), pa.array(np.full(len(h), size), pa.int32()), slots, spots], schema=_WINDOWS)
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,9 +149,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """Returns ``(id, item_id, coverage, n_windows, reparameterised)``: one row for each document and item that it holds.
 
     Windows of 8 template tokens of either side are joined by hash; an item of fewer tokens is one window. A document
-    holds an item if, on one alignment, matching windows cover at least ``coverage`` of the item's tokens and the values
-    in the placeholders map one to one between item and document. ``reparameterised`` tells whether any value differs on
-    the alignment that covers most. Windows with fewer than 4 words aren't used, or with fewer than all but one in items
+    holds an item if matching windows cover at least ``coverage`` of the item's tokens, over all alignments together. On an
+    alignment an item's value stands for itself, where it occurs at all, or else for the value that stands at more than
+    half of its places; windows with any other value in its place don't count. ``n_windows`` counts places of windows in
+    the item, ``reparameterised`` tells whether any of them matches with other values only. Windows with fewer than 4 words aren't used, or with fewer than all but one in items
     below 8 tokens; items without a usable window match nothing.
 
     Ids must be integers; rows with a null id or text and texts without words match nothing. Documents or items that
@@ -163,13 +166,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     bitmap = spark.sparkContext.broadcast(bytes(maps[0]["bits"]) if maps else bytes(1 << (BITMAP_BITS - 3)))
     sizes = [r[0] for r in items.select("_size").distinct().collect()]
     found = own(docs, id_col, text_col).mapInArrow(_document_windows(bitmap, sizes), WINDOWS)
-    item = items.select("_h", F.col("_id").alias("_item"), F.col("_at").alias("_in"), F.col("_n").alias("_tokens"), F.col("_slots").alias("_theirs"))
+    item = items.select("_h", F.col("_id").alias("_item"), F.col("_at").alias("_in"), F.col("_n").alias("_tokens"), F.col("_slots").alias("_theirs"), "_spots")
     met = found.select("_h", "_id", "_at", "_size", "_slots").join(item, "_h").distinct()
-    value = F.arrays_zip(F.col("_theirs").alias("a"), F.col("_slots").alias("b"))
-    aligned = met.groupBy("_id", "_item", (F.col("_at") - F.col("_in")).alias("_shift"), "_tokens", "_size").agg(F.sort_array(F.collect_set("_in")).alias("_places"), F.array_distinct(F.flatten(F.collect_set(value))).alias("_values"))
-    one_to_one = (F.size(F.array_distinct(F.col("_values.a"))) == F.size("_values")) & (F.size(F.array_distinct(F.col("_values.b"))) == F.size("_values"))
+    value = F.arrays_zip(F.col("_theirs").alias("a"), F.col("_slots").alias("b"), F.col("_spots").alias("at"))
+    shift = ["_id", "_item", "_tokens", "_size", "_shift"]
+    slots = met.repartition("_id", "_item").select("_id", "_item", "_tokens", "_size", (F.col("_at") - F.col("_in")).alias("_shift"), "_in", F.explode_outer(value).alias("_v"))
+    of = Window.partitionBy(*shift, "_v.a")
+    slots = slots.withColumn("_b", F.size(F.collect_set("_v.at").over(Window.partitionBy(*shift, "_v.a", "_v.b")))).withColumn("_all", F.size(F.collect_set("_v.at").over(of))).withColumn("_same", F.max(F.col("_v.a") == F.col("_v.b")).over(of))
+    fits = F.col("_v").isNull() | F.when(F.col("_same"), F.col("_v.a") == F.col("_v.b")).otherwise(2 * F.col("_b") > F.col("_all"))
+    kept = slots.groupBy(*shift, "_in").agg(F.every(fits).alias("_fits"), F.coalesce(F.max(F.col("_v.a") != F.col("_v.b")), F.lit(False)).alias("_other")).where("_fits")
+    placed = kept.groupBy("_id", "_item", "_tokens", "_size", "_in").agg(F.min("_other").alias("_other"))
+    covering = placed.groupBy("_id", "_item", "_tokens", "_size").agg(F.sort_array(F.collect_list("_in")).alias("_places"), F.max("_other").alias("other"))
     covered = F.aggregate("_places", F.struct(F.lit(0).alias("n"), F.lit(-1).alias("to")), lambda s, p: F.struct((s["n"] + F.col("_size") - F.greatest(F.lit(0), s["to"] - p)).alias("n"), (p + F.col("_size")).alias("to")), lambda s: s["n"])
     share = covered / F.col("_tokens")
-    hits = aligned.where(one_to_one).select("_id", "_item", share.alias("share"), F.size("_places").cast("long").alias("n"), F.exists("_values", lambda v: v["a"] != v["b"]).alias("other")).where(F.col("share") >= coverage)
+    hits = covering.select("_id", "_item", share.alias("share"), F.size("_places").cast("long").alias("n"), "other").where(F.col("share") >= coverage)
     best = hits.groupBy("_id", "_item").agg(F.max(F.struct("share", "n", ~F.col("other"))).alias("m"))
     return best.select(F.col("_id").alias(id_col), F.col("_item").alias(item_col), F.col("m.share").alias("coverage"), F.col("m.n").alias("n_windows"), (~F.col("m.col3")).alias("reparameterised"))

@@ -146,6 +146,18 @@ def test_templates(spark):
     assert {d for d, _ in got} <= {1, 2, 3, 9, 10} and (4, 100) not in got
 
 
+def test_copies_with_edits(spark):
+    plain = "the quick brown fox jumps over a lazy dog while seven young cats watch from behind an old stone wall near our house today"
+    w = plain.split()
+    split = " ".join([*w[:8], "very", *w[8:16], "quite", *w[16:]])
+    edited = QUESTION.replace("for 120", "for 99")
+    pair = "one farmer sold 3 big apples at noon and then 5 small pears later that same day before going back home"
+    merged = pair.replace("3", "4").replace("5", "4")
+    clean = "nothing of all this stands in here because it is a text about other things"
+    got = found(spark, [split, edited, merged, clean], [plain, QUESTION, pair], coverage=0.65)
+    assert got == {(1, 100): False, (2, 101): False, (3, 102): True}
+
+
 def test_short_items_and_empty_tables(spark):
     assert found(spark, ["we saw one two three four five today", "one two three"], ["one two three four five"]) == {(1, 100): False}
     assert found(spark, [], [QUESTION]) == {} and found(spark, [QUESTION], []) == {}
