@@ -19,7 +19,8 @@ from kerbsight.llm import bytescan
 
 U = np.uint64
 WINDOW = 8
-#: Of a window's tokens at least so many must be words, or all but one in a shorter window.
+#: Of a window's tokens at least so many must be words, or all but one in a shorter window, to match by template. Other
+#: windows match by their values.
 LEAST_WORDS = 4
 #: Bits of a window's hash that address the bitmap of benchmark windows, which takes 1 MB.
 BITMAP_BITS = 23
@@ -31,19 +32,45 @@ UNITS = (
     "month months year years hz khz mhz ghz w kw mw kwh v a j kj mj cal kcal n pa kpa k c f degrees degree percent usd eur "
     "gbp dollar dollars euro euros cent cents kmh mph kb mb gb tb"
 ).split()
-_unit_data = np.frombuffer(" ".join(UNITS).encode(), np.uint8)
-_UNIT_HASHES = np.sort(bytescan.word_hashes(_unit_data, *bytescan.words(_unit_data, np.array([0, len(_unit_data)]))[:2]))
+#: Words that aren't names when capitalised.
+COMMON = (
+    "a about after again all also although always among an and another any are as at be because been before being below between both but by calculate "
+    "can choose compute consider could determine did do does during each either every explain few find first for from given had has have he her here his "
+    "how however i if in into is it its last let many may me might more most much must my name new next no not now of off on once one only or other our "
+    "out over please prove second she should show since so solve some such suppose than that the their them then there these they third this those though "
+    "through to two three four five six seven eight nine ten under until up upon us very was we were what when where whether which while who whom whose why will with would write yes you your "
+    "aber alle als am an auch auf aus bei berechne bestimme bis da das dass dein dem den denn der des die dies diese dieser dieses doch du durch ein eine "
+    "einem einen einer er es finde für gegeben hat hier ich ihr im in ist ja jede jeder kein man mein mit nach nein nicht noch nun nur ob oder ohne sei sein sich sie "
+    "sind so über um und uns unser unter viele vom von vor wann war warum was weil welche welcher wenn wer werden wie wieviel wir wird wo zu zum zur zwei drei "
+    "al algunos antes aquí así aunque calcule como con cuando cuál cuántos de del desde después donde dos el ella ellos en entre era es esta este estos ha hay "
+    "la las le los me mi muy nada ni no nos o otra otro para pero por porque qué que quién se según si sin sobre son su sus también tiene tres un una y ya yo "
+    "après au aucun aussi autre aux avant avec avec ce cela ces cette chaque combien comme comment dans depuis des deux donc du elle elles est et être eux il "
+    "ils je là leur lui ma mais même mon ne nous on ont où ou par parce pas plus pour pourquoi quand que quel quelle qui sa sans ses si soit son sont sous sur "
+    "ta te tous tout trois très tu une vos votre vous à"
+).split()
+
+
+def _hashes(words: list[str]) -> np.ndarray:
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    return np.sort(bytescan.word_hashes(data, *bytescan.words(data, np.array([0, len(data)]))[:2]))
+
+
+def _among(value: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, value), len(known) - 1)] == value
+
+
+_UNIT_HASHES, _COMMON_HASHES = _hashes(UNITS), _hashes(COMMON)
 _DIGIT = np.array([48 <= c < 58 for c in range(256)])
 _UPPER = np.array([65 <= c < 91 for c in range(256)])
 _LOWER = np.array([97 <= c < 123 or c >= 128 for c in range(256)])
-_STOP = np.array([c in b".!?:;\"\n\r" for c in range(256)])
 
 
 def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of each row's tokens the symbol (a word's hash or a placeholder), the value's hash and whether it is a word.
 
     Tokens are runs of letters and digits, and numbers with points and commas between digits. All digits: a number. A
-    unit's name after a number: a unit. Capitalised, not all in capitals and not at the start of a sentence: a name.
+    unit's name after a number, or joined to it: a unit. Capitalised, not all in capitals and not a common word: a name,
+    wherever it stands.
     """
     n = len(data)
     digit = _DIGIT[data]
@@ -51,36 +78,41 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     if n > 2:
         inside[1:-1] |= ((data[1:-1] == 46) | (data[1:-1] == 44)) & digit[:-2] & digit[2:]
     starts, ends, first = bytescan.runs_of(inside, offsets)
-    value = bytescan.word_hashes(data, starts, ends)
     if not len(starts):
-        return value, value, np.zeros(0, bool), first
+        return np.zeros(0, U), np.zeros(0, U), np.zeros(0, bool), first
+    letter = np.flatnonzero(_LOWER[data] | _UPPER[data])
+    cut = np.append(letter, n)[np.searchsorted(letter, starts)]
+    joined = np.flatnonzero(digit[starts] & (cut < ends))
+    joined = joined[_among(bytescan.word_hashes(data, cut[joined], ends[joined]), _UNIT_HASHES)]
+    if len(joined):
+        starts, ends = np.sort(np.append(starts, cut[joined])), np.sort(np.append(ends, cut[joined]))
+        first = np.searchsorted(starts, offsets)
+    value = bytescan.word_hashes(data, starts, ends)
     count = lambda mask: (lambda c: c[ends] - c[starts])(np.concatenate([[0], np.cumsum(mask)]))
     number = digit[starts] & (count(_LOWER[data] | _UPPER[data]) == 0)
     follows = np.zeros(len(starts), bool)
     follows[1:] = number[:-1]
     follows[first[:-1][np.diff(first) > 0]] = False
-    unit = follows & (_UNIT_HASHES[np.minimum(np.searchsorted(_UNIT_HASHES, value), len(_UNIT_HASHES) - 1)] == value)
-    stops = np.concatenate([[0], np.cumsum(_STOP[data])])
-    before = np.zeros(len(starts), np.int64)
-    before[1:] = ends[:-1]
-    opening = np.zeros(len(starts), bool)
-    opening[first[:-1][np.diff(first) > 0]] = True
-    opening |= stops[starts] > stops[np.minimum(before, starts)]
-    name = _UPPER[data[starts]] & (count(_UPPER[data]) == 1) & (ends - starts > 1) & ~opening
+    unit = follows & _among(value, _UNIT_HASHES)
+    name = _UPPER[data[starts]] & (count(_UPPER[data]) == 1) & (ends - starts > 1) & ~_among(value, _COMMON_HASHES)
     symbol = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, value)))
     return symbol, value, ~(number | unit | name), first
 
 
 def windows(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of ``size`` tokens: (hash, row, place in the row), and value and kind of all tokens, and first tokens."""
+    """Windows of ``size`` tokens: (hash, row, place in the row), and value and kind of all tokens, and first tokens.
+
+    The hash is that of the template, or of the values where the template has too few words.
+    """
     symbol, value, word, first = template(data, offsets)
     h, at = bytescan.shingles(symbol, first, size, short=False)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(at))
     place = np.arange(len(h)) - at[row]
     words = np.concatenate([[0], np.cumsum(word)])
     start = first[row] + place
-    keep = words[start + size] - words[start] >= min(LEAST_WORDS, max(size - 1, 1))
-    return h[keep], row[keep], place[keep], value, word, first
+    few = words[start + size] - words[start] < min(LEAST_WORDS, max(size - 1, 1))
+    exact, _ = bytescan.shingles(value, first, size, short=False)
+    return np.where(few, bytescan.mix(exact + U(0x6578616374)), h), row, place, value, word, first
 
 
 WINDOWS = "_h long, _id long, _at int, _n int, _size int, _slots array<long>, _spots array<int>"
@@ -152,8 +184,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     holds an item if matching windows cover at least ``coverage`` of the item's tokens, over all alignments together. On an
     alignment an item's value stands for itself, where it occurs at all, or else for the value that stands at more than
     half of its places; windows with any other value in its place don't count. ``n_windows`` counts places of windows in
-    the item, ``reparameterised`` tells whether any of them matches with other values only. Windows with fewer than 4 words aren't used, or with fewer than all but one in items
-    below 8 tokens; items without a usable window match nothing.
+    the item, ``reparameterised`` tells whether any of them matches with other values only. Windows with fewer than 4 words, or with fewer than all but one in items
+    below 8 tokens, match with equal values only.
 
     Ids must be integers; rows with a null id or text and texts without words match nothing. Documents or items that
     repeat an id count as one. Other columns are ignored; either table may be empty.

@@ -158,6 +158,15 @@ def test_copies_with_edits(spark):
     assert got == {(1, 100): False, (2, 101): False, (3, 102): True}
 
 
+def test_few_words_first_names_and_joined_units(spark):
+    sums = "12 + 30 = 42, 7 * 8 = 56, 90 - 45 = 45, 100 / 4 = 25, 3 + 9 = 12"
+    german = "Haus Garten Tisch Lampe Stuhl Fenster Wagen Strasse Baum Blume"
+    apples = "Anna has 5 apples. Ben has 7 pears. Carla bought 3 plums that weigh 10kg, walked 5km and then went home. Dora ate one of them."
+    other = apples.replace("Anna", "Emil").replace("Ben", "Fred").replace("Carla", "Gina").replace("Dora", "Hans").replace("10kg", "12 kg").replace("5km", "8km")
+    texts = [f"so {sums} is what it says", f"Liste: {german}.", other, apples.replace(". ", ".\n").replace(" walked", "\nwalked"), sums.replace("5", "9"), german.replace("a", "o")]
+    assert found(spark, texts, [sums, german, apples]) == {(1, 100): False, (2, 101): False, (3, 102): True, (4, 102): False}
+
+
 def test_short_items_and_empty_tables(spark):
     assert found(spark, ["we saw one two three four five today", "one two three"], ["one two three four five"]) == {(1, 100): False}
     assert found(spark, [], [QUESTION]) == {} and found(spark, [QUESTION], []) == {}
