@@ -5,13 +5,16 @@
    frequency level first and by a hash second; another hash gives another order. Any total order makes prefix filtering
    exact, so the sketch's error can cost candidates but never a link.
 3. Two sets with Jaccard similarity t share a token within the first n - ceil(t n) + 1 tokens under every order. The
-   prefixes of two orders are shuffled as packed postings; classes that meet in one are candidates. A posting list
-   beyond ``SMALL`` classes pairs its members with its first one only.
+   prefixes of two orders are shuffled as packed postings, with the size of the set and the token's place in it; classes
+   that meet in one are candidates. Of a posting list beyond ``SMALL`` classes, those of a band of sizes meet one of them
+   only, that whose token stands first.
 4. The filters of the orders are intersected: under each, the prefix tokens that a pair shares, those that it may share
    in long lists and all that can follow the shorter prefix must reach the overlap that a link needs. What is left gets
    its texts and is verified by the exact size of the intersection.
-5. Components of the links; long posting lists that still hold different components are paired across components,
-   verified and added. Pairs inside a component can no longer change the result.
+5. Components of the links. A link that is still missing joins two components and has its first common token, under
+   either order, in a long list. What follows that token bounds the overlap, so a member's size and the token's place
+   give it a range of sizes to look for. A pair must be in such ranges under both orders before it is verified. Pairs
+   inside a component can no longer change the result.
 """
 
 from __future__ import annotations
@@ -24,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbsight.llm import bytescan
-from kerbsight.llm.postings import PACKED, bucket_bits, by_range, pack, runs
-from kerbsight.llm.runtime import marked
+from kerbsight.llm.postings import PACKED_MORE, bucket_bits, by_range, pack, runs
+from kerbsight.llm.runtime import lean, marked
 from kerbsight.operators.components import connected_components
 from kerbsight.operators.scratch import written
 
@@ -37,8 +40,12 @@ _PART_BYTES = 4 * (1 << SKETCH_BITS) // SKETCH_ROWS
 SMALL = 64
 #: Members that one task compares with the same centre.
 MEMBERS = 512
-#: Hash keys of the token orders.
+#: Hash keys of the token orders. The first sorts by all frequency levels, the second only tells chance from more.
 ORDERS = (0, 0x51ED270B7F4A7C15)
+#: Places of tokens are kept in so many steps of a set's size, rounded towards its beginning, so no bound gets too low.
+STEPS = 1000
+#: Members of a long list, in one block, that are compared across components with those of another block.
+BLOCK = 1 << 16
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -52,10 +59,10 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
 
 
-def _digest(s: np.ndarray) -> tuple[int, int]:
+def _digest(s: np.ndarray) -> int:
+    """A set's class."""
     with np.errstate(over="ignore"):
-        a = np.add.reduce(bytescan.mix(s ^ U(0xA5A5A5A5A5A5A5A5))) ^ U(len(s))
-        return int(a.astype(np.int64)), int(np.add.reduce(bytescan.mix(s + U(0x0123456789ABCDEF))).astype(np.int64))
+        return int((np.add.reduce(bytescan.mix(s ^ U(0xA5A5A5A5A5A5A5A5))) ^ U(len(s))).astype(np.int64))
 
 
 def _slot(s: np.ndarray) -> np.ndarray:
@@ -74,38 +81,40 @@ def levels_of(parts: list[bytes]) -> np.ndarray:
 
 
 def prefix(s: np.ndarray, levels: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The tokens of a set within its prefix under one order."""
+    """The tokens of a set within its prefix under one order, first ones first."""
     n = len(s)
     p = n - -(-percent * n // 100) + 1
-    if p >= n:
-        return s
     rank = bytescan.mix(s ^ U(ORDERS[order])) if ORDERS[order] else s
-    key = (levels[_slot(s)].astype(U) << U(56)) | (rank >> U(8))
-    return s[np.argpartition(key, p - 1)[:p]]
+    level = levels[_slot(s)]
+    key = ((np.minimum(level, 1) if order else level).astype(U) << U(56)) | (rank >> U(8))
+    first = np.argpartition(key, p - 1)[:p] if p < n else np.arange(n)
+    return s[first[np.argsort(key[first])]]
 
 
-_SCAN = pa.schema([("_id", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("d", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
+_SCAN = pa.schema([("_id", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
+_SCANNED = "_id long, n long, c long, part int, counts binary"
 
 
 def _scan(size: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(1 << SKETCH_BITS, np.uint32), set()
         for batch in batches:
-            n, c, d = [], [], []
+            n, c = [], []
             for s in shingle_sets(batch.column("_text"), size):
                 key = _digest(s)
                 n.append(len(s))
-                c.append(key[0])
-                d.append(key[1])
+                c.append(key)
                 if key not in seen:
                     seen.add(key)
                     np.add.at(counts, _slot(s), 1)
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(d, pa.int64()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], schema=_SCAN)
+            nulls = [pa.nulls(len(n), t) for t in (pa.int32(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(n, pa.int64()), pa.array(c, pa.int64()), *nulls], schema=_SCAN)
         if seen:
             none = pa.nulls(SKETCH_ROWS, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(range(SKETCH_ROWS), pa.int32()), pa.array([pa.compress(x.tobytes(), "zstd", asbytes=True) for x in np.split(counts, SKETCH_ROWS)], pa.binary())], schema=_SCAN)
+            blobs = [pa.compress(x.tobytes(), "zstd", asbytes=True) for x in np.split(counts, SKETCH_ROWS)]
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(range(SKETCH_ROWS), pa.int32()), pa.array(blobs, pa.binary())], schema=_SCAN)
 
-    return scan
+    return lean(scan)
 
 
 def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,73 +134,83 @@ def _postings(size: int, percent: int, bits: int, levels):
             seen = set()
             for batch in batches:
                 for s in shingle_sets(batch.column("_text"), size):
-                    if len(s) and (c := _digest(s)[0]) not in seen:
+                    if len(s) and (c := _digest(s)) not in seen:
                         seen.add(c)
                         for k in range(len(ORDERS)):
                             p = prefix(s, lv, k, percent)
-                            yield (bytescan.mix(p) >> U(1)) | U(k << 63), np.full(len(p), c)
+                            at = np.arange(len(p)) * STEPS // len(s)
+                            # size and place go in one value: no set has 2**48 tokens
+                            yield (bytescan.mix(p) >> U(1)) | U(k << 63), np.full(len(p), c), (len(s) << 16) + at
 
         yield from pack(parts(), bits)
 
-    return emit
+    return lean(emit)
 
 
-def _shared(h: np.ndarray, c: np.ndarray) -> dict[str, np.ndarray]:
+def _shared(h: np.ndarray, c: np.ndarray, x: np.ndarray) -> dict[str, np.ndarray]:
     """Postings of tokens that more than one class has, once for each class."""
     if len(h):
         new = np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])])
-        h, c = h[new], c[new]
+        h, c, x = h[new], c[new], x[new]
     _, length = runs(h)
     many = np.repeat(length > 1, length)
-    return {"h": h[many].astype(np.int64), "c": c[many], "size": np.repeat(length, length)[many]}
+    return {"h": h[many].astype(np.int64), "c": c[many], "n": x[many] >> 16, "at": (x[many] & 0xFFFF).astype(np.int32), "size": np.repeat(length, length)[many]}
+
+
+def band(n: np.ndarray, percent: int) -> np.ndarray:
+    """Bands of sizes; the smallest of one has at least ``percent`` % of its largest's size."""
+    return np.floor(np.log(np.maximum(n, 1)) / np.log(100 / min(percent, 99)) + 1e-9).astype(np.int64)
 
 
 _COUNTED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("k0", pa.int64()), ("k1", pa.int64())])
 
 
-def _first_pairs(bits: int):
-    """All pairs of short posting lists, and those with the first class of long ones. Rows come ordered by (h, c).
+def _first_pairs(percent: int, bits: int):
+    """All pairs of short posting lists, and those with one class of each band of long ones, if sizes allow a link.
 
-    k0 and k1 count the short lists in which a pair meets under either order.
+    Rows come ordered by h. k0 and k1 count the short lists in which a pair meets under either order.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h, c in _whole_groups(batches, ("h", "c")):
-            start, length = runs(h)
-            at, size = np.repeat(start, length), np.repeat(length, length)
-            second = (h >> (bits + 39)).astype(np.int64)
-            spoke = (size > SMALL) & (np.arange(len(h)) > at)
-            none = np.zeros(int(spoke.sum()), np.int64)
-            out = [np.stack([c[at[spoke]], c[spoke], none, none])]
+        for h, c, n, at in _whole_groups(batches, ("h", "c", "n", "at")):
+            size = (lambda length: np.repeat(length, length))(runs(h)[1])
+            long, out = np.flatnonzero(size > SMALL), []
+            if len(long):
+                bands = band(n[long], percent)
+                long = long[np.lexsort((c[long], at[long], bands, h[long]))]
+                bands = band(n[long], percent)
+                new = np.concatenate([[True], (h[long][1:] != h[long][:-1]) | (bands[1:] != bands[:-1])])
+                hub = long[np.maximum.accumulate(np.where(new, np.arange(len(long)), 0))]
+                none = np.zeros(int((~new).sum()), np.int64)
+                out.append(_ordered(c, hub[~new], long[~new], none, none))
             i = np.flatnonzero(size <= SMALL)
             for k in range(1, SMALL):
                 i = i[i + k < len(h)]
                 i = i[h[i] == h[i + k]]
                 if not len(i):
                     break
-                out.append(np.stack([c[i], c[i + k], 1 - second[i], second[i]]))
-            x = np.concatenate(out, axis=1)
+                a = i[(100 * n[i] >= percent * n[i + k]) & (100 * n[i + k] >= percent * n[i])]
+                second = (h[a] >> (bits + 39)).astype(np.int64)
+                out.append(_ordered(c, a, a + k, 1 - second, second))
+            x = np.concatenate(out, axis=1) if out else np.zeros((4, 0), np.int64)
             if not x.shape[1]:
                 continue
             x = x[:, np.lexsort(x[1::-1])]
             first = np.flatnonzero(np.concatenate([[True], (x[:2, 1:] != x[:2, :-1]).any(axis=0)]))
             yield pa.RecordBatch.from_arrays([pa.array(x[0][first]), pa.array(x[1][first]), *(pa.array(np.add.reduceat(x[k], first)) for k in (2, 3))], schema=_COUNTED)
 
-    return emit
+    return lean(emit)
 
 
-_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _ordered(c: np.ndarray, i: np.ndarray, j: np.ndarray, *counts: np.ndarray) -> np.ndarray:
+    return np.stack([np.minimum(c[i], c[j]), np.maximum(c[i], c[j]), *counts])
 
 
-def _pairs(x: np.ndarray) -> Iterator[pa.RecordBatch]:
-    if x.shape[1]:
-        x = x[:, np.lexsort(x[::-1])]
-        x = x[:, np.concatenate([[True], (x[:, 1:] != x[:, :-1]).any(axis=0)])]
-        yield pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[1])], schema=_PAIRS)
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Columns of rows ordered by the first one, cut so that each value's rows come together."""
+def _whole_groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...], keys: int = 1) -> Iterator[tuple[np.ndarray, ...]]:
+    """Columns of rows ordered by the first ones, cut so that the rows of one value of these ``keys`` come together."""
     rest: list[np.ndarray] | None = None
     for batch in batches:
         cols = [batch.column(x).to_numpy() for x in names]
@@ -199,7 +218,8 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) ->
             cols = [np.concatenate(x) for x in zip(rest, cols, strict=True)]
         if not len(cols[0]):
             continue
-        cut = int(np.searchsorted(cols[0], cols[0][-1]))
+        other = np.flatnonzero(np.any([x != x[-1] for x in cols[:keys]], axis=0))
+        cut = int(other[-1]) + 1 if len(other) else 0
         rest = [x[cut:] for x in cols]
         if cut:
             yield tuple(x[:cut] for x in cols)
@@ -207,29 +227,58 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) ->
         yield tuple(rest)
 
 
-def _cross_pairs(percent: int, block: int = 1 << 20):
-    """Pairs of classes in one posting list whose components differ and whose sizes allow a link. Ordered by (h, comp)."""
+def reach(n: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sizes of sets that a set of ``n`` can link with if their first common token is its ``at``-th in STEPS.
+
+    At most n less the place is common, and a link needs percent * (n + m) / (100 + percent) common tokens.
+    """
+    rest = n - -(-at.astype(np.int64) * n // STEPS)
+    return -(-percent * n // 100), np.minimum((100 + percent) * rest // percent - n, 100 * n // percent)
+
+
+_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("order", pa.int32())])
+
+
+def _cross_pairs(percent: int, bits: int, step: int = 1 << 20):
+    """Pairs of classes in one block of a long list whose components differ and that are in each other's reach.
+
+    Rows come ordered by (h, s, t); left and right tell on which side of the block a class stands. Of each block only
+    classes outside its largest component look for others, so one that is mostly settled costs its length.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h, comp, c, n in _whole_groups(batches, ("h", "comp", "c", "n")):
-            start, length = runs(h)
-            end = np.repeat(start + length, length)
-            same = np.concatenate([[True], (h[1:] != h[:-1]) | (comp[1:] != comp[:-1])])
-            edges = np.append(np.flatnonzero(same), len(h))
-            after = np.repeat(edges[1:], np.diff(edges))
-            count = end - after
-            i = 0
-            total = np.concatenate([[0], np.cumsum(count)])
-            while i < len(h):
-                j = max(i + 1, int(np.searchsorted(total, total[i] + block, "right")) - 1)
-                left = np.repeat(np.arange(i, j), count[i:j])
-                right = after[left] + (np.arange(len(left)) - np.repeat(total[i:j] - total[i], count[i:j]))
-                ok = (100 * n[left] >= percent * n[right]) & (100 * n[right] >= percent * n[left])
-                left, right = left[ok], right[ok]
-                yield from _pairs(np.stack([np.minimum(c[left], c[right]), np.maximum(c[left], c[right])]))
-                i = j
-
-    return emit
+        names = ("h", "s", "t", "comp", "c", "n", "at", "salt")
+        for cols in _whole_groups(batches, names, keys=3):
+            key = np.concatenate([[True], np.any([x[1:] != x[:-1] for x in cols[:3]], axis=0)])
+            edges = np.append(np.flatnonzero(key), len(key))
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                h, s, t = (int(x[lo]) for x in cols[:3])
+                yield from _block(*(x[lo:hi] for x in cols[3:]), s, t, h >> (bits + 39))
+
+    def _block(comp, c, n, at, salt, s, t, order) -> Iterator[pa.RecordBatch]:
+        by_size = np.argsort(n, kind="stable")
+        comp, c, n, at, salt = (x[by_size] for x in (comp, c, n, at, salt))
+        low, high = reach(n, at, percent)
+        values, inverse, count = np.unique(comp, return_inverse=True, return_counts=True)
+        minor = inverse != count.argmax()
+        seekers = np.flatnonzero(minor & (high >= low))
+        first, last = np.searchsorted(n, low[seekers]), np.searchsorted(n, high[seekers], "right")
+        total = np.concatenate([[0], np.cumsum(last - first)])
+        i = 0
+        while i < len(seekers):
+            j = max(i + 1, int(np.searchsorted(total, total[i] + step, "right")) - 1)
+            width = (last - first)[i:j]
+            a = np.repeat(seekers[i:j], width)
+            b = np.repeat(first[i:j] - (total[i:j] - total[i]), width) + np.arange(len(a))
+            ok = (comp[a] != comp[b]) & (low[b] <= n[a]) & (n[a] <= high[b]) & (~minor[b] | (a < b))
+            if s != t:
+                ok &= salt[a] != salt[b]
+            if ok.any():
+                x = np.unique(_ordered(c, a[ok], b[ok]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[1]), pa.array(np.full(x.shape[1], order), pa.int32())], schema=_MET)
+            i = j
+
+    return lean(emit)
 
 
 def _verify(size: int, percent: int):
@@ -251,7 +300,7 @@ def _verify(size: int, percent: int):
                         b.append(c)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_PAIRS)
 
-    return emit
+    return lean(emit)
 
 
 def links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -262,32 +311,48 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame,
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    scanned = written(docs.mapInArrow(_scan(size), "_id long, n long, c long, d long, part int, counts binary"), "sets")
+    scanned = written(docs.mapInArrow(_scan(size), _SCANNED), "sets")
     members = scanned.where("part is null").select("_id", "n", "c")
-    sketch = scanned.where("part is not null").select("part", "counts").repartition(min(partitions, SKETCH_ROWS), "part").mapInArrow(_sum_counts, "part int, total binary")
-    found = {row["part"]: bytes(row["total"]) for row in sketch.collect()}
+    sketch = scanned.where("part is not null").select("part", "counts").repartition(min(partitions, SKETCH_ROWS), "part")
+    found = {row["part"]: bytes(row["total"]) for row in sketch.mapInArrow(_sum_counts, "part int, total binary").collect()}
     none = pa.compress(bytes(_PART_BYTES), "zstd", asbytes=True)
     levels = spark.sparkContext.broadcast(levels_of([found.get(k, none) for k in range(SKETCH_ROWS)]).tobytes())
     bits = bucket_bits(docs) + 1
-    packed = docs.mapInArrow(_postings(size, percent, bits, levels), PACKED)
-    shared = written(by_range(packed, _shared, "h long, c long, size long"), "postings")
+    packed = docs.mapInArrow(_postings(size, percent, bits, levels), PACKED_MORE)
+    shared = written(by_range(packed, _shared, "h long, c long, n long, at int, size long"), "postings")
     second = F.shiftright("h", bits + 39)
-    in_long = shared.where(F.col("size") > SMALL).groupBy("c").agg(F.sum(1 - second).alias("l0"), F.sum(second).alias("l1"))
+    long_lists = shared.where(F.col("size") > SMALL)
+    in_long = long_lists.groupBy("c").agg(F.sum(1 - second).alias("l0"), F.sum(second).alias("l1"))
     sized = members.where("n > 0").groupBy("c").agg(F.min("_id").alias("doc"), F.min("n").alias("n"))
-    classes = written(sized.join(in_long, "c", "left").select("c", "doc", "n", *(F.coalesce(x, F.lit(0)).alias(x) for x in ("l0", "l1"))), "classes")
-    meet = shared.select("h", "c").repartition(partitions, "h").sortWithinPartitions("h", "c").mapInArrow(_first_pairs(bits), "a long, b long, k0 long, k1 long")
+    in_both = [F.coalesce(x, F.lit(0)).alias(x) for x in ("l0", "l1")]
+    classes = written(sized.join(in_long, "c", "left").select("c", "doc", "n", *in_both), "classes")
+    meet = shared.select("h", "c", "n", "at").repartition(partitions, "h").sortWithinPartitions("h", "c")
+    meet = meet.mapInArrow(_first_pairs(percent, bits), "a long, b long, k0 long, k1 long")
     counted = meet.groupBy("a", "b").agg(F.sum("k0").alias("k0"), F.sum("k1").alias("k1"))
     tried = written(_sized(counted, classes, percent), "pairs")
     edges = written(_verified(tried, docs, size, percent), "links")
-    comps = connected_components(edges)
-    long_lists = shared.where((F.col("size") > SMALL) & (second == 0)).join(classes, "c").join(comps.withColumnRenamed("node", "c"), "c", "left").withColumn("comp", F.coalesce("component", "c"))
-    open_ = long_lists.groupBy("h").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("h")
-    cross = long_lists.join(open_, "h", "left_semi").select("h", "comp", "c", "n").repartition(partitions, "h").sortWithinPartitions("h", "comp").mapInArrow(_cross_pairs(percent), "a long, b long").distinct()
-    untried = cross.join(tried.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", F.lit(None).cast("long").alias("k0"), F.lit(None).cast("long").alias("k1"))
+    cross = _crossing(long_lists, connected_components(edges), percent, bits)
+    untried = cross.join(tried.select("a", "b"), ["a", "b"], "left_anti").withColumns({k: F.lit(None).cast("long") for k in ("k0", "k1")})
     more = written(_sized(untried, classes, percent), "pairs")
     return members, edges.unionByName(_verified(more, docs, size, percent))
 
 
+def _crossing(long_lists: DataFrame, comps: DataFrame, percent: int, bits: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components that meet in long lists of both orders, within each other's reach.
+
+    A list is cut in blocks of about ``BLOCK`` classes by a hash, and each two blocks are one group of rows.
+    """
+    partitions = int(long_lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = long_lists.drop("size").join(comps.withColumnRenamed("node", "c"), "c", "left").withColumn("comp", F.coalesce("component", "c"))
+    lists = placed.groupBy("h").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"))
+    salted = placed.join(lists.where("x < y").select("h", "salts"), "h").withColumn("salt", F.pmod(F.xxhash64("c"), F.col("salts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("other")
+    blocks = salted.select("h", "comp", "c", "n", "at", "salt", other).withColumns({"s": F.least("salt", "other"), "t": F.greatest("salt", "other")})
+    ordered = blocks.repartition(partitions, "h", "s", "t").sortWithinPartitions("h", "s", "t")
+    met = ordered.mapInArrow(_cross_pairs(percent, bits), "a long, b long, order int")
+    return met.groupBy("a", "b").agg(F.min("order").alias("x"), F.max("order").alias("y")).where("x < y").select("a", "b")
+
+
 def _sized(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Adds the documents of both classes; leaves out pairs whose sizes or, where known, counts rule a link out.
 
@@ -332,5 +397,5 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = named.groupBy("comp").agg(F.min("doc").alias("least"))
     of_class = written(named.join(least, "comp").select(F.col("c").alias("_c"), "least"), "named")
     out = members.join(of_class, (members["c"] == of_class["_c"]) & (members["n"] > 0), "left").select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "_id").alias("component_id"))
-    nulls = rows.where("_id is null").mapInArrow(_scan(size), "_id long, n long, c long, d long, part int, counts binary").where("part is null")
+    nulls = rows.where("_id is null").mapInArrow(_scan(size), _SCANNED).where("part is null")
     return out.unionByName(nulls.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("_id").alias("component_id")))

@@ -8,11 +8,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from kerbsight.llm.runtime import returned
+
 U = np.uint64
 #: Entries that a task gathers before it hands on one blob for each hash range.
 FLUSH = 1 << 20
 PACKED = "bucket int, hashes binary, owners binary"
-_PACKED = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("owners", pa.binary())])
+#: With one more 64-bit value for each entry.
+PACKED_MORE = f"{PACKED}, more binary"
 _KEY_BYTES = 5
 
 
@@ -21,43 +24,44 @@ def bucket_bits(df: DataFrame, least: int = 8, each: int = 4) -> int:
     return max(least, int(np.ceil(np.log2(each * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
 
 
-def pack(parts: Iterable[tuple[np.ndarray, np.ndarray]], bits: int) -> Iterator[pa.RecordBatch]:
-    """Blobs of (hash, owner) arrays. Of each hash its top ``bits`` and its last 40 bits are kept."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+def pack(parts: Iterable[tuple[np.ndarray, ...]], bits: int) -> Iterator[pa.RecordBatch]:
+    """Blobs of (hash, owner) arrays, or (hash, owner, value). Of each hash its top ``bits`` and last 40 bits are kept."""
+    held: list[tuple[np.ndarray, ...]] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
         if not held:
             return
-        h, own = (np.concatenate(x) for x in zip(*held, strict=True))
+        h, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
         held.clear()
         bucket = (h >> U(64 - bits)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         keys = np.ascontiguousarray(h[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES])
-        own = own[order].astype("<i8")
         edges = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
         full = np.flatnonzero(np.diff(edges))
-        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([keys[edges[k] : edges[k + 1]].tobytes() for k in full], pa.binary()), pa.array([own[edges[k] : edges[k + 1]].tobytes() for k in full], pa.binary())], schema=_PACKED)
+        blobs = lambda x: pa.array([x[edges[k] : edges[k + 1]].tobytes() for k in full], pa.binary())
+        columns = [pa.array(full.astype(np.int32)), blobs(keys), *(blobs(x[order].astype("<i8")) for x in rest)]
+        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "hashes", "owners", "more"][: len(columns)])
 
     n = 0
-    for h, own in parts:
-        held.append((h, own))
-        n += len(h)
+    for entry in parts:
+        held.append(entry)
+        n += len(entry[0])
         if n >= FLUSH:
             yield from flush()
             n = 0
     yield from flush()
 
 
-def unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (range and last 40 bits) and owners of all blobs of one range, ordered by hash, then owner."""
+def unpack(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Hashes (range and last 40 bits), owners and values of all blobs of one range, ordered by hash, then owner."""
     bucket = table["bucket"][0].as_py()
     raw = np.frombuffer(b"".join(table["hashes"].to_pylist()), np.uint8).reshape(-1, _KEY_BYTES)
     wide = np.zeros((len(raw), 8), np.uint8)
     wide[:, :_KEY_BYTES] = raw
     h = wide.view("<u8").ravel() | (U(bucket) << U(8 * _KEY_BYTES))
-    own = np.frombuffer(b"".join(table["owners"].to_pylist()), "<i8")
+    own, *more = (np.frombuffer(b"".join(table[x].to_pylist()), "<i8") for x in table.column_names[2:])
     order = np.lexsort((own, h))
-    return h[order], own[order]
+    return h[order], own[order], *(x[order] for x in more)
 
 
 def kept_bits(h: np.ndarray, bits: int) -> np.ndarray:
@@ -73,11 +77,13 @@ def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.concatenate([starts, [len(keys)]]))
 
 
-def by_range(packed: DataFrame, fold: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]], schema: str) -> DataFrame:
-    """Applies ``fold(hashes, owners)`` to each hash range."""
+def by_range(packed: DataFrame, fold: Callable[..., dict[str, np.ndarray]], schema: str) -> DataFrame:
+    """Applies ``fold`` to the hashes, owners and values of each hash range."""
 
     def each(table: pa.Table) -> pa.Table:
-        return pa.table(fold(*unpack(table)))
+        out = pa.table(fold(*unpack(table)))
+        returned()
+        return out
 
     return packed.groupBy("bucket").applyInArrow(each, schema)
 
@@ -99,7 +105,7 @@ def by_range_packed(packed: DataFrame, fold: Callable[[pa.Table], tuple[np.ndarr
                 held, n = [], 0
         if n:
             yield _merged(held, unique)
-        pa.default_memory_pool().release_unused()
+        returned()
 
     return packed.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(apply, schema)
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,3 +35,31 @@ def marked(rows: DataFrame, wanted: DataFrame, id_col: str) -> DataFrame:
     byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(F.col("_place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     bit = F.floor(byte / F.pow(F.lit(2), F.col("_place") % 8)) % 2 == 1
     return rows.withColumn("_part", part).withColumn("_place", place).join(F.broadcast(maps), "_part").where(bit).drop("_part", "_place", "_bits")
+
+
+def returned() -> None:
+    """Gives memory that this Python worker no longer uses back to the machine; workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function for ``mapInArrow`` that gives memory back at the end of each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        returned()
+
+    return run
+
+
+def unused(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, with as many underscores behind each as it takes not to be among the columns, in any case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

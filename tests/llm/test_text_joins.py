@@ -3,7 +3,9 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from kerbsight.llm import decontaminate, jaccard_join, suffix_dedup
@@ -74,6 +76,57 @@ def test_long_posting_lists_lose_no_link(spark, monkeypatch):
     assert got == components(texts, ids)
 
 
+def linked(texts):
+    """Components of many texts: their shared shingles as a matrix, all pairs by products of its rows."""
+    sets = [shingles(t) for t in texts]
+    often = Counter(x for s in sets for x in s)
+    place = {x: k for k, x in enumerate(x for x, n in often.items() if n > 1)}
+    has = np.zeros((len(texts), len(place)), np.float32)
+    for i, s in enumerate(sets):
+        has[i, [place[x] for x in s if x in place]] = 1
+    size, parent = np.array([len(s) for s in sets]), list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for i in range(len(texts)):
+        both = has[:i] @ has[i]
+        for j in np.flatnonzero((both > 0) & (100 * both >= 80 * (size[:i] + size[i] - both))):
+            a, b = find(i), find(int(j))
+            parent[max(a, b)] = min(a, b)
+    return {i + 1: (int(size[i]), find(i) + 1) for i in range(len(texts))}
+
+
+def test_list_of_thousands_at_the_real_limit(spark):
+    """A passage that five thousand texts share, around the similarity of a link, and drifting copies of it."""
+    r = random.Random(11)
+    passage = words(r, 60, 10**6)
+    texts, drift = [], list(passage)
+    for k in range(5000):
+        v = list(passage)
+        for _ in range(r.choice([0, 1, 1, 2, 2, 3])):
+            v[r.randrange(60)] = f"x{k}"
+        texts.append(" ".join([*v, *words(r, r.choice([0, 2, 5, 8, 12, 20]), 10**6)]))
+    for _ in range(200):
+        drift[r.randrange(60)] = f"y{r.randrange(10**6)}"
+        texts.append(" ".join(drift))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.jaccard_components(frame(spark, texts)).collect()}
+    assert got == linked(texts)
+
+
+def test_blocks_of_a_long_list_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SMALL", 2)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 7)
+    r = random.Random(12)
+    passage = words(r, 40, 10**6)
+    texts = [" ".join([*passage[r.randrange(4) :], *words(r, r.randrange(12), 10**6)]) for _ in range(120)]
+    texts += [" ".join([*texts[k].split()[:-3], *words(r, 3, 10**6)]) for k in range(0, 120, 2)]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.jaccard_components(frame(spark, texts)).collect()}
+    assert got == linked(texts)
+
+
 def test_near_duplicates_odd_rows(spark):
     t = "a b c d e f g"
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in jaccard_join.jaccard_components(frame(spark, [t, t, t, "x", "x y z " * 9000], [5, 5, None, 3, 8])).collect())
