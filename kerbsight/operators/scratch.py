@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The shared folder named in ``spark.checkpoint.dir``. Where that is unset, a temporary one, in local mode only."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         jvm = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = jvm.get() if jvm.isDefined() else None
     if not path:
+        master = spark.sparkContext.master
+        if master.split("[")[0] != "local":
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         path = "file://" + tempfile.mkdtemp(prefix="kerbsight-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
