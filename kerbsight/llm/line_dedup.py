@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbsight.llm.runtime import unused
 from kerbsight.operators.scratch import written
 
 
@@ -27,21 +28,24 @@ def frequent_lines(docs: DataFrame, host_col: str, text_col: str, ratio: float,
     return counts.join(totals, "_host").where(F.col("_pages") > ratio * F.col("_total")).groupBy("_host").agg(F.sort_array(F.collect_list("_key")).alias("_drop"))
 
 
-def drop_frequent_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = 0.05, min_pages: int = 5) -> DataFrame:
-    """All columns and rows of ``docs``, with the text freed of its site's boilerplate lines, and ``_n_dropped``.
+def drop_frequent_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = 0.05, min_pages: int = 5, count_col: str = "_n_dropped") -> DataFrame:
+    """All columns and rows of ``docs``, with the text freed of its site's boilerplate lines, and ``count_col``.
 
     A line is boilerplate if more than ``ratio`` of its site's pages have it, and at least ``min_pages`` do; lines are
     compared without white space at their ends. Empty lines stay, the order of lines too. A null site counts as the
     empty one, a null text stays null with nothing dropped. Repeated rows are treated alike; an empty table gives an
-    empty result. Line keys have 64 bits.
+    empty result. ``count_col`` replaces a column of that name; all other columns pass through, whatever their names.
+    Line keys have 64 bits.
 
     Two partial aggregates over (site, page) and (site, line), then one join of the pages with the sites' short arrays,
     which are written first so that the planner knows their true size.
     """
-    drop = written(frequent_lines(docs, host_col, text_col, ratio, min_pages), "lines")
+    host, drop = unused(docs.columns, "_host", "_drop")
+    found = written(frequent_lines(docs, host_col, text_col, ratio, min_pages), "lines").select(F.col("_host").alias(host), F.col("_drop").alias(drop))
     lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("_drop"), line_key(x)))
-    joined = docs.withColumn("_host", F.coalesce(F.col(host_col), F.lit(""))).join(drop, "_host", "left")
-    changed = F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    gone = F.when(F.col("_drop").isNull() | F.col(text_col).isNull(), 0).otherwise(F.size(lines) - F.size(kept))
-    return joined.select(*[(changed.alias(c) if c == text_col else F.col(c)) for c in docs.columns], gone.cast("long").alias("_n_dropped"))
+    kept = F.filter(lines, lambda x: ~F.array_contains(F.col(drop), line_key(x)))
+    joined = docs.withColumn(host, F.coalesce(F.col(host_col), F.lit(""))).join(found, host, "left")
+    changed = F.when(F.col(drop).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    gone = F.when(F.col(drop).isNull() | F.col(text_col).isNull(), 0).otherwise(F.size(lines) - F.size(kept))
+    own = [c for c in docs.columns if c.lower() != count_col.lower()]
+    return joined.select(*[(changed.alias(c) if c == text_col else F.col(c)) for c in own], gone.cast("long").alias(count_col))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from kerbsight.llm import bytescan
-from kerbsight.llm.runtime import crc_bucket
+from kerbsight.llm.runtime import crc_bucket, lean
 from kerbsight.llm.suffix_dedup import words_at
 
 #: Bytes of text that are scored at once; a longer text is scored in parts and its pools are merged.
@@ -168,20 +168,27 @@ def _gradients(net: Network, texts: list[bytes], labels: np.ndarray, weight: np.
     return {"vectors": dv, "filters": x.T @ dr + decay * net.filters, "biases": dr.sum(axis=0), "output": pools.T @ dz + decay * net.output, "bias": dz.sum(keepdims=True)}
 
 
-def sample_of(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, rows: int, most_bytes: int) -> list:
-    """At most ``rows`` labelled documents outside the held-out fifth, those with the least hash of their id.
+def sample_of(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, rows: int, part_chars: int) -> list:
+    """``(id, text, label)`` of at most ``rows`` labelled documents outside the held-out fifth, those with the least hash of their id.
 
-    Only documents of at most ``most_bytes`` bytes are taken, which bounds what the driver gets.
+    Of a text beyond ``part_chars`` characters one stretch of that length is taken, from a place that the hash of the id
+    gives, so long documents are learned from too. The driver gets at most ``rows`` times ``part_chars`` characters.
     """
-    known = labels.where(F.col(label).isin(0, 1) & (crc_bucket(id_col) != 0)).groupBy(id_col).agg(F.max(label).cast("int").alias("_y"))
-    chosen = known.orderBy(F.xxhash64(id_col, F.lit(3)), id_col).limit(rows)
-    texts = docs.select(F.col(id_col), F.col(text_col).alias("_text")).where(F.octet_length(F.coalesce("_text", F.lit(""))) <= most_bytes)
-    return texts.join(F.broadcast(chosen), id_col).select(id_col, F.coalesce("_text", F.lit("")).alias("_text"), "_y").dropDuplicates([id_col]).collect()
+    known = labels.where(F.col(label).isin(0, 1) & (crc_bucket(id_col) != 0)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_y"))
+    chosen = known.orderBy(F.xxhash64("_id", F.lit(3)), "_id").limit(rows)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    start = F.pmod(F.xxhash64(id_col, F.lit(7)), F.greatest(F.length(text) - part_chars + 1, F.lit(1))).cast("int") + 1
+    texts = docs.select(F.col(id_col).alias("_id"), F.substring(text, start, F.lit(part_chars)).alias("_text"))
+    first = texts.join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.first("_y").alias("_y"))
+    return first.collect()
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", rows: int = 1500, most_bytes: int = 16_384) -> Network:
-    """Trains on a bounded sample. Without labelled rows the network stays as drawn, with an output of one half."""
-    sample = sorted(sample_of(docs, labels, label, id_col, text_col, rows, most_bytes), key=lambda r: r[0])
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", rows: int = 1500, part_chars: int = 16_384) -> Network:
+    """Trains on a bounded sample. Without labelled rows the network stays as drawn, with an output of one half.
+
+    Of rows that repeat an id the least text is learned; null texts are empty ones; labels other than 0 and 1 don't count.
+    """
+    sample = sorted(sample_of(docs, labels, label, id_col, text_col, rows, part_chars), key=lambda r: r[0])
     net = new_network()
     if not sample:
         net.output[:] = 0
@@ -189,16 +196,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     return train([r["_text"].encode() for r in sample], np.array([r["_y"] for r in sample], np.float64), net)
 
 
-def score_quality(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``_score``, the probability of label 1, for each input row.
+def score_quality(docs: DataFrame, net: Network, text_col: str = "text", score_col: str = "_score") -> DataFrame:
+    """All columns of ``docs`` and ``score_col``, the probability of label 1, for each input row.
 
-    Only the text's bytes are read. Null texts are scored as empty ones; repeated rows score alike; columns of any other
-    name are passed through.
+    Only the text's bytes are read. Null texts are scored as empty ones; repeated rows score alike; ``score_col`` takes the
+    place of a column of that name, all others are passed through; an empty table gives an empty result.
     """
     model = docs.sparkSession.sparkContext.broadcast(net)
+    rest = docs.select(*[c for c in docs.columns if c.lower() != score_col.lower()])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores(model.value, b.column(text_col)))], names=[*b.schema.names, "_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores(model.value, b.column(text_col)))], names=[*b.schema.names, score_col])
 
-    return docs.mapInArrow(apply, StructType([*docs.schema.fields]).add("_score", DoubleType()))
+    return rest.mapInArrow(lean(apply), StructType([*rest.schema.fields]).add(score_col, DoubleType()))

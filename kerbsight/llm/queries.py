@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbsight.llm.chat_format import format_preferences, replaced_replies
 from kerbsight.llm.decontaminate import contaminated
-from kerbsight.llm.exact_dedup import exact_dedup, normalised
+from kerbsight.llm.exact_dedup import exact_dedup
 from kerbsight.llm.jaccard_join import jaccard_components
 from kerbsight.llm.line_dedup import drop_frequent_lines
 from kerbsight.llm.quality import fit, score_quality
@@ -28,6 +28,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its source's boilerplate lines, and how many went."""
     cleaned = drop_frequent_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "source", F.col("_n_dropped").alias("n_dropped"), "text")
 
@@ -37,32 +38,36 @@ QUALITY_CUT, TOXIC_CUT = 0.3, 0.5
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, from its text alone."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_quality(docs, fit(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", (crc_bucket("doc_id") == 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= QUALITY_CUT).cast("int").alias("predicted"))
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, longest rule and verdict of every page."""
     return filter_urls(table(spark, sf_dir, "pages"), RULES)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with each benchmark item that it holds."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, from its text alone."""
     scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", (crc_bucket("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= TOXIC_CUT).cast("int").alias("predicted"), "ratio", "n_words")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that start in an earlier one."""
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    digests = docs.select("doc_id", F.sha2(normalised(F.col("text")), 256).alias("text_sha256"))
-    return exact_dedup(docs).join(digests, "doc_id").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    """Every document with the one that stays of its group of equal texts, and its text's digest."""
+    return exact_dedup(table(spark, sf_dir, "documents"), digest_col="text_sha256")
 
 
 #: The piece model of the ninth operator, a vocabulary file outside the repository.
@@ -76,6 +81,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECES
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of shingles and its component of near duplicates."""
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
@@ -139,5 +145,5 @@ select h.page_id, host, path, rule, coalesce(v, 'allow') as verdict from h left
     "op8_exact_dedup": r"""
 with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256 from documents)
 select doc_id, min(doc_id) over (partition by text_sha256) as keep_id, count(*) over (partition by text_sha256) as group_size,
-  doc_id = min(doc_id) over (partition by text_sha256) as kept, text_sha256 from d""",
+  row_number() over (partition by text_sha256 order by doc_id nulls last) = 1 as kept, text_sha256 from d""",
 }

@@ -24,17 +24,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 MARKS = 1 << 23
 
 
+def flagged(rows: DataFrame, wanted: DataFrame, keys: list[str], flag: str) -> DataFrame:
+    """Adds ``flag``: whether a row's keys may be among the wanted ones, by a broadcast bitmap of ``MARKS`` slots (1 MB).
+
+    No wanted key is missed; others are flagged where they share a slot with one.
+    """
+    part, place, bits = unused([*rows.columns, *keys, flag], "_part", "_place", "_bits")
+    slot = F.pmod(F.xxhash64(*keys), F.lit(MARKS)) + 1
+    number, position = F.bitmap_bucket_number(slot), F.bitmap_bit_position(slot)
+    maps = wanted.groupBy(number.alias(part)).agg(F.bitmap_construct_agg(position).alias(bits))
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.floor(F.col(place) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.coalesce(F.floor(byte / F.pow(F.lit(2), F.col(place) % 8)) % 2 == 1, F.lit(False))
+    return rows.withColumns({part: number, place: position}).join(F.broadcast(maps), part, "left").withColumn(flag, bit).drop(part, place, bits)
+
+
 def marked(rows: DataFrame, wanted: DataFrame, id_col: str) -> DataFrame:
-    """Rows whose id may be among the wanted ones, by a broadcast bitmap of ``MARKS`` slots, at most 1 MB.
+    """Rows whose id may be among the wanted ones.
 
     A filter before a shuffled join on the id, so that texts of other rows mostly stay where they are.
     """
-    slot = F.pmod(F.xxhash64(id_col), F.lit(MARKS)) + 1
-    part, place = F.bitmap_bucket_number(slot), F.bitmap_bit_position(slot)
-    maps = wanted.groupBy(part.alias("_part")).agg(F.bitmap_construct_agg(place).alias("_bits"))
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(F.col("_place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.floor(byte / F.pow(F.lit(2), F.col("_place") % 8)) % 2 == 1
-    return rows.withColumn("_part", part).withColumn("_place", place).join(F.broadcast(maps), "_part").where(bit).drop("_part", "_place", "_bits")
+    (flag,) = unused([*rows.columns, id_col], "_flag")
+    return flagged(rows, wanted, [id_col], flag).where(flag).drop(flag)
 
 
 def returned() -> None:

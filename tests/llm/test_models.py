@@ -1,6 +1,7 @@
 """Classifiers by held-out accuracy, the piece codec by round trips, the pipeline by its stages."""
 
 import os
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -121,7 +122,9 @@ def test_toxicity_spread_over_many_words(spark):
 def test_quality_odd_rows(spark):
     docs, labels = odd(spark)
     labels = labels.withColumnRenamed("toxic", "quality")
-    got = quality.score_quality(docs.withColumn("score", F.lit("clash")), quality.fit(docs, labels)).collect()
+    out = quality.score_quality(docs.withColumn("score", F.lit("clash")).withColumn("_score", F.lit("clash")), quality.fit(docs, labels))
+    got = out.collect()
+    assert out.columns == ["doc_id", "text", "score", "_score"]
     assert len(got) == 7 and all(0 <= r._score <= 1 for r in got)
     assert {r._score for r in quality.score_quality(docs, quality.fit(docs, labels.limit(0))).collect()} == {0.5}
 
@@ -183,6 +186,42 @@ def test_pipeline_stages(spark):
     assert lines.count() == docs.count() and lines.where("n_chars <> length(text)").count() == 0
 
 
+@pytest.fixture
+def odd_corpus(spark, tmp_path):
+    """Nulls, empty and very long texts, ties, repeated rows and columns with clashing names, with labels and items."""
+    names = "_score _drop _host _n_dropped _text _row _at ids round_trip component_id keep_id c n word"
+    leak = "what is the name of the old man who lives near the river in a small red house"
+    texts = ["fine words in a row here", "fine words in a row here", None, "", "long text " * 30000, f"so {leak} he said", "other text of a few words", "x"]
+    ids = [1, 1, 2, None, 3, 4, None, 5]
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{x} string" for x in names.split())
+    rows = [(i, t, None, [None, "a"][k % 2], 3, *["clash"] * len(names.split())) for k, (i, t) in enumerate(zip(ids, texts, strict=True))]
+    spark.createDataFrame(rows, kinds).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0), (5, 1, 0), (None, 0, 0), (2, None, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, leak), (1, leak), (None, "x"), (3, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    return str(tmp_path)
+
+
+@needs_pieces
+def test_pipeline_stages_on_odd_rows(spark, odd_corpus):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{odd_corpus}/documents.parquet")
+    texts = lambda df: Counter((r.doc_id, r.text) for r in df.collect())
+    every = texts(docs)
+    for _, stage in p.STAGES[:-1]:
+        out = stage(spark, docs, odd_corpus)
+        assert out.columns == docs.columns and {r._score for r in out.collect()} <= {"clash"}
+        assert stage(spark, docs.limit(0), odd_corpus).count() == 0
+    assert texts(p.lines(spark, docs, odd_corpus)) == every
+    once = Counter(every)
+    once[1, "fine words in a row here"] -= 1
+    assert texts(p.near_duplicates(spark, docs, odd_corpus)) == once
+    assert every - texts(p.benchmark_leaks(spark, docs, odd_corpus)) == Counter({k: 1 for k in every if k[0] == 4})
+    coded = p.tokens(spark, docs, odd_corpus).collect()
+    assert len(coded) == len(texts(docs)) + 1 and all(r.round_trip for r in coded) and sum(r.n_pieces == 0 for r in coded) == 2
+    assert p.run(spark, odd_corpus).where("not round_trip").count() == 0
+
+
 @needs_pieces
 def test_pipeline_runs(spark):
     import corpus_pipeline as p
