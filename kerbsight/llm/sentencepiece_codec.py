@@ -7,6 +7,12 @@ the edges of its lattice; a character without a piece of its own gets an edge of
 and a Viterbi pass over them, a higher-order ``aggregate``, keeps the best path to each place. Texts then look their words
 up. All pieces and scores come from the model's file; nothing is trained.
 
+A word of more than ``LONG`` characters is cut into blocks, and pieces may cross the cuts. A path enters a block at one of
+its first places, as many as the longest piece has characters. Each block's lattice gives the best scores from every
+entry to every entry of the next block; one fold over a word's blocks gives the best score at each entry, with which each
+block finds its own paths; a second fold, from the end, picks one of every block. The result is that of a Viterbi pass
+over the whole word, but no row holds more than a block's lattice.
+
 The path is the one with the largest sum of the model's piece scores. For a unigram model that is SentencePiece's own
 result; a BPE model's merges can come to another segmentation of the same text.
 """
@@ -23,13 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructType
 
 from kerbsight.llm import bytescan
+from kerbsight.llm.runtime import lean, unused
 from kerbsight.operators.scratch import written
 
 U = np.uint64
 SPACE = "▁"
 _SPACE = np.frombuffer(SPACE.encode(), np.uint8)
-#: A word is also cut after so many bytes (at a character's end), which bounds a lattice. Pieces don't cross such a cut.
-MOST_BYTES = 192
+#: Characters of a block, and of the longest word that has a single lattice.
+LONG = 64
 #: The dictionary of words is broadcast up to this size; a larger one is joined.
 BROADCAST_MB = 96
 #: What an edge of byte pieces scores below the worst piece, for each byte.
@@ -108,24 +115,13 @@ def marked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def word_starts(data: np.ndarray, offsets: np.ndarray, cut: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of all words of marked texts, and each text's first word (n + 1 values). Long words are cut too."""
+    """Starts of all words of marked texts, and each text's first word (n + 1 values)."""
     n = len(data)
     begin = np.zeros(n, bool)
     points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
     begin[np.flatnonzero((data & 0xC0) != 0x80)[cut(points)]] = True
     begin[offsets[:-1][np.diff(offsets) > 0]] = True
     starts = np.flatnonzero(begin)
-    length = np.diff(np.append(starts, n))
-    if (long := np.flatnonzero(length > MOST_BYTES)).size:
-        more = []
-        for s, size in zip(starts[long], length[long], strict=True):
-            at = s
-            while s + size - at > MOST_BYTES:
-                at += MOST_BYTES
-                while data[at] & 0xC0 == 0x80:
-                    at -= 1
-                more.append(at)
-        starts = np.sort(np.concatenate([starts, np.array(more)]))
     return starts, np.searchsorted(starts, offsets)
 
 
@@ -152,41 +148,115 @@ def _distinct_words(joints: Joints):
                     offsets = np.concatenate([[0], np.cumsum(e - s)]).astype(np.int32)
                     index = np.arange(offsets[-1]) + np.repeat(s - offsets[:-1], e - s)
                     yield pa.RecordBatch.from_arrays([pa.StringArray.from_buffers(len(s), pa.py_buffer(offsets), pa.py_buffer(data[index]))], names=["word"])
-        pa.default_memory_pool().release_unused()
 
     return emit
 
 
-def encode_words(words: DataFrame, pieces: DataFrame, zero: int) -> DataFrame:
+def _edges(spans: DataFrame, pieces: DataFrame, zero: int, worst: float) -> DataFrame:
+    """Adds ``edge`` to rows of ``(piece, s, k)``: the lattice's edge over the ``k`` characters from the ``s``-th on."""
+    edges = spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or k = 1 or k is null")
+    raw = F.encode("piece", "UTF-8")
+    of_bytes = F.transform(F.sequence(F.lit(1), F.length(raw)), lambda i: F.conv(F.hex(F.substring(raw, i, F.lit(1))), 16, 10).cast("int") + zero)
+    ids = F.when(F.col("id").isNull(), of_bytes).otherwise(F.array("id"))
+    score = F.coalesce("score", F.length(raw) * F.lit(worst - BYTE_PENALTY))
+    edge = F.struct((F.col("s") + F.col("k") - 1).alias("to"), (F.col("s") - 1).alias("at"), score.alias("score"), F.col("k").alias("k"), ids.alias("ids"))
+    return edges.withColumn("edge", F.when(F.col("k").isNotNull(), edge))
+
+
+def encode_words(words: DataFrame, pieces: DataFrame, zero: int, long: int = LONG) -> DataFrame:
     """``(word, ids)`` for a table of distinct words.
 
     Where the words are dealt out by word, exploding, the join with the broadcast pieces and the grouping keep to that.
     """
     longest, worst = pieces.agg(F.max(F.length("piece")), F.min("score")).first()
     n = F.length("word")
-    spans = words.withColumn("s", F.explode(F.sequence(F.lit(1), n))).withColumn("k", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("s") + 1))))
+    spans = words.withColumn("s", F.explode_outer(F.when(n <= long, F.sequence(F.lit(1), n))))
+    spans = spans.withColumn("k", F.explode_outer(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("s") + 1))))
     spans = spans.withColumn("piece", F.substring(F.col("word"), F.col("s"), F.col("k")))
-    edges = spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or k = 1")
-    raw = F.encode("piece", "UTF-8")
-    of_bytes = F.transform(F.sequence(F.lit(1), F.length(raw)), lambda i: F.conv(F.hex(F.substring(raw, i, F.lit(1))), 16, 10).cast("int") + zero)
-    ids = F.when(F.col("id").isNull(), of_bytes).otherwise(F.array("id"))
-    score = F.coalesce("score", F.length(raw) * F.lit(worst - BYTE_PENALTY))
-    lattice = edges.select("word", F.struct((F.col("s") + F.col("k") - 1).alias("to"), (F.col("s") - 1).alias("at"), score.alias("score"), ids.alias("ids")).alias("edge")).groupBy("word").agg(F.collect_list("edge").alias("edges"))
-    return lattice.select("word", viterbi(F.col("edges"), F.length("word")).alias("ids"))
+    lattice = _edges(spans, pieces, zero, worst).groupBy("word").agg(F.collect_list("edge").alias("edges"))
+    table = written(lattice.select("word", F.when(n <= long, viterbi(F.col("edges"), n)).alias("ids")), "words")
+    few = table.where("ids is null").select("word")
+    if few.isEmpty():
+        return table
+    return table.where("ids is not null").unionByName(written(_long_words(few, pieces, zero, long, longest, worst), "words"))
 
 
 def viterbi(edges: Column, n: Column) -> Column:
-    """The ids on the best path from place 0 to ``n``; of equally good paths the one with the larger ids."""
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.expr("cast(array() as array<int>)").alias("ids")))
+    """The ids on the best path from place 0 to ``n``; of equally good ones that with the longer last piece."""
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("k"), F.expr("cast(array() as array<int>)").alias("ids")))
 
     def to(best: Column, place: Column) -> Column:
         into = F.filter(edges, lambda e: e["to"] == place)
-        paths = F.transform(into, lambda e: F.struct((F.element_at(best, e["at"] + 1)["score"] + e["score"]).alias("score"), F.concat(F.element_at(best, e["at"] + 1)["ids"], e["ids"]).alias("ids")))
+        paths = F.transform(into, lambda e: F.struct((F.element_at(best, e["at"] + 1)["score"] + e["score"]).alias("score"), e["k"].alias("k"), F.concat(F.element_at(best, e["at"] + 1)["ids"], e["ids"]).alias("ids")))
         return F.concat(best, F.array(F.array_max(paths)))
 
     return F.aggregate(F.sequence(F.lit(1), n), start, to, lambda best: F.element_at(best, n + 1)["ids"])
 
 
+def _long_words(words: DataFrame, pieces: DataFrame, zero: int, block: int, width: int, worst: float) -> DataFrame:
+    """The same for words of more than ``block`` characters.
+
+    A block is the places from its start to ``block`` behind it, where the next one begins, and ``width`` - 1 more, the
+    entries of the next one that an edge from this block can reach. The last block takes what is left.
+    """
+    size = F.length("word")
+    named = written(words.select("word", F.sha2("word", 256).alias("key"), F.greatest(F.floor(size / block), F.lit(1)).cast("int").alias("blocks")), "long")
+    each = named.withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    last = F.col("b") == F.col("blocks") - 1
+    begin = F.col("b") * block
+    text = F.substring(F.col("word"), begin + 1, F.when(last, size - begin).otherwise(F.least(F.lit(block + width - 1), size - begin)))
+    each = each.select("key", "b", text.alias("text"), F.when(last, size - begin).otherwise(block).cast("int").alias("own"))
+    n = F.length("text")
+    spans = each.withColumn("s", F.explode(F.sequence(F.lit(1), F.col("own")))).withColumn("k", F.explode(F.sequence(F.lit(1), F.least(F.lit(width), n - F.col("s") + 1))))
+    spans = spans.withColumn("piece", F.substring(F.col("text"), F.col("s"), F.col("k")))
+    edges = _edges(spans, pieces, zero, worst).groupBy("key", "b", "own", "text").agg(F.collect_list("edge").alias("edges"))
+    into = F.transform(F.sequence(F.lit(1), n), lambda p: F.filter("edges", lambda e: e["to"] == p))
+    lattice = written(edges.select("key", "b", "own", n.alias("n"), into.alias("into")), "blocks")
+
+    lost = F.struct(F.lit(float("-inf")).alias("score"), F.lit(0).alias("k"))
+    none = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("k"))
+    entries = F.sequence(F.lit(0), F.lit(width - 1))
+    best_of = lambda paths: F.coalesce(F.array_max(paths), lost)
+
+    def further(best: Column, place: Column) -> Column:
+        of = lambda e: F.transform(F.element_at("into", place), lambda x: F.struct((F.element_at(F.element_at(best, x["at"] + 1), e + 1)["score"] + x["score"]).alias("score"), x["k"].alias("k")))
+        return F.concat(best, F.array(F.transform(entries, lambda e: F.when(e == place, none).otherwise(best_of(of(e))))))
+
+    start = F.array(F.transform(entries, lambda e: F.when(e == 0, none).otherwise(lost)))
+    places = F.sequence(F.lit(1), F.col("n"))
+    across = lattice.select("key", "b", F.aggregate(places, start, further, lambda best: F.slice(best, F.col("own") + 1, F.col("n") - F.col("own") + 1)).alias("across"))
+    folded = across.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("b", "across"))).alias("blocks"))
+
+    def over(state: Column, x: Column) -> Column:
+        entry = F.element_at(state, -1)
+        reached = F.transform(x["across"], lambda exits: best_of(F.zip_with(entry, exits, lambda a, m: F.struct((a["score"] + m["score"]).alias("score"), m["k"].alias("k")))))
+        return F.concat(state, F.array(F.concat(reached, F.array_repeat(lost, width - F.size(reached)))))
+
+    entry = folded.select("key", F.posexplode(F.aggregate("blocks", F.array(start[0]), over)).alias("b", "entry"))
+    here = written(lattice.join(entry, ["key", "b"]), "entries")
+
+    def path(best: Column, place: Column) -> Column:
+        inner = F.transform(F.element_at("into", place), lambda x: F.struct((F.element_at(best, x["at"] + 1)["score"] + x["score"]).alias("score"), x["k"].alias("k"), F.element_at(best, x["at"] + 1)["entry"].alias("entry"), F.concat(F.element_at(best, x["at"] + 1)["ids"], x["ids"]).alias("ids")))
+        crossing = F.when(place < width, F.array(entered(place))).otherwise(F.slice(inner, 1, 0))
+        nowhere = F.struct(F.lit(float("-inf")).alias("score"), F.lit(0).alias("k"), F.lit(0).alias("entry"), F.expr("cast(array() as array<int>)").alias("ids"))
+        return F.concat(best, F.array(F.coalesce(F.array_max(F.concat(inner, crossing)), nowhere)))
+
+    def entered(place: Column) -> Column:
+        e = F.element_at("entry", place + 1)
+        return F.struct(e["score"].alias("score"), e["k"].alias("k"), place.alias("entry"), F.expr("cast(array() as array<int>)").alias("ids"))
+
+    exits = F.aggregate(places, F.array(entered(F.lit(0))), path, lambda best: F.transform(F.slice(best, F.col("own") + 1, F.col("n") - F.col("own") + 1), lambda x: F.struct(x["entry"].alias("entry"), x["ids"].alias("ids"))))
+    paths = here.select("key", "b", exits.alias("exits")).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("b", "exits")), asc=False).alias("blocks"))
+    back = F.struct(F.lit(0).alias("exit"), F.expr("cast(array() as array<array<int>>)").alias("ids"))
+
+    def pick(state: Column, x: Column) -> Column:
+        taken = F.element_at(x["exits"], state["exit"] + 1)
+        return F.struct(taken["entry"].alias("exit"), F.concat(state["ids"], F.array(taken["ids"])).alias("ids"))
+
+    ids = paths.select("key", F.aggregate("blocks", back, pick, lambda x: F.flatten(F.reverse(x["ids"]))).alias("ids"))
+    return named.join(ids, "key").select("word", "ids")
+
+
 _BLOB = pa.schema([("hashes", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary())])
 
 
@@ -196,7 +266,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, offsets = bytescan.flat(b.column("word"))
             ids = b.column("ids")
             h = bytescan.word_hashes(data, offsets[:-1], offsets[1:], fold=False)
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (h, np.diff(ids.offsets.to_numpy()).astype(np.uint16), ids.flatten().to_numpy().astype(np.int32))], schema=_BLOB)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (h, np.diff(ids.offsets.to_numpy()).astype(np.uint32), ids.flatten().to_numpy().astype(np.int32))], schema=_BLOB)
 
 
 class Bytes:
@@ -228,25 +298,25 @@ def _same(decoded: np.ndarray, ends: np.ndarray, at: np.ndarray, data: np.ndarra
     return out
 
 
-def encode(docs: DataFrame, model_path: str, text_col: str = "text", check: bool = False, broadcast_mb: float = BROADCAST_MB) -> DataFrame:
-    """All columns and rows of ``docs``, and ``ids``, the ids of the text's pieces, in place of any column of that name.
-
-    With ``check`` there is also ``round_trip``: whether the ids, decoded in the same pass, give the text back.
+def encode(docs: DataFrame, model_path: str, text_col: str = "text", check: bool = False, broadcast_mb: float = BROADCAST_MB, ids_col: str = "ids", check_col: str = "round_trip") -> DataFrame:
+    """All columns and rows of ``docs``, and ``ids_col``, the ids of the text's pieces.
 
-    Null and empty texts have no ids. Repeated rows are encoded alike; an empty table gives an empty result. A word of more than ``MOST_BYTES`` bytes is cut, so texts without spaces are encoded too.
+    With ``check`` there is also ``check_col``: whether the ids, decoded in the same pass, give the text back. Both replace
+    a column of their name; all others pass through, whatever their names. Null and empty texts have no ids. Repeated rows
+    are encoded alike; an empty table gives an empty result. Words may be of any length, so texts without spaces too.
     """
     spark = docs.sparkSession
     pieces, raw, zero, joints = piece_table(spark, model_path)
     partitions = max(WORD_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    docs = docs.drop("ids", *["round_trip"] * check)
-    words = docs.select(F.col(text_col).alias("_text")).mapInArrow(_distinct_words(joints), "word string").repartition(partitions, "word").distinct()
-    table = written(encode_words(words, pieces, zero), "words")
-    size = table.agg(F.coalesce(F.sum(F.lit(10) + 4 * F.size("ids")), F.lit(0))).first()[0]
+    new = [ids_col, *[check_col] * check]
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in [x.lower() for x in new]])
+    words = docs.select(F.col(text_col).alias("_text")).mapInArrow(lean(_distinct_words(joints)), "word string").repartition(partitions, "word").distinct()
+    table = encode_words(words, pieces, zero)
+    size = table.agg(F.coalesce(F.sum(F.lit(12) + 4 * F.size("ids")), F.lit(0))).first()[0]
     if size > broadcast_mb * 1e6:
-        looked_up = _looked_up(docs, table, text_col, joints)
-        return decode(looked_up, model_path, out_col="_back").withColumn("round_trip", F.col("_back") == F.regexp_replace(F.coalesce(text_col, F.lit("")), SPACE, " ")).drop("_back") if check else looked_up
-    parts = [(np.frombuffer(r["hashes"], U), np.frombuffer(r["sizes"], np.uint16), np.frombuffer(r["ids"], np.int32)) for r in table.mapInArrow(_pack, "hashes binary, sizes binary, ids binary").toLocalIterator()]
-    h, sizes, ids = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, U), np.zeros(0, np.uint16), np.zeros(0, np.int32))
+        return _looked_up(docs, table, text_col, joints, raw, new)
+    parts = [(np.frombuffer(r["hashes"], U), np.frombuffer(r["sizes"], np.uint32), np.frombuffer(r["ids"], np.int32)) for r in table.mapInArrow(_pack, "hashes binary, sizes binary, ids binary").toLocalIterator()]
+    h, sizes, ids = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, U), np.zeros(0, np.uint32), np.zeros(0, np.int32))
     at = np.cumsum(sizes, dtype=np.int64) - sizes
     order = np.argsort(h)
     known = spark.sparkContext.broadcast((h[order], sizes[order], at[order].astype(np.uint32), ids))
@@ -267,28 +337,63 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", check: bool
                 if check:
                     d, o = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                     out.append(pa.array(_same(*back.of(values), bounds, d, o)))
-                yield pa.RecordBatch.from_arrays(out, names=[*b.schema.names, "ids", *["round_trip"] * check])
+                yield pa.RecordBatch.from_arrays(out, names=[*b.schema.names, *new])
+
+    return docs.mapInArrow(lean(look_up), _with_ids(docs, new))
+
 
-    schema = StructType([*docs.schema.fields]).add("ids", ArrayType(IntegerType()))
-    return docs.mapInArrow(look_up, schema.add("round_trip", BooleanType()) if check else schema)
+def _with_ids(docs: DataFrame, new: list[str]) -> StructType:
+    schema = StructType([*docs.schema.fields]).add(new[0], ArrayType(IntegerType()))
+    return schema.add(new[1], BooleanType()) if new[1:] else schema
 
 
-def _looked_up(docs: DataFrame, table: DataFrame, text_col: str, joints: Joints) -> DataFrame:
-    """The same by a shuffled join of all words with the dictionary, for one that is too large to broadcast."""
+def _looked_up(docs: DataFrame, table: DataFrame, text_col: str, joints: Joints, raw: list[bytes], new: list[str]) -> DataFrame:
+    """The same by a shuffled join of the words with the dictionary, for one that is too large to broadcast.
+
+    A text sends each of its distinct words once, as a hash; what comes back is put in the words' order beside the text.
+    """
+    passed = docs.columns
+    row, h, ids = unused(passed, "_row", "_h", "_ids")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = joints.cuts()
         for b in batches:
-            for i, _, data, starts, ends, _, first in _words_of(b.column("_text"), cut):
-                row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-                offsets = np.append(starts, len(data)).astype(np.int32) if len(starts) else np.zeros(1, np.int32)
-                word = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data))
-                yield pa.RecordBatch.from_arrays([b.column("_row").take(pa.array(row + i)), pa.array(np.arange(len(starts)) - first[row], pa.int32()), word], names=["_row", "_at", "word"])
-
-    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    words = numbered.select("_row", F.col(text_col).alias("_text")).mapInArrow(split, "_row long, _at int, word string")
-    ids = words.join(table, "word").groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_at", "ids"))).alias("w")).select("_row", F.flatten("w.ids").alias("ids"))
-    return numbered.join(ids, "_row", "left").select(*docs.columns, F.coalesce("ids", F.expr("cast(array() as array<int>)")).alias("ids"))
+            for i, _, _, _, _, hashes, first in _words_of(b.column("text"), cut):
+                for k in range(len(first) - 1):
+                    x = np.unique(hashes[first[k] : first[k + 1]])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), b.column("row")[i + k].as_py())), pa.array(x.view(np.int64))], names=["row", "h"])
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = bytescan.flat(b.column("word"))
+            x = bytescan.word_hashes(data, offsets[:-1], offsets[1:], fold=False)
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), b.column("ids")], names=["h", "ids"])
+
+    known = written(table.mapInArrow(keyed, "h long, ids array<int>"), "hashed")
+    asked = numbered.select(F.col(row).alias("row"), F.col(text_col).alias("text")).mapInArrow(lean(split), "row long, h long")
+    told = asked.join(known.hint("merge"), "h").groupBy(F.col("row").alias(row)).agg(F.collect_list("h").alias(h), F.collect_list("ids").alias(ids))
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut, back = joints.cuts(), Bytes(raw)
+        for b in batches:
+            for i in range(b.num_rows):
+                own = b.slice(i, 1)
+                data, offsets = bytescan.flat(own.column(text_col))
+                values = np.zeros(0, np.int32)
+                if len(data):
+                    hashes = own.column(h).flatten().to_numpy().view(U)
+                    lists = own.column(ids).flatten()
+                    order = np.argsort(hashes)
+                    words = np.concatenate([x[5] for x in _words_of(own.column(text_col), cut)])
+                    values = lists.take(pa.array(order[np.searchsorted(hashes[order], words)])).flatten().to_numpy().astype(np.int32)
+                bounds = np.array([0, len(values)])
+                columns = [*own.select(passed).columns, pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))]
+                if new[1:]:
+                    columns.append(pa.array(_same(*back.of(values), bounds, data, offsets)))
+                yield pa.RecordBatch.from_arrays(columns, names=[*passed, *new])
+
+    return numbered.join(told.hint("merge"), row, "left").drop(row).mapInArrow(lean(put), _with_ids(docs, new))
 
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

@@ -129,7 +129,7 @@ def test_quality_odd_rows(spark):
     assert {r._score for r in quality.score_quality(docs, quality.fit(docs, labels.limit(0))).collect()} == {0.5}
 
 
-TEXTS = ["Hello world", " leading", "two  spaces ", "line\nbreak\n\n", "", None, "Zürich 東京 🙂", "x" * 1000, "\t", " ", "ab" * 300 + " é" * 200, "Hello world"]
+TEXTS = ["Hello world", " leading", "two  spaces ", "line\nbreak\n\n", "", None, "Zürich 東京 🙂", "x" * 1000, "\t", " ", "ab" * 300 + " é" * 200, "Hello world", "internationalisierung" * 400]
 
 
 @needs_pieces
@@ -161,6 +161,49 @@ def test_best_path_equals_plain_viterbi(spark):
         assert got[w] == best[-1][1], w
 
 
+def plain_viterbi(word, score, zero):
+    """Best path by the same rule, one place after another: of equal sums the longer last piece."""
+    worst = min(s for s, _ in score.values()) - codec.BYTE_PENALTY
+    best = [(0.0, 0, [])]
+    for j in range(1, len(word) + 1):
+        raw = word[j - 1].encode()
+        into = [(best[i][0] + score[word[i:j]][0], j - i, i, [score[word[i:j]][1]]) for i in range(max(0, j - 16), j) if word[i:j] in score]
+        into = into or [(best[j - 1][0] + len(raw) * worst, 1, j - 1, [zero + x for x in raw])]
+        s, k, i, ids = max(into)
+        best.append((s, k, (i, ids)))
+    out, j = [], len(word)
+    while j:
+        i, ids = best[j][2]
+        out[:0], j = ids, i
+    return out
+
+
+@needs_pieces
+def test_words_of_any_length_equal_plain_viterbi(spark):
+    import sentencepiece
+
+    m = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
+    score = {m.id_to_piece(i): (m.get_score(i), i) for i in range(m.get_piece_size()) if not m.is_byte(i) and not m.is_control(i) and not m.is_unknown(i)}
+    r = np.random.default_rng(6)
+    letters = np.array(list("etaoinshrdluABC_/=-é東"))
+    words = ["".join(r.choice(letters, n)) for n in (63, 64, 65, 79, 80, 127, 128, 129, 143, 144, 200, 1000, 5000)]
+    words += ["x" * 1000, "=" * 777, "internationalization" * 60, "\t" * 300, "aab" * 100, "▁" * 200, "東" * 130]
+    pieces, _, zero, _ = codec.piece_table(spark, queries.PIECES)
+    got = {r.word: r.ids for r in codec.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), pieces, zero).collect()}
+    assert len(got) == len(words)
+    for w in words:
+        assert got[w] == plain_viterbi(w, score, zero), (len(w), w[:40])
+
+
+@needs_pieces
+def test_columns_pass_through_both_ways(spark):
+    docs = spark.createDataFrame([(t, "a", "b", "c", "d", "e", "f") for t in TEXTS], "text string, IDS string, round_trip string, _row string, _h string, _ids string, word string")
+    for mb in (96, 0):
+        out = codec.encode(docs, queries.PIECES, check=True, broadcast_mb=mb)
+        assert out.columns == ["text", "_row", "_h", "_ids", "word", "ids", "round_trip"]
+        assert {(r._row, r._h, r._ids, r.word, r.round_trip) for r in out.collect()} == {("c", "d", "e", "f", True)} and out.count() == len(TEXTS)
+
+
 @needs_pieces
 def test_tables_round_trip(spark):
     assert queries.op9_sentencepiece(spark, SMALL).where("not round_trip").count() == 0
