@@ -40,6 +40,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = written(rows, "hashes")
     alike, alone = rows.where("_alike"), rows.where("not _alike")
     least = F.min(F.struct(F.col("_id").isNull(), "_id", "_row"))
-    groups = alike.groupBy("_hash").agg(least.alias("_least"), F.count("*").alias("_size"))
+    groups = written(alike.groupBy("_hash").agg(least.alias("_least"), F.count("*").alias("_size")), "groups")
     named = lambda df, keep, size, kept: df.select(F.col("_id").alias(id_col), keep.alias("keep_id"), size.alias("group_size"), kept.alias("kept"), *([F.col("_hash").alias(digest_col)] if digest_col else []))
     return named(alone, F.col("_id"), F.lit(1).cast("long"), F.lit(True)).unionByName(named(alike.join(groups, "_hash"), F.col("_least._id"), F.col("_size"), F.col("_least._row") == F.col("_row")))
