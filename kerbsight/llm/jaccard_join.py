@@ -39,7 +39,7 @@ _PART_BYTES = 4 * (1 << SKETCH_BITS) // SKETCH_ROWS
 #: Posting lists up to this length give all their pairs at once.
 SMALL = 64
 #: Members that one task compares with the same centre.
-MEMBERS = 512
+MEMBERS = 128
 #: Hash keys of the token orders. The first sorts by all frequency levels, the second only tells chance from more.
 ORDERS = (0, 0x51ED270B7F4A7C15)
 #: Places of tokens are kept in so many steps of a set's size, rounded towards its beginning, so no bound gets too low.
