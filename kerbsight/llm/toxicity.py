@@ -1,44 +1,46 @@
-"""Toxicity by two class-conditional Kneser-Ney models that share their backoff.
+"""Toxicity by two class-conditional Kneser-Ney models over words that share their backoff.
 
-A word's likelihood is the product over all its bytes and its end, each given the word's beginning up to there, or, from
-byte ``DEPTH`` + 1 on, the ``DEPTH`` - 1 bytes before it, so inflected forms of one stem support each other. Each class has discounted counts of its own and backs off to the counts of both classes at the
-same place, and those to the continuation counts of bytes (after how many different beginnings a byte was seen). What is
-rare in both classes therefore has nearly the same likelihood in either and weighs nothing.
+``n_c(v, w)`` is the number of class ``c``'s documents in which word ``w`` follows ``v``, ``n_c(w)`` its sum over ``v``. Of
+every count ``DISCOUNT`` goes to the shorter context::
+
+    p_c(w | v) = (1 - l(v)) max(n_c(v, w) - DISCOUNT, 0) / k_c(v) + l(v) p_c(w)
+    p_c(w)     = (1 - l)    max(n_c(w) - DISCOUNT, 0)    / k_c    + l    q(w)
+
+``k`` adds up what the discount leaves. The weights ``l`` are the discounted share of the counts of both classes together,
+and ``q(w)``, the continuation counts (after how many different words of either class ``w`` stands), is shared too. So what
+is rare in both classes has the same likelihood in either and weighs nothing. After a word that either class knows nothing
+about, both use the shorter context.
 
 A document's ratio is its log-likelihood difference, toxic against ordinary, by word. The share of a language in either
 class shifts all its words alike and isn't evidence, so the score takes by how much the ratio exceeds what ordinary
 documents with as many of each letter have, by a regression over the corpus; a short text's letters say little and leave
-the mean. With it go the words that stand out, as means over all words. A logistic curve that rises in each of these,
-fitted on labelled documents that gave no counts, maps them to a probability.
+the mean. With it go the words that stand out, as means over all words, since a few toxic words get lost in the mean of a
+long text. A logistic curve that rises in each of these, fitted on labelled documents that gave no counts, maps them to a
+probability.
 
-Counts come from every labelled document outside the held-out fifth. Types are counted exactly, by 64-bit hash, in a
-shuffle that grows with the labelled text. Only then are counts added up in ``2**SLOT_BITS`` slots, so the broadcast model
-takes 42 MB at any input size; beginnings of words that share a slot share their counts.
+Counts come from every labelled document outside the held-out fifth, exactly, by 64-bit hash, in shuffles that grow with
+the labelled text. The model is the table of differences of all words and word pairs beyond the discount in some class;
+it grows with the input, is broadcast up to ``BROADCAST_MB`` and joined beyond that.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbsight.llm import bytescan
-from kerbsight.llm.postings import PACKED, by_range, kept_bits, pack, runs
-from kerbsight.llm.runtime import crc_bucket, marked
+from kerbsight.llm.runtime import crc_bucket, lean, marked
 from kerbsight.operators.scratch import written
 
 U = np.uint64
-SLOT_BITS, PARTS = 21, 64
-#: Symbols of a word that are given its whole beginning; each later one is given the DEPTH - 1 bytes before it.
-DEPTH = 12
-#: Later symbols that are looked at together.
-BLOCK = 1 << 18
-#: Kneser-Ney discount of one class's counts, and of both classes' together. A smaller count has no mass of its own.
+#: Kneser-Ney discount of every count.
 DISCOUNT = 2
+#: Size of the model up to which it is broadcast.
+BROADCAST_MB = 64
 #: Folds of crc32 modulo 5: one is held out, three give counts, one fits the curve.
 HELD_OUT, CURVE_FOLD = 0, 4
 #: A word stands out by how much its difference exceeds each of these.
@@ -48,197 +50,120 @@ LETTERS = 43
 KIND = np.array([c - 97 if 97 <= c < 123 else c - 65 if 65 <= c < 91 else 26 if 48 <= c < 58 else LETTERS if c < 128 else 27 + (c >> 3) % 16 for c in range(256)])
 #: A text's shares of letters are taken as if it had so many more of the mean text.
 FEW_LETTERS = 20
-#: Symbol of a word's end, after the 256 byte values, and what marks the count of a context rather than of a symbol in it.
-END, CONTEXT = 256, 511
+#: What stands before a text's first word.
 ROOT = U(0x1234567890ABCDEF)
 #: Bytes of text whose words are looked up together, each distinct one once.
 PIECE = 1 << 22
+#: First bytes of characters that are words of their own, as scripts without spaces begin here (U+3000).
+ALONE = 0xE3
 
 
-def slot_of(h: np.ndarray, bits: int) -> np.ndarray:
-    """Slot of a hash: its range of ``bits`` bits, and the first of the 40 bits that postings keep."""
-    kept, rest = kept_bits(h, bits), U(SLOT_BITS - bits)
-    return (((kept >> U(40)) << rest) | ((kept & U((1 << 40) - 1)) >> (U(40) - rest))).astype(np.int64)
-
-
-def steps(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of every symbol of every word (word, hash of what precedes, hash with the symbol, symbol), by depth, then in blocks."""
-    sums = bytescan.folded_sums(data)
-    _, down = bytescan.powers(len(data) + 1)
-    length = ends - starts
-    before, index = np.full(len(starts), ROOT), np.arange(len(starts))
-    for k in range(1, DEPTH + 1):
-        index = index[length[index] >= k - 1]
-        if not len(index):
-            return
-        s = starts[index]
-        stop = length[index] == k - 1
-        at = np.minimum(s + k, len(data))
-        h = bytescan.mix((sums[at] - sums[s]) * down[s] + U(k * bytescan.BASE % 2**64))
-        h = np.where(stop, bytescan.mix(before[index] + U(77)), h)
-        symbol = np.where(stop, END, bytescan.FOLD[data[at - 1]])
-        yield index, before[index], h, symbol
-        before[index] = h
-        index = index[~stop]
-    yield from later(data, sums, starts, ends)
-
-
-def later(data: np.ndarray, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """The same of the symbols after the first ``DEPTH``; a word stands there once for each of them."""
-    _, down = bytescan.powers(len(data) + 1)
-    count = np.maximum(ends - starts - DEPTH + 1, 0)
-    last = np.cumsum(count)
-    for low in range(0, int(last[-1]) if len(last) else 0, BLOCK):
-        n = np.arange(low, min(low + BLOCK, last[-1]))
-        word = np.searchsorted(last, n, "right")
-        place = ends[word] - (last[word] - 1 - n)
-        s, stop, at = place - DEPTH + 1, place == ends[word], np.minimum(place + 1, len(data))
-        before = bytescan.mix((sums[place] - sums[s]) * down[s] + U(101 * bytescan.BASE % 2**64))
-        h = bytescan.mix((sums[at] - sums[s]) * down[s] + U(102 * bytescan.BASE % 2**64))
-        yield word, before, np.where(stop, bytescan.mix(before + U(77)), h), np.where(stop, END, bytescan.FOLD[data[at - 1]])
-
-
-def _distinct(data: np.ndarray, offsets: np.ndarray):
-    """Starts and ends of the distinct words, each word's place among them, and each row's first word."""
-    starts, ends, first = bytescan.words(data, offsets, bytescan.ALNUM)
-    _, at, place = np.unique(bytescan.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-    return starts[at], ends[at], place, first
-
-
-def _count(bits: int):
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def parts():
-            for batch in batches:
-                label = batch.column("_y").to_numpy()
-                for i, j, d, o in bytescan.pieces(*bytescan.flat(batch.column("_text")), PIECE):
-                    starts, ends, place, first = _distinct(d, o)
-                    toxic = np.repeat(label[i:j] == 1, np.diff(first))
-                    for y in (0, 1):
-                        n = np.bincount(place[toxic == y], minlength=len(starts))
-                        contexts = ((word, before, before, np.full(len(word), CONTEXT)) for word, before, _, _ in later(d, bytescan.folded_sums(d), starts, ends))
-                        for word, before, h, symbol in itertools.chain(steps(d, starts, ends), contexts):
-                            has = n[word] > 0
-                            h, index, inverse = np.unique(h[has], return_index=True, return_inverse=True)
-                            total = np.minimum(np.bincount(inverse, n[word[has]], len(h)).astype(np.int64), (1 << 29) - 1)
-                            own = np.int64(y) << 60 | total << 30 | slot_of(before[has][index], bits) << 9 | symbol[has][index]
-                            yield h, own
-
-        yield from pack(parts(), bits)
-
-    return emit
-
-
-def _tables(bits: int):
-    """Sums by slot of one range of hashes: whole ones by the hash's own slot, partial ones by that of what precedes."""
-
-    def fold(h: np.ndarray, own: np.ndarray) -> dict:
-        y, n = own >> 60, (own >> 30) & ((1 << 29) - 1)
-        start, _ = runs(h)
-        n0, n1 = np.add.reduceat(np.where(y == 0, n, 0), start), np.add.reduceat(np.where(y == 1, n, 0), start)
-        before, symbol = (own[start] >> 9) & ((1 << SLOT_BITS) - 1), own[start] & 511
-        own_symbol = symbol != CONTEXT
-        kinds, parts, blobs = [], [], []
-
-        def add(kind: str, part: int, x: np.ndarray) -> None:
-            kinds.append(kind)
-            parts.append(part)
-            blobs.append(pa.compress(x.astype("<u4").tobytes(), "zstd", asbytes=True))
-
-        for kind, n in (("r0", n0), ("r1", n1), ("r", n0 + n1)):
-            for k, x in enumerate(np.split(np.bincount(before[own_symbol], np.minimum(n, DISCOUNT)[own_symbol], 1 << SLOT_BITS), PARTS)):
-                if x.any():
-                    add(kind, k, x)
-        add("symbols", 0, np.bincount(symbol[own_symbol], minlength=512))
-        bucket, size = int(h[0] >> U(40)), 1 << (SLOT_BITS - bits)
-        slot = ((h[start] & U((1 << 40) - 1)) >> U(40 - (SLOT_BITS - bits))).astype(np.int64)
-        often = n0 + n1 > DISCOUNT
-        for kind, n in (("n0", n0), ("n1", n1)):
-            add(kind, bucket, np.bincount(slot[often], n[often], size))
-        root = own_symbol & (before == slot_of(np.array([ROOT]), bits)[0])
-        add("total", 0, np.array([n0[root].sum(), n1[root].sum()]))
-        return {"kind": pa.array(kinds), "part": pa.array(parts, pa.int32()), "counts": pa.array(blobs, pa.binary())}
-
-    return fold
-
-
-def _sizes(bits: int) -> dict[str, int]:
-    return {"r0": 1 << (SLOT_BITS - 6), "r1": 1 << (SLOT_BITS - 6), "r": 1 << (SLOT_BITS - 6), "symbols": 512, "total": 2, "n0": 1 << (SLOT_BITS - bits), "n1": 1 << (SLOT_BITS - bits)}
-
-
-def _add(bits: int):
-    size = _sizes(bits)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict = {}
-        for b in batches:
-            for kind, part, blob in zip(b.column("kind").to_pylist(), b.column("part").to_pylist(), b.column("counts"), strict=True):
-                x = np.frombuffer(pa.decompress(blob.as_py(), 4 * size[kind], "zstd", asbytes=True), "<u4").astype(np.int64)
-                total[kind, part] = total[kind, part] + x if (kind, part) in total else x
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in total]), pa.array([p for _, p in total], pa.int32()), pa.array([np.minimum(x, 2**32 - 1).astype("<u4").tobytes() for x in total.values()], pa.binary())], names=["kind", "part", "counts"])
-
-    return add
-
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each word, of the pair with the word before it, and each row's first word (n + 1 values).
 
-def count(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str) -> dict[str, np.ndarray]:
-    """The model's arrays from all documents with label 0 or 1 in the folds that give counts."""
-    spark = docs.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = min(SLOT_BITS, max(5, int(np.ceil(np.log2(partitions)))))
+    Words are runs of letters and digits with A-Z lower-cased; each character from U+3000 on is one by itself.
+    """
+    inside = bytescan.ALNUM[data]
+    lead = (data & 0xC0) != 0x80
+    at = np.maximum.accumulate(np.where(lead, np.arange(len(data)), 0)) if len(data) else np.zeros(0, np.int64)
+    alone = data[at] >= ALONE
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    edge[1:-1] |= lead[1:] & (alone[1:] | alone[:-1]) | (inside[1:] != inside[:-1])
+    starts = np.flatnonzero(inside & edge[:-1])
+    ends = np.flatnonzero(inside & edge[1:]) + 1
+    first = np.searchsorted(starts, offsets)
+    h = bytescan.word_hashes(data, starts, ends)
+    before = np.concatenate([[ROOT], h[:-1]])[: len(h)]
+    before[first[:-1][np.diff(first) > 0]] = ROOT
+    return h, before, first
+
+
+def pair(before: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The key of a pair of words."""
+    return bytescan.mix(bytescan.mix(before + U(0x70616972)) + h)
+
+
+_COUNTS = pa.schema([("v", pa.int64()), ("w", pa.int64()), ("vw", pa.int64()), ("n0", pa.int64()), ("n1", pa.int64())])
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers of documents of either class by pair of words, summed over a piece of a batch."""
+    for batch in batches:
+        label = batch.column("_y").to_numpy()
+        for i, j, d, o in bytescan.pieces(*bytescan.flat(batch.column("_text")), PIECE):
+            h, before, first = words(d, o)
+            key = pair(before, h)
+            row = np.repeat(np.arange(i, j), np.diff(first))
+            once = np.unique(bytescan.mix(key + row.astype(U) * U(bytescan.BASE)), return_index=True)[1]
+            distinct, at, place = np.unique(key[once], return_index=True, return_inverse=True)
+            n = [np.bincount(place[label[row[once]] == y], minlength=len(distinct)).astype(np.int64) for y in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (before[once][at], h[once][at], distinct)), *map(pa.array, n)], schema=_COUNTS)
+
+
+def kneser_ney(counts: DataFrame) -> DataFrame:
+    """``(h, difference)`` of all words and pairs that either class has beyond the discount, from ``(v, w, vw, n0, n1)``.
+
+    Three partial aggregates, by word, by preceding word and over all; hot words are summed before they are shuffled, and
+    the joins back are ordinary ones that adaptive execution may split.
+    """
+    left = lambda n: F.greatest(F.col(n) - DISCOUNT, F.lit(0))
+    both = F.col("n0") + F.col("n1")
+    given = [F.sum(F.least(both, F.lit(DISCOUNT))).alias("given"), F.sum(both).alias("n"), F.sum(left("n0")).alias("k0"), F.sum(left("n1")).alias("k1")]
+    by_word = written(counts.groupBy("w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count("*").alias("after")), "words")
+    by_context = counts.groupBy("v").agg(*given).where("k0 > 0 and k1 > 0")
+    known = F.col("n0") > DISCOUNT, F.col("n1") > DISCOUNT
+    total = by_word.agg(*given, F.sum("after").alias("after")).first()
+    if not total["k0"] or not total["k1"]:
+        return counts.select(F.col("w").alias("h"), F.lit(0.0).alias("difference")).limit(0)
+    share = total["given"] / total["n"]
+    own = lambda c: (1 - share) * left(f"n{c}") / total[f"k{c}"] + share * F.col("after") / total["after"]
+    likely = written(by_word.where(known[0] | known[1]).select("w", own(0).alias("p0"), own(1).alias("p1")), "likely")
+    weight = F.col("given") / F.col("n")
+    pairs = counts.where(known[0] | known[1]).join(by_context.select("v", "k0", "k1", weight.alias("l")), "v").join(likely, "w")
+    after = lambda c: (1 - F.col("l")) * left(f"n{c}") / F.col(f"k{c}") + F.col("l") * F.col(f"p{c}")
+    return likely.select(F.col("w").alias("h"), difference(F.col("p0"), F.col("p1"))).unionByName(pairs.select(F.col("vw").alias("h"), difference(after(0), after(1))))
+
+
+def difference(p0: Column, p1: Column) -> Column:
+    return (F.log(p1) - F.log(p0)).alias("difference")
+
+
+def model_of(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str) -> DataFrame:
+    """The table of differences from all documents with label 0 or 1 in the folds that give counts."""
     fold = crc_bucket(id_col)
-    known = labels.where(F.col(label).isin(0, 1) & (fold != HELD_OUT) & (fold != CURVE_FOLD)).groupBy(id_col).agg(F.max(label).cast("int").alias("_y"))
+    known = labels.where(F.col(label).isin(0, 1) & (fold != HELD_OUT) & (fold != CURVE_FOLD)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_y"))
     known = written(known, "labels")
-    text = marked(docs.select(id_col, F.col(text_col).alias("_text")), known, id_col).join(known.hint("merge"), id_col).select("_text", "_y")
-    tables = by_range(text.mapInArrow(_count(bits), PACKED), _tables(bits), "kind string, part int, counts binary")
-    sums = tables.repartition(min(partitions, 4 * PARTS), "kind", "part").mapInArrow(_add(bits), "kind string, part int, counts binary")
-    size = _sizes(bits)
-    model = {k: np.zeros(1 << SLOT_BITS, np.uint32) for k in ("n0", "n1", "r0", "r1", "r")} | {"symbols": np.zeros(512, np.uint32), "total": np.zeros(2, np.uint32), "bits": np.array([bits])}
-    for r in sums.toLocalIterator():
-        model[r["kind"]][r["part"] * size[r["kind"]] :][: size[r["kind"]]] = np.frombuffer(r["counts"], "<u4")
-    return model
-
-
-def discounted(n: np.ndarray, total: np.ndarray, rest: np.ndarray, backoff: np.ndarray) -> np.ndarray:
-    """Probability of what was seen ``n`` times in ``total``, where counts of ``rest`` in all go to the backoff."""
-    rest = np.where(rest == 0, total, np.minimum(rest, total))
-    own = np.minimum(np.maximum(n - DISCOUNT, 0), total - rest)
-    return np.where(total > 0, (own + (rest + 1e-3) * backoff) / np.maximum(total + 1e-3, 1e-3), backoff)
-
-
-class KneserNey:
-    """Both classes' models over the arrays of :func:`count`."""
-
-    def __init__(self, model: dict[str, np.ndarray]):
-        self.m, self.bits = model, int(model["bits"][0])
-        low = model["symbols"].astype(np.float64) + 1
-        self.low = low / low.sum()
-        self.root = slot_of(np.array([ROOT]), self.bits)[0]
-
-    def differences(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """log p1 - log p0 of each word."""
-        out, m = np.zeros(len(starts)), self.m
-        for word, before, h, symbol in steps(data, starts, ends):
-            at, to = slot_of(before, self.bits), slot_of(h, self.bits)
-            n = [m[k][to].astype(np.float64) for k in ("n0", "n1")]
-            total = [np.where(at == self.root, m["total"][c], m[k][at]).astype(np.float64) for c, k in enumerate(("n0", "n1"))]
-            shared = discounted(n[0] + n[1], total[0] + total[1], m["r"][at], self.low[symbol])
-            logs = [np.log(discounted(n[c], total[c], m[f"r{c}"][at], shared)) for c in (0, 1)]
-            out += np.bincount(word, logs[1] - logs[0], len(out))
-        return out
-
-    def features(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of each text: mean excess over each margin, mean difference, number of words, shares of letters."""
-        data, offsets = bytescan.flat(column)
-        n = len(offsets) - 1
-        excess, mean, size, letters = np.zeros((n, len(MARGINS))), np.zeros(n), np.zeros(n, np.int64), np.zeros((n, LETTERS), np.float32)
-        for i, j, d, o in bytescan.pieces(data, offsets, PIECE):
-            starts, ends, place, first = _distinct(d, o)
-            x, size[i:j] = self.differences(d, starts, ends)[place], np.diff(first)
-            row = np.repeat(np.arange(j - i), size[i:j])
-            for out, w in [(mean[i:j], x), *((excess[i:j, k], np.maximum(x - t, 0)) for k, t in enumerate(MARGINS))]:
-                out += np.bincount(row, w, j - i) / np.maximum(size[i:j], 1)
-            kinds = np.bincount(np.repeat(np.arange(j - i) * (LETTERS + 1), np.diff(o)) + KIND[d], minlength=(j - i) * (LETTERS + 1)).reshape(j - i, -1)[:, :LETTERS]
-            letters[i:j] = kinds / (kinds.sum(axis=1, keepdims=True) + FEW_LETTERS)
-        return excess, mean, size, letters
+    text = marked(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), known, "_id").join(known.hint("merge"), "_id").select("_text", "_y")
+    counts = text.mapInArrow(lean(_count), "v long, w long, vw long, n0 long, n1 long").groupBy("v", "w", "vw").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    return written(kneser_ney(written(counts, "counts")), "model")
+
+
+def lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each wanted key is among the sorted ones, and its value or 0."""
+    if not len(keys):
+        return np.zeros(len(wanted), bool), np.zeros(len(wanted))
+    distinct, place = np.unique(wanted, return_inverse=True)
+    at = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
+    has = keys[at] == distinct
+    return has[place], np.where(has, values[at], 0.0)[place]
+
+
+def features(data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text: mean excess over each margin, mean difference, number of words, shares of letters."""
+    n = len(offsets) - 1
+    excess, mean, size, letters = np.zeros((n, len(MARGINS))), np.zeros(n), np.zeros(n, np.int64), np.zeros((n, LETTERS), np.float32)
+    for i, j, d, o in bytescan.pieces(data, offsets, PIECE):
+        h, before, first = words(d, o)
+        longer, x = lookup(keys, values, pair(before, h))
+        x = np.where(longer, x, lookup(keys, values, h)[1])
+        size[i:j] = np.diff(first)
+        row = np.repeat(np.arange(j - i), size[i:j])
+        for out, w in [(mean[i:j], x), *((excess[i:j, k], np.maximum(x - t, 0)) for k, t in enumerate(MARGINS))]:
+            out += np.bincount(row, w, j - i) / np.maximum(size[i:j], 1)
+        kinds = np.bincount(np.repeat(np.arange(j - i) * (LETTERS + 1), np.diff(o)) + KIND[d], minlength=(j - i) * (LETTERS + 1)).reshape(j - i, -1)[:, :LETTERS]
+        letters[i:j] = kinds / (kinds.sum(axis=1, keepdims=True) + FEW_LETTERS)
+    return excess, mean, size, letters
 
 
 def fit_baseline(letters: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
@@ -277,28 +202,76 @@ def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[np.ndarra
     return slopes, float(beta[-1] - slopes @ centre)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", curve_rows: int = 5000) -> DataFrame:
-    """Returns ``(id, score, ratio, n_words)``, one row for each input row.
+STAND_OUT = [f"x{k}" for k in range(len(MARGINS))]
+
+
+def _row_of(ids: pa.Array, found: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    excess, mean, size, letters = found
+    shares = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * LETTERS), pa.array(letters.ravel()))
+    return pa.RecordBatch.from_arrays([ids, *(pa.array(x) for x in excess.T), pa.array(mean), pa.array(size), shares], names=["_id", *STAND_OUT, "ratio", "n_words", "letters"])
 
-    Words are runs of letters and digits with A-Z lower-cased. Null, empty and wordless texts have ratio 0 and the
-    curve's value where nothing exceeds the baseline. Only labels 0 and 1 count; of repeated labels the larger does. Without labels of both classes
-    scores are flat. ``curve_rows`` bounds the labelled documents that fit the curve and the baseline, those with the least hash of their
-    id; all else covers every document. Repeated rows score alike; other columns are ignored.
-    """
-    model = docs.sparkSession.sparkContext.broadcast(count(docs, labels, label, id_col, text_col))
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kn = KneserNey(model.value)
+def with_features(docs: DataFrame, model: DataFrame, broadcast_mb: float = BROADCAST_MB) -> DataFrame:
+    """Features of each row of ``(_id, _text)``. A model beyond ``broadcast_mb`` is joined with each text's distinct keys."""
+    kind = docs.schema["_id"].dataType.simpleString()
+    schema = f"_id {kind}, {', '.join(f'{x} double' for x in STAND_OUT)}, ratio double, n_words long, letters array<float>"
+    if 16 * model.count() <= broadcast_mb * 1e6:
+        parts = model.mapInArrow(_packed, "keys binary, vals binary").toLocalIterator()
+        parts = [(np.frombuffer(r["keys"], U), np.frombuffer(r["vals"], np.float64)) for r in parts]
+        keys, values = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, U), np.zeros(0))
+        order = np.argsort(keys)
+        sent = docs.sparkSession.sparkContext.broadcast((keys[order], values[order]))
+
+        def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield _row_of(b.column("_id"), features(*bytescan.flat(b.column("_text")), *sent.value))
+
+        return docs.mapInArrow(lean(apply), schema)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            excess, mean, size, letters = kn.features(b.column("_text"))
-            shares = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * LETTERS), pa.array(letters.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column("_id"), *(pa.array(x) for x in excess.T), pa.array(mean), pa.array(size), shares], names=["_id", *stand_out, "ratio", "n_words", "letters"])
+            for i, j, d, o in bytescan.pieces(*bytescan.flat(b.column("_text")), PIECE):
+                h, before, first = words(d, o)
+                both = pair(before, h)
+                for k in range(j - i):
+                    x = np.unique(np.concatenate([y[first[k] : first[k + 1]] for y in (h, both)]))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), b.column("_row")[i + k].as_py())), pa.array(x.view(np.int64))], names=["_row", "h"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                one = b.slice(k, 1)
+                keys, values = (one.column(c).flatten().to_numpy() for c in ("_keys", "_vals"))
+                order = np.argsort(keys.view(U))
+                yield _row_of(one.column("_id"), features(*bytescan.flat(one.column("_text")), keys.view(U)[order], values[order]))
+
+    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    asked = numbered.select("_row", "_text").mapInArrow(lean(ask), "_row long, h long")
+    told = asked.join(model.hint("merge"), "h").groupBy("_row").agg(F.collect_list("h").alias("_keys"), F.collect_list("difference").alias("_vals"))
+    return numbered.join(told.hint("merge"), "_row", "left").select("_id", "_text", "_keys", "_vals").mapInArrow(lean(answer), schema)
+
 
-    stand_out = [f"x{k}" for k in range(len(MARGINS))]
-    kind = docs.schema[id_col].dataType.simpleString()
-    scored = written(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(apply, f"_id {kind}, {', '.join(f'{x} double' for x in stand_out)}, ratio double, n_words long, letters array<float>"), "ratios")
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        if b.num_rows:
+            blobs = [b.column("h").to_numpy().tobytes(), b.column("difference").to_numpy().tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in blobs], names=["keys", "vals"])
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", curve_rows: int = 5000, broadcast_mb: float = BROADCAST_MB) -> DataFrame:
+    """Returns ``(id, score, ratio, n_words)``, one row for each input row.
+
+    Words are runs of letters and digits with A-Z lower-cased, whole, and single characters of scripts from U+3000 on.
+    Null, empty and wordless texts have ratio 0 and the curve's value where nothing exceeds the baseline. Only labels 0
+    and 1 count; of repeated labels the larger does. Without labels of both classes scores are flat. ``curve_rows`` bounds
+    the labelled documents that fit the curve and the baseline, those with the least hash of their id; all else covers
+    every document. Repeated rows score alike; other columns are ignored.
+    """
+    model = model_of(docs, labels, label, id_col, text_col)
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    scored = written(with_features(rows, model, broadcast_mb), "ratios")
     known = labels.where(F.col(label).isin(0, 1) & (crc_bucket(id_col) == CURVE_FOLD)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_y"))
-    sample = scored.where("n_words > 0").join(known, "_id").orderBy(F.xxhash64("_id", F.lit(5)), "_id").select(*stand_out, "ratio", "letters", "_y").limit(curve_rows).collect()
+    sample = scored.where("n_words > 0").join(known, "_id").orderBy(F.xxhash64("_id", F.lit(5)), "_id").select(*STAND_OUT, "ratio", "letters", "_y").limit(curve_rows).collect()
     y, ratio = np.array([float(r["_y"]) for r in sample]), np.array([r["ratio"] for r in sample])
     letters = np.array([r["letters"] for r in sample], np.float64).reshape(-1, LETTERS)
     by_letter, usual = fit_baseline(letters[y == 0], ratio[y == 0])
@@ -306,5 +279,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
     slopes, intercept = fit_curve(np.column_stack([excess, ratio - letters @ by_letter - usual]), y)
     expected = F.aggregate(F.zip_with("letters", F.array(*(F.lit(float(c)) for c in by_letter)), lambda a, c: a * c), F.lit(usual), lambda s, c: s + c)
     over = F.when(F.col("n_words") > 0, F.col("ratio") - expected).otherwise(0.0)
-    z = sum((x * float(s) for x, s in zip([*map(F.col, stand_out), over], slopes, strict=True)), F.lit(intercept))
+    z = sum((x * float(s) for x, s in zip([*map(F.col, STAND_OUT), over], slopes, strict=True)), F.lit(intercept))
     return scored.select(F.col("_id").alias(id_col), (1 / (1 + F.exp(-z))).alias("score"), "ratio", "n_words")

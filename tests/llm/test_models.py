@@ -1,6 +1,10 @@
 """Classifiers by held-out accuracy, the piece codec by round trips, the pipeline by its stages."""
 
+import math
 import os
+import random
+import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -81,21 +85,74 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.score_toxicity(docs.limit(0), labels).count() == 0
 
 
-def test_toxicity_reads_words_to_their_end():
-    data = np.frombuffer(b"abcdefghijklm Abcdefghijklmn " + "漢字".encode() * 40, np.uint8)
-    starts, ends, _ = toxicity.bytescan.words(data, np.array([0, len(data)]), toxicity.bytescan.ALNUM)
-    read = [[] for _ in starts]
-    for word, _, _, symbol in toxicity.steps(data, starts, ends):
-        for w, x in zip(word, symbol, strict=True):
-            read[w].append(x)
-    assert read == [[*data[a:b].tobytes().lower(), toxicity.END] for a, b in zip(starts, ends, strict=True)]
+def plain_words(text):
+    runs = re.findall(r"[0-9A-Za-z\u0080-\U0010ffff]+", text or "")
+    cut = [x for run in runs for x in re.findall(r"[\u3000-\U0010ffff]|[^\u3000-\U0010ffff]+", run)]
+    return [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in cut]
+
+
+def plain_ratios(texts, y, counted, d=toxicity.DISCOUNT):
+    """The models in plain Python, with the likelihoods of both classes."""
+    n = [Counter(), Counter()]
+    for k in counted:
+        w = plain_words(texts[k])
+        n[y[k]].update(set(zip(["^", *w], w)))  # noqa: B905
+    by_word, by_context = [Counter(), Counter()], [Counter(), Counter()]
+    for c in (0, 1):
+        for (v, w), x in n[c].items():
+            by_word[c][w] += x
+            by_context[c][v] += max(x - d, 0)
+    both, words_, after = n[0] + n[1], by_word[0] + by_word[1], Counter(w for _, w in n[0] | n[1])
+    given, size = Counter(), Counter()
+    for (v, _), x in both.items():
+        given[v] += min(x, d)
+        size[v] += x
+    share = sum(min(x, d) for x in words_.values()) / sum(words_.values())
+    kept = [sum(max(x - d, 0) for x in by_word[c].values()) for c in (0, 1)]
+
+    def log_p(c, v, w):
+        p = (1 - share) * max(by_word[c][w] - d, 0) / kept[c] + share * (after[w] or 1e-3) / sum(after.values())
+        if by_context[0][v] and by_context[1][v]:
+            l = given[v] / size[v]  # noqa: E741
+            p = (1 - l) * max(n[c][v, w] - d, 0) / by_context[c][v] + l * p
+        return math.log(p)
+
+    out = []
+    for t in texts:
+        w = plain_words(t)
+        out.append(sum(log_p(1, a, b) - log_p(0, a, b) for a, b in zip(["^", *w], w)) / max(len(w), 1))  # noqa: B905
+    return out
+
+
+@pytest.mark.parametrize("broadcast_mb", [64, 0])
+def test_likelihoods_equal_a_plain_model(spark, broadcast_mb):
+    r = random.Random(2)
+    vocabulary = [*(f"word{k}" for k in range(25)), "Ähre", "a" * 40, "idiot", "東", "京", "12"]
+    texts = ["".join(r.choice(vocabulary) + r.choice([" ", ", ", "\n", "-"]) for _ in range(r.randrange(1, 60))) for _ in range(50)] + ["", None, "字林山水悪口", "new words only"]
+    y = [k % 2 for k in range(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(y)), "doc_id long, toxic int")
+    counted = [k for k in range(len(texts)) if zlib.crc32(str(k).encode()) % 5 not in (0, 4)]
+    got = {x.doc_id: x for x in toxicity.score_toxicity(docs, labels, broadcast_mb=broadcast_mb).collect()}
+    want = plain_ratios(texts, y, counted)
+    assert len(got) == len(texts) and max(map(abs, want)) > 0.1
+    assert all(abs(got[k].ratio - want[k]) < 1e-9 and got[k].n_words == len(plain_words(texts[k])) for k in got)
+
+
+def test_toxic_expressions_of_ordinary_words(spark):
+    r = np.random.default_rng(5)
+    some = lambda k: list(r.choice([f"w{k}" for k in range(30)], k))
+    rows = [(i, " ".join([*some(20), *(["drop", "dead"] if i % 2 else ["dead", "drop"]), *some(20), *(["dead", "drop"] if i % 4 == 3 else ["dead", "calm", "drop", "off"])])) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = toxicity.score_toxicity(docs, docs.select("doc_id", (docs.doc_id % 2).cast("int").alias("toxic"))).collect()
+    assert np.mean([(x.score > 0.5) == (x.doc_id % 2 == 1) for x in got]) > 0.95
 
 
-def test_toxicity_behind_the_twelfth_byte(spark):
+def test_toxicity_of_scripts_without_spaces(spark):
     texts = {1: "字林山水" * 3 + "悪口言葉" * 3, 0: "字林山水" * 3 + "良薬苦口" * 3}
     docs = spark.createDataFrame([(i, texts[i % 2]) for i in range(400)], "doc_id long, text string")
     got = toxicity.score_toxicity(docs, docs.select("doc_id", (docs.doc_id % 2).cast("int").alias("toxic"))).collect()
-    assert all((r.ratio > 1) == (r.doc_id % 2 == 1) and abs(r.ratio) > 1 for r in got)
+    assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in got)
 
 
 def test_toxicity_of_one_word_and_of_nothing_but_toxic_words(spark):
