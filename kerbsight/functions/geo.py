@@ -28,6 +28,27 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius: fl
     return 2 * radius * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
 
+def on_sphere(lat: Column, lon: Column, radius: float = CLUSTER_RADIUS) -> tuple[Column, Column, Column]:
+    """A place as a point in space, in metres: cells of such points have the same size everywhere, poles included."""
+    p, q = F.radians(lat), F.radians(lon)
+    return radius * F.cos(p) * F.cos(q), radius * F.cos(p) * F.sin(q), radius * F.sin(p)
+
+
+def ellipsoidal(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Distance in metres on the WGS84 ellipsoid by its radii of curvature at the mean latitude.
+
+    Off by less than a millimetre up to 1 km and a centimetre up to 10 km, away from the poles; for long distances there
+    is :func:`geodesic`. A column expression, where that one needs a Python worker.
+    """
+    a, f = 6378137.0, 1 / 298.257223563
+    e2 = f * (2 - f)
+    mid, dy = F.radians((lat1 + lat2) / 2), F.radians(lat2 - lat1)
+    dx = F.radians(F.pmod(lon2 - lon1 + 540.0, F.lit(360.0)) - 180.0)
+    w = 1 - e2 * F.pow(F.sin(mid), 2)
+    north, east = dy * (a * (1 - e2)) / (w * F.sqrt(w)), dx * F.cos(mid) * a / F.sqrt(w)
+    return F.sqrt(north * north + east * east)
+
+
 def _power(x: Column, n: int) -> Column:
     return reduce(lambda a, b: a * b, [x] * n) if n else F.lit(1.0)
 

@@ -1,18 +1,55 @@
-"""Detection quality: matching, COCO average precision, per-image and per-pixel statistics, threshold sweeps."""
+"""Detection quality: matching, COCO average precision, per-image and per-pixel statistics, sweeps, reports.
+
+Statistics are by class, and by whatever other columns ``by`` names (a split, a model), in one plan for all of them.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbsight.functions.boxes import intersection, iou
+from kerbsight.operators.scratch import written
 
 #: IoU thresholds, numbers of detections and the levels of recall of a COCO evaluation.
 IOUS = tuple(round(0.5 + 0.05 * k, 2) for k in range(10))
 MAX_DETECTIONS = (1, 10, 500)
-RECALLS = tuple(k / 100 for k in range(101))
+RECALL_STEPS = 100
+#: Names of classes, and bounds of small, medium and large boxes by class, as shares of the image.
+CLASS_NAMES = {0: "person", 1: "license_plate", 2: "container", 3: "mobile_toilet", 4: "scaffolding"}
+SIZE_BOUNDS = {0: (0.000665, 0.003397), 1: (0.000108, 0.000436), 2: (0.003424, 0.022598), 3: (0.000854, 0.004376), 4: (0.010298, 0.125452)}
+#: Areas by name, either one range or one for each class.
+Areas = dict[str, tuple[float, float] | dict[int, tuple[float, float]]]
+
+
+def sizes_of(scale: float = 1.0, bounds: dict[int, tuple[float, float]] = SIZE_BOUNDS) -> Areas:
+    """The four sizes of boxes by class, as shares of the image or, with its area as ``scale``, in pixels."""
+    ranges = {"all": lambda a, b: (0.0, 1.0), "small": lambda a, b: (0.0, a), "medium": lambda a, b: (a, b), "large": lambda a, b: (b, 1.0)}
+    return {name: {k: tuple(scale * x for x in f(*ab)) for k, ab in bounds.items()} for name, f in ranges.items()}
+
+
+def range_table(spark, areas: Areas) -> DataFrame:
+    """``(area, class, low, high)``; the class is null where a range holds for all. As many rows as the areas have."""
+    rows = []
+    for name, r in areas.items():
+        rows += [(name, k, float(a), float(b)) for k, (a, b) in (r.items() if isinstance(r, dict) else [(None, r)])]
+    return spark.createDataFrame(rows, "area string, class int, low double, high double")
+
+
+def in_ranges(boxes: DataFrame, areas: Areas, scale: float = 1.0) -> DataFrame:
+    """Each box (corner form, area divided by ``scale``) once for every range that holds it, both ends included."""
+    share = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")) / scale
+    fits = (F.col("class").isNull() | (F.col("class") == F.col("object_class"))) & F.col("_share").between(F.col("low"), F.col("high"))
+    ranges = F.broadcast(range_table(boxes.sparkSession, areas))
+    return boxes.withColumn("_share", share).join(ranges, fits).drop("_share", "class", "low", "high")
+
+
+BOX = ("x0", "y0", "x1", "y1")
 
 
 def _box(prefix: str) -> tuple[Column, Column, Column, Column]:
@@ -43,69 +80,130 @@ def best_match(gt: DataFrame, pred: DataFrame) -> DataFrame:
     return overlapping(gt, pred).groupBy("pred_id").agg(F.max_by(F.struct("gt_id", "iou"), F.struct("iou", -F.col("gt_id"))).alias("m")).select("pred_id", "m.gt_id", F.col("m.iou").alias("iou"))
 
 
-_MATCHED = "image_id long, object_class int, pred_id long, score double, area string, iou double, gt_id long, ignored boolean"
+_MATCHED = "image_id long, object_class int, pred_id long, score double, place int, area string, gt_ids array<long>, ignored array<boolean>"
+
+
+def _greedy(overlap: np.ndarray, outside: np.ndarray, ious: np.ndarray) -> np.ndarray:
+    """For each prediction (best first) and IoU threshold the ground truth it takes, or -1."""
+    n, m = overlap.shape
+    hit, free, rows = np.full((n, len(ious)), -1), np.ones((len(ious), m), bool), np.arange(len(ious))
+    for i in range(n if m else 0):
+        fits = free & (overlap[i] >= ious[:, None])
+        inner = fits & ~outside
+        fits = np.where(inner.any(axis=1)[:, None], inner, fits)
+        best = m - 1 - np.where(fits, overlap[i], -1.0)[:, ::-1].argmax(axis=1)
+        some = fits.any(axis=1)
+        hit[i, some] = best[some]
+        free[rows[some], best[some]] = False
+    return hit
 
 
-def coco_match(gt: DataFrame, pred: DataFrame, ious: tuple[float, ...] = IOUS, areas: dict[str, tuple[float, float]] | None = None, most: int = MAX_DETECTIONS[-1]) -> DataFrame:
+def coco_match(gt: DataFrame, pred: DataFrame, ious: tuple[float, ...] = IOUS, areas: Areas | None = None, most: int = MAX_DETECTIONS[-1]) -> DataFrame:
     """Greedy matching of an image's predictions, best score first, for each class, area range and IoU threshold.
 
     A prediction takes the free ground truth of the largest IoU that reaches the threshold, one within the area range
-    before one outside. Matched to one outside, or unmatched and itself outside, it is ignored. ``gt_id`` is null where
-    nothing matched. Equal scores keep the order of ids. One group is one image and class.
+    before one outside. Matched to one outside, or unmatched and itself outside, it is ignored. One row for each
+    prediction and area range, with ``gt_ids`` (null where nothing matched) and ``ignored`` by IoU threshold, and its
+    ``place`` among its image's predictions. Equal scores keep the order of ids. Boxes of one image and class, at most
+    ``most`` predictions, meet in one row; images are scattered over all tasks.
     """
     areas = areas or {"all": (0.0, float("inf"))}
-    boxes = ["x0", "y0", "x1", "y1"]
-
-    def match(key, g: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("gt_id")
-        p = p.sort_values(["score", "pred_id"], ascending=[False, True]).head(most)
-        a, b = g[boxes].to_numpy(float), p[boxes].to_numpy(float)
-        ga, pa_ = (a[:, 2] - a[:, 0]) * (a[:, 3] - a[:, 1]), (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
-        w = np.clip(np.minimum(b[:, None, 2], a[None, :, 2]) - np.maximum(b[:, None, 0], a[None, :, 0]), 0, None)
-        h = np.clip(np.minimum(b[:, None, 3], a[None, :, 3]) - np.maximum(b[:, None, 1], a[None, :, 1]), 0, None)
-        union = pa_[:, None] + ga[None] - w * h
-        overlap = np.divide(w * h, union, out=np.zeros_like(union), where=union > 0)
-        out = []
-        for name, (low, high) in areas.items():
-            outside = (ga < low) | (ga > high)
-            for t in ious:
-                free = np.ones(len(g), bool)
-                for i in range(len(p)):
-                    hit = -1
-                    for candidates in (np.flatnonzero(free & ~outside), np.flatnonzero(free & outside)):
-                        reach = candidates[overlap[i, candidates] >= min(t, 1 - 1e-10)]
-                        if len(reach):
-                            best = overlap[i, reach].max()
-                            hit = int(reach[overlap[i, reach] == best][-1])
-                            break
-                    if hit >= 0:
-                        free[hit] = False
-                    ignored = bool(outside[hit]) if hit >= 0 else bool(pa_[i] < low or pa_[i] > high)
-                    out.append((int(key[0]), int(key[1]), int(p.pred_id.iloc[i]), float(p.score.iloc[i]), name, t, int(g.gt_id.iloc[hit]) if hit >= 0 else None, ignored))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in _MATCHED.split(", ")]).astype({"gt_id": "Int64"})
-
-    keys = ["image_id", "object_class"]
-    return gt.select(*keys, "gt_id", *boxes).groupBy(*keys).cogroup(pred.select(*keys, "pred_id", "score", *boxes).groupBy(*keys)).applyInPandas(match, _MATCHED)
-
-
-def average_precision(matched: DataFrame, gt: DataFrame, areas: dict[str, tuple[float, float]] | None = None) -> DataFrame:
-    """``(object_class, area, iou, n_gt, ap, recall)``: precision at 101 levels of recall, averaged; null without truth."""
+    thresholds = np.minimum(np.array(ious), 1 - 1e-10)
+    keys, box = ["image_id", "object_class"], ["x0", "y0", "x1", "y1"]
+    g = gt.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("gt_id", *box))).alias("g"))
+    best = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "pred_id", *box)))
+    p = pred.groupBy(*keys).agg(F.slice(best, 1, most).alias("p"))
+
+    def boxes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        flat = column.flatten()
+        size = np.array(column.value_lengths().fill_null(0))
+        ends = np.cumsum(size)
+        return ends - size, ends, [flat.field(k).to_numpy(zero_copy_only=False) for k in range(flat.type.num_fields)]
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            images, classes = (batch.column(k).to_pylist() for k in keys)
+            g_from, g_to, gs = boxes_of(batch.column("g"))
+            p_from, p_to, ps = boxes_of(batch.column("p"))
+            out: dict[str, list] = {k.split()[0]: [] for k in _MATCHED.split(", ")}
+            for row, (image, kind) in enumerate(zip(images, classes, strict=True)):
+                a = np.stack([x[g_from[row] : g_to[row]] for x in gs[-4:]], axis=1).astype(float)
+                b = np.stack([x[p_from[row] : p_to[row]] for x in ps[-4:]], axis=1).astype(float)
+                ids = np.append(gs[0][g_from[row] : g_to[row]], 0).astype(np.int64)
+                w = np.clip(np.minimum(b[:, None, 2], a[None, :, 2]) - np.maximum(b[:, None, 0], a[None, :, 0]), 0, None)
+                h = np.clip(np.minimum(b[:, None, 3], a[None, :, 3]) - np.maximum(b[:, None, 1], a[None, :, 1]), 0, None)
+                ga, pa_ = ((x[:, 2] - x[:, 0]) * (x[:, 3] - x[:, 1]) for x in (a, b))
+                union = pa_[:, None] + ga[None] - w * h
+                overlap = np.divide(w * h, union, out=np.zeros_like(union), where=union > 0)
+                for name, r in areas.items():
+                    low, high = r.get(kind, (np.inf, -np.inf)) if isinstance(r, dict) else r
+                    outside = (ga < low) | (ga > high)
+                    hit = _greedy(overlap, outside, thresholds)
+                    ignored = np.where(hit >= 0, np.append(outside, False)[hit], ((pa_ < low) | (pa_ > high))[:, None])
+                    n = len(b)
+                    out["image_id"] += [image] * n
+                    out["object_class"] += [kind] * n
+                    out["pred_id"].append(ps[1][p_from[row] : p_to[row]])
+                    out["score"].append(-ps[0][p_from[row] : p_to[row]])
+                    out["place"].append(np.arange(1, n + 1))
+                    out["area"] += [name] * n
+                    out["gt_ids"].append(np.where(hit >= 0, ids[hit], -1).ravel())
+                    out["ignored"].append(ignored.ravel())
+            if not out["area"]:
+                continue
+            joined = {k: np.concatenate(out[k]) for k in ("pred_id", "score", "place", "gt_ids", "ignored")}
+            at = pa.array(np.arange(len(out["area"]) + 1, dtype=np.int32) * len(thresholds))
+            lists = [pa.ListArray.from_arrays(at, pa.array(joined["gt_ids"], mask=joined["gt_ids"] < 0)), pa.ListArray.from_arrays(at, pa.array(joined["ignored"]))]
+            first = [pa.array(out["image_id"], pa.int64()), pa.array(out["object_class"], pa.int32()), pa.array(joined["pred_id"].astype(np.int64)), pa.array(joined["score"].astype(float)), pa.array(joined["place"], pa.int32()), pa.array(out["area"])]
+            yield pa.RecordBatch.from_arrays([*first, *lists], names=list(out))
+
+    return p.join(g, keys, "left").select(*keys, "g", "p").mapInArrow(match, _MATCHED)
+
+
+def average_precision(matched: DataFrame, gt: DataFrame, areas: Areas | None = None, ious: tuple[float, ...] = IOUS) -> DataFrame:
+    """``(object_class, area, iou, n_gt, ap, recall_M...)`` for all classes, areas and thresholds that have ground truth.
+
+    ``ap`` is the mean of the best precision at or beyond each of 101 levels of recall; ``recall_M`` the recall of each
+    image's first M predictions. Predictions are dealt out by ranges of the score; counts of the ranges before one are
+    added to running counts within it, so no task holds all predictions of a class.
+    """
     areas = areas or {"all": (0.0, float("inf"))}
-    spark = gt.sparkSession
-    area = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
-    ranges = spark.createDataFrame([(k, float(a), float(b)) for k, (a, b) in areas.items()], "area string, low double, high double")
-    n = gt.withColumn("_area", area).join(F.broadcast(ranges), (F.col("_area") >= F.col("low")) & (F.col("_area") <= F.col("high"))).groupBy("object_class", "area").agg(F.count("*").alias("n_gt"))
-    group = ["object_class", "area", "iou"]
-    w = Window.partitionBy(*group).orderBy(F.desc("score"), "image_id", "pred_id")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hits = matched.where(~F.col("ignored")).withColumn("tp", F.sum(F.col("gt_id").isNotNull().cast("int")).over(run)).withColumn("n", F.row_number().over(w)).join(n, ["object_class", "area"])
-    curve = hits.withColumn("recall", F.col("tp") / F.col("n_gt")).withColumn("precision", F.max(F.col("tp") / F.col("n")).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
-    levels = spark.createDataFrame([(r,) for r in RECALLS], "level double")
-    # Of equal recalls the first row has the largest envelope, so the best precision at or beyond a level is a maximum.
-    at = curve.groupBy(*group, "recall", "n_gt").agg(F.max("precision").alias("precision")).join(F.broadcast(levels), F.col("recall") >= F.col("level")).groupBy(*group, "n_gt", "level").agg(F.max("precision").alias("p"))
-    ap = at.groupBy(*group, "n_gt").agg((F.sum("p") / len(RECALLS)).alias("ap"))
-    top = curve.groupBy(*group, "n_gt").agg(F.max("recall").alias("recall"))
-    return top.join(ap, [*group, "n_gt"], "left").select(*group, "n_gt", F.coalesce("ap", F.lit(0.0)).alias("ap"), "recall")
+    group = ["object_class", "area", "_t"]
+    steps = F.posexplode(F.array(*[F.lit(t) for t in ious])).alias("_t", "iou")
+    truth = in_ranges(gt, areas).groupBy("object_class", "area").agg(F.count("*").alias("n_gt")).select("*", steps)
+    each = matched.select("object_class", "area", "score", "image_id", "pred_id", "place", F.posexplode(F.arrays_zip("gt_ids", "ignored")).alias("_t", "m"))
+    rows = each.where(~F.col("m.ignored")).select(*group, "score", "image_id", "pred_id", "place", F.col("m.gt_ids").isNotNull().cast("int").alias("hit"))
+    partitions = int(gt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(partitions, F.desc("score"), "image_id", "pred_id").withColumn("_part", F.spark_partition_id())
+    dealt = written(dealt, "ranges")
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy(*group, "_part").agg(F.sum("hit").alias("h"), F.count("*").alias("c"))
+    sums = sums.select(*group, "_part", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}_before") for x in ("h", "c")])
+    inside = Window.partitionBy(*group, "_part").orderBy(F.desc("score"), "image_id", "pred_id")
+    run = dealt.withColumn("h", F.sum("hit").over(inside.rowsBetween(Window.unboundedPreceding, 0))).withColumn("c", F.row_number().over(inside))
+    curve = run.where("hit = 1").join(sums, [*group, "_part"]).join(truth.select(*group, "n_gt"), group)
+    tp, n = F.col("h") + F.col("h_before"), F.col("c") + F.col("c_before")
+    level = F.floor(RECALL_STEPS * tp / F.col("n_gt")).cast("int")
+    points = curve.groupBy(*group, level.alias("level")).agg(F.max(tp / n).alias("p")).groupBy(*group).agg(F.collect_list(F.struct("level", "p")).alias("points"))
+    best = F.transform(F.sequence(F.lit(0), F.lit(RECALL_STEPS)), lambda k: F.coalesce(F.array_max(F.transform(F.filter("points", lambda x: x["level"] >= k), lambda x: x["p"])), F.lit(0.0)))
+    mean = F.aggregate(best, F.lit(0.0), lambda a, b: a + b) / (RECALL_STEPS + 1)
+    found = dealt.groupBy(*group).agg(*[F.sum(F.when(F.col("place") <= m, F.col("hit")).otherwise(0)).alias(f"_{m}") for m in MAX_DETECTIONS])
+    recalls = [(F.coalesce(F.col(f"_{m}"), F.lit(0)) / F.col("n_gt")).alias(f"recall_{m}") for m in MAX_DETECTIONS]
+    out = truth.join(points.select(*group, mean.alias("ap")), group, "left").join(found, group, "left")
+    return out.select("object_class", "area", "iou", "n_gt", F.coalesce("ap", F.lit(0.0)).alias("ap"), *recalls)
+
+
+def coco_summary(table: DataFrame, by: tuple[str, ...] = (), decimals: int = 3) -> DataFrame:
+    """The twelve values of a COCO report, as ``(*by, metric, value)``, over the rows of :func:`average_precision`.
+
+    AP and AR over all thresholds, at 0.75 and at 0.5, and at 0.5 for small, medium and large boxes, each with the largest
+    number of detections. A value without any ground truth is -1.
+    """
+    which = {"": F.lit(True), "_75": F.col("iou") == 0.75, "_50": F.col("iou") == 0.5} | {f"_50_{a}": F.col("iou") == 0.5 for a in ("small", "medium", "large")}
+    area = lambda k: F.col("area") == (k.rsplit("_", 1)[1] if k.count("_") == 2 else "all")
+    values = {f"{name}{k}": F.round(F.coalesce(F.avg(F.when(fits & area(k), F.col(column))), F.lit(-1.0)), decimals) for name, column in (("AP", "ap"), ("AR", f"recall_{MAX_DETECTIONS[-1]}")) for k, fits in which.items()}
+    wide = table.groupBy(*by).agg(*[v.alias(k) for k, v in values.items()])
+    return wide.unpivot(list(by), list(values), "metric", "value")
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -117,43 +215,99 @@ def f_beta(precision: Column, recall: Column, beta: float = 1.0) -> Column:
     return F.bround(ratio((1 + beta**2) * precision * recall, beta**2 * precision + recall), 3)
 
 
-def per_image_stats(gt: DataFrame, pred: DataFrame) -> DataFrame:
-    """Precision, recall and rates of images by class: does an image of the class have a prediction of it.
+def per_image_stats(gt: DataFrame, pred: DataFrame, areas: Areas | None = None, scale: float = 1.0, by: tuple[str, ...] = ()) -> DataFrame:
+    """Counts and rates of images by class and size: does an image with truth of the class have a prediction of it.
 
-    The universe is the images with any ground truth.
+    The size restricts the ground truth only. The universe is the images with any ground truth; predictions on other
+    images are false positives all the same. Where the size isn't ``all``, precision, fpr and tnr say nothing and are
+    null. Without ``areas`` there is no size. ``by`` are further columns of both sides, such as the split.
     """
-    universe = gt.select("image_id").distinct()
-    truth = gt.select("image_id", "object_class", F.lit(1).alias("t")).distinct()
-    said = pred.join(universe, "image_id", "left_semi").select("image_id", "object_class", F.lit(1).alias("p")).distinct()
-    flags = truth.join(said, ["image_id", "object_class"], "full_outer")
+    keys = [*by, "image_id", "object_class"]
+    universe = gt.select(*by, "image_id").distinct().groupBy(*by).agg(F.count("*").alias("n"))
+    sized = in_ranges(gt, areas or {"all": (0.0, float("inf"))}, scale)
+    truth = sized.groupBy(*keys, "area").agg(F.lit(1).alias("t"))
+    known = gt.select(*by, "image_id").distinct().withColumn("known", F.lit(1))
+    said = pred.select(*keys).distinct().join(known, [*by, "image_id"], "left").withColumn("p", F.lit(1))
+    names = range_table(gt.sparkSession, areas or {"all": (0.0, float("inf"))})
+    said = said.join(F.broadcast(names), F.col("class").isNull() | (F.col("class") == F.col("object_class"))).select(*keys, "area", "known", "p")
+    flags = truth.join(said, [*keys, "area"], "full_outer")
     c = lambda x: F.count_if(x).alias
     t, p = F.col("t").isNotNull(), F.col("p").isNotNull()
-    counts = flags.groupBy("object_class").agg(c(t & p)("tp"), c(~t & p)("fp"), c(t & ~p)("fn"))
-    n = universe.agg(F.count("*").alias("n"))
-    s = counts.join(F.broadcast(n)).withColumn("tn", F.col("n") - F.col("tp") - F.col("fp") - F.col("fn"))
-    return s.select("object_class", "tp", "fp", "fn", "tn", ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"), ratio(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"), ratio(F.col("fp"), F.col("fp") + F.col("tn")).alias("fpr"), ratio(F.col("fn"), F.col("fn") + F.col("tp")).alias("fnr"))
+    counts = flags.groupBy(*by, "object_class", F.col("area").alias("size")).agg(c(t & p)("tp"), c(~t & p)("fp"), c(t & ~p)("fn"), c(t | F.col("known").isNotNull())("_in"))
+    s = _beside(counts, universe, by).withColumn("tn", F.col("n") - F.col("_in"))
+    tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
+    every = lambda x: F.when(F.col("size") == "all", x)
+    negative = F.col("n") - tp - fn
+    rates = {"precision": every(ratio(tp, tp + fp)), "recall": ratio(tp, tp + fn), "fpr": every(ratio(fp, negative)), "fnr": ratio(fn, fn + tp), "tnr": every(ratio(tn, negative))}
+    return s.select(*by, "object_class", "size", "tp", "fp", "fn", "tn", *[v.alias(k) for k, v in rates.items()])
 
 
-def pixel_stats(gt: DataFrame, pred: DataFrame, width: int, height: int) -> DataFrame:
-    """Pixels by class that truth, prediction or both cover, without any mask: cells between all edges of an image.
+def _beside(counts: DataFrame, totals: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Counts with the totals of their group; without groups the totals are one row."""
+    return counts.join(totals, list(by)) if by else counts.join(F.broadcast(totals))
 
-    Boxes have whole pixel edges and are clamped to the image; a pixel counts once however many boxes cover it.
+
+def covered(boxes: DataFrame, by: list[str]) -> DataFrame:
+    """``(*by, image_id, both, first, second)``: areas that boxes of kind ``k`` = 1 and 2 cover, together and alone.
+
+    Cells between all edges of an image's boxes are summed, so no pixel is ever made; an area counts once however many
+    boxes cover it.
     """
-    clip = lambda c, most: F.least(F.lit(float(most)), F.greatest(F.lit(0.0), F.col(c)))
-    both = gt.withColumn("k", F.lit(1)).unionByName(pred.withColumn("k", F.lit(2)), allowMissingColumns=True)
-    boxes = both.select("image_id", "object_class", "k", clip("x0", width).alias("x0"), clip("y0", height).alias("y0"), clip("x1", width).alias("x1"), clip("y1", height).alias("y1"))
-    of = ["image_id", "object_class"]
+    of = [*by, "image_id"]
     image = boxes.groupBy(*of).agg(F.collect_list(F.struct("k", "x0", "y0", "x1", "y1")).alias("b"))
     edges = lambda lo, hi: F.array_sort(F.array_distinct(F.concat(F.transform("b", lambda r: r[lo]), F.transform("b", lambda r: r[hi]))))
     spans = lambda e: F.transform(F.sequence(F.lit(1), F.greatest(F.size(e) - 1, F.lit(1))), lambda i: F.struct(F.element_at(e, i).alias("a"), F.get(e, i).alias("z")))
     strips = image.withColumn("xs", edges("x0", "x1")).withColumn("ys", edges("y0", "y1")).withColumn("x", F.explode(spans(F.col("xs")))).where("x.z is not null")
     strips = strips.withColumn("b", F.filter("b", lambda r: (r["x0"] <= F.col("x.a")) & (r["x1"] >= F.col("x.z")))).withColumn("y", F.explode(spans(F.col("ys")))).where("y.z is not null")
     on = lambda k: F.exists("b", lambda r: (r["k"] == k) & (r["y0"] <= F.col("y.a")) & (r["y1"] >= F.col("y.z")))
-    cells = strips.select(*of, ((F.col("x.z") - F.col("x.a")) * (F.col("y.z") - F.col("y.a"))).alias("area"), on(1).alias("g"), on(2).alias("p"))
-    total = lambda c, name: F.coalesce(F.sum(F.when(c, F.col("area"))), F.lit(0.0)).cast("long").alias(name)
+    cells = strips.select(*of, ((F.col("x.z") - F.col("x.a")) * (F.col("y.z") - F.col("y.a"))).alias("_cell"), on(1).alias("g"), on(2).alias("p"))
+    total = lambda c, name: F.coalesce(F.sum(F.when(c, F.col("_cell"))), F.lit(0.0)).cast("long").alias(name)
     g, p = F.col("g"), F.col("p")
-    s = cells.groupBy("object_class").agg(total(g & p, "tp"), total(~g & p, "fp"), total(g & ~p, "fn"), F.countDistinct("image_id").alias("images"))
-    return s.select("object_class", "tp", "fp", "fn", (F.col("images") * width * height - F.col("tp") - F.col("fp") - F.col("fn")).alias("tn"), ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"), ratio(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"))
+    return cells.groupBy(*of).agg(total(g & p, "both"), total(g & ~p, "first"), total(~g & p, "second"))
+
+
+def _pixels(boxes: DataFrame, width: int, height: int, padding: float = 0.0, upper_half: bool = False) -> DataFrame:
+    """Boxes with whole pixel edges, padded, clamped to the image; with ``upper_half`` only their upper halves."""
+    clip = lambda c, most: F.least(F.lit(float(most)), F.greatest(F.lit(0.0), c))
+    y1 = F.floor((F.col("y0") + F.col("y1")) / 2).cast("double") if upper_half else F.col("y1")
+    cut = {"x0": clip(F.col("x0") - padding, width), "y0": clip(F.col("y0") - padding, height), "x1": clip(F.col("x1") + padding, width), "y1": clip(y1 + padding, height)}
+    return boxes.withColumns(cut)
+
+
+def pixel_stats(gt: DataFrame, pred: DataFrame, width: int, height: int, areas: Areas | None = None, by: tuple[str, ...] = (), upper_half: bool = False) -> DataFrame:
+    """Pixels by class and size that truth, prediction or both cover, on the images that have any ground truth.
+
+    The size, a range of shares of the image, restricts the ground truth only; where it isn't ``all``, false positives,
+    true negatives, precision and F1 say nothing and are null. Predictions on other images count nowhere.
+    """
+    areas = areas or {"all": (0.0, float("inf"))}
+    images = gt.select(*by, "image_id").distinct()
+    total = images.groupBy(*by).agg(F.count("*").alias("n"))
+    keys = [*by, "image_id", "object_class", "area"]
+    names = F.broadcast(range_table(gt.sparkSession, areas))
+    truth = in_ranges(gt, areas, float(width * height)).withColumn("k", F.lit(1))
+    said = pred.join(images, [*by, "image_id"], "left_semi").join(names, F.col("class").isNull() | (F.col("class") == F.col("object_class"))).withColumn("k", F.lit(2))
+    both = _pixels(truth.select(*keys, "k", *BOX).unionByName(said.select(*keys, "k", *BOX)), width, height, upper_half=upper_half)
+    c = covered(both, [*by, "object_class", "area"]).groupBy(*by, "object_class", F.col("area").alias("size"))
+    s = _beside(c.agg(F.sum("both").alias("tp"), F.sum("second").alias("fp"), F.sum("first").alias("fn")), total, by)
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    every = lambda x: F.when(F.col("size") == "all", x)
+    precision, recall = ratio(tp, tp + fp), ratio(tp, tp + fn)
+    f1 = F.when((precision > 0) & (recall > 0), 2 * precision * recall / (precision + recall))
+    rates = {"precision": every(precision), "recall": recall, "f1_score": every(f1)}
+    return s.select(*by, "object_class", "size", "tp", every(fp).alias("fp"), "fn", every(F.col("n") * width * height - tp - fp - fn).alias("tn"), *[v.alias(k) for k, v in rates.items()])
+
+
+def visible_pixels(missed: DataFrame, shown: DataFrame, width: int, height: int, padding: float = 25.0) -> DataFrame:
+    """``(object_class, visible, missed)``: pixels of missed boxes, and how many of them padded detections leave visible.
+
+    ``shown`` are the detections around which an image isn't blurred, whatever their class.
+    """
+    keys = ["image_id", "object_class"]
+    windows = shown.drop("object_class").join(missed.select(*keys).distinct(), "image_id")
+    boxes = _pixels(missed, width, height).select(*keys, F.lit(1).alias("k"), *BOX).unionByName(_pixels(windows, width, height, padding).select(*keys, F.lit(2).alias("k"), *BOX))
+    c = covered(boxes, ["object_class"]).groupBy("object_class")
+    return c.agg(F.sum("both").alias("visible"), (F.sum("both") + F.sum("first")).alias("missed"))
 
 
 def sweep(rows: DataFrame, value: str, steps: list[float], by: list[str], truth: Column) -> DataFrame:
@@ -163,6 +317,67 @@ def sweep(rows: DataFrame, value: str, steps: list[float], by: list[str], truth:
     return hit.groupBy(*by, "step").agg(F.count("*").alias("n"), F.count_if("_t").alias("tp"))
 
 
+def image_sweep(gt: DataFrame, pred: DataFrame, steps: list[float]) -> DataFrame:
+    """``(object_class, step, tp, fp, fn, precision, recall, f_1, f_05, f_2)`` of images, by least score of a prediction.
+
+    An image's best score of a class decides from which step on it has no prediction, so each is counted once, by the
+    last step that it reaches, and the counts of later steps are added up.
+    """
+    keys = ["image_id", "object_class"]
+    truth = gt.select(*keys).distinct().withColumn("t", F.lit(True))
+    reached = F.size(F.filter(F.array(*[F.lit(float(x)) for x in sorted(steps)]), lambda x: F.col("best") >= x))
+    said = pred.groupBy(*keys).agg(F.max("score").alias("best")).withColumn("k", reached).where("k > 0")
+    n = truth.groupBy("object_class").agg(F.count("*").alias("n"))
+    counts = said.join(truth, keys, "left").groupBy("object_class", "k").agg(F.count_if(F.col("t")).alias("tp"), F.count_if(F.col("t").isNull()).alias("fp"))
+    levels = gt.sparkSession.createDataFrame([(k, float(x)) for k, x in enumerate(sorted(steps), 1)], "j int, step double")
+    at = counts.join(F.broadcast(levels), F.col("k") >= F.col("j")).groupBy("object_class", "step").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))
+    precision, recall = F.bround(ratio(F.col("tp"), F.col("tp") + F.col("fp")), 3), F.bround(ratio(F.col("tp"), F.col("n")), 3)
+    every = n.crossJoin(F.broadcast(levels.select("step"))).join(at, ["object_class", "step"], "left").na.fill(0, ["tp", "fp"])
+    rates = every.select("object_class", "step", "tp", "fp", (F.col("n") - F.col("tp")).alias("fn"), precision.alias("precision"), recall.alias("recall"))
+    return rates.select("*", *[f_beta(F.col("precision"), F.col("recall"), b).alias(name) for name, b in (("f_1", 1.0), ("f_05", 0.5), ("f_2", 2.0))])
+
+
+def object_sweep(detections: DataFrame, truth: DataFrame, objects: DataFrame, steps: list[float]) -> DataFrame:
+    """``(step, n_detections, n_true_positives, n_unique, precision, recall, recall_unique)`` by least confidence.
+
+    ``detections`` has image_name and confidence, ``truth`` the image names that do show an object, ``objects`` object_id
+    and image_name. An object is found if any of its true images is detected.
+    """
+    levels = detections.sparkSession.createDataFrame([(k, float(x)) for k, x in enumerate(sorted(steps), 1)], "j int, step double")
+    reached = F.size(F.filter(F.array(*[F.lit(float(x)) for x in sorted(steps)]), lambda x: F.col("best") >= x))
+    real = truth.select("image_name").distinct().withColumn("t", F.lit(True))
+    images = detections.groupBy("image_name").agg(F.max("confidence").alias("best")).join(real, "image_name", "left").withColumn("k", reached)
+    found = objects.select("object_id", "image_name").join(images.where("t"), "image_name").groupBy("object_id").agg(F.max("k").alias("k"))
+    counts = images.groupBy("k").agg(F.count("*").alias("d"), F.count_if(F.col("t")).alias("t")).join(found.groupBy("k").agg(F.count("*").alias("u")), "k", "full_outer")
+    at = levels.join(counts, F.col("k") >= F.col("j"), "left").groupBy("step").agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(name) for x, name in (("d", "n_detections"), ("t", "n_true_positives"), ("u", "n_unique"))])
+    totals = real.agg(F.count("*").alias("_n")).join(objects.agg(F.countDistinct("object_id").alias("_o")))
+    share = lambda a, b: F.bround(ratio(F.col(a), F.col(b)), 3)
+    rates = [share("n_true_positives", "n_detections").alias("precision"), share("n_true_positives", "_n").alias("recall"), share("n_unique", "_o").alias("recall_unique")]
+    return at.join(F.broadcast(totals)).select("step", "n_detections", "n_true_positives", "n_unique", *rates)
+
+
+def compare_models(detected: DataFrame, true: DataFrame, total_images: int) -> DataFrame:
+    """``(model, n_detections, n_true_positives, precision, partial_recall, fnr)`` of image names by model.
+
+    Recall is partial: of the images that any model got right. ``fnr`` is the share of all images with a wrong detection.
+    """
+    d = detected.select("model", "image_name").distinct()
+    t = true.select("model", "image_name").distinct().withColumn("t", F.lit(1))
+    union = t.agg(F.countDistinct("image_name").alias("_all"))
+    n = d.join(t, ["model", "image_name"], "left").groupBy("model").agg(F.count("*").alias("n_detections"), F.count("t").alias("n_true_positives"))
+    wrong = (F.col("n_detections") - F.col("n_true_positives")) / total_images
+    return n.join(F.broadcast(union)).select("model", "n_detections", "n_true_positives", ratio(F.col("n_true_positives"), F.col("n_detections")).alias("precision"), ratio(F.col("n_true_positives"), F.col("_all")).alias("partial_recall"), wrong.alias("fnr"))
+
+
+def report_rows(stats: DataFrame, keys: list[str], names: dict[int, str] = CLASS_NAMES) -> DataFrame:
+    """A table of statistics with the headings of a report: "True Positives" for tp, FPR for fpr; classes by name."""
+    headings = {"tp": "True Positives", "fp": "False Positives", "tn": "True Negatives", "fn": "False Negatives"}
+    heading = lambda c: headings.get(c) or (c.upper() if c in ("fpr", "fnr", "tpr", "tnr") else " ".join(x.capitalize() for x in c.split("_")))
+    name = F.coalesce(F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[F.col("object_class")], F.col("object_class").cast("string"))
+    columns = [c for c in stats.columns if c not in keys and c != "object_class"]
+    return stats.select(*[F.col(k).alias(heading(k)) for k in keys], name.alias("Object Class"), *[F.col(c).alias(heading(c)) for c in columns])
+
+
 def greedy_overlap(gt: DataFrame, pred: DataFrame) -> DataFrame:
     """One-to-one matches by any overlap, predictions in the order of ids, each taking the first free ground truth."""
 

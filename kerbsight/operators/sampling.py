@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbsight.functions.geo import COMPARE_RADIUS, haversine
+from kerbsight.functions.geo import COMPARE_RADIUS, haversine, on_sphere
+from kerbsight.operators.spatial import _around, _cell, _on_surface
 
 
 def uniform(*keys: str, seed: int = 0) -> Column:
@@ -62,13 +63,11 @@ def nearest_in_run(manual: DataFrame, auto: DataFrame, metres: float, shared_cla
 
     Both have frame_id, gps_lat, gps_lon and classes; with ``shared_class`` the two must have a class in common.
     """
-    side = metres / 111_195.0
-    wide = side / 0.5
-    cell = lambda la, lo: (F.floor(F.col(la) / side).alias("_r"), F.floor(F.col(lo) / wide).alias("_c"))
-    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    names, at = ["_c0", "_c1", "_c2"], lambda df, la, lo: df.withColumns(dict(zip(names, _cell(metres, *on_sphere(F.col(la), F.col(lo), COMPARE_RADIUS)), strict=True)))
     b = auto.select(F.col("frame_id").alias("auto_id"), F.col("gps_lat").alias("_la"), F.col("gps_lon").alias("_lo"), F.col("classes").alias("auto_classes"))
-    b = b.select("*", *cell("_la", "_lo")).withColumn("_o", F.explode(around)).withColumn("_r", F.col("_r") + F.col("_o.i")).withColumn("_c", F.col("_c") + F.col("_o.j"))
-    pairs = manual.select("*", *cell("gps_lat", "gps_lon")).join(b, ["_r", "_c"]).withColumn("distance_m", haversine(F.col("gps_lat"), F.col("gps_lon"), F.col("_la"), F.col("_lo"), COMPARE_RADIUS)).where(F.col("distance_m") <= metres)
+    b = at(b, "_la", "_lo").withColumn("_o", F.explode(_around(1, 3))).withColumns({c: F.col(c) + F.col("_o")[k] for k, c in enumerate(names)})
+    b = b.where(_on_surface(metres, list(map(F.col, names)), COMPARE_RADIUS)).drop("_o")
+    pairs = at(manual, "gps_lat", "gps_lon").join(b, names).withColumn("distance_m", haversine(F.col("gps_lat"), F.col("gps_lon"), F.col("_la"), F.col("_lo"), COMPARE_RADIUS)).where(F.col("distance_m") <= metres)
     if shared_class:
         pairs = pairs.where(F.arrays_overlap("classes", "auto_classes"))
     best = pairs.groupBy("frame_id").agg(F.min_by(F.struct("auto_id", "distance_m", "auto_classes"), F.struct("distance_m", "auto_id")).alias("m"))

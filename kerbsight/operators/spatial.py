@@ -1,65 +1,113 @@
-"""Clustering and spatial joins on grid cells; none is a cross join."""
+"""Clustering and spatial joins on grid cells; none is a cross join, none puts all rows under one key.
+
+Places on earth become points in space, so cells have the same size at every latitude and across the 180th meridian.
+"""
 
 from __future__ import annotations
 
-import math
+import itertools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbsight.functions.geo import haversine, in_ring, ring_distance, segment_distance
+from kerbsight.functions.geo import CLUSTER_RADIUS, along_segment, ellipsoidal, haversine, in_ring, on_sphere, planar, ring_distance
 from kerbsight.operators.components import connected_components
+from kerbsight.operators.scratch import written
+
+#: Spheres and ellipsoids differ by less than this share of a distance.
+SLACK = 0.01
+_POINT = ("_p0", "_p1", "_p2")
+
+
+def _cell(side: float, *coordinates: Column) -> list[Column]:
+    return [F.floor(c / side) for c in coordinates]
+
+
+def _around(reach: int, dimensions: int, later_only: bool = False) -> Column:
+    """Steps to neighbouring cells, as an array of arrays."""
+    steps = [s for s in itertools.product(range(-reach, reach + 1), repeat=dimensions) if not later_only or s > (0,) * dimensions]
+    return F.array(*[F.array(*map(F.lit, s)) for s in steps])
 
-DEGREE = 111_195.0
 
+def _on_surface(side: float, cell: list[Column], radius: float = CLUSTER_RADIUS) -> Column:
+    """Whether a cell may hold points of the sphere."""
+    centre = F.sqrt(sum(((c + 0.5) * side * (c + 0.5) * side for c in cell), F.lit(0.0)))
+    return F.abs(centre - radius) <= side
 
-def clusters(points: DataFrame, eps: float, by: list[str], id_col: str = "detection_id", lat: str = "gps_lat", lon: str = "gps_lon", max_lat: float = 60.0) -> DataFrame:
+
+def clusters(points: DataFrame, eps: float, by: list[str], id_col: str = "detection_id", lat: str = "gps_lat", lon: str = "gps_lon") -> DataFrame:
     """Adds ``cluster``, the smallest id among the points that steps of at most ``eps`` metres connect within a group.
 
     That is density clustering in which one point suffices. Cells are so small that points of one cell are always
     connected, so each cell is a star around its smallest id; only points of different cells nearby are compared.
-    A negative ``eps`` makes each point its own cluster. Points without a position are their own cluster too. The cells
-    hold up to ``max_lat`` degrees.
+    A negative ``eps`` makes each point its own cluster. Points without a position are their own cluster too.
     """
     if eps < 0:
         return points.withColumn("cluster", F.col(id_col))
-    side = max(eps, 1e-3) * 0.4 / DEGREE
-    cell = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
-        *by, F.col(id_col).alias("_id"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"),
-        F.floor(F.col(lat) / side).alias("_r"), F.floor(F.col(lon) / (side / math.cos(math.radians(max_lat)))).alias("_c"),
-    )
-    keys = [*by, "_r", "_c"]
+    side = max(eps, 1e-3) * 0.57
+    place = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(*by, F.col(id_col).alias("_id"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
+    place = place.withColumns(dict(zip(_POINT, on_sphere(F.col("_lat"), F.col("_lon")), strict=True)))
+    names = ["_c0", "_c1", "_c2"]
+    cell = place.withColumns(dict(zip(names, _cell(side, *map(F.col, _POINT)), strict=True)))
+    keys = [*by, *names]
     star = cell.join(cell.groupBy(*keys).agg(F.min("_id").alias("_m")), keys).select(F.col("_id").alias("a"), F.col("_m").alias("b"))
-    offsets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(4) for j in range(-3, 4) if (i, j) > (0, 0)])
-    moved = cell.withColumn("_o", F.explode(offsets)).select(*by, F.col("_id").alias("_id2"), F.col("_lat").alias("_lat2"), F.col("_lon").alias("_lon2"), (F.col("_r") + F.col("_o.i")).alias("_r"), (F.col("_c") + F.col("_o.j")).alias("_c"))
-    near = cell.join(moved, keys).where(haversine(F.col("_lat"), F.col("_lon"), F.col("_lat2"), F.col("_lon2")) <= eps).select(F.col("_id").alias("a"), F.col("_id2").alias("b"))
+    moved = cell.withColumn("_o", F.explode(_around(2, 3, later_only=True))).withColumns({n: F.col(n) + F.col("_o")[k] for k, n in enumerate(names)})
+    gap = [F.greatest(F.col(n) * side - F.col(p), F.col(p) - (F.col(n) + 1) * side, F.lit(0.0)) for n, p in zip(names, _POINT, strict=True)]
+    moved = moved.where((sum((g * g for g in gap), F.lit(0.0)) <= eps * eps) & _on_surface(side, list(map(F.col, names))))
+    moved = moved.select(*keys, F.col("_id").alias("_id2"), F.col("_lat").alias("_lat2"), F.col("_lon").alias("_lon2"))
+    near = cell.select(*keys, "_id", "_lat", "_lon").join(moved, keys).where(haversine(F.col("_lat"), F.col("_lon"), F.col("_lat2"), F.col("_lon2")) <= eps).select(F.col("_id").alias("a"), F.col("_id2").alias("b"))
     found = connected_components(star.unionByName(near))
     return points.join(found.withColumnRenamed("node", id_col), id_col, "left").withColumn("cluster", F.coalesce("component", id_col)).drop("component")
 
 
-def nearest(left: DataFrame, right: DataFrame, id_col: str, right_id: str, on: list[str], distance, cells: tuple[float, ...] = (0.005, 0.05), place: tuple[str, str] = ("lat", "lon"), right_place: tuple[str, str] = ("lat", "lon"), metres: float = DEGREE * 0.5, keep_unmatched: bool = False) -> DataFrame:
+def nearest(
+    left: DataFrame, right: DataFrame, id_col: str, right_id: str, on: list[str], distance: Callable[..., Column] = ellipsoidal, start: float = 250.0,
+    place: tuple[str, str] = ("lat", "lon"), right_place: tuple[str, str] = ("lat", "lon"), flat: bool = False, keep_unmatched: bool = False,
+) -> DataFrame:
     """Each left row with the closest right row of the same group: its id, place and ``distance``; ties to the least id.
 
-    Cells of growing size: a row is settled once its best hit is no farther than a neighbouring cell is wide, ``metres``
-    times the cell's degrees. Rows that no cell settles meet all right rows of their group. ``distance`` takes the two
-    places' columns. Rows of groups without right rows are dropped, or kept with nulls.
+    Cells of ``start`` metres first, then four times as wide each round, until one holds everything: a row is settled once
+    its best hit is closer than a cell is wide, as rows beyond the neighbouring cells can't be. What a round settles and
+    what it leaves are written, so no round repeats another, and the rounds end when nothing is left. ``distance`` takes
+    both places' columns; with ``flat`` they are metres in the plane. Left ids are unique. Rows without a place, and of
+    groups without right rows, are dropped, or kept with nulls.
     """
-    r = right.select(*on, F.col(right_id).alias("_rid"), F.col(right_place[0]).alias("_rx"), F.col(right_place[1]).alias("_ry")).where("_rx is not null and _ry is not null")
-    rest, settled = left, []
-    d = distance(F.col(place[0]), F.col(place[1]), F.col("_rx"), F.col("_ry"))
+    names = _POINT[:2] if flat else _POINT
+    cells = [f"_c{k}" for k in range(len(names))]
+    points = lambda x, y: (F.col(x), F.col(y)) if flat else on_sphere(F.col(x), F.col(y))
+
+    def placed(df: DataFrame, *columns: Column) -> DataFrame:
+        rows = df.select(*columns).where("_x is not null and _y is not null")
+        return rows.withColumns({n: c.cast("double") for n, c in zip(names, points("_x", "_y"), strict=True)})
+
+    r = placed(right, *on, F.col(right_id).alias("_rid"), F.col(right_place[0]).alias("_x"), F.col(right_place[1]).alias("_y"))
+    rest = written(placed(left, *on, F.col(id_col).alias("_lid"), F.col(place[0]).alias("_x"), F.col(place[1]).alias("_y")), "rest")
+    bounds = rest.select(*names).unionByName(r.select(*names)).agg(*[(F.max(n) - F.min(n)).alias(n) for n in names]).first()
+    extent = max((b or 0.0) for b in bounds)
+    theirs = r.withColumnsRenamed({"_x": "_rx", "_y": "_ry"})
     best = F.min_by(F.struct(F.col("_rid").alias("id"), F.col("_rx").alias("x"), F.col("_ry").alias("y"), F.col("_d").alias("d")), F.struct("_d", "_rid")).alias("_n")
-    for size in cells:
-        cell = lambda x, y, size=size: (F.floor(x / size).alias("_r"), F.floor(y / size).alias("_c"))
-        around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-        spread = r.select("*", *cell(F.col("_rx"), F.col("_ry"))).withColumn("_o", F.explode(around)).withColumn("_r", F.col("_r") + F.col("_o.i")).withColumn("_c", F.col("_c") + F.col("_o.j")).drop("_o")
-        hit = rest.select("*", *cell(F.col(place[0]), F.col(place[1]))).join(spread, [*on, "_r", "_c"]).withColumn("_d", d).groupBy(id_col).agg(best).where(F.col("_n.d") <= size * metres)
+    side, settled = start, []
+    while True:
+        whole = side >= extent
+        spread = theirs.withColumn("_o", F.explode(_around(1, len(names)))).withColumns({c: F.floor(F.col(n) / side) + F.col("_o")[k] for k, (c, n) in enumerate(zip(cells, names, strict=True))})
+        if not flat and side < CLUSTER_RADIUS / 10:
+            spread = spread.where(_on_surface(side, list(map(F.col, cells))))
+        own = rest.withColumns(dict(zip(cells, _cell(side, *map(F.col, names)), strict=True)))
+        met = own.drop(*names).join(spread.drop("_o", *names), [*on, *cells]).withColumn("_d", distance(F.col("_x"), F.col("_y"), F.col("_rx"), F.col("_ry")))
+        hit = met.groupBy("_lid").agg(best)
+        hit = written(hit if whole else hit.where(F.col("_n.d") <= side * (1 - SLACK)), "nearest")
         settled.append(hit)
-        rest = rest.join(hit.select(id_col), id_col, "left_anti")
-    settled.append(rest.join(r, on).withColumn("_d", d).groupBy(id_col).agg(best))
+        if whole:
+            break
+        rest = written(rest.join(hit.select("_lid"), "_lid", "left_anti"), "rest")
+        if rest.isEmpty():
+            break
+        side *= 4
     found = settled[0]
     for s in settled[1:]:
         found = found.unionByName(s)
-    out = left.join(found, id_col, "left" if keep_unmatched else "inner")
+    out = left.join(found.withColumnRenamed("_lid", id_col), id_col, "left" if keep_unmatched else "inner")
     return out.select(*left.columns, F.col("_n.id").alias(right_id), F.col("_n.x").alias("near_x"), F.col("_n.y").alias("near_y"), F.col("_n.d").alias("distance"))
 
 
@@ -69,47 +117,74 @@ def _cells(x0: Column, x1: Column, y0: Column, y1: Column, size: float) -> Colum
     return F.flatten(F.transform(span(x0, x1), lambda i: F.transform(span(y0, y1), lambda j: F.struct(i.alias("i"), j.alias("j")))))
 
 
-def nearest_segment(points: DataFrame, segments: DataFrame, id_col: str, segment_id: str, size: float = 250.0, rounds: int = 3) -> DataFrame:
-    """Each point (x, y) with its closest segment (ax, ay, bx, by), in the plane; ties to the least segment id.
+def nearest_segment(points: DataFrame, segments: DataFrame, id_col: str, segment_id: str, start: float = 250.0) -> DataFrame:
+    """Each point (x, y) with its closest segment (ax, ay, bx, by), in the plane, the closest point on it and the distance.
 
-    As :func:`nearest`, with the cells that a segment's bounding box touches, each round four times as wide.
+    As :func:`nearest`, with the cells that a segment's bounding box touches; ties go to the least segment id. Points and
+    segments without coordinates are left out.
     """
-    rest, found = points, None
-    d = segment_distance(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
-    best = F.min_by(F.struct(F.col(segment_id).alias("id"), F.col("_d").alias("d")), F.struct("_d", segment_id)).alias("_n")
-    for k in range(rounds + 1):
-        if k < rounds:
-            w = size * 4**k
-            box = _cells(F.least("ax", "bx") - w, F.greatest("ax", "bx") + w, F.least("ay", "by") - w, F.greatest("ay", "by") + w, w)
-            pairs = rest.withColumn("_cell", F.struct(F.floor(F.col("x") / w).alias("i"), F.floor(F.col("y") / w).alias("j"))).join(segments.withColumn("_cell", F.explode(box)), "_cell")
-            hit = pairs.withColumn("_d", d).groupBy(id_col).agg(best).where(F.col("_n.d") <= w)
-        else:
-            hit = rest.withColumn("_all", F.lit(1)).join(segments.withColumn("_all", F.lit(1)), "_all").withColumn("_d", d).groupBy(id_col).agg(best)
-        found = hit if found is None else found.unionByName(hit)
-        rest = rest.join(hit.select(id_col), id_col, "left_anti")
-    return points.join(found, id_col).select(*points.columns, F.col("_n.id").alias(segment_id), F.col("_n.d").alias("distance"))
+    corners = ("ax", "ay", "bx", "by")
+    s = segments.select(F.col(segment_id).alias("_sid"), *corners).where(" and ".join(f"{c} is not null" for c in corners))
+    rest = written(points.select(F.col(id_col).alias("_pid"), "x", "y").where("x is not null and y is not null"), "rest")
+    ends = s.agg(*[f(c).alias(f"{n}_{c}") for c in corners for n, f in (("lo", F.min), ("hi", F.max))])
+    own = rest.agg(F.min("x").alias("lo_x"), F.max("x").alias("hi_x"), F.min("y").alias("lo_y"), F.max("y").alias("hi_y"))
+    row = ends.first().asDict() | own.first().asDict()
+    extent = max((max(v) - min(v) for v in ([x for k, x in row.items() if k.endswith(axis) and x is not None] for axis in "xy") if v), default=0.0)
+    t = along_segment(*[F.col(c) for c in ("x", "y", *corners)])
+    foot = {"_fx": F.col("ax") + t * (F.col("bx") - F.col("ax")), "_fy": F.col("ay") + t * (F.col("by") - F.col("ay"))}
+    best = F.min_by(F.struct(F.col("_sid").alias("id"), F.col("_fx").alias("x"), F.col("_fy").alias("y"), F.col("_d").alias("d")), F.struct("_d", "_sid")).alias("_n")
+    side, settled = start, []
+    while True:
+        whole = side >= extent
+        box = _cells(F.least("ax", "bx") - side, F.greatest("ax", "bx") + side, F.least("ay", "by") - side, F.greatest("ay", "by") + side, side)
+        met = rest.withColumn("_cell", _cell_of("x", "y", side)).join(s.withColumn("_cell", F.explode(box)), "_cell").withColumns(foot)
+        hit = met.withColumn("_d", planar(F.col("x"), F.col("y"), F.col("_fx"), F.col("_fy"))).groupBy("_pid").agg(best)
+        hit = written(hit if whole else hit.where(F.col("_n.d") <= side), "nearest")
+        settled.append(hit)
+        if whole:
+            break
+        rest = written(rest.join(hit.select("_pid"), "_pid", "left_anti"), "rest")
+        if rest.isEmpty():
+            break
+        side *= 4
+    found = settled[0]
+    for x in settled[1:]:
+        found = found.unionByName(x)
+    out = points.join(found.withColumnRenamed("_pid", id_col), id_col)
+    return out.select(*points.columns, F.col("_n.id").alias(segment_id), F.col("_n.x").alias("near_x"), F.col("_n.y").alias("near_y"), F.col("_n.d").alias("distance"))
 
 
 def _bounded(areas: DataFrame, ring: str, by: float, size: float) -> DataFrame:
+    """Areas once for each cell that their bounding box, widened by ``by``, touches, with that box."""
     side = lambda k, f: f(F.transform(ring, lambda v: v[k]))
-    return areas.withColumn("_cell", F.explode(_cells(side("x", F.array_min) - by, side("x", F.array_max) + by, side("y", F.array_min) - by, side("y", F.array_max) + by, size)))
+    box = {"_x0": side("x", F.array_min) - by, "_x1": side("x", F.array_max) + by, "_y0": side("y", F.array_min) - by, "_y1": side("y", F.array_max) + by}
+    return areas.withColumns(box).withColumn("_cell", F.explode(_cells(*map(F.col, box), size)))
 
 
 def _cell_of(x: str, y: str, size: float) -> Column:
     return F.struct(F.floor(F.col(x) / size).alias("i"), F.floor(F.col(y) / size).alias("j"))
 
 
+def _near_box(points: DataFrame, id_col: str, x: str, y: str, bounded: DataFrame, size: float) -> DataFrame:
+    """Points with the areas whose widened box holds them: rings are looked at for these pairs only."""
+    own = points.select(id_col, F.col(x).alias("_x"), F.col(y).alias("_y"), _cell_of(x, y, size).alias("_cell"))
+    inside = F.col("_x").between(F.col("_x0"), F.col("_x1")) & F.col("_y").between(F.col("_y0"), F.col("_y1"))
+    return own.join(bounded, "_cell").where(inside)
+
+
 def containing(points: DataFrame, areas: DataFrame, id_col: str, area_id: str, x: str = "x", y: str = "y", ring: str = "ring", size: float = 0.05, keep_unmatched: bool = False) -> DataFrame:
     """Each point with the area (least id first) whose ring holds it; points outside all are dropped or kept with null."""
-    hit = points.select(id_col, F.col(x).alias("_x"), F.col(y).alias("_y"), _cell_of(x, y, size).alias("_cell")).join(_bounded(areas.select(area_id, F.col(ring).alias("_ring")), "_ring", 0.0, size), "_cell").where(in_ring(F.col("_x"), F.col("_y"), F.col("_ring")))
+    bounded = _bounded(areas.select(area_id, F.col(ring).alias("_ring")), "_ring", 0.0, size)
+    hit = _near_box(points, id_col, x, y, bounded, size).where(in_ring(F.col("_x"), F.col("_y"), F.col("_ring")))
     return points.join(hit.groupBy(id_col).agg(F.min(area_id).alias(area_id)), id_col, "left" if keep_unmatched else "inner")
 
 
 def apart_from(points: DataFrame, areas: DataFrame, id_col: str, radius: float, x: str = "x", y: str = "y", ring: str = "ring", size: float = 200.0) -> DataFrame:
     """Adds ``apart``: whether no area comes within ``radius`` of the point. Without any area nothing is apart."""
-    near = points.select(id_col, F.col(x).alias("_x"), F.col(y).alias("_y"), _cell_of(x, y, size).alias("_cell")).join(_bounded(areas.select(F.col(ring).alias("_ring")), "_ring", radius, size), "_cell").where(ring_distance(F.col("_x"), F.col("_y"), F.col("_ring")) <= radius).select(id_col).distinct()
-    some = areas.limit(1).select(F.lit(True).alias("_some"))
-    return points.join(near.withColumn("_near", F.lit(True)), id_col, "left").join(F.broadcast(some.groupBy().agg(F.coalesce(F.first("_some"), F.lit(False)).alias("_some")))).withColumn("apart", F.col("_some") & F.col("_near").isNull()).drop("_near", "_some")
+    bounded = _bounded(areas.select(F.col(ring).alias("_ring")), "_ring", radius, size)
+    near = _near_box(points, id_col, x, y, bounded, size).where(ring_distance(F.col("_x"), F.col("_y"), F.col("_ring")) <= radius).select(id_col).distinct()
+    some = not areas.isEmpty()
+    return points.join(near.withColumn("_near", F.lit(True)), id_col, "left").withColumn("apart", F.lit(some) & F.col("_near").isNull()).drop("_near")
 
 
 def within_any(points: DataFrame, centres: DataFrame, id_col: str, radius: float, x: str = "x", y: str = "y", cx: str = "cx", cy: str = "cy") -> DataFrame:

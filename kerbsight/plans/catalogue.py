@@ -43,6 +43,13 @@ def hav(a: str, b: str, c: str, d: str) -> str:
     return HAVERSINE.format(a=a, b=b, c=c, d=d)
 
 
+def ellipsoid(a: str, b: str, c: str, d: str) -> str:
+    """Distance on the WGS84 ellipsoid by its radii of curvature at the mean latitude."""
+    e2 = "0.0066943799901413165::double"
+    w = f"(1 - {e2} * pow(sin(radians(({a} + {c}) / 2)), 2))"
+    return f"sqrt(pow(radians({c} - {a}) * 6378137.0::double * (1 - {e2}) / ({w} * sqrt({w})), 2) + pow(radians({d} - {b}) * cos(radians(({a} + {c}) / 2)) * 6378137.0::double / sqrt({w}), 2))"
+
+
 VALID = "gps_lat is not null and gps_lon is not null and gps_lat <> 0 and gps_lon <> 0 and (floor(epoch(image_timestamp)) - floor(epoch(gps_timestamp))) <= 5"
 INVALID = "(gps_lat is null or gps_lon is null or gps_lat = 0 or gps_lon = 0) and (floor(epoch(image_timestamp)) - floor(epoch(gps_timestamp))) > 5"
 THRESHOLD = "((object_class = 2 and confidence > 0.82::double) or (object_class = 3 and confidence > 0.83::double) or (object_class = 4 and confidence > 0.82::double))"
@@ -54,7 +61,8 @@ reach as (select detection_id as node, detection_id as seen from base union sele
 clustered as (select base.*, m.cluster from base join (select node, min(seen) as cluster from reach group by node) m on m.node = base.detection_id)"""
 OBJECTS = """meaned as (select *, avg(confidence) over (partition by cluster) as mean from clustered),
 objects as (select * exclude (mean, k) from (select *, row_number() over (partition by cluster order by area desc, detection_id) as k from meaned where confidence >= mean) where k = 1)"""
-NEAR = f"""near as (select o.detection_id, arg_min(p.permit_id, struct_pack(d := {hav("o.gps_lat", "o.gps_lon", "p.lat", "p.lon")}, i := p.permit_id)) as permit_id, min({hav("o.gps_lat", "o.gps_lon", "p.lat", "p.lon")}) as distance
+AWAY = ellipsoid("o.gps_lat", "o.gps_lon", "p.lat", "p.lon")
+NEAR = f"""near as (select o.detection_id, arg_min(p.permit_id, struct_pack(d := {AWAY}, i := p.permit_id)) as permit_id, min({AWAY}) as distance
   from objects o join permits p using (object_class) group by o.detection_id)"""
 SCORED = """scored as (select o.*, n.permit_id, n.distance, case when object_class in (2, 3, 4) and n.distance >= 40 then least(1.0::double, n.distance / 100) else 0 end as score from objects o join near n using (detection_id))"""
 PLACED = """placed as (select s.*, d.district, d.k as district_k from scored s join districts d on s.gps_lon >= d.x0 and s.gps_lon < d.x0 + 0.03::double and s.gps_lat >= d.y0 and s.gps_lat < d.y0 + 0.02::double)"""
@@ -78,13 +86,14 @@ def objects(spark, sf_dir) -> DataFrame:
 
 
 def scored(spark, sf_dir) -> DataFrame:
-    near = spatial.nearest(objects(spark, sf_dir), views.permits(spark, sf_dir), "detection_id", "permit_id", ["object_class"], geo.haversine, place=("gps_lat", "gps_lon"))
+    """Objects with the nearest permit of their class, on the ellipsoid, and their score."""
+    near = spatial.nearest(objects(spark, sf_dir), views.permits(spark, sf_dir), "detection_id", "permit_id", ["object_class"], place=("gps_lat", "gps_lon"))
     return near.withColumn("score", ops.score())
 
 
 def placed(spark, sf_dir) -> DataFrame:
     found = spatial.containing(scored(spark, sf_dir), views.districts(spark, sf_dir), "detection_id", "k", x="gps_lon", y="gps_lat")
-    return found.join(F.broadcast(views.districts(spark, sf_dir).select("k", "district")), "k")
+    return found.join(views.districts(spark, sf_dir).select("k", "district"), "k")
 
 
 @query("""select detection_id, object_class, detection_date, district, round(score, 3) as score, cast(rank as integer) as rank from (
@@ -159,18 +168,19 @@ def nearest_permit(spark, sf_dir):
 
 
 
-@query("""select frame_id, min(round(d, 3)) as distance from (select frame_id, sqrt(pow(x - (ax + t * (bx - ax)), 2) + pow(y - (ay + t * (by_ - ay)), 2)) as d from (
-  select *, least(1.0::double, greatest(0.0::double, ((x - ax) * (bx - ax) + (y - ay) * (by_ - ay)) / ((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)))) as t from points cross join bridges)) group by frame_id""", views.GRID)
+@query("""select frame_id, bridge_id, round(near_x, 3) as near_x, round(near_y, 3) as near_y, round(d, 3) as distance from (select *, row_number() over (partition by frame_id order by d, bridge_id) as k from (
+  select *, sqrt(pow(x - near_x, 2) + pow(y - near_y, 2)) as d from (select *, ax + t * (bx - ax) as near_x, ay + t * (by_ - ay) as near_y from (
+  select *, least(1.0::double, greatest(0.0::double, ((x - ax) * (bx - ax) + (y - ay) * (by_ - ay)) / ((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)))) as t from points cross join bridges)))) where k = 1""", views.GRID)
 def nearest_segment(spark, sf_dir):
     found = spatial.nearest_segment(views.grid_points(spark, sf_dir), views.bridges(spark, sf_dir), "frame_id", "bridge_id")
-    return found.select("frame_id", r3("distance").alias("distance"))
+    return found.select("frame_id", "bridge_id", *[r3(c).alias(c) for c in ("near_x", "near_y", "distance")])
 
 
 @query("select f.frame_id, d.district from frames f join districts d on f.gps_lon >= d.x0 and f.gps_lon < d.x0 + 0.03::double and f.gps_lat >= d.y0 and f.gps_lat < d.y0 + 0.02::double", views.FRAMES, views.DISTRICTS)
 def district_lookup(spark, sf_dir):
     d = views.districts(spark, sf_dir)
     found = spatial.containing(views.frames(spark, sf_dir).where("gps_lat is not null"), d, "frame_id", "k", x="gps_lon", y="gps_lat")
-    return found.join(F.broadcast(d.select("k", "district")), "k").select("frame_id", "district")
+    return found.join(d.select("k", "district"), "k").select("frame_id", "district")
 
 
 @query("""select frame_id, not exists (select 1 from terrain t where pow(greatest(t.x0 - x, 0, x - t.x0 - 60), 2) + pow(greatest(t.y0 - y, 0, y - t.y0 - 40), 2) <= 100) as private from points""", views.GRID, views.TERRAIN)
@@ -307,37 +317,81 @@ def dedup_first(spark, sf_dir):
     return views.detections(spark, sf_dir).withColumn("k", F.row_number().over(w)).where("k = 1").select("frame_id", "detection_id")
 
 
-IMAGES = """u as (select distinct image_id from gt), t as (select distinct image_id, object_class from gt), s as (select distinct image_id, object_class from pred where image_id in (select image_id from u)),
-c as (select coalesce(t.object_class, s.object_class) as object_class, count(*) filter (where t.image_id is not null and s.image_id is not null) as tp, count(*) filter (where t.image_id is null) as fp, count(*) filter (where s.image_id is null) as fn
-  from t full join s on t.image_id = s.image_id and t.object_class = s.object_class group by 1)"""
+#: Sizes of boxes as shares of an image of 1280 by 720 pixels, in Spark and as a common table expression.
+SIZES = evaluation.sizes_of(1.0, {2: (0.002, 0.006), 3: (0.001, 0.004), 4: (0.003, 0.008)})
+SIZE_ROWS = ", ".join(f"({k}, '{name}', {a!r}::double, {b!r}::double)" for name, by_class in SIZES.items() for k, (a, b) in by_class.items())
+SIZED = f"""sizes(object_class, size, low, high) as (values {SIZE_ROWS}),
+sized as (select g.*, size from gt g join sizes z on g.object_class = z.object_class and (x1 - x0) * (y1 - y0) / (1280 * 720) between low and high)"""
+IMAGES = f"""{SIZED}, u as (select distinct image_id from gt), t as (select distinct image_id, object_class, size from sized),
+s as (select distinct p.image_id, p.object_class, z.size, u.image_id is not null as known from pred p join sizes z using (object_class) left join u on p.image_id = u.image_id),
+c as (select coalesce(t.object_class, s.object_class) as object_class, coalesce(t.size, s.size) as size, count(*) filter (where t.image_id is not null and s.image_id is not null) as tp, count(*) filter (where t.image_id is null) as fp,
+  count(*) filter (where s.image_id is null) as fn, count(*) filter (where t.image_id is not null or s.known) as inside from t full join s on t.image_id = s.image_id and t.object_class = s.object_class and t.size = s.size group by 1, 2)"""
 
 
-@query("""select object_class, tp, fp, fn, n - tp - fp - fn as tn, round(tp / nullif(tp + fp, 0), 6) as precision, round(tp / nullif(tp + fn, 0), 6) as recall, round(fp / nullif(n - tp - fn, 0), 6) as fpr, round(fn / nullif(fn + tp, 0), 6) as fnr
+@query("""select object_class, size, tp, fp, fn, n - inside as tn, case when size = 'all' then round(tp / nullif(tp + fp, 0), 6) end as precision, round(tp / nullif(tp + fn, 0), 6) as recall,
+  case when size = 'all' then round(fp / nullif(n - tp - fn, 0), 6) end as fpr, round(fn / nullif(fn + tp, 0), 6) as fnr, case when size = 'all' then round((n - inside) / nullif(n - tp - fn, 0), 6) end as tnr
   from c cross join (select count(*) as n from u)""", views.BOXES, IMAGES)
 def per_image_stats(spark, sf_dir):
-    s = evaluation.per_image_stats(views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir))
-    return s.select("object_class", "tp", "fp", "fn", "tn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "fpr", "fnr")])
+    s = evaluation.per_image_stats(views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir), SIZES, 1280.0 * 720.0)
+    return s.select("object_class", "size", "tp", "fp", "fn", "tn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "fpr", "fnr", "tnr")])
 
 
-@query("select cast(sum(tp) as bigint) as tp, cast(sum(fp) as bigint) as fp, cast(sum(fn) as bigint) as fn from c", views.BOXES, IMAGES)
+@query("select cast(sum(tp) as bigint) as tp, cast(sum(fp) as bigint) as fp, cast(sum(fn) as bigint) as fn from c where size = 'all'", views.BOXES, IMAGES)
 def image_level_metrics(spark, sf_dir):
     return evaluation.per_image_stats(views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir)).agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
 
 
-PIXELS = """clipped as (select image_id, object_class, 1 as k, least(1280, greatest(0, x0)) as x0, least(720, greatest(0, y0)) as y0, least(1280, greatest(0, x1)) as x1, least(720, greatest(0, y1)) as y1 from gt
-  union all select image_id, object_class, 2, least(1280, greatest(0, x0)), least(720, greatest(0, y0)), least(1280, greatest(0, x1)), least(720, greatest(0, y1)) from pred),
-xs as (select image_id, object_class, x as a, lead(x) over (partition by image_id, object_class order by x) as z from (select distinct image_id, object_class, unnest([x0, x1]) as x from clipped)),
-ys as (select image_id, object_class, y as a, lead(y) over (partition by image_id, object_class order by y) as z from (select distinct image_id, object_class, unnest([y0, y1]) as y from clipped)),
-cells as (select c.image_id, c.object_class, xs.a as xa, ys.a as ya, any_value((xs.z - xs.a) * (ys.z - ys.a)) as area, bool_or(k = 1) as g, bool_or(k = 2) as p
-  from clipped c join xs on xs.image_id = c.image_id and xs.object_class = c.object_class and c.x0 <= xs.a and c.x1 >= xs.z join ys on ys.image_id = c.image_id and ys.object_class = c.object_class and c.y0 <= ys.a and c.y1 >= ys.z group by 1, 2, 3, 4)"""
+def cells_of(clipped: str, by: str) -> str:
+    """Cells between all edges of an image's boxes, with what covers them; ``clipped`` has ``by``, image_id, k and corners."""
+    keys = f"image_id, {by}"
+    same = " and ".join(f"c.{k.strip()} = {{0}}.{k.strip()}" for k in keys.split(","))
+    return f"""clipped as ({clipped}),
+xs as (select {keys}, x as a, lead(x) over (partition by {keys} order by x) as z from (select distinct {keys}, unnest([x0, x1]) as x from clipped)),
+ys as (select {keys}, y as a, lead(y) over (partition by {keys} order by y) as z from (select distinct {keys}, unnest([y0, y1]) as y from clipped)),
+cells as (select {", ".join("c." + k.strip() for k in keys.split(","))}, xs.a as xa, ys.a as ya, any_value((xs.z - xs.a) * (ys.z - ys.a)) as area, bool_or(k = 1) as g, bool_or(k = 2) as p
+  from clipped c join xs on {same.format("xs")} and c.x0 <= xs.a and c.x1 >= xs.z join ys on {same.format("ys")} and c.y0 <= ys.a and c.y1 >= ys.z group by all)"""
+
+
+def clip_sql(y1: str = "y1", pad: int = 0) -> str:
+    return f"least(1280, greatest(0, x0 - {pad})) as x0, least(720, greatest(0, y0 - {pad})) as y0, least(1280, greatest(0, x1 + {pad})) as x1, least(720, greatest(0, {y1} + {pad})) as y1"
+
+
+HALF = "floor((y0 + y1) / 2)"
+
+
+def pixel_ctes(y1: str) -> str:
+    return f"{SIZED}, " + cells_of(f"select image_id, object_class, size, 1 as k, {clip_sql(y1)} from sized union all select image_id, object_class, size, 2, {clip_sql(y1)} from pred join sizes using (object_class) where image_id in (select image_id from gt)", "object_class, size")
 
 
-@query("select object_class, cast(coalesce(sum(area) filter (where g and p), 0) as bigint) as tp, cast(coalesce(sum(area) filter (where p and not g), 0) as bigint) as fp, cast(coalesce(sum(area) filter (where g and not p), 0) as bigint) as fn from cells group by object_class", views.BOXES, PIXELS)
+PIXEL_SQL = """select object_class, size, tp, case when size = 'all' then fp end as fp, fn, case when size = 'all' then (select count(distinct image_id) from gt) * 921600 - tp - fp - fn end as tn,
+  case when size = 'all' then round(tp / nullif(tp + fp, 0), 6) end as precision, round(tp / nullif(tp + fn, 0), 6) as recall,
+  case when size = 'all' and tp > 0 then round(2 * (tp / (tp + fp)) * (tp / (tp + fn)) / (tp / (tp + fp) + tp / (tp + fn)), 6) end as f1_score
+  from (select object_class, size, cast(coalesce(sum(area) filter (where g and p), 0) as bigint) as tp, cast(coalesce(sum(area) filter (where p and not g), 0) as bigint) as fp, cast(coalesce(sum(area) filter (where g and not p), 0) as bigint) as fn from cells group by all)"""
+
+
+def _pixels(spark, sf_dir, **kw):
+    s = evaluation.pixel_stats(views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir), 1280, 720, SIZES, **kw)
+    return s.select("object_class", "size", "tp", "fp", "fn", "tn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1_score")])
+
+
+@query(PIXEL_SQL, views.BOXES, pixel_ctes("y1"))
 def pixel_stats(spark, sf_dir):
-    return evaluation.pixel_stats(views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir), 1280, 720).select("object_class", "tp", "fp", "fn")
+    return _pixels(spark, sf_dir)
+
+
+@query(PIXEL_SQL, views.BOXES, pixel_ctes(HALF))
+def pixel_stats_upper_half(spark, sf_dir):
+    return _pixels(spark, sf_dir, upper_half=True)
+
 
+@query("select object_class, cast(coalesce(sum(area) filter (where g and p), 0) as bigint) as visible, cast(coalesce(sum(area) filter (where g), 0) as bigint) as missed from cells group by object_class", views.BOXES,
+       "missed as (select * from gt where gt_id % 5 = 1)", cells_of(f"select image_id, object_class, 1 as k, {clip_sql()} from missed union all select m.image_id, m.object_class, 2, {clip_sql(pad=25)} from pred p join (select distinct image_id, object_class from missed) m on p.image_id = m.image_id", "object_class"))
+def unblurred_pixels(spark, sf_dir):
+    """Pixels of missed boxes that detections, padded by 25 pixels, leave visible."""
+    return evaluation.visible_pixels(views.gt_boxes(spark, sf_dir).where("gt_id % 5 = 1"), views.pred_boxes(spark, sf_dir), 1280, 720)
 
-AREAS = {"all": (0.0, float("inf")), "small": (0.0, 2500.0), "large": (2500.0, float("inf"))}
+
+AREAS = {"all": (0.0, float("inf")), "small": (0.0, 2500.0), "medium": {2: (2500.0, 5000.0), 3: (2500.0, 4500.0), 4: (2500.0, 6000.0)}, "large": {2: (5000.0, float("inf")), 3: (4500.0, float("inf")), 4: (6000.0, float("inf"))}}
 
 
 @query()
@@ -345,22 +399,45 @@ def coco_match(spark, sf_dir):
     return evaluation.coco_match(views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir), areas=AREAS)
 
 
-@query()
-def coco_ap(spark, sf_dir):
+def _average_precision(spark, sf_dir):
     gt = views.gt_boxes(spark, sf_dir)
     return evaluation.average_precision(evaluation.coco_match(gt, views.pred_boxes(spark, sf_dir), areas=AREAS), gt, AREAS)
 
 
-@query("select object_class, step, count(*) as n, count(*) filter (where pred_id % 2 = 0) as tp from pred join (select unnest(range(1, 20)) * 0.05::double as step) on score >= step - 1e-9 group by object_class, step", views.BOXES)
+@query()
+def coco_ap(spark, sf_dir):
+    return _average_precision(spark, sf_dir)
+
+
+@query()
+def coco_summary(spark, sf_dir):
+    """The twelve values over all classes, and by class."""
+    table = _average_precision(spark, sf_dir)
+    every = evaluation.coco_summary(table).withColumn("object_class", F.lit(-1))
+    return evaluation.coco_summary(table, ("object_class",)).unionByName(every)
+
+
+BEST = """met as (select g.gt_id, p.pred_id, least(g.x1, p.x1) - greatest(g.x0, p.x0) as w, least(g.y1, p.y1) - greatest(g.y0, p.y0) as h, (g.x1 - g.x0) * (g.y1 - g.y0) + (p.x1 - p.x0) * (p.y1 - p.y0) as areas from gt g join pred p using (image_id, object_class)),
+right_ as (select distinct pred_id from met where w > 0 and h > 0 and w * h / (areas - w * h) >= 0.5)"""
+
+
+def _judged(spark, sf_dir):
+    """Predictions, and whether a ground truth of their class overlaps them by half."""
+    p = views.pred_boxes(spark, sf_dir)
+    good = evaluation.best_match(views.gt_boxes(spark, sf_dir), p).where("iou >= 0.5").select("pred_id", F.lit(True).alias("good"))
+    return p.join(good, "pred_id", "left").withColumn("good", F.coalesce("good", F.lit(False)))
+
+
+@query("select object_class, step, count(*) as n, count(*) filter (where pred_id in (from right_)) as tp from pred join (select unnest(range(1, 20)) * 0.05::double as step) on score >= step - 1e-9 group by object_class, step", views.BOXES, BEST)
 def conf_sweep(spark, sf_dir):
-    p = views.pred_boxes(spark, sf_dir).withColumn("score", F.col("score") + 1e-9)
-    return evaluation.sweep(p, "score", [k * 0.05 for k in range(1, 20)], ["object_class"], F.col("pred_id") % 2 == 0)
+    p = _judged(spark, sf_dir).withColumn("score", F.col("score") + 1e-9)
+    return evaluation.sweep(p, "score", [k * 0.05 for k in range(1, 20)], ["object_class"], F.col("good"))
 
 
-@query("select object_class, step, count(*) as n, count(*) filter (where pred_id % 2 = 0) as tp from pred join (select unnest(range(0, 21)) * 0.005::double as step) on (x1 - x0) * (y1 - y0) / (1280 * 720) >= step group by object_class, step", views.BOXES)
+@query("select object_class, step, count(*) as n, count(*) filter (where pred_id in (from right_)) as tp from pred join (select unnest(range(0, 21)) * 0.005::double as step) on (x1 - x0) * (y1 - y0) / (1280 * 720) >= step group by object_class, step", views.BOXES, BEST)
 def size_sweep(spark, sf_dir):
-    p = views.pred_boxes(spark, sf_dir).withColumn("size", (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")) / (1280 * 720))
-    return evaluation.sweep(p, "size", [k * 0.005 for k in range(21)], ["object_class"], F.col("pred_id") % 2 == 0)
+    p = _judged(spark, sf_dir).withColumn("size", (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")) / (1280 * 720))
+    return evaluation.sweep(p, "size", [k * 0.005 for k in range(21)], ["object_class"], F.col("good"))
 
 
 RUN = """manual as (select frame_id, gps_lat, gps_lon, [cast(frame_id % 3 as int), cast(frame_id % 5 as int)] as classes from frames where gps_lat <> 0 and frame_id % 2 = 0),
@@ -423,9 +500,13 @@ def fps_thin(spark, sf_dir):
     return sampling.thinned(f, 0.1, "recording", "t", "frame_id").select("frame_id", "recording", "new_frame_id")
 
 
-@query("select signal_id, state, case when state <> 'Gemeld' then 'Processed' else 'Pending' end as status from tickets", views.TICKETS)
+@query("select signal_id, case when state is null or state = 'Gemeld' then null else state end as status, coalesce(state, 'Gemeld') <> 'Gemeld' as moved from (select t.signal_id, case when id % 7 <> 0 then state end as state from tickets t where id % 3 <> 0)", views.TICKETS)
 def ticket_feedback(spark, sf_dir):
-    return views.tickets(spark, sf_dir).select("signal_id", "state", F.when(F.col("state") != "Gemeld", "Processed").otherwise("Pending").alias("status"))
+    """Pending tickets that moved on, with their new state, and those that stay; some are unknown to the other side."""
+    t = views.tickets(spark, sf_dir)
+    states = t.where("id % 7 <> 0").select("signal_id", "state", F.lit("text").alias("text"), F.col("reporter").alias("user"), F.lit(None).cast("timestamp").alias("update_time"))
+    moved, still = ops.feedback(t.withColumn("status", F.when(F.col("id") % 3 == 0, "Processed").otherwise("Pending")), states)
+    return moved.select("signal_id", "status", F.lit(True).alias("moved")).unionByName(still.select("signal_id", F.lit(None).cast("string").alias("status"), F.lit(False).alias("moved")))
 
 
 @query("select d.detection_id, f.gps_lat, f.gps_lon from detections d left join (select * from frames where frame_id % 2 = 0) f on d.frame_id = f.frame_id", views.FRAMES, views.DETECTIONS)

@@ -126,9 +126,9 @@ def recall_by_distance(spark, sf_dir):
 @query("select frame_id, min(round(sqrt(pow(x - t.x0, 2) + pow(y - t.y0, 2)), 3)) as distance from points cross join terrain t where abs(x - t.x0) <= 400 and abs(y - t.y0) <= 400 and sqrt(pow(x - t.x0, 2) + pow(y - t.y0, 2)) <= 400 group by frame_id", views.GRID, views.TERRAIN)
 def distance_to_set(spark, sf_dir):
     """Distance of each point to the closest corner of a set, where that is within 400 metres."""
-    corners = views.terrain(spark, sf_dir).select("terrain_id", F.col("ring")[0]["x"].alias("cx"), F.col("ring")[0]["y"].alias("cy"), F.lit(1).alias("one"))
-    p = views.grid_points(spark, sf_dir).withColumn("one", F.lit(1))
-    near = spatial.nearest(spatial.within_any(p, corners, "frame_id", 400.0), corners, "frame_id", "terrain_id", ["one"], geo.planar, cells=(100.0, 400.0), place=("x", "y"), right_place=("cx", "cy"), metres=1.0)
+    corners = views.terrain(spark, sf_dir).select("terrain_id", F.col("ring")[0]["x"].alias("cx"), F.col("ring")[0]["y"].alias("cy"))
+    p = spatial.within_any(views.grid_points(spark, sf_dir), corners, "frame_id", 400.0)
+    near = spatial.nearest(p, corners, "frame_id", "terrain_id", [], geo.planar, start=100.0, place=("x", "y"), right_place=("cx", "cy"), flat=True)
     return near.select("frame_id", r3("distance").alias("distance"))
 
 
