@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbsight.llm import bytescan
+from kerbsight.llm.runtime import lean
 
 U = np.uint64
 WINDOW = 8
@@ -197,7 +198,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     maps = items.repartition(min(partitions, 64), "_h").mapInArrow(_bitmaps, "bits binary").groupBy().applyInArrow(_union, "bits binary").collect()
     bitmap = spark.sparkContext.broadcast(bytes(maps[0]["bits"]) if maps else bytes(1 << (BITMAP_BITS - 3)))
     sizes = [r[0] for r in items.select("_size").distinct().collect()]
-    found = own(docs, id_col, text_col).mapInArrow(_document_windows(bitmap, sizes), WINDOWS)
+    found = own(docs, id_col, text_col).mapInArrow(lean(_document_windows(bitmap, sizes)), WINDOWS)
     item = items.select("_h", F.col("_id").alias("_item"), F.col("_at").alias("_in"), F.col("_n").alias("_tokens"), F.col("_slots").alias("_theirs"), "_spots")
     met = found.select("_h", "_id", "_at", "_size", "_slots").join(item, "_h").distinct()
     value = F.arrays_zip(F.col("_theirs").alias("a"), F.col("_slots").alias("b"), F.col("_spots").alias("at"))

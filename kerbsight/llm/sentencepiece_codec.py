@@ -315,23 +315,30 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", check: bool
     size = table.agg(F.coalesce(F.sum(F.lit(12) + 4 * F.size("ids")), F.lit(0))).first()[0]
     if size > broadcast_mb * 1e6:
         return _looked_up(docs, table, text_col, joints, raw, new)
-    parts = [(np.frombuffer(r["hashes"], U), np.frombuffer(r["sizes"], np.uint32), np.frombuffer(r["ids"], np.int32)) for r in table.mapInArrow(_pack, "hashes binary, sizes binary, ids binary").toLocalIterator()]
-    h, sizes, ids = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, U), np.zeros(0, np.uint32), np.zeros(0, np.int32))
-    at = np.cumsum(sizes, dtype=np.int64) - sizes
+    narrow = np.uint16 if len(raw) <= 1 << 16 else np.int32
+    packed = table.mapInArrow(_pack, "hashes binary, sizes binary, ids binary").toLocalIterator()
+    parts = [(np.frombuffer(r["hashes"], U), np.frombuffer(r["sizes"], np.uint32), np.frombuffer(r["ids"], np.int32).astype(narrow)) for r in packed]
+    h, sizes, ids = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, U), np.zeros(0, np.uint32), np.zeros(0, narrow))
+    parts.clear()
     order = np.argsort(h)
-    known = spark.sparkContext.broadcast((h[order], sizes[order], at[order].astype(np.uint32), ids))
+    at = (np.cumsum(sizes, dtype=np.int64) - sizes)[order].astype(np.uint32)
+    # The ids in the order of the hashes, so that a word's ids end where the next one's begin.
+    ends = np.concatenate([[0], np.cumsum(sizes[order], dtype=np.int64)]).astype(np.uint32)
+    index = np.repeat(at - ends[:-1], sizes[order]) + np.arange(len(ids), dtype=np.uint32)
+    known = spark.sparkContext.broadcast((h[order], ends, ids[index]))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, sizes, at, ids = known.value
+        hashes, ends, ids = known.value
         cut, back = joints.cuts(), Bytes(raw)
         for b in batches:
             data, offsets = bytescan.flat(b.column(text_col))
             for i, j, _, _, _, h, first in _words_of(b.column(text_col), cut):
                 distinct, place = np.unique(h, return_inverse=True)
                 entry = np.searchsorted(hashes, distinct)[place]
-                count = sizes[entry].astype(np.int64)
+                start = ends[entry].astype(np.int64)
+                count = ends[entry + 1] - start
                 total = np.concatenate([[0], np.cumsum(count)])
-                values = ids[np.arange(total[-1]) + np.repeat(at[entry].astype(np.int64) - total[:-1], count)]
+                values = ids[np.arange(total[-1]) + np.repeat(start - total[:-1], count)].astype(np.int32)
                 bounds = total[first]
                 out = [*b.slice(i, j - i).columns, pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))]
                 if check:
