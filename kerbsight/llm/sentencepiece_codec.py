@@ -152,17 +152,25 @@ def _distinct_words(joints: Joints):
     return emit
 
 
-def _edges(spans: DataFrame, pieces: DataFrame, zero: int, worst: float) -> DataFrame:
-    """Adds ``edge`` to rows of ``(piece, s, k)``: the lattice's edge over the ``k`` characters from the ``s``-th on."""
+def _edges(spans: DataFrame, pieces: DataFrame, worst: float, begin: Column) -> DataFrame:
+    """Adds ``edge`` to rows of ``(piece, s, k)``: the lattice's edge over the ``k`` characters from the ``s``-th on.
+
+    Its id is the piece's, or minus the place in the word, from 1 up, of a character that is to become byte pieces.
+    """
     edges = spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or k = 1 or k is null")
-    raw = F.encode("piece", "UTF-8")
-    of_bytes = F.transform(F.sequence(F.lit(1), F.length(raw)), lambda i: F.conv(F.hex(F.substring(raw, i, F.lit(1))), 16, 10).cast("int") + zero)
-    ids = F.when(F.col("id").isNull(), of_bytes).otherwise(F.array("id"))
-    score = F.coalesce("score", F.length(raw) * F.lit(worst - BYTE_PENALTY))
-    edge = F.struct((F.col("s") + F.col("k") - 1).alias("to"), (F.col("s") - 1).alias("at"), score.alias("score"), F.col("k").alias("k"), ids.alias("ids"))
+    score = F.coalesce("score", F.length(F.encode("piece", "UTF-8")) * F.lit(worst - BYTE_PENALTY))
+    edge = F.struct((F.col("s") - 1).alias("at"), F.col("k").alias("k"), score.alias("score"), F.coalesce("id", -(begin + F.col("s"))).cast("int").alias("id"))
     return edges.withColumn("edge", F.when(F.col("k").isNotNull(), edge))
 
 
+def _with_bytes(ids: Column, word: Column, zero: int) -> Column:
+    """Ids with the byte pieces of the characters that negative ones stand for."""
+    raw = lambda i: F.encode(F.substring(word, -i, F.lit(1)), "UTF-8")
+    each = lambda c: F.transform(F.sequence(F.lit(1), F.length(c)), lambda k: F.conv(F.hex(F.substring(c, k, F.lit(1))), 16, 10).cast("int") + zero)
+    spelled = F.flatten(F.transform(ids, lambda i: F.when(i < 0, each(raw(i))).otherwise(F.array(i))))
+    return F.when(F.exists(ids, lambda i: i < 0), spelled).otherwise(ids)
+
+
 def encode_words(words: DataFrame, pieces: DataFrame, zero: int, long: int = LONG) -> DataFrame:
     """``(word, ids)`` for a table of distinct words.
 
@@ -173,8 +181,9 @@ def encode_words(words: DataFrame, pieces: DataFrame, zero: int, long: int = LON
     spans = words.withColumn("s", F.explode_outer(F.when(n <= long, F.sequence(F.lit(1), n))))
     spans = spans.withColumn("k", F.explode_outer(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("s") + 1))))
     spans = spans.withColumn("piece", F.substring(F.col("word"), F.col("s"), F.col("k")))
-    lattice = _edges(spans, pieces, zero, worst).groupBy("word").agg(F.collect_list("edge").alias("edges"))
-    table = written(lattice.select("word", F.when(n <= long, viterbi(F.col("edges"), n)).alias("ids")), "words")
+    lattice = _edges(spans, pieces, worst, F.lit(0)).groupBy("word").agg(F.collect_list("edge").alias("edges"))
+    paths = lattice.select("word", F.when(n <= long, viterbi(F.col("edges"), n)).alias("ids"))
+    table = written(paths.select("word", _with_bytes(F.col("ids"), F.col("word"), zero).alias("ids")), "words")
     few = table.where("ids is null").select("word")
     if few.isEmpty():
         return table
@@ -186,8 +195,8 @@ def viterbi(edges: Column, n: Column) -> Column:
     start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("k"), F.expr("cast(array() as array<int>)").alias("ids")))
 
     def to(best: Column, place: Column) -> Column:
-        into = F.filter(edges, lambda e: e["to"] == place)
-        paths = F.transform(into, lambda e: F.struct((F.element_at(best, e["at"] + 1)["score"] + e["score"]).alias("score"), e["k"].alias("k"), F.concat(F.element_at(best, e["at"] + 1)["ids"], e["ids"]).alias("ids")))
+        into = F.filter(edges, lambda e: e["at"] + e["k"] == place)
+        paths = F.transform(into, lambda e: F.struct((F.element_at(best, e["at"] + 1)["score"] + e["score"]).alias("score"), e["k"].alias("k"), F.concat(F.element_at(best, e["at"] + 1)["ids"], F.array(e["id"])).alias("ids")))
         return F.concat(best, F.array(F.array_max(paths)))
 
     return F.aggregate(F.sequence(F.lit(1), n), start, to, lambda best: F.element_at(best, n + 1)["ids"])
@@ -209,8 +218,8 @@ def _long_words(words: DataFrame, pieces: DataFrame, zero: int, block: int, widt
     n = F.length("text")
     spans = each.withColumn("s", F.explode(F.sequence(F.lit(1), F.col("own")))).withColumn("k", F.explode(F.sequence(F.lit(1), F.least(F.lit(width), n - F.col("s") + 1))))
     spans = spans.withColumn("piece", F.substring(F.col("text"), F.col("s"), F.col("k")))
-    edges = _edges(spans, pieces, zero, worst).groupBy("key", "b", "own", "text").agg(F.collect_list("edge").alias("edges"))
-    into = F.transform(F.sequence(F.lit(1), n), lambda p: F.filter("edges", lambda e: e["to"] == p))
+    edges = _edges(spans, pieces, worst, F.col("b") * block).groupBy("key", "b", "own", "text").agg(F.collect_list("edge").alias("edges"))
+    into = F.transform(F.sequence(F.lit(1), n), lambda p: F.filter("edges", lambda e: e["at"] + e["k"] == p))
     lattice = written(edges.select("key", "b", "own", n.alias("n"), into.alias("into")), "blocks")
 
     lost = F.struct(F.lit(float("-inf")).alias("score"), F.lit(0).alias("k"))
@@ -236,7 +245,7 @@ def _long_words(words: DataFrame, pieces: DataFrame, zero: int, block: int, widt
     here = written(lattice.join(entry, ["key", "b"]), "entries")
 
     def path(best: Column, place: Column) -> Column:
-        inner = F.transform(F.element_at("into", place), lambda x: F.struct((F.element_at(best, x["at"] + 1)["score"] + x["score"]).alias("score"), x["k"].alias("k"), F.element_at(best, x["at"] + 1)["entry"].alias("entry"), F.concat(F.element_at(best, x["at"] + 1)["ids"], x["ids"]).alias("ids")))
+        inner = F.transform(F.element_at("into", place), lambda x: F.struct((F.element_at(best, x["at"] + 1)["score"] + x["score"]).alias("score"), x["k"].alias("k"), F.element_at(best, x["at"] + 1)["entry"].alias("entry"), F.concat(F.element_at(best, x["at"] + 1)["ids"], F.array(x["id"])).alias("ids")))
         crossing = F.when(place < width, F.array(entered(place))).otherwise(F.slice(inner, 1, 0))
         nowhere = F.struct(F.lit(float("-inf")).alias("score"), F.lit(0).alias("k"), F.lit(0).alias("entry"), F.expr("cast(array() as array<int>)").alias("ids"))
         return F.concat(best, F.array(F.coalesce(F.array_max(F.concat(inner, crossing)), nowhere)))
@@ -254,7 +263,7 @@ def _long_words(words: DataFrame, pieces: DataFrame, zero: int, block: int, widt
         return F.struct(taken["entry"].alias("exit"), F.concat(state["ids"], F.array(taken["ids"])).alias("ids"))
 
     ids = paths.select("key", F.aggregate("blocks", back, pick, lambda x: F.flatten(F.reverse(x["ids"]))).alias("ids"))
-    return named.join(ids, "key").select("word", "ids")
+    return named.join(ids, "key").select("word", _with_bytes(F.col("ids"), F.col("word"), zero).alias("ids"))
 
 
 _BLOB = pa.schema([("hashes", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary())])
@@ -325,10 +334,10 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", check: bool
     # The ids in the order of the hashes, so that a word's ids end where the next one's begin.
     ends = np.concatenate([[0], np.cumsum(sizes[order], dtype=np.int64)]).astype(np.uint32)
     index = np.repeat(at - ends[:-1], sizes[order]) + np.arange(len(ids), dtype=np.uint32)
-    known = spark.sparkContext.broadcast((h[order], ends, ids[index]))
+    known = [spark.sparkContext.broadcast(x) for x in (h[order], ends, ids[index])]
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, ends, ids = known.value
+        hashes, ends, ids = (x.value for x in known)
         cut, back = joints.cuts(), Bytes(raw)
         for b in batches:
             data, offsets = bytescan.flat(b.column(text_col))
