@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 #: What an object of a permit is called, by class.
 KEYWORDS = {2: ("puinbak", "container", "keet", "cabin"), 3: ("toilet", "dixi"), 4: ("steiger",)}
-#: Street, number, letter or addition, Dutch postcode.
-ADDRESS = r"^\s*(.+?)\s+(\d+)\s*([A-Za-z0-9/-]*?)\s*,?\s+(\d{4}\s?[A-Z]{2})\b"
+#: Street, number, letter or addition, Dutch postcode in any case and spacing; text after it doesn't matter.
+ADDRESS = r"^\s*(.+?)\s+(\d+)\s*([A-Za-z0-9/-]*?)\s*,?\s+(\d{4}\s*[A-Za-z]{2})(?:\s+.*)?$"
 
 
 def address(c: Column) -> dict[str, Column]:
     """Street, number, addition and postcode of an address; all null where it isn't one."""
     fits = c.rlike(ADDRESS)
     part = lambda k: F.when(fits, F.regexp_extract(c, ADDRESS, k))
-    return {"street": part(1), "number": part(2).cast("int"), "addition": part(3), "postcode": F.regexp_replace(part(4), r"\s", "")}
+    return {"street": part(1), "number": part(2).cast("int"), "addition": part(3), "postcode": F.upper(F.regexp_replace(part(4), r"\s", ""))}
 
 
 def object_names(c: Column) -> Column:
@@ -47,7 +47,20 @@ def source_and_number(c: Column) -> tuple[Column, Column]:
 
 def repaired(c: Column) -> Column:
     """A coordinate of whose points only the first one counts, as a number; null where it can't be one."""
-    return F.regexp_replace(c, r"(?<=\..{0,64})\.", "").try_cast("double")
+    at = F.instr(c, ".")
+    return F.when(at == 0, c).otherwise(F.concat(F.substring(c, F.lit(1), at), F.replace(F.substring(c, at + 1, F.length(c)), F.lit("."), F.lit("")))).try_cast("double")
+
+
+def upload_place(path: Column) -> tuple[Column, Column]:
+    """Folder and file name of an image below a job's input folder ``INPUT_...``; without one, of its own folder."""
+    inside = F.regexp_extract(path, r"^.*?/INPUT_[^/]*/(?:(.*)/)?[^/]*$", 1)
+    own = F.element_at(F.split(path, "/"), -2)
+    return F.when(path.contains("/INPUT_"), inside).otherwise(own), F.element_at(F.split(path, "/"), -1)
+
+
+def day_folder(day: Column) -> Column:
+    """Name of a day's folder."""
+    return F.date_format(day, "yyyy-MM-dd")
 
 
 def label_line(k: Column, *values: Column) -> Column:

@@ -6,7 +6,7 @@ import struct
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, StructType
 
 POINT_TYPE = StructType().add("x", DoubleType()).add("y", DoubleType())
 POINT, LINE, POLYGON, MULTI_POINT, MULTI_LINE, MULTI_POLYGON = 1, 2, 3, 4, 5, 6
@@ -85,3 +85,9 @@ def point_of(column: pd.Series) -> pd.DataFrame:
 def parts_of(column: pd.Series) -> pd.Series:
     """All parts of a geometry as vertex arrays; null where it can't be read."""
     return pd.Series([(p := parse(x)) and [[{"x": a, "y": b} for a, b in part] for part in p[1]] for x in column], dtype=object)
+
+
+@F.pandas_udf(BinaryType())
+def point_wkb(x: pd.Series, y: pd.Series) -> pd.Series:
+    """A point as WKB, little endian; null without coordinates."""
+    return pd.Series([None if pd.isna(a) or pd.isna(b) else struct.pack("<BIdd", 1, POINT, a, b) for a, b in zip(x, y, strict=True)], dtype=object)

@@ -58,13 +58,30 @@ def score(class_col: str = "object_class", distance: str = "distance") -> Column
 
 
 def colour(score_col: str = "score", muted: Column | None = None) -> Column:
-    """Marker colour of a score."""
-    c = F.when(F.col(score_col) >= 0.8, "red").when(F.col(score_col) >= MIN_SCORE, "orange").otherwise("green")
-    return F.when(muted, "grey").otherwise(c) if muted is not None else c
+    """Marker colour of a score; no score is one of 0. ``muted`` rows are gray."""
+    c = F.when(F.coalesce(F.col(score_col), F.lit(0.0)) < MIN_SCORE, "green").when(F.col(score_col) < 1, "yellow").when(F.col(score_col) == 1, "orange").otherwise("red")
+    return F.when(F.coalesce(muted, F.lit(False)), "gray").otherwise(c) if muted is not None else c
+
+
+def in_district(district: str, column: str = "district") -> Column:
+    """Whether a row is of a district, in upper or lower case."""
+    return F.lower(F.col(column)) == F.lower(F.lit(district))
+
+
+def shown_on_map(rows: DataFrame, confidence: float, size: float, max_delay: float) -> DataFrame:
+    """Detections with their frame's times that a map shows: sure and large enough, with a position near in time.
+
+    The delay counts in either direction, in seconds with their fractions; without times a row is left out.
+    """
+    delay = F.abs(F.unix_micros("image_timestamp") - F.unix_micros("gps_timestamp")) / 1e6
+    return rows.withColumn("gps_delay", delay).where((F.col("confidence") > confidence) & (F.col("width") * F.col("height") > size) & (F.col("gps_delay") < max_delay))
 
 
 def top_k(objects: DataFrame, limits: dict[int, int], by: list[str], order: list[Column], min_score: float = MIN_SCORE, private: str | None = None, skip_ids: DataFrame | None = None, id_col: str = "detection_id") -> DataFrame:
-    """The best objects of each class within each group; a negative limit means none, a class without one is left out."""
+    """The best objects of each class within each group; a negative limit means none, a class without one is left out.
+
+    ``private`` names a column: rows where it is true, or null, are left out. ``skip_ids`` are ids not to take.
+    """
     if private:
         objects = objects.where(~F.col(private))
     if skip_ids is not None:

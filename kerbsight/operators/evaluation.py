@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbsight.functions.boxes import intersection, iou
+from kerbsight.functions.geo import planar
 from kerbsight.operators.scratch import written
+from kerbsight.operators.spatial import nearest
 
 #: IoU thresholds, numbers of detections and the levels of recall of a COCO evaluation.
 IOUS = tuple(round(0.5 + 0.05 * k, 2) for k in range(10))
@@ -356,6 +358,29 @@ def object_sweep(detections: DataFrame, truth: DataFrame, objects: DataFrame, st
     return at.join(F.broadcast(totals)).select("step", "n_detections", "n_true_positives", "n_unique", *rates)
 
 
+def distance_rates(gt: DataFrame, pred: DataFrame, steps: list[float]) -> DataFrame:
+    """``(step, fnr, fpr)``: shares of true places without a detection within so many metres, and the other way round.
+
+    Both sides have id, x and y. Without any place on the other side nothing is within reach.
+    """
+    levels = gt.sparkSession.createDataFrame([(float(x),) for x in steps], "step double")
+
+    def beyond(a: DataFrame, b: DataFrame, name: str) -> DataFrame:
+        near = nearest(a, b.withColumnRenamed("id", "other"), "id", "other", [], planar, place=("x", "y"), right_place=("x", "y"), flat=True, keep_unmatched=True)
+        counts = near.join(F.broadcast(levels), F.coalesce(F.col("distance"), F.lit(float("inf"))) > F.col("step")).groupBy("step").agg(F.count("*").alias("_far"))
+        total = a.agg(F.count("*").alias("_n"))
+        return levels.join(counts, "step", "left").join(F.broadcast(total)).select("step", ratio(F.coalesce("_far", F.lit(0)), F.col("_n")).alias(name))
+
+    return beyond(gt, pred, "fnr").join(beyond(pred, gt, "fpr"), "step")
+
+
+def bound_counts(boxes: DataFrame, area: float, bounds: dict[int, tuple[float, float]] = SIZE_BOUNDS) -> DataFrame:
+    """``(object_class, n, n_large)``: boxes by class, and those beyond the class's bound of large ones."""
+    large = F.create_map(*[F.lit(x) for k, (_, b) in bounds.items() for x in (k, b * area)])[F.col("object_class")]
+    size = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
+    return boxes.groupBy("object_class").agg(F.count("*").alias("n"), F.count_if(size > large).alias("n_large"))
+
+
 def compare_models(detected: DataFrame, true: DataFrame, total_images: int) -> DataFrame:
     """``(model, n_detections, n_true_positives, precision, partial_recall, fnr)`` of image names by model.
 

@@ -6,12 +6,49 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbsight.functions.geo import COMPARE_RADIUS, haversine, on_sphere
+from kerbsight.functions.text import basename
+from kerbsight.operators.scratch import written
 from kerbsight.operators.spatial import _around, _cell, _on_surface
 
 
 def uniform(*keys: str, seed: int = 0) -> Column:
-    """A number in (0, 1) by hash of the keys: the same in every run and on every partitioning."""
-    return (F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(2**52)) + 0.5) / float(2**52)
+    """A number in (0, 1) by MD5 of the keys: the same in every run, on every partitioning and in any SQL engine."""
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + 0.5) / float(2**52)
+
+
+def numbered(rows: DataFrame, name: str, *order: Column | str) -> DataFrame:
+    """Adds ``name``: 1, 2, 3, ... in the given order, without a task that holds all rows.
+
+    Rows are dealt out by ranges of the order; the counts of the ranges before one are added to numbers within it.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(rows.repartitionByRange(partitions, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = dealt.withColumn("_k", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    return inside.join(F.broadcast(sums), "_part").withColumn(name, F.col("_k") + F.col("_before")).drop("_part", "_k", "_before")
+
+
+def sample_counts(frames: DataFrame, sample: DataFrame, id_col: str, permit: str) -> DataFrame:
+    """``(n_sampled, n_with_permit, ratio)``: how many of the sampled frames lie in a permit's zone, and in percent."""
+    flagged = frames.join(sample.select(id_col), id_col, "left_semi")
+    n = flagged.agg(F.count("*").alias("n_sampled"), F.count_if(permit).alias("n_with_permit"))
+    return n.withColumn("ratio", 100 * F.col("n_with_permit") / F.nullif(F.col("n_sampled"), F.lit(0)))
+
+
+def aligned(images: DataFrame, annotations: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Images and annotations of one dataset under the ids that another one has for the same base file names.
+
+    ``images`` and ``known`` have image_id and file_name, ``annotations`` annotation_id and image_id. Images that the
+    other lacks, and their annotations, are left out; annotations are numbered anew, by image, then by their old id. Of
+    several ids for one name the least counts.
+    """
+    name = lambda df: df.withColumn("base", basename(F.col("file_name")))
+    ids = name(known).groupBy("base").agg(F.min("image_id").alias("new_id"))
+    kept = name(images).join(ids, "base").select("image_id", "new_id", F.col("base").alias("file_name"))
+    moved = numbered(annotations.join(kept.select("image_id", "new_id"), "image_id"), "new_annotation_id", "new_id", "annotation_id")
+    return kept.select(F.col("new_id").alias("image_id"), "file_name").distinct(), moved.withColumns({"image_id": F.col("new_id"), "annotation_id": F.col("new_annotation_id")}).drop("new_id", "new_annotation_id")
 
 
 def weighted_sample(rows: DataFrame, n: int, weight: str, *keys: str, seed: int = 0) -> DataFrame:
@@ -21,7 +58,7 @@ def weighted_sample(rows: DataFrame, n: int, weight: str, *keys: str, seed: int
 
 def one_of_each(rows: DataFrame, by: list[str], *keys: str, n: int = 1, seed: int = 42) -> DataFrame:
     """``n`` rows of each group in hash order."""
-    w = Window.partitionBy(*by).orderBy(F.xxhash64(*keys, F.lit(seed)), *keys)
+    w = Window.partitionBy(*by).orderBy(uniform(*keys, seed=seed), *keys)
     return rows.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= n).drop("_k")
 
 
@@ -38,15 +75,21 @@ def thinned(rows: DataFrame, fps: float, recording: str, time: str, id_col: str)
 
 
 def path_stats(rows: DataFrame, recording: str, time: str, id_col: str, lat: str = "gps_lat", lon: str = "gps_lon") -> DataFrame:
-    """Length in metres, seconds, number of points and points a second of each recording's path."""
+    """Length in metres, seconds, number of points, points and metres a second of each recording's path."""
     w = Window.partitionBy(recording).orderBy(time, id_col)
     step = haversine(F.lag(lat).over(w), F.lag(lon).over(w), F.col(lat), F.col(lon))
     s = rows.withColumn("_s", step).groupBy(recording).agg(F.coalesce(F.sum("_s"), F.lit(0.0)).alias("metres"), (F.max(F.unix_micros(time)) - F.min(F.unix_micros(time))).alias("_us"), F.count("*").alias("points"))
-    return s.select(recording, "metres", (F.col("_us") / 1e6).alias("seconds"), "points", (F.col("points") / F.nullif(F.col("_us") / 1e6, F.lit(0.0))).alias("fps"))
+    return s.select(recording, "metres", (F.col("_us") / 1e6).alias("seconds"), "points", *[(F.col(c) / F.nullif(F.col("_us") / 1e6, F.lit(0.0))).alias(k) for c, k in (("points", "fps"), ("metres", "speed"))])
 
 
 def differences(a: DataFrame, b: DataFrame, all_rows: bool = False) -> DataFrame:
-    """Rows of either table that the other lacks, by ``side``; with ``all_rows`` repeated rows count."""
+    """Rows of either table that the other lacks, by ``side``; with ``all_rows`` repeated rows count.
+
+    Tables of different columns or types aren't compared.
+    """
+    kinds = lambda df: [(f.name, f.dataType) for f in df.schema.fields]
+    if kinds(a) != kinds(b):
+        raise ValueError(f"different columns: {a.schema.simpleString()} and {b.schema.simpleString()}")
     less = (lambda x, y: x.exceptAll(y)) if all_rows else (lambda x, y: x.subtract(y))
     return less(a, b).withColumn("side", F.lit("only_a")).unionByName(less(b, a).withColumn("side", F.lit("only_b")))
 

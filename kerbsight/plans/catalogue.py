@@ -253,10 +253,10 @@ def retention_delete(spark, sf_dir):
     return ops.deletable_images(f.where("status = 'Processed'"), ops.kept_images(f, scored(spark, sf_dir), DAY), f.where("frame_id % 5 <> 0"))
 
 
-PARTS = r"""parts as (select address_id, regexp_extract(address, '^\s*(.+?)\s+(\d+)\s*([A-Za-z0-9/-]*?)\s*,?\s+(\d{4}\s?[A-Z]{2})\b', ['street', 'number', 'addition', 'postcode']) as p from addresses)"""
+PARTS = r"""parts as (select address_id, regexp_extract(address, '^\s*(.+?)\s+(\d+)\s*([A-Za-z0-9/-]*?)\s*,?\s+(\d{4}\s*[A-Za-z]{2})(?:\s+.*)?$', ['street', 'number', 'addition', 'postcode']) as p from addresses)"""
 
 
-@query("select address_id, nullif(p.street, '') as street, try_cast(p.number as integer) as number, case when p.street <> '' then p.addition end as addition, nullif(replace(p.postcode, ' ', ''), '') as postcode from parts", views.ADDRESSES, PARTS)
+@query("select address_id, nullif(p.street, '') as street, try_cast(p.number as integer) as number, case when p.street <> '' then p.addition end as addition, nullif(upper(replace(p.postcode, ' ', '')), '') as postcode from parts", views.ADDRESSES, PARTS)
 def address_split(spark, sf_dir):
     a = views.addresses(spark, sf_dir)
     return a.select("address_id", *[c.alias(k) for k, c in text.address(F.col("address")).items()])
@@ -486,7 +486,10 @@ def greedy_overlap(spark, sf_dir):
     return evaluation.greedy_overlap(views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir))
 
 
-@query()
+UNIFORM = "((('0x' || substr(md5({} || '|{}'), 1, 13))::bigint + 0.5) / pow(2, 52))"
+
+
+@query(f"select frame_id, weight from (select frame_id, case when frame_id % 4 = 0 then 0.8::double else 0.2::double end as weight from frames) order by ln({UNIFORM.format('frame_id', 0)}) / weight desc, frame_id limit 100", views.FRAMES)
 def weighted_sample(spark, sf_dir):
     f = views.frames(spark, sf_dir).withColumn("weight", F.when(F.col("frame_id") % 4 == 0, 0.8).otherwise(0.2))
     return sampling.weighted_sample(f, 100, "weight", "frame_id").select("frame_id", "weight")
@@ -521,7 +524,7 @@ def outer_compare(spark, sf_dir):
     return g.join(p, "image_id", "full_outer").select("image_id", F.coalesce("n_gt", F.lit(0)).alias("n_gt"), F.coalesce("n_pred", F.lit(0)).alias("n_pred"))
 
 
-@query("select detection_id, case when score >= 0.8 then 'red' else 'orange' end as colour, permit_id, round(gps_lat, 6) as lat, round(gps_lon, 6) as lon from scored where score >= 0.4", *CHAIN[:8])
+@query("select detection_id, case when score < 1 then 'yellow' else 'orange' end as colour, permit_id, round(gps_lat, 6) as lat, round(gps_lon, 6) as lon from scored where score >= 0.4", *CHAIN[:8])
 def map_features(spark, sf_dir):
     s = scored(spark, sf_dir).where(F.col("score") >= ops.MIN_SCORE)
     return s.select("detection_id", ops.colour().alias("colour"), "permit_id", F.round("gps_lat", 6).alias("lat"), F.round("gps_lon", 6).alias("lon"))
@@ -591,7 +594,7 @@ def track_polyline(spark, sf_dir):
 
 
 def _load_more() -> None:
-    from kerbsight.plans import more  # noqa: F401
+    from kerbsight.plans import more, reports  # noqa: F401
 
 
 _load_more()

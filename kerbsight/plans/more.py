@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kerbsight.functions import geo, panorama
 from kerbsight.operators import evaluation, permits, sampling, spatial
 from kerbsight.plans import views
-from kerbsight.plans.catalogue import OVERLAP, RUN, _runs, query, r3
+from kerbsight.plans.catalogue import OVERLAP, RUN, UNIFORM, _runs, query, r3
 from kerbsight.sources import writers
 
 X, Y = "(0.36 * (gps_lat - 52.15517440::double))", "(0.36 * (gps_lon - 5.38720621::double))"
@@ -47,7 +47,7 @@ def class_domain_check(spark, sf_dir):
     return views.detections(spark, sf_dir).agg(F.count("*").alias("n"), F.count_if(c.isNull()).alias("missing"), F.count_if(~c.isin(2, 3, 4)).alias("outside"))
 
 
-@query()
+@query(f"select object_class, tracking_id, detection_id from (select *, row_number() over (partition by object_class, tracking_id order by {UNIFORM.format('detection_id', 42)}, detection_id) as k from detections) where k = 1", views.DETECTIONS)
 def one_candidate_per_key(spark, sf_dir):
     return sampling.one_of_each(views.detections(spark, sf_dir), ["object_class", "tracking_id"], "detection_id").select("object_class", "tracking_id", "detection_id")
 
@@ -75,16 +75,6 @@ def event_type_stats(spark, sf_dir):
     return n.groupBy("event_type").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.round(F.avg("n"), 6).alias("mean"))
 
 
-@query("""select m.model, count(*) as found, round(count(*) / any_value(t.n), 6) as partial_recall from (select distinct pred_id % 3 as model, image_id from pred where object_class = 2 and image_id in (select image_id from gt where object_class = 2)) m,
-  (select count(distinct image_id) as n from pred where object_class = 2 and image_id in (select image_id from gt where object_class = 2)) t group by m.model""", views.BOXES)
-def model_comparison(spark, sf_dir):
-    """True positives of three models by image, each as a share of the union of all models' true positives."""
-    truth = views.gt_boxes(spark, sf_dir).where("object_class = 2").select("image_id").distinct()
-    tp = views.pred_boxes(spark, sf_dir).where("object_class = 2").join(truth, "image_id", "left_semi").select((F.col("pred_id") % 3).alias("model"), "image_id").distinct()
-    union = tp.agg(F.countDistinct("image_id").alias("n"))
-    return tp.groupBy("model").agg(F.count("*").alias("found")).join(F.broadcast(union)).select("model", "found", F.round(F.col("found") / F.col("n"), 6).alias("partial_recall"))
-
-
 @query("select frame_id, case when keep = '' then null else keep end as kept, case when drop_ = '' then null else drop_ end as dropped from (select frame_id, coalesce(string_agg(detection_id, ',' order by detection_id) filter (where confidence >= 0.5::double), '') as keep, coalesce(string_agg(detection_id, ',' order by detection_id) filter (where confidence < 0.5::double), '') as drop_ from detections group by frame_id)", views.DETECTIONS)
 def verdict_split(spark, sf_dir):
     """A frame's detections split by a verdict into two lists."""

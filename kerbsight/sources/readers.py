@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from kerbsight.functions.text import basename, source_and_number, stem
-from kerbsight.sources.schemas import COCO, FRAMES, GEOJSON, LANDING, flat_columns
+from kerbsight.sources.schemas import COCO, FRAMES, GEOJSON, LANDING, RECORDING, flat_columns
 
 
 def pending(df: DataFrame) -> DataFrame:
@@ -70,7 +70,11 @@ def geojson(spark: SparkSession, path: str, id_names: tuple[str, ...] = ("object
 
 
 def csv(spark: SparkSession, paths: str | list[str], schema: StructType, required: tuple[str, ...] = ()) -> DataFrame:
-    """CSV files with a header; rows in which a required column is null are left out."""
+    """CSV files with a header; rows in which a required column is null are left out, and files that lack one refused."""
+    if required:
+        there = spark.read.option("header", True).csv(paths).columns
+        if lost := [c for c in required if c not in there]:
+            raise ValueError(f"missing columns: {lost}")
     df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(paths)
     return df.dropna(subset=list(required)) if required else df
 
@@ -91,6 +95,29 @@ def image_files(spark: SparkSession, path: str, ignored: tuple[str, ...] = ()) -
     return named.withColumns({"folder": F.element_at(F.split("path", "/"), -2), "source": source, "number": number})
 
 
+def recordings(spark: SparkSession, path: str, max_delay: float = 5.0) -> DataFrame:
+    """Frames of recording documents ``{data_path, frames: [...]}``, with the recording's name and the position's delay.
+
+    The name is the last folder but one of the data path. Times that can't be read are null, and so is the delay then.
+    """
+    doc = spark.read.schema(RECORDING).option("multiLine", True).json(path)
+    f = doc.select(F.element_at(F.split("data_path", "/"), -2).alias("recording_name"), basename(F.col("_metadata.file_path")).alias("metadata_file"), F.explode("frames").alias("f"))
+    time = lambda c: F.try_to_timestamp(F.col(c))
+    rows = f.select("recording_name", "metadata_file", time("f.record_timestamp").alias("record_timestamp"), time("f.image_file_timestamp").alias("image_timestamp"), F.col("f.gps_data.latitude").alias("gps_lat"), F.col("f.gps_data.longitude").alias("gps_lon"), time("f.gps_data.coordinate_time_stamp").alias("gps_timestamp"))
+    delay = (F.unix_micros("image_timestamp") - F.unix_micros("gps_timestamp")) / 1e6
+    return rows.withColumn("gps_delay", delay).withColumn("accept_delay", F.col("gps_delay") <= max_delay)
+
+
+def tracker(rows: DataFrame) -> DataFrame:
+    """Tracker output (path, frame, ...) with the image's base name and frames counted from 1."""
+    return rows.withColumns({"image_name": basename(F.col("path")), "frame": F.col("frame") + 1}).drop("path")
+
+
+def broken(landing: DataFrame) -> DataFrame:
+    """How many documents could be read and how many couldn't: ``(n, n_broken)``."""
+    return landing.agg(F.count("*").alias("n"), F.count_if(F.col("image_file_name").isNull()).alias("n_broken"))
+
+
 def jdbc(spark: SparkSession, url: str, sql: str, **options: str) -> DataFrame:
     """A database query; give partitionColumn, bounds and numPartitions for large results."""
     return spark.read.format("jdbc").options(url=url, query=sql, **options).load()

@@ -37,6 +37,12 @@ COCO = fields({
 GEOJSON = fields({"features": ArrayType(fields({"geometry": fields({"type": "string", "coordinates": "string"}), "properties": MapType(StringType(), StringType())}))})
 
 
+RECORDING = fields({
+    "data_path": "string",
+    "frames": ArrayType(fields({"record_timestamp": "string", "image_file_timestamp": "string", "gps_data": fields({"latitude": "double", "longitude": "double", "coordinate_time_stamp": "string"})})),
+})
+
+
 def without(schema: StructType, *names: str) -> StructType:
     """The schema minus some fields: what a writer supplies when the table makes those itself."""
     return StructType([f for f in schema.fields if f.name not in names])

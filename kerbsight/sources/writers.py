@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from kerbsight.functions.boxes import pixels_from_centre
 from kerbsight.functions.text import label_line
+from kerbsight.functions.wkb import point_wkb
+from kerbsight.operators.detections import MIN_SCORE
+from kerbsight.operators.detections import colour as ops_colour
+from kerbsight.operators.sampling import numbered
 
 
 def append(df: DataFrame, table: str, schema: StructType, mode: str = "append") -> None:
@@ -46,10 +51,68 @@ def report(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
     (w.partitionBy(*by) if by else w).csv(path)
 
 
-def map_features(objects: DataFrame) -> DataFrame:
-    """GeoJSON features of objects with their score, colour and nearest permit."""
-    point = F.struct(F.lit("Point").alias("type"), F.array("gps_lon", "gps_lat").alias("coordinates")).alias("geometry")
-    return objects.select(F.to_json(F.struct(F.lit("Feature").alias("type"), point, F.struct("detection_id", "object_class", "score", "colour", "permit_id").alias("properties"))).alias("value"))
+#: Icons of classes on a map.
+ICONS = {2: "box", 3: "toilet-portable", 4: "table-cells"}
+
+
+def map_rows(objects: DataFrame, min_score: float = MIN_SCORE, mute_private: bool = True) -> DataFrame:
+    """Rows of a map of the objects of enough score: each object, its permit, and lines to its permit and its bridge.
+
+    ``(kind, detection_id, priority, colour, icon, label, coordinates)``. Objects come with detection_id, object_class,
+    score, gps_lat, gps_lon, private, permit_id, permit_lat, permit_lon, permit_distance, bridge_id, bridge_lat,
+    bridge_lon and bridge_distance; what has no permit or bridge has no such rows. Priority is the place by score.
+    """
+    shown = numbered(objects.where(F.col("score") >= min_score), "priority", F.desc("score"), "detection_id")
+    muted = F.col("private") if mute_private else F.lit(False)
+    own, permit, bridge = (F.array(F.col(f"{p}_lon"), F.col(f"{p}_lat")) for p in ("gps", "permit", "bridge"))
+    icon = F.coalesce(F.create_map(*[F.lit(x) for kv in ICONS.items() for x in kv])[F.col("object_class")], F.lit("info-sign"))
+    row = lambda kind, colour, icon, label, *at: F.struct(F.lit(kind).alias("kind"), colour.alias("colour"), icon.alias("icon"), label.alias("label"), F.array(*at).alias("coordinates"))
+    none = F.lit(None).cast("string")
+    popup = F.concat(F.lit("Permit "), F.coalesce(F.col("permit_id").cast("string"), F.lit("-")), F.lit(", private ground: "), F.when(F.col("private"), "yes").otherwise("no"))
+    away = lambda c: F.format_string("%.1fm", F.col(c))
+    rows = [
+        row("object", ops_colour(muted=muted), icon, popup, own),
+        F.when(F.col("permit_id").isNotNull(), row("permit", F.lit("red"), none, F.concat(F.lit("Permit "), F.col("permit_id").cast("string")), permit)),
+        F.when(F.col("permit_id").isNotNull(), row("permit_line", F.lit("green"), none, away("permit_distance"), own, permit)),
+        F.when(F.col("bridge_id").isNotNull(), row("bridge_line", F.lit("blue"), none, away("bridge_distance"), own, bridge)),
+    ]
+    each = shown.withColumn("r", F.explode(F.array(*rows))).where("r is not null")
+    return each.select("r.kind", "detection_id", "priority", "r.colour", "r.icon", "r.label", "r.coordinates")
+
+
+def map_features(rows: DataFrame) -> DataFrame:
+    """GeoJSON features of the rows of :func:`map_rows`: points, and lines where there are two places."""
+    line = F.size("coordinates") > 1
+    about = F.struct("kind", "detection_id", "priority", "colour", "icon", "label").alias("properties")
+    of = lambda kind, c: F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.lit(kind).alias("type"), c.alias("coordinates")).alias("geometry"), about))
+    return rows.select("detection_id", "kind", F.when(line, of("LineString", F.col("coordinates"))).otherwise(of("Point", F.col("coordinates")[0])).alias("value"))
+
+
+def coco_dataset(images: DataFrame, detections: DataFrame, files: DataFrame, width: int, height: int, categories: dict[int, int], keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Images and annotations of a COCO dataset out of detections in centre form, with ids from 1 up.
+
+    Images without a file, and their detections, are left out, as are detections of classes without a category. Images
+    are numbered by name, annotations by image, then by detection_id; boxes are whole pixels. ``keep`` names
+    columns of the detections that annotations keep.
+    """
+    there = images.select("image_name").distinct().join(files.select("image_name").distinct(), "image_name", "left_semi")
+    i = numbered(there, "image_id", "image_name").select("image_id", F.col("image_name").alias("file_name"), F.lit(width).alias("width"), F.lit(height).alias("height"))
+    category = F.create_map(*[F.lit(x) for kv in categories.items() for x in kv])[F.col("object_class")]
+    box = pixels_from_centre(*[F.col(c).cast("double") for c in ("x_center", "y_center", "width", "height")], F.lit(width), F.lit(height))
+    d = detections.select("image_name", *dict.fromkeys(("detection_id", *keep)), category.alias("category_id"), F.array(*box).alias("bbox")).where("category_id is not null")
+    a = numbered(d.join(i.select("image_id", F.col("file_name").alias("image_name")), "image_name"), "id", "image_id", "detection_id")
+    return i, a.select("id", "image_id", "category_id", "bbox", *keep)
+
+
+def coco_lines(images: DataFrame, annotations: DataFrame) -> DataFrame:
+    """One JSON text for each image and annotation, by part of the dataset."""
+    text = lambda df, part: df.select(F.lit(part).alias("part"), F.to_json(F.struct(*df.columns)).alias("value"))
+    return text(images, "images").unionByName(text(annotations, "annotations"))
+
+
+def sampling_metadata(frames: DataFrame, path: str, lat: str = "gps_lat", lon: str = "gps_lon") -> None:
+    """Frames with their point as WKB (little endian), as Parquet."""
+    frames.withColumn("geometry", point_wkb(F.col(lon), F.col(lat))).write.parquet(path)
 
 
 def deliver(rows: DataFrame, send: Callable[[dict], str | None], id_col: str = "id") -> DataFrame:

@@ -118,11 +118,75 @@ def test_nearest_equals_brute_force_and_keeps_unmatched(spark):
     a = spark.createDataFrame(left, "detection_id long, object_class int, lat double, lon double")
     b = spark.createDataFrame(right, "permit_id long, object_class int, lat double, lon double")
     dist = lambda x1, y1, x2, y2: geo.planar(x1, y1, x2, y2)
-    got = dict(rows(spatial.nearest(a, b, "detection_id", "permit_id", ["object_class"], dist, metres=1.0), "detection_id", "permit_id"))
+    got = dict(rows(spatial.nearest(a, b, "detection_id", "permit_id", ["object_class"], dist, start=0.01, flat=True), "detection_id", "permit_id"))
     want = {p[0]: min((math.hypot(p[2] - q[2], p[3] - q[3]), q[0]) for q in right if q[1] == p[1])[1] for p in left if p[1] != 4}
     assert got == want
-    kept = spatial.nearest(a, b, "detection_id", "permit_id", ["object_class"], dist, metres=1.0, keep_unmatched=True)
+    kept = spatial.nearest(a, b, "detection_id", "permit_id", ["object_class"], dist, start=0.01, flat=True, keep_unmatched=True)
     assert kept.count() == 80 and kept.where("permit_id is null").count() == sum(p[1] == 4 for p in left)
+    assert spatial.nearest(a, b.limit(0), "detection_id", "permit_id", ["object_class"]).count() == 0
+    assert spatial.nearest(a.limit(0), b, "detection_id", "permit_id", ["object_class"]).count() == 0
+
+
+def sphere(a, b):
+    p, q = math.radians(a[0]), math.radians(b[0])
+    h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+    return 2 * geo.CLUSTER_RADIUS * math.asin(min(1.0, math.sqrt(h)))
+
+
+def test_places_near_poles_and_the_180th_meridian(spark):
+    r = random.Random(9)
+    near = lambda la, lo, k: [(min(90.0, la + r.uniform(-1, 1) * 2e-3), (lo + r.uniform(-1, 1) * k + 180) % 360 - 180) for _ in range(25)]
+    places = [*near(89.999, 0, 180), *near(-89.9995, 0, 180), *near(10, 180, 2e-3), *near(75, 30, 1e-2), *near(0, 0, 2e-3)]
+    pts = list(enumerate(places))
+    df = spark.createDataFrame([(i, 1, la, lo) for i, (la, lo) in pts], "detection_id long, g int, gps_lat double, gps_lon double")
+    label = dict(enumerate(range(len(pts))))
+    changed = True
+    while changed:
+        changed = False
+        for i, a in pts:
+            for j, b in pts:
+                if label[i] > label[j] and sphere(a, b) <= 40:
+                    label[i], changed = label[j], True
+    assert dict(rows(spatial.clusters(df, 40.0, ["g"]), "detection_id", "cluster")) == label
+    odd = df.where("detection_id % 2 = 1").select(F.col("detection_id").alias("permit_id"), "g", "gps_lat", "gps_lon")
+    got = dict(rows(spatial.nearest(df, odd, "detection_id", "permit_id", ["g"], geo.haversine, place=("gps_lat", "gps_lon"), right_place=("gps_lat", "gps_lon"), start=20.0), "detection_id", "permit_id"))
+    away = {i: min(sphere(a, b) for j, b in pts if j % 2) for i, a in pts}
+    assert len(got) == len(pts) and all(abs(sphere(pts[i][1], pts[j][1]) - away[i]) < 1e-6 for i, j in got.items())
+    runs = df.select(F.col("detection_id").alias("frame_id"), "gps_lat", "gps_lon", F.array(F.lit(1)).alias("classes"))
+    found = dict(rows(sampling.nearest_in_run(runs.where("frame_id % 2 = 0"), runs.where("frame_id % 2 = 1"), 60.0), "frame_id", "auto_id"))
+    reach = {i for i, d in away.items() if i % 2 == 0 and d * geo.COMPARE_RADIUS / geo.CLUSTER_RADIUS <= 60}
+    assert {i for i, j in found.items() if j is not None} == reach
+
+
+def test_nearest_segment_gives_the_closest_point(spark):
+    r = random.Random(8)
+    pts = [(i, r.uniform(0, 5e4), r.uniform(0, 300)) for i in range(60)] + [(99, -4e5, 7.0)]
+    seg = [(i, *(x := r.uniform(0, 9e3), y := r.uniform(0, 300)), x + r.uniform(-80, 80), y + r.uniform(-80, 80)) for i in range(30)]
+    got = spatial.nearest_segment(spark.createDataFrame([*pts, (100, None, 1.0)], "p long, x double, y double"), spark.createDataFrame(seg, "s long, ax double, ay double, bx double, by double"), "p", "s")
+    found = {x.p: x for x in got.collect()}
+    assert set(found) == {p[0] for p in pts}
+    for i, x, y in pts:
+        best = []
+        for k, ax, ay, bx, by in seg:
+            t = min(1.0, max(0.0, ((x - ax) * (bx - ax) + (y - ay) * (by - ay)) / ((bx - ax) ** 2 + (by - ay) ** 2)))
+            best.append((math.hypot(x - ax - t * (bx - ax), y - ay - t * (by - ay)), k, ax + t * (bx - ax), ay + t * (by - ay)))
+        d, k, fx, fy = min(best)
+        f = found[i]
+        assert f.s == k and abs(f.distance - d) < 1e-6 and math.hypot(f.near_x - fx, f.near_y - fy) < 1e-6
+
+
+def test_ellipsoidal_distance_against_the_iterated_one(spark):
+    r = random.Random(6)
+    data = [(la := r.uniform(-80, 80), lo := r.uniform(-180, 180), la + r.uniform(-1, 1) * s, (lo + r.uniform(-1, 1) * s + 180) % 360 - 180, s) for s in (1e-4, 1e-3, 1e-2, 5e-2) for _ in range(50)]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double, s double")
+    for x in df.select("s", geo.ellipsoidal(*map(F.col, "abcd")).alias("e"), geo.geodesic("a", "b", "c", "d").alias("g")).collect():
+        assert abs(x.e - x.g) < (1e-3 if x.s <= 1e-2 else 2e-2), x
+
+
+def test_numbers_follow_the_order(spark):
+    d = spark.range(1000).repartition(7).withColumn("v", F.pmod(F.xxhash64("id"), F.lit(37)))
+    got = sampling.numbered(d, "n", "v", F.desc("id")).orderBy("n").collect()
+    assert [r.n for r in got] == list(range(1, 1001)) and [(r.v, -r.id) for r in got] == sorted((r.v, -r.id) for r in got)
 
 
 def test_ring_is_half_open_and_not_convex(spark):
@@ -156,10 +220,57 @@ def test_keywords(spark):
     assert [r.classes for r in permits.with_classes(bad).collect()] == [[], [], []]
 
 
+def test_permits_prepared(spark):
+    import datetime
+
+    import pytest
+
+    d = datetime.date(2024, 1, 10)
+    point = (b"\x01" + struct.pack("<I", 0x20000001) + struct.pack("<I", 28992) + struct.pack("<dd", 121000.0, 487000.0)).hex()
+    keet = '[{"object": "Keet"}]'
+    data = [(1, keet, "Dam 1 1012 LG", None), (2, keet, None, point), (3, keet, "Dam 1 1012lg", point), (4, keet, "nowhere", None), (5, "[]", "Dam 1 1012LG", None), (6, keet, "Dam 9 1012LG", "zz")]
+    p = spark.createDataFrame([(i, o, a, g, d, d) for i, o, a, g in data], "permit_id int, objecten string, locatie string, geometrie_locatie string, valid_from date, valid_to date")
+    book = spark.createDataFrame([("Dam", 1, "1012 lg", 121500.0, 487100.0), ("Dam", 1, "1012LG", 121400.0, 487100.0)], "street string, number int, postcode string, x double, y double")
+    got = permits.prepared(p, book, d)
+    assert {r.permit_id: (r.x, r.healthy) for r in got.collect()} == {1: (121400.0, True), 3: (121000.0, True), 4: (None, False), 6: (None, False)}
+    assert rows(permits.require_healthy(got), "permit_id") == [(1,), (3,)]
+    with pytest.raises(ValueError):
+        permits.require_healthy(got.where("not healthy"))
+
+
+def test_map_and_dataset_writers(spark, tmp_path):
+    import json
+
+    from kerbsight.sources import writers
+
+    o = spark.createDataFrame([(1, 2, 1.0, 52.0, 4.0, False, 7, 52.1, 4.1, 120.0, 3, 52.2, 4.2, 9.5), (2, 3, 0.5, 52.0, 4.0, True, None, None, None, None, None, None, None, None), (3, 4, 0.1, 52.0, 4.0, False, None, None, None, None, None, None, None, None)], "detection_id long, object_class int, score double, gps_lat double, gps_lon double, private boolean, permit_id long, permit_lat double, permit_lon double, permit_distance double, bridge_id long, bridge_lat double, bridge_lon double, bridge_distance double")
+    made = writers.map_rows(o)
+    assert rows(made, "kind", "detection_id", "priority", "colour") == [("bridge_line", 1, 1, "blue"), ("object", 1, 1, "orange"), ("object", 2, 2, "gray"), ("permit", 1, 1, "red"), ("permit_line", 1, 1, "green")]
+    lines = {(r.detection_id, r.kind): json.loads(r.value) for r in writers.map_features(made).collect()}
+    assert lines[1, "bridge_line"]["geometry"] == {"type": "LineString", "coordinates": [[4.0, 52.0], [4.2, 52.2]]} and lines[1, "bridge_line"]["properties"]["label"] == "9.5m"
+    assert lines[2, "object"]["geometry"] == {"type": "Point", "coordinates": [4.0, 52.0]}
+    i = spark.createDataFrame([("b.jpg",), ("a.jpg",), ("no.jpg",)], "image_name string")
+    d = spark.createDataFrame([(9, "b.jpg", 2, 0.5, 0.5, 0.2, 0.2), (8, "b.jpg", 7, 0.5, 0.5, 0.2, 0.2), (7, "no.jpg", 2, 0.5, 0.5, 0.2, 0.2), (6, "a.jpg", 3, 0.5, 0.5, 0.2, 0.4)], "detection_id long, image_name string, object_class int, x_center double, y_center double, width double, height double")
+    images, annotations = writers.coco_dataset(i, d, i.where("image_name <> 'no.jpg'"), 100, 50, {2: 1, 3: 2})
+    assert rows(images, "image_id", "file_name") == [(1, "a.jpg"), (2, "b.jpg")]
+    assert [(r.id, r.image_id, r.category_id, list(r.bbox)) for r in annotations.orderBy("id").collect()] == [(1, 1, 2, [40, 15, 20, 20]), (2, 2, 1, [40, 20, 20, 10])]
+    assert {json.loads(r.value)["id"] for r in writers.coco_lines(images, annotations).where("part = 'annotations'").collect()} == {1, 2}
+    writers.sampling_metadata(spark.createDataFrame([(1, 52.0, 4.0), (2, None, 4.0)], "frame_id int, gps_lat double, gps_lon double"), str(tmp_path / "meta"))
+    back = {r.frame_id: r.geometry and wkb.parse(bytes(r.geometry).hex()) for r in spark.read.parquet(str(tmp_path / "meta")).collect()}
+    assert back == {1: (wkb.POINT, [[(4.0, 52.0)]]), 2: None}
+    writers.report(o.select("detection_id", "object_class"), str(tmp_path / "report"), by=("object_class",))
+    assert spark.read.option("header", True).csv(str(tmp_path / "report")).count() == 3
+
+
 def test_texts(spark):
     a = text.address(F.lit("Lange Kade 12B, 1017 AB Amsterdam"))
     r = one(spark, **a, none=text.address(F.lit("geen adres"))["street"], base=text.basename(F.lit("a/b/c_0042.jpg?x=1")), fix=text.repaired(F.lit("52.37.21")), n=text.source_and_number(F.lit("run_7_0042.jpg"))[1], line=text.label_line(F.lit(2), F.lit(0.5)))
     assert tuple(r) == ("Lange Kade", 12, "B", "1017AB", None, "c_0042.jpg", 52.3721, 42, "2 0.500000")
+    forms = {"Damrak 1 1012LG": ("Damrak", 1, "", "1012LG"), "Dam 12 A 1012 lg Amsterdam": ("Dam", 12, "A", "1012LG"), "1e Weg 3 2-hs 1012   Ab": ("1e Weg", 3, "2-hs", "1012AB"), "Dam 1012": (None,) * 4, "Dam 1, 1012 LGX": (None,) * 4}
+    df = spark.createDataFrame([(k,) for k in forms], "a string")
+    assert {x.a: tuple(x)[1:] for x in df.select("a", *[c.alias(k) for k, c in text.address(F.col("a")).items()]).collect()} == forms
+    many = one(spark, a=text.repaired(F.lit("4." + "9" * 80 + ".5")), b=text.repaired(F.lit("x.y")), c=text.repaired(F.lit("7")), d=text.day_folder(F.to_date(F.lit("2024-03-01"))))
+    assert (round(many.a, 6), many.b, many.c, many.d) == (5.0, None, 7.0, "2024-03-01")
 
 
 def test_boxes(spark):
@@ -184,7 +295,7 @@ def test_pixels_equal_masks(spark):
     want = {}
     for k in (2, 3):
         sums = np.zeros(4, int)
-        for image in {r[1] for r in [*gt, *pred] if r[2] == k}:
+        for image in {r[1] for r in gt}:
             m = np.zeros((2, 30, 40), bool)
             for at, data, skip in ((0, gt, 3), (1, pred, 4)):
                 for r in data:
@@ -197,22 +308,112 @@ def test_pixels_equal_masks(spark):
     assert got == want
 
 
+def plain_coco(gt, pred, areas, most):
+    """A COCO evaluation in plain Python: {(class, area, iou): (n, ap, recalls)}."""
+    def overlap(p, g):
+        w, h = min(p[2], g[2]) - max(p[0], g[0]), min(p[3], g[3]) - max(p[1], g[1])
+        both = max(w, 0) * max(h, 0)
+        union = (p[2] - p[0]) * (p[3] - p[1]) + (g[2] - g[0]) * (g[3] - g[1]) - both
+        return both / union if union > 0 else 0.0
+
+    size = lambda b: (b[2] - b[0]) * (b[3] - b[1])
+    out = {}
+    for kind in {r[2] for r in gt}:
+        for name, r in areas.items():
+            low, high = r[kind] if isinstance(r, dict) else r
+            for t in evaluation.IOUS:
+                n, scored = 0, []
+                for image in {r_[1] for r_ in [*gt, *pred]}:
+                    g = sorted([x for x in gt if x[1:3] == (image, kind)], key=lambda x: (not low <= size(x[3:]) <= high, x[0]))
+                    n += sum(low <= size(x[3:]) <= high for x in g)
+                    used = set()
+                    for place, p in enumerate(sorted([x for x in pred if x[1:3] == (image, kind)], key=lambda x: (-x[3], x[0]))[:most], 1):
+                        best, hit = min(t, 1 - 1e-10), None
+                        for k, x in enumerate(g):
+                            outside = not low <= size(x[3:]) <= high
+                            if k in used or (hit is not None and outside and low <= size(g[hit][3:]) <= high):
+                                continue
+                            if overlap(p[4:], x[3:]) >= best:
+                                best, hit = overlap(p[4:], x[3:]), k
+                        if hit is not None:
+                            used.add(hit)
+                        ignored = not low <= size(g[hit][3:] if hit is not None else p[4:]) <= high
+                        if not ignored:
+                            scored.append((-p[3], image, p[0], hit is not None, place))
+                if not n:
+                    continue
+                tp, points = 0, []
+                for k, x in enumerate(sorted(scored), 1):
+                    tp += x[3]
+                    points.append((tp / n, tp / k))
+                ap = sum(max([q for r_, q in points if r_ >= k / 100], default=0.0) for k in range(101)) / 101
+                out[kind, name, t] = (n, round(ap, 9), tuple(round(sum(x[3] and x[4] <= m for x in scored) / n, 9) for m in evaluation.MAX_DETECTIONS))
+    return out
+
+
+def test_average_precision_equals_a_plain_evaluator(spark):
+    r = random.Random(12)
+    gt, pred = [], []
+    for image in range(200):
+        for _ in range(r.randrange(0, 6)):
+            x, y = r.randrange(60), r.randrange(40)
+            b = (x, y, x + r.randrange(2, 30), y + r.randrange(2, 30))
+            kind = r.choice([2, 3])
+            gt.append((len(gt), image, kind, *map(float, b)))
+            for _ in range(r.choice([0, 1, 1, 2, 4])):
+                pred.append((len(pred), image, r.choice([kind, kind, kind, 2]), r.randrange(8) / 8, *(float(v + r.randrange(-3, 4)) for v in b[:2]), *(float(v + r.randrange(-1, 5)) for v in b[2:])))
+        for _ in range(r.choice([0, 0, 1, 12])):
+            pred.append((len(pred), image, 3, r.randrange(8) / 8, 1.0, 1.0, 9.0, float(r.randrange(3, 50))))
+    cols = "x0 double, y0 double, x1 double, y1 double"
+    g, p = spark.createDataFrame(gt, f"gt_id long, image_id long, object_class int, {cols}"), spark.createDataFrame(pred, f"pred_id long, image_id long, object_class int, score double, {cols}")
+    areas = {"all": (0.0, 1e10), "small": {2: (0.0, 150.0), 3: (0.0, 90.0)}, "large": {2: (150.0, 1e10), 3: (90.0, 1e10)}}
+    table = evaluation.average_precision(evaluation.coco_match(g, p, areas=areas), g, areas)
+    got = {(x.object_class, x.area, x.iou): (x.n_gt, round(x.ap, 9), tuple(round(x[f"recall_{m}"], 9) for m in evaluation.MAX_DETECTIONS)) for x in table.collect()}
+    want = plain_coco(gt, pred, areas, 500)
+    assert got == want and len({v[1] for v in want.values()}) > 20
+    summary = {x.metric: x.value for x in evaluation.coco_summary(table).collect()}
+    mean = lambda f, k: round(sum(v[k] if k == 1 else v[2][-1] for key, v in want.items() if f(key)) / sum(map(f, want)), 3)
+    assert len(summary) == 12 and summary["AP_50_medium"] == -1
+    assert abs(summary["AP"] - mean(lambda k: k[1] == "all", 1)) < 2e-3 and abs(summary["AR_75"] - mean(lambda k: k[1:] == ("all", 0.75), 2)) < 2e-3
+    assert abs(summary["AP_50_small"] - mean(lambda k: k[1:] == ("small", 0.5), 1)) < 2e-3
+
+
 def test_average_precision_of_perfect_and_absent_predictions(spark):
     g, p, gt, _ = _images(spark, 2)
     same = spark.createDataFrame([(r[0], r[1], r[2], 0.9, *r[3:]) for r in gt], p.schema)
-    ap = evaluation.average_precision(evaluation.coco_match(g, same, ious=(0.5, 0.95)), g)
-    assert {(round(r.ap, 9), r.recall) for r in ap.collect()} == {(1.0, 1.0)}
+    ap = evaluation.average_precision(evaluation.coco_match(g, same), g)
+    assert {(round(r.ap, 9), r.recall_500) for r in ap.collect()} == {(1.0, 1.0)}
     away = same.withColumns({c: F.col(c) + 1000 for c in ("x0", "y0", "x1", "y1")})
-    assert {(r.ap, r.recall) for r in evaluation.average_precision(evaluation.coco_match(g, away, ious=(0.5,)), g).collect()} == {(0.0, 0.0)}
+    for none in (away, same.limit(0)):
+        assert {(r.ap, r.recall_500) for r in evaluation.average_precision(evaluation.coco_match(g, none), g).collect()} == {(0.0, 0.0)}
 
 
 def test_greedy_match_takes_each_truth_once(spark):
     g = spark.createDataFrame([(1, 1, 2, 0.0, 0.0, 10.0, 10.0)], "gt_id long, image_id long, object_class int, x0 double, y0 double, x1 double, y1 double")
     p = spark.createDataFrame([(7, 1, 2, 0.5, 0.0, 0.0, 10.0, 10.0), (8, 1, 2, 0.9, 0.0, 0.0, 10.0, 9.0)], "pred_id long, image_id long, object_class int, score double, x0 double, y0 double, x1 double, y1 double")
-    assert rows(evaluation.coco_match(g, p, ious=(0.5,)).where("gt_id is not null"), "pred_id", "gt_id") == [(8, 1)]
+    m = evaluation.coco_match(g, p, ious=(0.5,))
+    assert rows(m.where(F.col("gt_ids")[0].isNotNull()), "pred_id", "place") == [(8, 1)]
     assert rows(evaluation.greedy_overlap(g, p), "pred_id", "gt_id") == [(7, 1)]
 
 
+def test_greedy_overlap_equals_brute_force(spark):
+    g, p, gt, pred = _images(spark, 5, 20)
+    used, want = set(), set()
+    for q in sorted(pred):
+        for t in sorted(gt):
+            if t[0] not in used and t[1:3] == q[1:3] and min(q[6], t[5]) > max(q[4], t[3]) and min(q[7], t[6]) > max(q[5], t[4]):
+                used.add(t[0])
+                want.add((q[0], t[0]))
+                break
+    assert set(rows(evaluation.greedy_overlap(g, p), "pred_id", "gt_id")) == want and len(want) > 5
+
+
+def test_f_beta_and_sizes(spark):
+    r = one(spark, a=evaluation.f_beta(F.lit(0.5), F.lit(1.0)), b=evaluation.f_beta(F.lit(0.5), F.lit(1.0), 2.0), c=evaluation.f_beta(F.lit(0.0), F.lit(0.0)))
+    assert tuple(r) == (0.667, 0.833, None)
+    assert evaluation.sizes_of(100.0)["medium"][4] == (1.0298, 12.5452) or abs(evaluation.sizes_of(100.0)["medium"][4][1] - 12.5452) < 1e-9
+
+
 def test_samples(spark):
     d = spark.range(200).withColumn("w", F.when(F.col("id") < 50, 0.0).otherwise(1.0))
     assert sampling.weighted_sample(d, 20, "w", "id").where("id < 50").count() == 0
