@@ -80,7 +80,8 @@ def piece_table(spark: SparkSession, model_path: str) -> tuple[DataFrame, list[b
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-    rows, raw, zero = [], [], -1
+    rows: dict[str, list] = {"piece": [], "id": [], "score": []}
+    raw, zero = [], -1
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i)
         if model.is_byte(i):
@@ -89,11 +90,14 @@ def piece_table(spark: SparkSession, model_path: str) -> tuple[DataFrame, list[b
         elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
             raw.append(b"")
         else:
-            rows.append((piece, i, float(model.get_score(i))))
+            for column, x in zip(rows.values(), (piece, i, float(model.get_score(i))), strict=True):
+                column.append(x)
             raw.append(piece.replace(SPACE, " ").encode())
     if zero < 0:
         raise ValueError("the model has no byte pieces")
-    return spark.createDataFrame(rows, "piece string, id int, score double"), raw, zero, Joints([r[0] for r in rows])
+    # An Arrow table needs no Python worker to become a DataFrame, where a list starts more of them on executors.
+    table = pa.table({"piece": pa.array(rows["piece"]), "id": pa.array(rows["id"], pa.int32()), "score": pa.array(rows["score"])})
+    return spark.createDataFrame(table), raw, zero, Joints(rows["piece"])
 
 
 def marked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
