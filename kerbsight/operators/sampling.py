@@ -17,17 +17,68 @@ def uniform(*keys: str, seed: int = 0) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + 0.5) / float(2**52)
 
 
-def numbered(rows: DataFrame, name: str, *order: Column | str) -> DataFrame:
-    """Adds ``name``: 1, 2, 3, ... in the given order, without a task that holds all rows.
+def with_running(rows: DataFrame, by: list[str], order: list[Column | str], sums: list[str]) -> DataFrame:
+    """Adds ``c_before`` for each of the columns: its sum over the rows of the group that come before, in the given order.
 
-    Rows are dealt out by ranges of the order; the counts of the ranges before one are added to numbers within it.
+    Rows are dealt out by ranges of group and order, so no task holds all rows of a group; the sums of the ranges before
+    one are added to running sums within it. Ties in the order stay in some order.
     """
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = written(rows.repartitionByRange(partitions, *order).withColumn("_part", F.spark_partition_id()), "ranges")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = dealt.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = dealt.withColumn("_k", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    return inside.join(F.broadcast(sums), "_part").withColumn(name, F.col("_k") + F.col("_before")).drop("_part", "_k", "_before")
+    dealt = written(rows.repartitionByRange(partitions, *by, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = dealt.groupBy(*by, "_part").agg(*[F.sum(c).alias(c) for c in sums])
+    parts = parts.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_part").alias("_of"), *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in sums])
+    inside = Window.partitionBy(*by, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    run = dealt.withColumns({f"{c}_before": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})
+    same = F.col("_part") == F.col("_of")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    out = run.join(parts, same).withColumns({f"{c}_before": F.col(f"{c}_before") + F.col(f"_{c}") for c in sums})
+    return out.select(*rows.columns, *[f"{c}_before" for c in sums])
+
+
+def numbered(rows: DataFrame, name: str, *order: Column | str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Adds ``name``: 1, 2, 3, ... in the given order, of all rows or within groups, without a task that holds them all."""
+    run = with_running(rows.withColumn("_one", F.lit(1)), list(by), list(order), ["_one"])
+    return run.withColumn(name, F.col("_one_before") + 1).drop("_one", "_one_before")
+
+
+def _by_value(rows: DataFrame, by: list[str], value: str) -> DataFrame:
+    """``(*by, value, n, n_before)``: how many rows of a group have each value, and how many a lesser one."""
+    return with_running(rows.groupBy(*by, value).agg(F.count("*").alias("n")), by, [value], ["n"])
+
+
+def quantiles(rows: DataFrame, by: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """``(*by, name...)``: exact quantiles with linear interpolation, null without values.
+
+    From counts by value, so a group's values are never gathered: each wanted place lies in the run of one value.
+    """
+    counts = _by_value(rows.where(F.col(value).isNotNull()), by, value)
+    total = counts.groupBy(*by).agg(F.sum("n").alias("_total"))
+    joined = counts.join(total, by)
+
+    def at(k: Column) -> Column:
+        return F.max(F.when((k >= F.col("n_before")) & (k < F.col("n_before") + F.col("n")), F.col(value)))
+
+    ends, place = [], {name: (F.col("_total") - 1) * p for name, p in shares.items()}
+    for name in shares:
+        ends += [at(F.floor(place[name])).alias(f"_{name}_low"), at(F.ceil(place[name])).alias(f"_{name}_high")]
+    found = joined.groupBy(*by, "_total").agg(*ends)
+    between = lambda name: F.col(f"_{name}_low") + (place[name] - F.floor(place[name])) * (F.col(f"_{name}_high") - F.col(f"_{name}_low"))
+    return found.select(*by, *[between(name).alias(name) for name in shares])
+
+
+def cumulative_share(rows: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
+    """Adds ``name``: the rank of a row's value in its group, ties at the least, as a share of the group."""
+    counts = _by_value(rows, by, value)
+    total = counts.groupBy(*by).agg(F.sum("n").alias("_total"))
+    share = counts.join(total, by).select(*by, value, ((F.col("n_before") + 1) / F.col("_total")).alias(name))
+    return rows.join(share, [*by, value])
+
+
+def dense_numbers(rows: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
+    """Adds ``name``: 1 for a group's least value, 2 for the next one, and so on."""
+    return rows.join(numbered(rows.select(*by, value).distinct(), name, value, by=tuple(by)), [*by, value])
 
 
 def sample_counts(frames: DataFrame, sample: DataFrame, id_col: str, permit: str) -> DataFrame:

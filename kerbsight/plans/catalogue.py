@@ -201,8 +201,8 @@ def score(spark, sf_dir):
 
 @query("select detection_id, detection_date, cast(row_number() over (partition by detection_date order by round(score, 6) desc, detection_id) as integer) as priority from scored", *CHAIN[:8])
 def priority(spark, sf_dir):
-    w = Window.partitionBy("detection_date").orderBy(F.desc(F.round("score", 6)), "detection_id")
-    return scored(spark, sf_dir).select("detection_id", "detection_date", F.row_number().over(w).alias("priority"))
+    s = sampling.numbered(scored(spark, sf_dir).withColumn("_s", F.round("score", 6)), "priority", F.desc("_s"), "detection_id", by=("detection_date",))
+    return s.select("detection_id", "detection_date", F.col("priority").cast("int").alias("priority"))
 
 
 @query("""select detection_id, district, object_class from (select *, row_number() over (partition by district, object_class order by round(score, 6) desc, detection_id) as rank from placed where score >= 0.4)
@@ -287,16 +287,19 @@ def set_compare(spark, sf_dir):
 
 @query("select object_class, round(quantile_cont(cast(confidence as double), 1.0/3), 3) as low, round(quantile_cont(cast(confidence as double), 2.0/3), 3) as high from detections group by object_class", views.DETECTIONS)
 def quantiles_by_class(spark, sf_dir):
-    q = F.percentile(F.col("confidence").cast("double"), F.array(F.lit(1 / 3), F.lit(2 / 3)))
-    return views.detections(spark, sf_dir).groupBy("object_class").agg(q.alias("q")).select("object_class", r3(F.col("q")[0]).alias("low"), r3(F.col("q")[1]).alias("high"))
+    d = views.detections(spark, sf_dir).select("object_class", F.col("confidence").cast("double").alias("c"))
+    q = sampling.quantiles(d, ["object_class"], "c", {"low": 1 / 3, "high": 2 / 3})
+    return q.select("object_class", r3("low").alias("low"), r3("high").alias("high"))
 
 
 @query("""select l_returnflag, count(*) as n, round(avg(l_quantity), 3) as mean, round(stddev_samp(l_quantity), 3) as deviation, min(l_quantity) as least, max(l_quantity) as most,
   round(quantile_cont(l_quantity, 0.1), 3) as p10, round(quantile_cont(l_quantity, 0.2), 3) as p20, round(quantile_cont(l_quantity, 0.8), 3) as p80, round(quantile_cont(l_quantity, 0.9), 3) as p90 from lineitem group by l_returnflag""")
 def describe_by_category(spark, sf_dir):
-    q = F.percentile("l_quantity", F.array(*[F.lit(p) for p in (0.1, 0.2, 0.8, 0.9)]))
-    s = views.table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("n"), r3(F.avg("l_quantity")).alias("mean"), r3(F.stddev_samp("l_quantity")).alias("deviation"), F.min("l_quantity").alias("least"), F.max("l_quantity").alias("most"), q.alias("q"))
-    return s.select("l_returnflag", "n", "mean", "deviation", "least", "most", *[r3(F.col("q")[k]).alias(x) for k, x in enumerate(("p10", "p20", "p80", "p90"))])
+    rows = views.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity")
+    s = rows.groupBy("l_returnflag").agg(F.count("*").alias("n"), r3(F.avg("l_quantity")).alias("mean"), r3(F.stddev_samp("l_quantity")).alias("deviation"), F.min("l_quantity").alias("least"), F.max("l_quantity").alias("most"))
+    shares = {"p10": 0.1, "p20": 0.2, "p80": 0.8, "p90": 0.9}
+    q = sampling.quantiles(rows.withColumn("l_quantity", F.col("l_quantity").cast("double")), ["l_returnflag"], "l_quantity", shares)
+    return s.join(q, "l_returnflag").select("l_returnflag", "n", "mean", "deviation", "least", "most", *[r3(c).alias(c) for c in shares])
 
 
 @query(f"""select recording, round(coalesce(sum(step), 0), 2) as metres, round(epoch(max(gps_timestamp)) - epoch(min(gps_timestamp)), 3) as seconds, count(*) as points from (
@@ -306,9 +309,10 @@ def path_stats(spark, sf_dir):
     return sampling.path_stats(f, "recording", "gps_timestamp", "frame_id").select("recording", F.round("metres", 2).alias("metres"), r3("seconds").alias("seconds"), "points")
 
 
-@query("select detection_id, cast(dense_rank() over (partition by object_class order by frame_id) as integer) as number from detections", views.DETECTIONS)
+@query("select detection_id, dense_rank() over (partition by object_class order by frame_id) as number from detections", views.DETECTIONS)
 def dense_frames(spark, sf_dir):
-    return views.detections(spark, sf_dir).select("detection_id", F.dense_rank().over(Window.partitionBy("object_class").orderBy("frame_id")).alias("number"))
+    d = sampling.dense_numbers(views.detections(spark, sf_dir).select("detection_id", "object_class", "frame_id"), ["object_class"], "frame_id", "number")
+    return d.select("detection_id", "number")
 
 
 @query("select frame_id, detection_id from (select *, row_number() over (partition by frame_id, object_class order by detection_id) as k from detections) where k = 1", views.DETECTIONS)
@@ -562,8 +566,8 @@ def notification_split(spark, sf_dir):
 
 @query("select detection_id, round(cume, 6) as share from (select detection_id, cast(rank() over (partition by object_class order by confidence) as double) / count(*) over (partition by object_class) as cume from detections)", views.DETECTIONS)
 def empirical_cdf(spark, sf_dir):
-    w = Window.partitionBy("object_class")
-    return views.detections(spark, sf_dir).select("detection_id", F.round(F.rank().over(w.orderBy("confidence")) / F.count("*").over(w), 6).alias("share"))
+    d = views.detections(spark, sf_dir).select("detection_id", "object_class", "confidence")
+    return sampling.cumulative_share(d, ["object_class"], "confidence", "share").select("detection_id", F.round("share", 6).alias("share"))
 
 
 @query("select object_class, count(distinct tracking_id) as n, count(distinct case when confidence > 0.5::double then tracking_id end) as kept from detections group by object_class", views.DETECTIONS)

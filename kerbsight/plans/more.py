@@ -100,17 +100,15 @@ def run_comparison_counts(spark, sf_dir):
     return m.agg(F.count_if(near & same).alias("tp"), (F.count_if(near) - F.count_if(near & same)).alias("fp"), (F.count("*") - F.count_if(near & same)).alias("fn"))
 
 
-@query("select round(d, 3) as distance_m, count(*) over (order by round(d, 3)) as reached from (select frame_id, min(d) as d from met where d <= 50 group by frame_id)", views.FRAMES, RUN)
+@query("select round(d, 3) as distance_m, count(*) over (order by round(d, 3)) as reached, round(count(*) over (order by round(d, 3)) / count(*) over (), 6) as recall from (select frame_id, min(d) as d from met where d <= 50 group by frame_id)", views.FRAMES, RUN)
 def recall_by_distance(spark, sf_dir):
     """How many frames are matched at no more than each distance: counts by distance first, then a running sum."""
     m = sampling.nearest_in_run(*_runs(spark, sf_dir), 50.0).where("auto_id is not null").select(r3("distance_m").alias("distance_m"))
-    n = m.groupBy("distance_m").agg(F.count("*").alias("n"))
-    total = n.withColumn("band", F.floor(F.col("distance_m")))
-    inside = F.sum("n").over(Window.partitionBy("band").orderBy("distance_m"))
-    bands = total.groupBy("band").agg(F.sum("n").alias("b"))
-    below = bands.alias("x").join(F.broadcast(bands.alias("y")), F.col("y.band") < F.col("x.band"), "left").groupBy(F.col("x.band").alias("band")).agg(F.coalesce(F.sum("y.b"), F.lit(0)).alias("below"))
-    cumulated = total.withColumn("inside", inside).join(below, "band").select("distance_m", (F.col("inside") + F.col("below")).alias("reached"))
-    return m.join(cumulated, "distance_m")
+    run = sampling.with_running(m.groupBy("distance_m").agg(F.count("*").alias("n")), [], ["distance_m"], ["n"])
+    reached = run.select("distance_m", (F.col("n") + F.col("n_before")).alias("reached"), "n")
+    total = run.agg(F.sum("n").alias("total"))
+    each = reached.join(F.broadcast(total)).select("distance_m", "reached", F.round(F.col("reached") / F.col("total"), 6).alias("recall"))
+    return m.join(each, "distance_m")
 
 
 @query("select frame_id, min(round(sqrt(pow(x - t.x0, 2) + pow(y - t.y0, 2)), 3)) as distance from points cross join terrain t where abs(x - t.x0) <= 400 and abs(y - t.y0) <= 400 and sqrt(pow(x - t.x0, 2) + pow(y - t.y0, 2)) <= 400 group by frame_id", views.GRID, views.TERRAIN)

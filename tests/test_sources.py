@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from kerbsight.sources import readers, schemas, writers
@@ -56,7 +57,7 @@ def test_stream_drops_repeated_images(spark, tmp_path):
     spark.sql("drop table unique_frames")
 
 
-def test_documents_round_trip(spark, tmp_path):
+def test_landing_round_trip(spark, tmp_path):
     put(tmp_path, "a", document("a.jpg"))
     put(tmp_path, "b", document("b.jpg", 0))
     docs = readers.landing_json(spark, str(tmp_path))
@@ -105,3 +106,36 @@ def test_delivery_and_deletion(spark, tmp_path):
 def test_schemas():
     assert "frame_id" not in schemas.without(schemas.FRAMES, "frame_id").names
     assert "gps_data.latitude" in schemas.flat_columns(schemas.LANDING)
+
+
+def test_broken_documents_are_counted(spark, tmp_path):
+    put(tmp_path, "a", document("a.jpg"))
+    put(tmp_path, "bad", "{")
+    assert tuple(readers.broken(readers.landing_json(spark, str(tmp_path))).first()) == (2, 1)
+
+
+def test_recordings_and_tracker(spark, tmp_path):
+    frame = lambda t, g: {"record_timestamp": t, "image_file_timestamp": t, "gps_data": {"latitude": 52.0, "longitude": 4.0, "coordinate_time_stamp": g}}
+    put(tmp_path, "rec", {"data_path": "/data/run 7/images", "frames": [frame("2024-01-01T00:00:05Z", "2024-01-01T00:00:01Z"), frame("2024-01-01T00:00:09.5Z", "2024-01-01T00:00:01Z"), frame("no", "no")]})
+    got = readers.recordings(spark, str(tmp_path)).collect()
+    assert [(r.recording_name, r.metadata_file, r.gps_delay, r.accept_delay) for r in got] == [("run 7", "rec.json", 4.0, True), ("run 7", "rec.json", 8.5, False), ("run 7", "rec.json", None, None)]
+    t = readers.tracker(spark.createDataFrame([("a/b/x.jpg?s=1", 0)], "path string, frame int")).first()
+    assert (t.image_name, t.frame) == ("x.jpg", 1)
+
+
+def test_csv_without_a_required_column_is_refused(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("image_name\na\n")
+    with pytest.raises(ValueError, match="gps_lat"):
+        readers.csv(spark, str(tmp_path / "m.csv"), schemas.fields({"image_name": "string", "gps_lat": "double"}), ("gps_lat",))
+
+
+def test_manual_run_and_tables(spark, tmp_path):
+    put(tmp_path, "a", document("a.jpg"))
+    frames, found = readers.manual_run(readers.landing_json(spark, str(tmp_path)))
+    assert frames.first().gps_lat == 52.3 and sorted(r.object_class for r in found.collect()) == [2, 3]
+    rows = readers.detections_of(readers.landing_json(spark, str(tmp_path)))
+    writers.append(rows.withColumn("more", F.lit(1)), "appended", schemas.without(schemas.DETECTIONS, "frame_id"))
+    assert "more" not in spark.table("appended").columns and spark.table("appended").count() == 2
+    spark.sql("drop table appended")
+    boxes = spark.createDataFrame([(1, 2, None, 1.0, 2.0, 4.0, 8.0), (1, 2, 0.1, 0.0, 0.0, 1.0, 1.0)], "image_id int, object_class int, score double, x0 double, y0 double, x1 double, y1 double")
+    assert [json.loads(r.value) for r in writers.coco_predictions(boxes, 0.5).collect()] == [{"image_id": "1", "category_id": 2, "bbox": [1.0, 2.0, 3.0, 6.0], "score": 1.0}]
