@@ -46,6 +46,35 @@ def test_scores_do_not_depend_on_batches_or_parts(monkeypatch):
     assert np.allclose(whole, quality.scores(net, pa.array(texts)), atol=1e-6)
 
 
+def plain_score(net, text):
+    """The network over one text, byte by byte, without any of the code that it is made of."""
+    b = (text or "").encode()
+    symbols = [x + 256 * (k + 8 <= len(b) and len(b) >= 10 and any(b[j : j + 8] == b[k : k + 8] for j in range(max(0, k - quality.REACH), k))) for k, x in enumerate(b)]
+    starts = [0]
+    while starts[-1] + net.chunk < len(b):
+        starts.append(starts[-1] + net.stride)
+    responses = []
+    for s in starts:
+        chunk = (symbols[s : s + net.chunk] + [quality.PADDING] * net.chunk)[: net.chunk]
+        x = [float(v) for c in chunk for v in net.vectors[c]]
+        responses.append([math.tanh(sum(a * float(w) for a, w in zip(x, net.filters[:, f], strict=True)) + float(net.biases[f])) for f in range(net.filters.shape[1])])
+    top = [max(r[f] for r in responses) for f in range(net.filters.shape[1])]
+    mean = [sum(r[f] for r in responses) / (len(responses) + quality.PRIOR) for f in range(net.filters.shape[1])]
+    z = sum(a * float(w) for a, w in zip([*top, *mean], net.output, strict=True)) + float(net.bias[0])
+    return 1 / (1 + math.exp(-z))
+
+
+def test_scores_equal_a_plain_convolution():
+    r = random.Random(3)
+    texts = [None, "", "a", "abcdefgh", "abcdefghi" * 2, "ééé words and 東京 more", *("".join(r.choice("abcd ef\n") for _ in range(r.randrange(1, 400))) for _ in range(40)), "spam spam " * 60]
+    net = quality.new_network()
+    net.bias[:] = 0.3
+    got = quality.scores(net, pa.array(texts))
+    assert np.allclose(got, [plain_score(net, t) for t in texts], atol=1e-5)
+    one = [quality.scores(net, pa.array([t]))[0] for t in texts]
+    assert np.allclose(got, one, atol=1e-6)
+
+
 def test_gradients_match_differences():
     net = quality.new_network(chunk=4, stride=2, width=2, filters=3)
     for k in net.names():

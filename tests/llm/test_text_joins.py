@@ -225,6 +225,99 @@ def test_short_items_and_empty_tables(spark):
     assert found(spark, [], [QUESTION]) == {} and found(spark, [QUESTION], []) == {}
 
 
+def plain_template(text):
+    """(symbol, value, whether a word) of each token, one by one."""
+    fold = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t)
+    tokens = []
+    for t in re.findall(r"(?:[0-9A-Za-z\u0080-\U0010ffff]|(?<=[0-9])[.,](?=[0-9]))+", text or ""):
+        cut = re.match(r"([0-9][^A-Za-z\u0080-\U0010ffff]*)(.+)$", t)
+        tokens += [cut[1], cut[2]] if cut and fold(cut[2]) in decontaminate.UNITS else [t]
+    out, before = [], False
+    for t in tokens:
+        v = fold(t)
+        number = t[0].isascii() and t[0].isdigit() and not re.search(r"[A-Za-z\u0080-\U0010ffff]", t)
+        unit = before and v in decontaminate.UNITS
+        name = "A" <= t[0] <= "Z" and len(re.findall("[A-Z]", t)) == 1 and len(t.encode()) > 1 and v not in decontaminate.COMMON
+        out.append(("#" if number else "%" if unit else "@" if name else v, v, not (number or unit or name)))
+        before = number
+    return out
+
+
+def plain_leaks(docs, items, coverage=0.5, size=decontaminate.WINDOW):
+    def windows(tokens, n):
+        for k in range(len(tokens) - n + 1):
+            w = tokens[k : k + n]
+            few = sum(x[2] for x in w) < min(decontaminate.LEAST_WORDS, max(n - 1, 1))
+            yield k, (n, few, tuple(x[1 if few else 0] for x in w)), w
+
+    index, length = {}, {}
+    for i, t in items.items():
+        tokens = plain_template(t)
+        length[i] = len(tokens)
+        for k, key, w in windows(tokens, min(len(tokens), size)) if tokens else ():
+            index.setdefault(key, []).append((i, k, w))
+    out = {}
+    for d, t in docs.items():
+        met, tokens = {}, plain_template(t)
+        for n in {k[0] for k in index}:
+            for at, key, w in windows(tokens, n):
+                for i, k, theirs in index.get(key, ()):
+                    slots = [(a[1], b[1], k + j) for j, (a, b) in enumerate(zip(theirs, w, strict=True)) if not a[2]]
+                    met.setdefault((i, n), {}).setdefault(at - k, {})[k] = slots
+        for (i, n), shifts in met.items():
+            places = {}
+            for found in shifts.values():
+                every = [x for slots in found.values() for x in slots]
+                same = {a for a, b, _ in every if a == b}
+                where = lambda f, every=every: len({p for a, b, p in every if f(a, b)})
+                for k, slots in found.items():
+                    if all(a == b if a in same else 2 * where(lambda x, y, a=a, b=b: (x, y) == (a, b)) > where(lambda x, _, a=a: x == a) for a, b, _ in slots):
+                        other = any(a != b for a, b, _ in slots)
+                        places[k] = other and places.get(k, True)
+            share = len({j for k in places for j in range(k, k + n)}) / length[i]
+            if places and share >= coverage:
+                out[d, i] = max(out.get((d, i), (0,)), (share, len(places), not any(places.values())))
+    return {k: (round(v[0], 9), v[1], not v[2]) for k, v in out.items()}
+
+
+def leaks_of(spark, docs, items):
+    d = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    b = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    return {(r.doc_id, r.item_id): (round(r.coverage, 9), r.n_windows, r.reparameterised) for r in decontaminate.contaminated(d, b).collect()}
+
+
+def test_leaks_equal_plain_templates(spark):
+    sf = "/root/testdata/sf0.001"
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    r = random.Random(4)
+    for k, (i, t) in enumerate(sorted(items.items())[:40]):
+        w = t.split()
+        docs[10**6 + k] = " ".join(r.choice([x, x, x, "Otto", "17", x + "km", x.upper()]) for x in w[: r.randrange(3, len(w) + 1)])
+        docs[2 * 10**6 + k] = f"Intro {t} " + t.replace("1", "7")
+    got, want = leaks_of(spark, docs, items), plain_leaks(docs, items)
+    assert got == want and len(want) > 40
+
+
+def test_recall_of_other_parameters(spark):
+    """Questions whose numbers and names are all replaced, in the midst of other text, and unrelated ones."""
+    r = random.Random(13)
+    verbs, things, names = "buys sells carries finds borrows counts".split(), "apples pears tickets stones pencils coins".split(), "Anna Boris Clara David Emilia Frank Greta Henry".split()
+
+    def question(v, t, u):
+        a, b, c = r.sample(names, 3)
+        x, y, z = r.sample(range(2, 90), 3)
+        return f"{a} {v} {x} {t} at the market near the old {u} and then gives {y} of them to {b} who already has {z} kg at home. How many {t} does {a} have left when {c} takes half of what remains after lunch?"
+
+    kinds = [(v, t, u) for v in verbs for t in things for u in ("church", "harbour")]
+    items = {k: question(*x) for k, x in enumerate(kinds)}
+    docs = {k: "Some words before it. " + question(*x) + " And some words after it." for k, x in enumerate(kinds)}
+    docs |= {1000 + k: " ".join(r.choice(["the", "market", "old", "lunch", "apples", "home", "many", "left", "after", "near"]) for _ in range(60)) for k in range(50)}
+    got = leaks_of(spark, docs, items)
+    caught = {d for d, i in got if d == i and got[d, i][2]}
+    assert len(caught) / len(items) >= 0.9 and not any(d >= 1000 for d, _ in got), len(caught) / len(items)
+
+
 def test_leaks_in_the_tables_equal_plain_search(spark):
     sf = "/root/testdata/sf0.001"
     from kerbsight.llm.queries import op5_decontamination
