@@ -66,3 +66,19 @@ def day_folder(day: Column) -> Column:
 def label_line(k: Column, *values: Column) -> Column:
     """One line of a label file: class and numbers with six decimals."""
     return F.format_string("%d " + " ".join(["%.6f"] * len(values)), k, *values)
+
+
+def share_a_class(a: Column, b: Column, sep: str = ";") -> Column:
+    """Whether two lists in text have a member in common; empty ones have none."""
+    members = lambda c: F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), sep), lambda x: F.trim(x)), lambda x: x != "")
+    return F.coalesce(F.arrays_overlap(members(a), members(b)), F.lit(False))
+
+
+def epoch_time(seconds: Column) -> Column:
+    """A time from seconds since 1970, with their fractions."""
+    return F.timestamp_micros((seconds * 1_000_000).cast("long"))
+
+
+def whole_seconds(time: Column) -> Column:
+    """A time, or ISO text, without fractions of a second; null where it can't be read."""
+    return F.date_trunc("second", F.try_to_timestamp(time.cast("string")))

@@ -20,6 +20,22 @@ def ticket_text(object_class: Column, day: Column, permit: Column, distance: Col
     return F.concat(seen, F.when(permit.isNull() | distance.isNull(), " There is no permit nearby.").otherwise(near))
 
 
+def distance_note(permit: Column, bridge: Column) -> Column:
+    """A note on how far the nearest permit and the nearest weak quay are; what isn't known is left out."""
+    line = lambda what, c: F.when(c.isNotNull(), F.format_string(f"Distance to the nearest {what}: %.0f m", c))
+    return F.array_join(F.filter(F.array(line("permit", permit), line("weak quay", bridge)), lambda x: x.isNotNull()), "\n")
+
+
+def triage_note(object_class: Column) -> Column:
+    """What whoever sorts tickets has to do."""
+    return F.format_string("Sorting:\n1. Look at the picture; pass the ticket on only if it shows a %s.\n2. Leave the ticket's source as it is, so that it is known as an automatic one.", class_name(object_class))
+
+
+def inspection_note(object_class: Column) -> Column:
+    """What an inspector has to do."""
+    return F.format_string("Inspection:\n1. Look at the picture: does this %s need a permit?\n2. Look for a permit of this place, or ask the owner.\n3. Without a valid one, follow the usual procedure.", class_name(object_class))
+
+
 def payload(text: Column, lat: Column, lon: Column, day: Column, district: Column | None = None) -> Column:
     """The nested JSON of a new ticket."""
     point = F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from kerbsight.functions.geo import rd_from_wgs84
 from kerbsight.functions.text import basename, source_and_number, stem
 from kerbsight.sources.schemas import COCO, FRAMES, GEOJSON, LANDING, RECORDING, flat_columns
 
@@ -118,6 +119,23 @@ def broken(landing: DataFrame) -> DataFrame:
     return landing.agg(F.count("*").alias("n"), F.count_if(F.col("image_file_name").isNull()).alias("n_broken"))
 
 
+def frame_metadata(spark: SparkSession, path: str, schema: StructType, exclude_folders: tuple[str, ...] = (), exclude_files: tuple[str, ...] = ()) -> DataFrame:
+    """Metadata CSV files below a folder, with each position on the metric grid (x, y) and the file's name.
+
+    Files in an excluded folder, or with an excluded text in their name, are left out; rows without a position stay,
+    with null coordinates.
+    """
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    df = reader.csv(path).withColumn("_file", F.col("_metadata.file_path"))
+    folder, name = F.element_at(F.split("_file", "/"), -2), F.element_at(F.split("_file", "/"), -1)
+    for x in exclude_folders:
+        df = df.where(folder != x)
+    for x in exclude_files:
+        df = df.where(~F.contains(name, F.lit(x)))
+    gx, gy = rd_from_wgs84(F.col("gps_lat"), F.col("gps_lon"))
+    return df.withColumns({"x": gx, "y": gy, "metadata_file": name}).drop("_file")
+
+
 def jdbc(spark: SparkSession, url: str, sql: str, **options: str) -> DataFrame:
     """A database query; give partitionColumn, bounds and numPartitions for large results."""
     return spark.read.format("jdbc").options(url=url, query=sql, **options).load()

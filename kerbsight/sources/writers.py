@@ -51,6 +51,11 @@ def report(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
     (w.partitionBy(*by) if by else w).csv(path)
 
 
+def metrics(df: DataFrame, path: str, by: tuple[str, ...] = ("mode", "threshold")) -> None:
+    """Metrics as JSON, one folder for each mode and threshold."""
+    df.write.partitionBy(*by).json(path)
+
+
 #: Icons of classes on a map.
 ICONS = {2: "box", 3: "toilet-portable", 4: "table-cells"}
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from kerbsight.sources.readers import detections_of, frames_of
 from kerbsight.sources.schemas import LANDING
@@ -16,13 +19,41 @@ def landing_stream(spark: SparkSession, path: str, max_files: int | None = None)
     return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).json(path)
 
 
+class _Rows(StreamingQueryListener):
+    """Adds up the rows that one query reads; a query itself only remembers its last hundred batches."""
+
+    def __init__(self):
+        self.rows, self.ended = {}, defaultdict(threading.Event)
+
+    def onQueryStarted(self, event):  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event):  # noqa: N802
+        run = str(event.progress.runId)
+        self.rows[run] = self.rows.get(run, 0) + event.progress.numInputRows
+
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        self.ended[str(event.runId)].set()
+
+
 def to_table(stream: DataFrame, table: str, checkpoint: str, timeout_s: int = 60) -> int:
     """Appends what is there now and returns the number of rows read; raises if that takes longer than the timeout."""
-    q: StreamingQuery = stream.writeStream.option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).toTable(table)
-    if not q.awaitTermination(timeout_s):
-        q.stop()
-        raise TimeoutError(f"{table} took more than {timeout_s} s")
-    return sum(p["numInputRows"] for p in q.recentProgress)
+    listener, streams = _Rows(), stream.sparkSession.streams
+    streams.addListener(listener)
+    try:
+        q: StreamingQuery = stream.writeStream.option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).toTable(table)
+        if not q.awaitTermination(timeout_s):
+            q.stop()
+            raise TimeoutError(f"{table} took more than {timeout_s} s")
+        run = str(q.runId)
+        if not listener.ended[run].wait(30):
+            raise TimeoutError(f"no report of the end of {table}")
+        return listener.rows.get(run, 0)
+    finally:
+        streams.removeListener(listener)
 
 
 def ingest(spark: SparkSession, path: str, frames_table: str, detections_table: str, checkpoints: str, timeout_s: int = 60) -> tuple[int, int]:
@@ -42,7 +73,13 @@ def unique_images(stream: DataFrame, time_col: str = "image_timestamp", delay: s
     return stream.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["image_name"])
 
 
-def counts_by_window(stream: DataFrame, time_col: str = "image_timestamp", width: str = "10 minutes", delay: str = "1 hour") -> DataFrame:
-    """Images by tumbling window; later than the watermark is left out."""
-    w = F.window(time_col, width)
+def counts_by_window(stream: DataFrame, time_col: str = "image_timestamp", width: str = "10 minutes", delay: str = "1 hour", slide: str | None = None) -> DataFrame:
+    """Images by tumbling window, or by windows that begin every ``slide``; later than the watermark is left out."""
+    w = F.window(time_col, width, slide)
     return stream.withWatermark(time_col, delay).groupBy(w).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), "n")
+
+
+def counts_by_session(stream: DataFrame, key: str, time_col: str = "image_timestamp", gap: str = "5 minutes", delay: str = "1 hour") -> DataFrame:
+    """Images by session of a key: runs without a gap of that length."""
+    w = F.session_window(time_col, gap).alias("window")
+    return stream.withWatermark(time_col, delay).groupBy(key, w).agg(F.count("*").alias("n")).select(key, F.col("window.start").alias("start"), F.col("window.end").alias("end"), "n")

@@ -451,6 +451,17 @@ def test_ticket_texts(spark):
     assert "district" not in json.loads(r.p)["location"]
 
 
+def test_notes_lists_and_times(spark):
+    from kerbsight.functions import tickets
+
+    r = one(
+        spark, a=tickets.distance_note(F.lit(41.6), F.lit(None).cast("double")), b=tickets.triage_note(F.lit(3)), c=tickets.inspection_note(F.lit(2)), d=text.share_a_class(F.lit("2; 3"), F.lit("3;4")), e=text.share_a_class(F.lit(""), F.lit("")),
+        f=text.epoch_time(F.lit(1.5)).cast("double"), g=text.whole_seconds(F.lit("1970-01-01T00:00:09.75Z")).cast("long"), h=text.whole_seconds(F.lit("no")), i=text.share_a_class(F.lit("2"), F.lit(None).cast("string")),
+    )
+    assert r.a == "Distance to the nearest permit: 42 m" and "mobile toilet" in r.b and "container" in r.c
+    assert (r.d, r.e, r.f, r.g, r.h, r.i) == (True, False, 1.5, 9, None, False)
+
+
 def test_settings():
     import datetime
 

@@ -36,7 +36,7 @@ def test_stream_twice_and_with_new_files(spark, tmp_path):
     put(landing, "a", document("a.jpg"))
     put(landing, "bad", "{")
     run = lambda: ingest.ingest(spark, str(landing), "stream_frames", "stream_detections", checkpoints)
-    run()
+    assert run() == (2, 2)
     assert spark.table("stream_frames").count() == 1 and spark.table("stream_detections").count() == 2
     assert run() == (0, 0)
     put(landing, "b", document("b.jpg", 3))
@@ -139,3 +139,26 @@ def test_manual_run_and_tables(spark, tmp_path):
     spark.sql("drop table appended")
     boxes = spark.createDataFrame([(1, 2, None, 1.0, 2.0, 4.0, 8.0), (1, 2, 0.1, 0.0, 0.0, 1.0, 1.0)], "image_id int, object_class int, score double, x0 double, y0 double, x1 double, y1 double")
     assert [json.loads(r.value) for r in writers.coco_predictions(boxes, 0.5).collect()] == [{"image_id": "1", "category_id": 2, "bbox": [1.0, 2.0, 3.0, 6.0], "score": 1.0}]
+
+
+def test_frame_metadata_below_a_folder(spark, tmp_path):
+    for folder, name in (("good", "a"), ("good", "a_copy"), ("skip", "b")):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / f"{name}.csv").write_text("frame_id,gps_lat,gps_lon\n1,52.37,4.9\n2,,\n")
+    schema = schemas.fields({"frame_id": "long", "gps_lat": "double", "gps_lon": "double"})
+    got = readers.frame_metadata(spark, str(tmp_path), schema, ("skip",), ("copy",)).collect()
+    assert [(r.frame_id, r.metadata_file, r.x and round(r.x, -3), r.y and round(r.y, -3)) for r in got] == [(1, "a.csv", 122000.0, 487000.0), (2, "a.csv", None, None)]
+
+
+def test_windows_and_sessions(spark):
+    t = lambda *m: spark.createDataFrame([("k", f"2024-01-01 00:{x:02d}:00") for x in m], "k string, t string").select("k", F.to_timestamp("t").alias("image_timestamp"))
+    d = t(1, 2, 12, 30)
+    assert sorted((r.start.minute, r.n) for r in ingest.counts_by_window(d).collect()) == [(0, 2), (10, 1), (30, 1)]
+    assert sorted(r.n for r in ingest.counts_by_window(d, slide="5 minutes").collect()) == [1, 1, 1, 1, 2, 2]
+    assert sorted((r.start.minute, r.n) for r in ingest.counts_by_session(d, "k").collect()) == [(1, 2), (12, 1), (30, 1)]
+
+
+def test_metrics_by_mode_and_threshold(spark, tmp_path):
+    d = spark.createDataFrame([("binary", 0.5, 0.9), ("image", 0.5, 0.8)], "mode string, threshold double, recall double")
+    writers.metrics(d, str(tmp_path / "m"))
+    assert sorted((r.mode, r.recall) for r in spark.read.json(str(tmp_path / "m")).collect()) == [("binary", 0.9), ("image", 0.8)]
