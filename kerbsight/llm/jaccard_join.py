@@ -394,7 +394,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     comps = connected_components(edges)
     own = members.where("n > 0").groupBy("c").agg(F.min("_id").alias("doc"))
     named = own.join(comps, own["c"] == comps["node"], "left").select("c", "doc", F.coalesce("component", "c").alias("comp"))
-    least = named.groupBy("comp").agg(F.min("doc").alias("least"))
+    # Written, so that the join can split the rows of a large component.
+    least = written(named.groupBy("comp").agg(F.min("doc").alias("least")), "least")
     of_class = written(named.join(least, "comp").select(F.col("c").alias("_c"), "least"), "named")
     out = members.join(of_class, (members["c"] == of_class["_c"]) & (members["n"] > 0), "left").select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "_id").alias("component_id"))
     nulls = rows.where("_id is null").mapInArrow(_scan(size), _SCANNED).where("part is null")
