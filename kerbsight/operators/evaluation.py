@@ -35,20 +35,20 @@ def sizes_of(scale: float = 1.0, bounds: dict[int, tuple[float, float]] = SIZE_B
     return {name: {k: tuple(scale * x for x in f(*ab)) for k, ab in bounds.items()} for name, f in ranges.items()}
 
 
-def range_table(spark, areas: Areas) -> DataFrame:
-    """``(area, class, low, high)``; the class is null where a range holds for all. As many rows as the areas have."""
+def _areas_of(areas: Areas, share: Column | None = None) -> Column:
+    """Names of the ranges that are for a row's class and, if given, hold its share, both ends included."""
     rows = []
     for name, r in areas.items():
-        rows += [(name, k, float(a), float(b)) for k, (a, b) in (r.items() if isinstance(r, dict) else [(None, r)])]
-    return spark.createDataFrame(rows, "area string, class int, low double, high double")
+        for k, (a, b) in r.items() if isinstance(r, dict) else [(None, r)]:
+            rows.append(F.struct(F.lit(name).alias("area"), F.lit(k).cast("int").alias("class"), F.lit(float(a)).alias("low"), F.lit(float(b)).alias("high")))
+    fits = lambda x: F.coalesce(x["class"] == F.col("object_class"), F.lit(True)) & (F.lit(True) if share is None else share.between(x["low"], x["high"]))
+    return F.transform(F.filter(F.array(*rows), fits), lambda x: x["area"])
 
 
 def in_ranges(boxes: DataFrame, areas: Areas, scale: float = 1.0) -> DataFrame:
-    """Each box (corner form, area divided by ``scale``) once for every range that holds it, both ends included."""
+    """Each box (corner form, area divided by ``scale``) once for every range that holds it, by ``area``."""
     share = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")) / scale
-    fits = (F.col("class").isNull() | (F.col("class") == F.col("object_class"))) & F.col("_share").between(F.col("low"), F.col("high"))
-    ranges = F.broadcast(range_table(boxes.sparkSession, areas))
-    return boxes.withColumn("_share", share).join(ranges, fits).drop("_share", "class", "low", "high")
+    return boxes.withColumn("area", F.explode(_areas_of(areas, share)))
 
 
 BOX = ("x0", "y0", "x1", "y1")
@@ -230,8 +230,7 @@ def per_image_stats(gt: DataFrame, pred: DataFrame, areas: Areas | None = None,
     truth = sized.groupBy(*keys, "area").agg(F.lit(1).alias("t"))
     known = gt.select(*by, "image_id").distinct().withColumn("known", F.lit(1))
     said = pred.select(*keys).distinct().join(known, [*by, "image_id"], "left").withColumn("p", F.lit(1))
-    names = range_table(gt.sparkSession, areas or {"all": (0.0, float("inf"))})
-    said = said.join(F.broadcast(names), F.col("class").isNull() | (F.col("class") == F.col("object_class"))).select(*keys, "area", "known", "p")
+    said = said.withColumn("area", F.explode(_areas_of(areas or {"all": (0.0, float("inf"))}))).select(*keys, "area", "known", "p")
     flags = truth.join(said, [*keys, "area"], "full_outer")
     c = lambda x: F.count_if(x).alias
     t, p = F.col("t").isNotNull(), F.col("p").isNotNull()
@@ -286,9 +285,8 @@ def pixel_stats(gt: DataFrame, pred: DataFrame, width: int, height: int, areas:
     images = gt.select(*by, "image_id").distinct()
     total = images.groupBy(*by).agg(F.count("*").alias("n"))
     keys = [*by, "image_id", "object_class", "area"]
-    names = F.broadcast(range_table(gt.sparkSession, areas))
     truth = in_ranges(gt, areas, float(width * height)).withColumn("k", F.lit(1))
-    said = pred.join(images, [*by, "image_id"], "left_semi").join(names, F.col("class").isNull() | (F.col("class") == F.col("object_class"))).withColumn("k", F.lit(2))
+    said = pred.join(images, [*by, "image_id"], "left_semi").withColumn("area", F.explode(_areas_of(areas))).withColumn("k", F.lit(2))
     both = _pixels(truth.select(*keys, "k", *BOX).unionByName(said.select(*keys, "k", *BOX)), width, height, upper_half=upper_half)
     c = covered(both, [*by, "object_class", "area"]).groupBy(*by, "object_class", F.col("area").alias("size"))
     s = _beside(c.agg(F.sum("both").alias("tp"), F.sum("second").alias("fp"), F.sum("first").alias("fn")), total, by)
