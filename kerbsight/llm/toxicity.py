@@ -39,7 +39,7 @@ from kerbsight.operators.scratch import written
 U = np.uint64
 #: Kneser-Ney discount of every count.
 DISCOUNT = 2
-#: Size of the model up to which it is broadcast.
+#: Size up to which the model, or the labels, are broadcast.
 BROADCAST_MB = 64
 #: Folds of crc32 modulo 5: one is held out, three give counts, one fits the curve.
 HELD_OUT, CURVE_FOLD = 0, 4
@@ -84,7 +84,7 @@ def pair(before: np.ndarray, h: np.ndarray) -> np.ndarray:
     return bytescan.mix(bytescan.mix(before + U(0x70616972)) + h)
 
 
-_COUNTS = pa.schema([("v", pa.int64()), ("w", pa.int64()), ("vw", pa.int64()), ("n0", pa.int64()), ("n1", pa.int64())])
+_COUNTS = pa.schema([("v", pa.int64()), ("w", pa.int64()), ("n0", pa.int64()), ("n1", pa.int64())])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,11 +98,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             once = np.unique(bytescan.mix(key + row.astype(U) * U(bytescan.BASE)), return_index=True)[1]
             distinct, at, place = np.unique(key[once], return_index=True, return_inverse=True)
             n = [np.bincount(place[label[row[once]] == y], minlength=len(distinct)).astype(np.int64) for y in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (before[once][at], h[once][at], distinct)), *map(pa.array, n)], schema=_COUNTS)
+            yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (before[once][at], h[once][at])), *map(pa.array, n)], schema=_COUNTS)
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
-    """``(h, difference)`` of all words and pairs that either class has beyond the discount, from ``(v, w, vw, n0, n1)``.
+    """``(h, difference)`` of all words and pairs that either class has beyond the discount, from ``(v, w, n0, n1)``.
 
     Three partial aggregates, by word, by preceding word and over all; hot words are summed before they are shuffled, and
     the joins back are ordinary ones that adaptive execution may split.
@@ -122,21 +122,36 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     weight = F.col("given") / F.col("n")
     pairs = counts.where(known[0] | known[1]).join(by_context.select("v", "k0", "k1", weight.alias("l")), "v").join(likely, "w")
     after = lambda c: (1 - F.col("l")) * left(f"n{c}") / F.col(f"k{c}") + F.col("l") * F.col(f"p{c}")
-    return likely.select(F.col("w").alias("h"), difference(F.col("p0"), F.col("p1"))).unionByName(pairs.select(F.col("vw").alias("h"), difference(after(0), after(1))))
+    keyed = pairs.select("v", "w", difference(after(0), after(1))).mapInArrow(_keyed, "h long, difference double")
+    return likely.select(F.col("w").alias("h"), difference(F.col("p0"), F.col("p1"))).unionByName(keyed)
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        v, w = (b.column(c).to_numpy().view(U) for c in ("v", "w"))
+        yield pa.RecordBatch.from_arrays([pa.array(pair(v, w).view(np.int64)), b.column("difference")], names=["h", "difference"])
 
 
 def difference(p0: Column, p1: Column) -> Column:
     return (F.log(p1) - F.log(p0)).alias("difference")
 
 
-def model_of(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str) -> DataFrame:
-    """The table of differences from all documents with label 0 or 1 in the folds that give counts."""
+def model_of(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, labels_mb: float = BROADCAST_MB) -> DataFrame:
+    """The table of differences from all documents with label 0 or 1 in the folds that give counts.
+
+    Labels of up to ``labels_mb`` are broadcast to the texts; more are joined with the texts that a bitmap marks.
+    """
     fold = crc_bucket(id_col)
     known = labels.where(F.col(label).isin(0, 1) & (fold != HELD_OUT) & (fold != CURVE_FOLD)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_y"))
     known = written(known, "labels")
-    text = marked(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), known, "_id").join(known.hint("merge"), "_id").select("_text", "_y")
-    counts = text.mapInArrow(lean(_count), "v long, w long, vw long, n0 long, n1 long").groupBy("v", "w", "vw").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    return written(kneser_ney(written(counts, "counts")), "model")
+    text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    if 16 * known.count() <= labels_mb * 1e6:
+        text = text.join(F.broadcast(known), "_id")
+    else:
+        text = marked(text, known, "_id").join(known.hint("merge"), "_id")
+    counts = text.select("_text", "_y").mapInArrow(lean(_count), "v long, w long, n0 long, n1 long").groupBy("v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    # Ordered by the first word, which then takes hardly any room in the files.
+    return written(kneser_ney(written(counts.sortWithinPartitions("v"), "counts")), "model")
 
 
 def lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -267,7 +282,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
     the labelled documents that fit the curve and the baseline, those with the least hash of their id; all else covers
     every document. Repeated rows score alike; other columns are ignored.
     """
-    model = model_of(docs, labels, label, id_col, text_col)
+    model = model_of(docs, labels, label, id_col, text_col, broadcast_mb)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     scored = written(with_features(rows, model, broadcast_mb), "ratios")
     known = labels.where(F.col(label).isin(0, 1) & (crc_bucket(id_col) == CURVE_FOLD)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_y"))
