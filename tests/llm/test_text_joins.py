@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kerbsight.llm import decontaminate, jaccard_join, suffix_dedup
@@ -327,3 +328,27 @@ def test_leaks_in_the_tables_equal_plain_search(spark):
     docs = {r.doc_id: plain(r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     want = {(d, i) for d, t in docs.items() for i, x in items.items() if x in t}
     assert want <= {(r.doc_id, r.item_id) for r in op5_decontamination(spark, sf).collect()}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_links_of_ids_with_several_texts(seed):
+    """Texts that share an id with a centre or a member are told apart by their sets, in whatever order rows come."""
+    r = random.Random(seed)
+    a, b = words(r, 60), words(r, 60)
+    near, other = [*a[:-1], "changed"], words(r, 40)
+    text = lambda w: " ".join(w)
+    classes = {x: jaccard_join._digest(next(jaccard_join.shingle_sets(pa.array([x]), 5))) for x in map(text, (a, b, near, other))}
+    centre, member = classes[text(a)], classes[text(near)]
+    own, met = [(centre, text(a)), (centre, text(b))], [(member, text(near)), (member, text(other))]
+    for rows in ([*own, *met], [*own[::-1], *met], [*own, *met[::-1]], [*own[::-1], *met[::-1]]):
+        batch = pa.RecordBatch.from_arrays([pa.array([centre] * 4), pa.array([c for c, _ in rows]), pa.array([t for _, t in rows])], names=["centre", "c", "_text"])
+        found = [tuple(x.values()) for out in jaccard_join._verify(5, 80)(iter([batch])) for x in out.to_pylist()]
+        assert found == [(centre, member)]
+
+
+def test_components_of_ids_with_several_texts(spark):
+    r = random.Random(5)
+    a, b = words(r, 60), words(r, 60)
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (7, " ".join([*a[:-1], "changed"])), (7, "one text more"), (9, " ".join([*b[:-1], "changed"])), (9, None)]
+    got = jaccard_join.jaccard_components(frame(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got if x.n_shingles > 40) == [(1, 56, 1), (1, 56, 1), (7, 56, 1), (9, 56, 1)]
