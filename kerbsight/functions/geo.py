@@ -84,10 +84,10 @@ def segment_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column,
     return planar(px, py, ax + t * (bx - ax), ay + t * (by - ay))
 
 
-def in_ring(px: Column, py: Column, ring: Column) -> Column:
-    """Whether a point lies in a ring, an array of (x, y) structs; the last vertex joins the first.
+def crossings(px: Column, py: Column, ring: Column) -> Column:
+    """How many edges of a ring, an array of (x, y) structs whose last vertex joins the first, a ray to the right crosses.
 
-    Even-odd rule: an edge counts if it crosses the ray to the right, its lower end belonging to it.
+    The lower end of an edge belongs to it, the upper one doesn't.
     """
     n = F.size(ring)
 
@@ -95,14 +95,24 @@ def in_ring(px: Column, py: Column, ring: Column) -> Column:
         a, b = F.element_at(ring, i), F.element_at(ring, i % n + 1)
         return ((a["y"] > py) != (b["y"] > py)) & (px < (b["x"] - a["x"]) * (py - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"])
 
-    return F.size(F.filter(F.sequence(F.lit(1), n), crosses)) % 2 == 1
+    return F.size(F.filter(F.sequence(F.lit(1), n), crosses))
 
 
-def ring_distance(px: Column, py: Column, ring: Column) -> Column:
-    """Distance from a point to the ring's edges; 0 inside."""
+def edge_distance(px: Column, py: Column, ring: Column) -> Column:
+    """Distance from a point to the closest edge of a ring."""
     n = F.size(ring)
     edge = lambda i: segment_distance(px, py, F.element_at(ring, i)["x"], F.element_at(ring, i)["y"], F.element_at(ring, i % n + 1)["x"], F.element_at(ring, i % n + 1)["y"])
-    return F.when(in_ring(px, py, ring), 0.0).otherwise(F.array_min(F.transform(F.sequence(F.lit(1), n), edge)))
+    return F.array_min(F.transform(F.sequence(F.lit(1), n), edge))
+
+
+def in_ring(px: Column, py: Column, ring: Column) -> Column:
+    """Whether a point lies in a ring, by the even-odd rule."""
+    return crossings(px, py, ring) % 2 == 1
+
+
+def ring_distance(px: Column, py: Column, ring: Column) -> Column:
+    """Distance from a point to the ring's edges; 0 inside."""
+    return F.when(in_ring(px, py, ring), 0.0).otherwise(edge_distance(px, py, ring))
 
 
 @F.pandas_udf(DoubleType())

@@ -5,8 +5,9 @@ from __future__ import annotations
 import struct
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DoubleType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, StringType, StructType
 
 POINT_TYPE = StructType().add("x", DoubleType()).add("y", DoubleType())
 POINT, LINE, POLYGON, MULTI_POINT, MULTI_LINE, MULTI_POLYGON = 1, 2, 3, 4, 5, 6
@@ -18,7 +19,7 @@ def parse(hex_text: str | None) -> tuple[int, list[list[tuple[float, float]]]] |
         raw = bytes.fromhex(hex_text)
         kind, parts, end = _geometry(raw, 0)
         return (kind, parts) if end == len(raw) else None
-    except (TypeError, ValueError, struct.error, KeyError, RecursionError):
+    except (TypeError, ValueError, IndexError, struct.error, KeyError, RecursionError):
         return None
 
 
@@ -87,6 +88,41 @@ def parts_of(column: pd.Series) -> pd.Series:
     return pd.Series([(p := parse(x)) and [[{"x": a, "y": b} for a, b in part] for part in p[1]] for x in column], dtype=object)
 
 
+@F.pandas_udf(ArrayType(ArrayType(POINT_TYPE)))
+def rings_of(column: pd.Series) -> pd.Series:
+    """The rings of polygons and multipolygons, holes and parts side by side, without the vertex that repeats the first.
+
+    Null for other types, for rings of fewer than three vertices and for text that can't be read.
+    """
+
+    def rings(text: str | None):
+        found = parse(text)
+        if not found or found[0] not in (POLYGON, MULTI_POLYGON):
+            return None
+        open_ = [part[:-1] if len(part) > 1 and part[0] == part[-1] else part for part in found[1]]
+        if not open_ or min(map(len, open_)) < 3:
+            return None
+        return [[{"x": x, "y": y} for x, y in part] for part in open_]
+
+    return pd.Series([rings(x) for x in column], dtype=object)
+
+
+@F.arrow_udf(StringType())
+def polygon_hex(column: pa.Array) -> pa.Array:
+    """Shapes, arrays of rings, as WKB text of one polygon, little endian, each ring closed; null stays null."""
+
+    def text(rings) -> str | None:
+        if rings is None:
+            return None
+        out = struct.pack("<BII", 1, POLYGON, len(rings))
+        for ring in rings:
+            flat = [c for v in [*ring, ring[0]] for c in (v["x"], v["y"])]
+            out += struct.pack(f"<I{len(flat)}d", len(flat) // 2, *flat)
+        return out.hex()
+
+    return pa.array([text(x) for x in column.to_pylist()], pa.string())
+
+
 @F.pandas_udf(BinaryType())
 def point_wkb(x: pd.Series, y: pd.Series) -> pd.Series:
     """A point as WKB, little endian; null without coordinates."""

@@ -10,8 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-from kerbsight.functions.geo import CLUSTER_RADIUS, along_segment, ellipsoidal, haversine, in_ring, on_sphere, planar, ring_distance
+from kerbsight.functions import shapes
+from kerbsight.functions.geo import CLUSTER_RADIUS, along_segment, ellipsoidal, haversine, on_sphere, planar
 from kerbsight.operators.components import connected_components
 from kerbsight.operators.scratch import written
 
@@ -154,11 +156,17 @@ def nearest_segment(points: DataFrame, segments: DataFrame, id_col: str, segment
     return out.select(*points.columns, F.col("_n.id").alias(segment_id), F.col("_n.x").alias("near_x"), F.col("_n.y").alias("near_y"), F.col("_n.d").alias("distance"))
 
 
-def _bounded(areas: DataFrame, ring: str, by: float, size: float) -> DataFrame:
-    """Areas once for each cell that their bounding box, widened by ``by``, touches, with that box."""
-    side = lambda k, f: f(F.transform(ring, lambda v: v[k]))
-    box = {"_x0": side("x", F.array_min) - by, "_x1": side("x", F.array_max) + by, "_y0": side("y", F.array_min) - by, "_y1": side("y", F.array_max) + by}
-    return areas.withColumns(box).withColumn("_cell", F.explode(_cells(*map(F.col, box), size)))
+def _rings(areas: DataFrame, column: str) -> Column:
+    """A column of shapes: arrays of rings as they are, a single ring as the only one of its shape."""
+    kind = areas.schema[column].dataType
+    return F.col(column) if isinstance(kind.elementType, ArrayType) else F.when(F.col(column).isNotNull(), F.array(column))
+
+
+def _bounded(areas: DataFrame, by: float, size: float) -> DataFrame:
+    """Areas once for each cell that the bounding box of their ``_rings``, widened by ``by``, touches, with that box."""
+    x0, x1, y0, y1 = shapes.bounds(F.col("_rings"))
+    box = {"_x0": x0 - by, "_x1": x1 + by, "_y0": y0 - by, "_y1": y1 + by}
+    return areas.where("_rings is not null").withColumns(box).withColumn("_cell", F.explode(_cells(*map(F.col, box), size)))
 
 
 def _cell_of(x: str, y: str, size: float) -> Column:
@@ -173,20 +181,46 @@ def _near_box(points: DataFrame, id_col: str, x: str, y: str, bounded: DataFrame
 
 
 def containing(points: DataFrame, areas: DataFrame, id_col: str, area_id: str, x: str = "x", y: str = "y", ring: str = "ring", size: float = 0.05, keep_unmatched: bool = False) -> DataFrame:
-    """Each point with the area (least id first) whose ring holds it; points outside all are dropped or kept with null."""
-    bounded = _bounded(areas.select(area_id, F.col(ring).alias("_ring")), "_ring", 0.0, size)
-    hit = _near_box(points, id_col, x, y, bounded, size).where(in_ring(F.col("_x"), F.col("_y"), F.col("_ring")))
+    """Each point with the area (least id first) whose shape holds it; points outside all are dropped or kept with null.
+
+    ``ring`` names a ring, or an array of rings in which holes and parts stand side by side. Areas without one hold nothing.
+    """
+    bounded = _bounded(areas.select(area_id, _rings(areas, ring).alias("_rings")), 0.0, size)
+    hit = _near_box(points, id_col, x, y, bounded, size).where(shapes.in_shape(F.col("_x"), F.col("_y"), F.col("_rings")))
     return points.join(hit.groupBy(id_col).agg(F.min(area_id).alias(area_id)), id_col, "left" if keep_unmatched else "inner")
 
 
 def apart_from(points: DataFrame, areas: DataFrame, id_col: str, radius: float, x: str = "x", y: str = "y", ring: str = "ring", size: float = 200.0) -> DataFrame:
-    """Adds ``apart``: whether no area comes within ``radius`` of the point. Without any area nothing is apart."""
-    bounded = _bounded(areas.select(F.col(ring).alias("_ring")), "_ring", radius, size)
-    near = _near_box(points, id_col, x, y, bounded, size).where(ring_distance(F.col("_x"), F.col("_y"), F.col("_ring")) <= radius).select(id_col).distinct()
-    some = not areas.isEmpty()
+    """Adds ``apart``: whether no area comes within ``radius`` of the point. Without any area nothing is apart.
+
+    Rings as in :func:`containing`; a point in a hole is as far from the area as from the hole's edge.
+    """
+    known = areas.select(_rings(areas, ring).alias("_rings")).where("_rings is not null")
+    bounded = _bounded(known, radius, size)
+    near = _near_box(points, id_col, x, y, bounded, size).where(shapes.shape_distance(F.col("_x"), F.col("_y"), F.col("_rings")) <= radius).select(id_col).distinct()
+    some = not known.isEmpty()
     return points.join(near.withColumn("_near", F.lit(True)), id_col, "left").withColumn("apart", F.lit(some) & F.col("_near").isNull()).drop("_near")
 
 
+def edges_of(features: DataFrame, feature_id: str, lines: str = "lines") -> DataFrame:
+    """``(feature_id, ax, ay, bx, by)``: the segments of each feature's lines, arrays of arrays of vertices."""
+    line = features.select(feature_id, F.explode(lines).alias("_line"))
+    ends = F.transform(F.sequence(F.lit(1), F.size("_line") - 1), lambda i: F.struct(F.element_at("_line", i).alias("a"), F.element_at("_line", i + 1).alias("b")))
+    return line.where(F.size("_line") > 1).select(feature_id, F.explode(ends).alias("e")).select(feature_id, F.col("e.a.x").alias("ax"), F.col("e.a.y").alias("ay"), F.col("e.b.x").alias("bx"), F.col("e.b.y").alias("by"))
+
+
+def nearest_feature(points: DataFrame, features: DataFrame, id_col: str, feature_id: str, start: float = 250.0) -> DataFrame:
+    """Each point (x, y) with its closest feature, the closest point of it and the distance, in the plane.
+
+    Features have ``lines`` and, where they are areas, ``rings``, else null there. A point within an area is at distance 0
+    from it; otherwise edges count, of holes too. Ties go to the least feature id.
+    """
+    inside = containing(points, features, id_col, feature_id, ring="rings", size=start)
+    at_zero = inside.select(*points.columns, feature_id, F.col("x").alias("near_x"), F.col("y").alias("near_y"), F.lit(0.0).alias("distance"))
+    rest = points.join(inside.select(id_col), id_col, "left_anti")
+    return at_zero.unionByName(nearest_segment(rest, edges_of(features, feature_id), id_col, feature_id, start))
+
+
 def within_any(points: DataFrame, centres: DataFrame, id_col: str, radius: float, x: str = "x", y: str = "y", cx: str = "cx", cy: str = "cy") -> DataFrame:
     """Points that lie within ``radius`` of any centre, in the plane."""
     spread = centres.select(F.col(cx).alias("_x"), F.col(cy).alias("_y")).withColumn("_cell", F.explode(_cells(F.col("_x") - radius, F.col("_x") + radius, F.col("_y") - radius, F.col("_y") + radius, 2 * radius)))

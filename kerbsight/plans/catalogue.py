@@ -598,7 +598,7 @@ def track_polyline(spark, sf_dir):
 
 
 def _load_more() -> None:
-    from kerbsight.plans import more, reports  # noqa: F401
+    from kerbsight.plans import more, registers, reports  # noqa: F401
 
 
 _load_more()

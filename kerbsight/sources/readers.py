@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from kerbsight.functions import shapes, wkb
 from kerbsight.functions.geo import rd_from_wgs84
 from kerbsight.functions.text import basename, source_and_number, stem
+from kerbsight.sources import rest
 from kerbsight.sources.schemas import COCO, FRAMES, GEOJSON, LANDING, RECORDING, flat_columns
 
 
@@ -65,9 +67,45 @@ def coco(spark: SparkSession, path: str, classes: tuple[int, ...] | None = None)
 
 
 def geojson(spark: SparkSession, path: str, id_names: tuple[str, ...] = ("objectnummer", "rakcode")) -> DataFrame:
-    """``(feature_id, type, coordinates)``; the id is the first property there, or the feature's place in the file."""
-    f = spark.read.schema(GEOJSON).option("multiLine", True).json(path).select(F.posexplode("features").alias("at", "f"))
-    return f.select(F.coalesce(*[F.col("f.properties")[n] for n in id_names], F.col("at").cast("string")).alias("feature_id"), F.col("f.geometry.type").alias("type"), F.col("f.geometry.coordinates").alias("coordinates"))
+    """``(feature_id, type, coordinates, crs)``; the id is the first property there, or the feature's place in the file."""
+    f = spark.read.schema(GEOJSON).option("multiLine", True).json(path).select(F.col("crs.properties.name").alias("crs"), F.posexplode("features").alias("at", "f"))
+    return f.select(F.coalesce(*[F.col("f.properties")[n] for n in id_names], F.col("at").cast("string")).alias("feature_id"), F.col("f.geometry.type").alias("type"), F.col("f.geometry.coordinates").alias("coordinates"), "crs")
+
+
+def features(collection: DataFrame) -> DataFrame:
+    """``(feature_id, rings, lines)`` on the metric grid, of the rows of :func:`geojson`.
+
+    Rings are null for features that aren't areas, lines for points; what can't be read has neither. Collections without a
+    reference system are in longitude and latitude; of systems other than that and the grid nothing is taken.
+    """
+    rings, lines = shapes.rings_of_geojson(F.col("type"), F.col("coordinates")), shapes.lines_of_geojson(F.col("type"), F.col("coordinates"))
+    return collection.select("feature_id", shapes.on_grid(rings, F.col("crs")).alias("rings"), shapes.on_grid(lines, F.col("crs")).alias("lines"))
+
+
+def public_ground(rows: DataFrame, geometry: str = "geometry", encumbered: str = "encumbered") -> DataFrame:
+    """``(rings)``: the shapes of public ground, from WKB text on the metric grid.
+
+    Rows count whose flag is false; true and null are left out, and so are geometries that can't be read or aren't areas.
+    """
+    return rows.where(~F.col(encumbered)).select(wkb.rings_of(F.col(geometry)).alias("rings")).where("rings is not null")
+
+
+def districts(items: DataFrame, crs: str = "EPSG:28992", code: str = "code", name: str = "naam", geometry: str = "geometrie") -> DataFrame:
+    """``(district_code, district, rings)`` on the metric grid, from items of the district service.
+
+    The geometry is JSON text of a Polygon or MultiPolygon in the given system; districts without a readable one are left
+    out, as nothing could lie in them.
+    """
+    g = F.from_json(F.col(geometry), "type string, coordinates string")
+    rings = shapes.on_grid(shapes.rings_of_geojson(g["type"], g["coordinates"]), F.lit(crs))
+    return items.select(F.col(code).alias("district_code"), F.col(name).alias("district"), rings.alias("rings")).where("rings is not null")
+
+
+def district_service(spark: SparkSession, url: str, items: str = "_embedded.stadsdelen", **options: str) -> DataFrame:
+    """The districts of a paged service, as :func:`districts` has them; options are those of ``rest.Options``."""
+    spark.dataSource.register(rest.PagedJson)
+    read = spark.read.format("paged_json").options(url=url, items=items, **options).schema("code string, naam string, geometrie string")
+    return districts(read.load())
 
 
 def csv(spark: SparkSession, paths: str | list[str], schema: StructType, required: tuple[str, ...] = ()) -> DataFrame:

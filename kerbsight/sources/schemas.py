@@ -34,7 +34,7 @@ COCO = fields({
     "images": ArrayType(fields({"id": "string", "width": "integer", "height": "integer", "file_name": "string"})),
     "annotations": ArrayType(fields({"id": "long", "image_id": "string", "category_id": "integer", "bbox": ArrayType(DoubleType()), "area": "double"})),
 })
-GEOJSON = fields({"features": ArrayType(fields({"geometry": fields({"type": "string", "coordinates": "string"}), "properties": MapType(StringType(), StringType())}))})
+GEOJSON = fields({"crs": fields({"properties": fields({"name": "string"})}), "features": ArrayType(fields({"geometry": fields({"type": "string", "coordinates": "string"}), "properties": MapType(StringType(), StringType())}))})
 
 
 RECORDING = fields({
