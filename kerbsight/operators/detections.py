@@ -86,9 +86,17 @@ def top_k(objects: DataFrame, limits: dict[int, int], by: list[str], order: list
         objects = objects.where(~F.col(private))
     if skip_ids is not None:
         objects = objects.join(skip_ids.select(id_col), id_col, "left_anti")
-    limit = reduce(lambda c, kv: c.when(F.col("object_class") == kv[0], kv[1]), list(limits.items())[1:], F.when(F.col("object_class") == next(iter(limits)), limits[next(iter(limits))]))
-    ranked = objects.where(F.col("score") >= min_score).withColumn("_limit", limit).where("_limit is not null").withColumn("rank", F.row_number().over(Window.partitionBy(*by, "object_class").orderBy(*order)))
-    return ranked.where((F.col("_limit") < 0) | (F.col("rank") <= F.col("_limit"))).drop("_limit")
+    ranked = lambda rows: rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by, "object_class").orderBy(*order)))
+    good = objects.where(F.col("score") >= min_score)
+    bounded, unbounded = {c: n for c, n in limits.items() if n >= 0}, [c for c, n in limits.items() if n < 0]
+    parts = []
+    if bounded:
+        own = F.create_map(*[F.lit(x) for kv in bounded.items() for x in kv])[F.col("object_class")]
+        # The largest limit is a literal, so Spark drops what is beyond it before it shuffles and sorts whole groups.
+        parts.append(ranked(good.where(F.col("object_class").isin(*bounded))).where((F.col("rank") <= max(bounded.values())) & (F.col("rank") <= own)))
+    if unbounded:
+        parts.append(ranked(good.where(F.col("object_class").isin(*unbounded))))
+    return reduce(DataFrame.unionByName, parts) if parts else ranked(good.limit(0))
 
 
 def with_status(rows: DataFrame, log: DataFrame, id_col: str) -> DataFrame:

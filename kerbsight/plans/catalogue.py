@@ -432,10 +432,11 @@ def _judged(spark, sf_dir):
     return p.join(good, "pred_id", "left").withColumn("good", F.coalesce("good", F.lit(False)))
 
 
-@query("select object_class, step, count(*) as n, count(*) filter (where pred_id in (from right_)) as tp from pred join (select unnest(range(1, 20)) * 0.05::double as step) on score >= step - 1e-9 group by object_class, step", views.BOXES, BEST)
+@query("select object_class, step, count(*) as n, count(*) filter (where pred_id in (from right_)) as tp from pred join (select unnest(range(50, 1000, 50)) as step) on cast(round(score * 1000) as bigint) >= step group by object_class, step", views.BOXES, BEST)
 def conf_sweep(spark, sf_dir):
-    p = _judged(spark, sf_dir).withColumn("score", F.col("score") + 1e-9)
-    return evaluation.sweep(p, "score", [k * 0.05 for k in range(1, 20)], ["object_class"], F.col("good"))
+    """Counts from each threshold on; scores and thresholds are whole thousandths, so none is lost to rounding."""
+    p = _judged(spark, sf_dir).withColumn("score", F.round(F.col("score") * 1000).cast("long"))
+    return evaluation.sweep(p, "score", list(range(50, 1000, 50)), ["object_class"], F.col("good"))
 
 
 @query("select object_class, step, count(*) as n, count(*) filter (where pred_id in (from right_)) as tp from pred join (select unnest(range(0, 21)) * 0.005::double as step) on (x1 - x0) * (y1 - y0) / (1280 * 720) >= step group by object_class, step", views.BOXES, BEST)
@@ -558,12 +559,6 @@ def delete_candidates(spark, sf_dir):
     return j.where("status = 'Processed' or sent is null").select("frame_id", "image_name", "detection_id", "score")
 
 
-@query("select id, case when id % 5 = 0 then 'failed' else 'sent' end as outcome, case when id % 5 = 0 then null else signal_id end as signal_id from tickets where state = 'Gemeld'", views.TICKETS)
-def notification_split(spark, sf_dir):
-    ok = F.col("id") % 5 != 0
-    return views.tickets(spark, sf_dir).where("state = 'Gemeld'").select("id", F.when(ok, "sent").otherwise("failed").alias("outcome"), F.when(ok, F.col("signal_id")).alias("signal_id"))
-
-
 @query("select detection_id, round(cume, 6) as share from (select detection_id, cast(rank() over (partition by object_class order by confidence) as double) / count(*) over (partition by object_class) as cume from detections)", views.DETECTIONS)
 def empirical_cdf(spark, sf_dir):
     d = views.detections(spark, sf_dir).select("detection_id", "object_class", "confidence")

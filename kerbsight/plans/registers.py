@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbsight.functions import geo, wkb
 from kerbsight.operators import spatial
+from kerbsight.operators.scratch import scratch_dir
+from kerbsight.operators.status_log import StatusLog
 from kerbsight.plans import views
 from kerbsight.plans.catalogue import query, r3
 from kerbsight.plans.more import _poly
 from kerbsight.sources import readers
+from kerbsight.sources.outbox import NotSent, deliver_once
 from kerbsight.sources.schemas import LANDING
 from kerbsight.streaming import rejects
 
@@ -143,3 +148,31 @@ def accepted_detections(spark, sf_dir):
     frames, found, _ = rejects.split(rejects.checked(parsed(raw_documents(spark, sf_dir))))
     known = frames.where("image_name <> 'same.jpg'").select("frame_id")
     return found.join(known, "frame_id").groupBy("image_name").agg(F.count("*").alias("n"))
+
+
+@query("""select detection_id, status, cast(done as varchar) as processed_at from (select *, row_number() over (partition by detection_id order by done desc, b desc) as k from (
+  select event_id as detection_id, 'S' || b as status, timestamp '2024-01-10 00:00:00' + to_hours(cast((b * 7 + event_id % 5) % 11 as integer)) as done, b from events, range(1, 5) as v(b) where event_id % (b + 1) = 0)) where k = 1""")
+def status_log_compacted(spark, sf_dir):
+    """The current status of every detection, from a snapshot of three batches of the log and one behind it."""
+    log = StatusLog(spark, f"{scratch_dir(spark)}/status-{uuid.uuid4().hex}")
+    e = views.table(spark, sf_dir, "events")
+    for b in range(1, 5):
+        at = f"timestampadd(HOUR, cast(({b * 7} + event_id % 5) % 11 as int), timestamp'2024-01-10 00:00:00')"
+        log.append(e.where(f"event_id % {b + 1} = 0").selectExpr("event_id as detection_id", f"'S{b}' as status", f"{at} as processed_at"))
+        if b in (2, 3):
+            log.compact()
+    return log.current().withColumn("processed_at", F.col("processed_at").cast("string"))
+
+
+def _send(row: dict) -> str:
+    """A service that refuses every fifth ticket."""
+    if row["id"] % 5 == 0:
+        raise NotSent
+    return row["signal_id"]
+
+
+@query("select id, case when id % 5 = 0 then 'failed' else 'sent' end as outcome, case when id % 5 = 0 then null else signal_id end as signal_id from tickets where state = 'Gemeld'", views.TICKETS)
+def notification_split(spark, sf_dir):
+    """Tickets sent and refused, each sent once however often the result is computed."""
+    new = views.tickets(spark, sf_dir).where("state = 'Gemeld'").select("id", "signal_id")
+    return deliver_once(new, _send, f"{scratch_dir(spark)}/outbox-{uuid.uuid4().hex}", chunk=1000).select("id", "outcome", "signal_id")

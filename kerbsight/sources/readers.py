@@ -175,5 +175,48 @@ def frame_metadata(spark: SparkSession, path: str, schema: StructType, exclude_f
 
 
 def jdbc(spark: SparkSession, url: str, sql: str, **options: str) -> DataFrame:
-    """A database query; give partitionColumn, bounds and numPartitions for large results."""
+    """A database query as one partition, for results that are small by nature."""
     return spark.read.format("jdbc").options(url=url, query=sql, **options).load()
+
+
+def jdbc_ranges(spark: SparkSession, url: str, sql: str, key: str, rows_each: int = 100_000, most: int = 200, **options: str) -> DataFrame:
+    """A database query in ranges of an integer key, about ``rows_each`` rows a partition, at most ``most`` partitions.
+
+    The database tells the least and largest key and the number of rows first. Rows without a key come in the first range,
+    keys outside the bounds by the time of reading in the outer ones, so nothing is left out.
+    """
+    ends = f"select min(q.{key}) as lo, max(q.{key}) as hi, count(*) as n from ({sql}) q"
+    lo, hi, n = jdbc(spark, url, ends, **options).first()
+    reader = spark.read.format("jdbc").options(url=url, dbtable=f"({sql}) q", **options)
+    parts = min(most, -(-int(n) // rows_each))
+    if lo is None or parts < 2 or lo == hi:
+        return reader.load()
+    return reader.options(partitionColumn=key, lowerBound=str(lo), upperBound=str(int(hi) + 1), numPartitions=str(parts)).load()
+
+
+def _literal(value) -> str:
+    return str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("'", "''") + "'"
+
+
+def jdbc_lookup(spark: SparkSession, url: str, sql: str, keys: DataFrame, batch: int = 500, most_keys: int = 20_000, range_key: str | None = None, **options: str) -> DataFrame:
+    """The rows of a database query whose key columns, one or more, are among ``keys``, each once.
+
+    Up to ``most_keys`` different keys are asked for in batches, one partition each, so the database reads by its index.
+    Beyond that the query is read whole, in ranges of ``range_key`` where one is given, and joined in Spark. Null keys
+    match nothing.
+    """
+    wanted = keys.dropna().distinct()
+    names, found = keys.columns, wanted.limit(most_keys + 1).collect()
+    if len(found) > most_keys:
+        whole = jdbc_ranges(spark, url, sql, range_key, **options) if range_key else spark.read.format("jdbc").options(url=url, dbtable=f"({sql}) q", **options).load()
+        known = {c.lower(): c for c in whole.columns}
+        return whole.join(wanted.withColumnsRenamed({c: known[c.lower()] for c in names}), [known[c.lower()] for c in names], "left_semi")
+    if not found:
+        return spark.read.format("jdbc").options(url=url, query=f"select * from ({sql}) q where 1 = 0", **options).load()
+    if len(names) == 1:
+        test = lambda rows: f"{names[0]} in ({', '.join(_literal(r[0]) for r in rows)})"
+    else:
+        test = lambda rows: " or ".join("(" + " and ".join(f"{c} = {_literal(v)}" for c, v in zip(names, r, strict=True)) + ")" for r in rows)
+    ordered = sorted(found)
+    parts = [test(ordered[k : k + batch]) for k in range(0, len(ordered), batch)]
+    return spark.read.jdbc(url, f"({sql}) q", predicates=parts, properties=options)
