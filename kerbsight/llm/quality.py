@@ -147,48 +147,54 @@ def train(texts: list[bytes], labels: np.ndarray, net: Network, epochs: int = 12
 
 def _gradients(net: Network, texts: list[bytes], labels: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    values, first = chunk_bytes(symbols(np.frombuffer(b"".join(texts), np.uint8), offsets), offsets, net.chunk, net.stride)
-    x = net.vectors[values].reshape(len(values), -1)
-    r = np.tanh(x @ net.filters + net.biases)
-    top, count = np.maximum.reduceat(r, first[:-1]), np.diff(first)
-    total = np.add.reduceat(r, first[:-1])
-    row = np.repeat(np.arange(len(texts)), count)
-    p = probability(net, top, total, count)
-    dz = ((p - labels) * weight / weight.sum()).astype(np.float32)
-    n = r.shape[1]
-    pools = np.concatenate([top, total / (count + PRIOR)[:, None]], axis=1).astype(np.float32)
-    best = r == top[row]
-    best &= np.cumsum(best, axis=0) == (np.concatenate([np.zeros((1, n), np.int64), np.cumsum(best, axis=0)])[first[:-1]] + 1)[row]
-    dr = best * (dz[:, None] * net.output[:n])[row] + (dz[:, None] * net.output[n:] / (count + PRIOR)[:, None])[row].astype(np.float32)
-    dr = (dr * (1 - r * r)).astype(np.float32)
-    dx = (dr @ net.filters.T).reshape(-1, net.vectors.shape[1])
-    flat = values.ravel()
-    dv = np.stack([np.bincount(flat, dx[:, k], SYMBOLS) for k in range(dx.shape[1])], axis=1).astype(np.float32)
-    decay = np.float32(1e-5)
-    return {"vectors": dv, "filters": x.T @ dr + decay * net.filters, "biases": dr.sum(axis=0), "output": pools.T @ dz + decay * net.output, "bias": dz.sum(keepdims=True)}
-
-
-def sample_of(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, rows: int, part_chars: int) -> list:
+    data = symbols(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    if len(texts) == 1 and len(data) > 2 * PIECE:
+        parts = [(data[a : a + PIECE + net.chunk - net.stride], None) for a in range(0, len(data) - net.chunk + net.stride, PIECE)]
+        pools = [pooled(net, d, np.array([0, len(d)])) for d, _ in parts]
+        top, total, count = np.maximum.reduce([t for t, _, _ in pools]), sum(t for _, t, _ in pools), sum(c for _, _, c in pools)
+    else:
+        parts = [(data, offsets)]
+        top, total, count = pooled(net, data, offsets)
+    dz = ((probability(net, top, total, count) - labels) * weight / weight.sum()).astype(np.float32)
+    pools_of = np.concatenate([top, total / (count + PRIOR)[:, None]], axis=1).astype(np.float32)
+    n, decay = top.shape[1], np.float32(1e-5)
+    out = {"vectors": np.zeros_like(net.vectors), "filters": decay * net.filters, "biases": np.zeros_like(net.biases), "output": pools_of.T @ dz + decay * net.output, "bias": dz.sum(keepdims=True)}
+    taken = np.zeros((len(texts), n), bool)  # a maximum pulls on the first chunk that reaches it
+    for d, o in parts:
+        values, first = chunk_bytes(d, o if o is not None else np.array([0, len(d)]), net.chunk, net.stride)
+        x = net.vectors[values].reshape(len(values), -1)
+        r = np.tanh(x @ net.filters + net.biases)
+        row = np.repeat(np.arange(len(texts)), np.diff(first))
+        best = (r == top[row]) & ~taken[row]
+        best &= np.cumsum(best, axis=0) == (np.concatenate([np.zeros((1, n), np.int64), np.cumsum(best, axis=0)])[first[:-1]] + 1)[row]
+        taken |= np.logical_or.reduceat(best, first[:-1])
+        dr = best * (dz[:, None] * net.output[:n])[row] + (dz[:, None] * net.output[n:] / (count + PRIOR)[:, None])[row].astype(np.float32)
+        dr = (dr * (1 - r * r)).astype(np.float32)
+        dx, flat = (dr @ net.filters.T).reshape(-1, net.vectors.shape[1]), values.ravel()
+        out["vectors"] += np.stack([np.bincount(flat, dx[:, k], SYMBOLS) for k in range(dx.shape[1])], axis=1).astype(np.float32)
+        out["filters"] = out["filters"] + x.T @ dr
+        out["biases"] += dr.sum(axis=0)
+    return out
+
+
+def sample_of(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, rows: int) -> list:
     """``(id, text, label)`` of at most ``rows`` labelled documents outside the held-out fifth, those with the least hash of their id.
 
-    Of a text beyond ``part_chars`` characters one stretch of that length is taken, from a place that the hash of the id
-    gives, so long documents are learned from too. The driver gets at most ``rows`` times ``part_chars`` characters.
+    Their texts come whole; that their number is bounded is what bounds the sample.
     """
     known = labels.where(F.col(label).isin(0, 1) & (crc_bucket(id_col) != 0)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_y"))
     chosen = known.orderBy(F.xxhash64("_id", F.lit(3)), "_id").limit(rows)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    start = F.pmod(F.xxhash64(id_col, F.lit(7)), F.greatest(F.length(text) - part_chars + 1, F.lit(1))).cast("int") + 1
-    texts = docs.select(F.col(id_col).alias("_id"), F.substring(text, start, F.lit(part_chars)).alias("_text"))
+    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     first = texts.join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.first("_y").alias("_y"))
     return first.collect()
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", rows: int = 1500, part_chars: int = 16_384) -> Network:
-    """Trains on a bounded sample. Without labelled rows the network stays as drawn, with an output of one half.
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", rows: int = 1500) -> Network:
+    """Trains on the whole texts of at most ``rows`` labelled documents. Without any the network stays as drawn, with an output of one half.
 
     Of rows that repeat an id the least text is learned; null texts are empty ones; labels other than 0 and 1 don't count.
     """
-    sample = sorted(sample_of(docs, labels, label, id_col, text_col, rows, part_chars), key=lambda r: r[0])
+    sample = sorted(sample_of(docs, labels, label, id_col, text_col, rows), key=lambda r: r[0])
     net = new_network()
     if not sample:
         net.output[:] = 0

@@ -100,6 +100,16 @@ def test_gradients_match_differences():
         assert abs((up - down) / 2e-4 - grads[name][at]) < 2e-3, name
 
 
+def test_gradients_of_a_long_text_in_pieces(monkeypatch):
+    r = random.Random(8)
+    text = " ".join(r.choice(["word", "Wörter", "same", "x1"]) for _ in range(900)).encode()
+    net, y, w = quality.new_network(), np.array([1.0]), np.array([1.0])
+    whole = quality._gradients(net, [text], y, w)
+    monkeypatch.setattr(quality, "PIECE", 512)
+    for name, x in quality._gradients(net, [text], y, w).items():
+        assert np.allclose(x, whole[name], atol=1e-6), name
+
+
 def odd(spark, kind="int"):
     docs = spark.createDataFrame([(1, "you idiot"), (2, "fine day"), (3, None), (4, ""), (4, ""), (5, "!?"), (None, "fine")], "doc_id long, text string")
     return docs, spark.createDataFrame([(1, 1), (2, 0), (2, 0), (9, None), (3, 7), (8, 1)], f"doc_id long, toxic {kind}")
