@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType
 from kerbsight.functions import shapes
 from kerbsight.functions.geo import CLUSTER_RADIUS, along_segment, ellipsoidal, haversine, on_sphere, planar
 from kerbsight.operators.components import connected_components
+from kerbsight.operators.neighbours import nearest_places
 from kerbsight.operators.scratch import written
 
 #: Spheres and ellipsoids differ by less than this share of a distance.
@@ -64,52 +65,29 @@ def clusters(points: DataFrame, eps: float, by: list[str], id_col: str = "detect
 
 
 def nearest(
-    left: DataFrame, right: DataFrame, id_col: str, right_id: str, on: list[str], distance: Callable[..., Column] = ellipsoidal, start: float = 250.0,
+    left: DataFrame, right: DataFrame, id_col: str, right_id: str, on: list[str], distance: Callable[..., Column] = ellipsoidal,
     place: tuple[str, str] = ("lat", "lon"), right_place: tuple[str, str] = ("lat", "lon"), flat: bool = False, keep_unmatched: bool = False,
 ) -> DataFrame:
     """Each left row with the closest right row of the same group: its id, place and ``distance``; ties to the least id.
 
-    Cells of ``start`` metres first, then four times as wide each round, until one holds everything: a row is settled once
-    its best hit is closer than a cell is wide, as rows beyond the neighbouring cells can't be. What a round settles and
-    what it leaves are written, so no round repeats another, and the rounds end when nothing is left. ``distance`` takes
-    both places' columns; with ``flat`` they are metres in the plane. Left ids are unique. Rows without a place, and of
-    groups without right rows, are dropped, or kept with nulls.
+    Cells adapt to where rows lie, see :mod:`kerbsight.operators.neighbours`. ``distance`` takes both places' columns; with
+    ``flat`` they are metres in the plane. Places on earth are compared as points in space and ranked by ``distance`` among
+    those that are within 2 % of the closest; the default is good up to some tens of kilometres, for longer ones take
+    :func:`kerbsight.functions.geo.far_distance`. Left ids are unique. Rows without a place, and of groups without right rows, are dropped, or kept
+    with nulls.
     """
-    names = _POINT[:2] if flat else _POINT
-    cells = [f"_c{k}" for k in range(len(names))]
-    points = lambda x, y: (F.col(x), F.col(y)) if flat else on_sphere(F.col(x), F.col(y))
-
-    def placed(df: DataFrame, *columns: Column) -> DataFrame:
-        rows = df.select(*columns).where("_x is not null and _y is not null")
-        return rows.withColumns({n: c.cast("double") for n, c in zip(names, points("_x", "_y"), strict=True)})
-
-    r = placed(right, *on, F.col(right_id).alias("_rid"), F.col(right_place[0]).alias("_x"), F.col(right_place[1]).alias("_y"))
-    rest = written(placed(left, *on, F.col(id_col).alias("_lid"), F.col(place[0]).alias("_x"), F.col(place[1]).alias("_y")), "rest")
-    bounds = rest.select(*names).unionByName(r.select(*names)).agg(*[(F.max(n) - F.min(n)).alias(n) for n in names]).first()
-    extent = max((b or 0.0) for b in bounds)
-    theirs = r.withColumnsRenamed({"_x": "_rx", "_y": "_ry"})
-    best = F.min_by(F.struct(F.col("_rid").alias("id"), F.col("_rx").alias("x"), F.col("_ry").alias("y"), F.col("_d").alias("d")), F.struct("_d", "_rid")).alias("_n")
-    side, settled = start, []
-    while True:
-        whole = side >= extent
-        spread = theirs.withColumn("_o", F.explode(_around(1, len(names)))).withColumns({c: F.floor(F.col(n) / side) + F.col("_o")[k] for k, (c, n) in enumerate(zip(cells, names, strict=True))})
-        if not flat and side < CLUSTER_RADIUS / 10:
-            spread = spread.where(_on_surface(side, list(map(F.col, cells))))
-        own = rest.withColumns(dict(zip(cells, _cell(side, *map(F.col, names)), strict=True)))
-        met = own.drop(*names).join(spread.drop("_o", *names), [*on, *cells]).withColumn("_d", distance(F.col("_x"), F.col("_y"), F.col("_rx"), F.col("_ry")))
-        hit = met.groupBy("_lid").agg(best)
-        hit = written(hit if whole else hit.where(F.col("_n.d") <= side * (1 - SLACK)), "nearest")
-        settled.append(hit)
-        if whole:
-            break
-        rest = written(rest.join(hit.select("_lid"), "_lid", "left_anti"), "rest")
-        if rest.isEmpty():
-            break
-        side *= 4
-    found = settled[0]
-    for s in settled[1:]:
-        found = found.unionByName(s)
-    out = left.join(found.withColumnRenamed("_lid", id_col), id_col, "left" if keep_unmatched else "inner")
+    names = list(_POINT[:2] if flat else _POINT)
+    points = (lambda x, y: (F.col(x).cast("double"), F.col(y).cast("double"))) if flat else (lambda x, y: on_sphere(F.col(x), F.col(y)))
+    there = " and ".join(f"{c} is not null" for c in ["_x", "_y", *on])
+    own = left.select(*on, F.col(id_col).alias("_lid"), F.col(place[0]).alias("_x"), F.col(place[1]).alias("_y")).where(there)
+    spots = written(own.select(*on, "_x", "_y").distinct().withColumns(dict(zip(names, points("_x", "_y"), strict=True))).withColumn("_l", F.monotonically_increasing_id()), "spots")
+    theirs = right.select(*on, F.col(right_id).alias("_rid"), F.col(right_place[0]).alias("_x"), F.col(right_place[1]).alias("_y")).where(there).groupBy(*on, "_x", "_y").agg(F.min("_rid").alias("_rid"))
+    theirs = written(theirs.withColumns(dict(zip(names, points("_x", "_y"), strict=True))).withColumnsRenamed({"_x": "_rx", "_y": "_ry"}), "spots")
+    best = F.min_by(F.struct(F.col("_rid").alias("id"), F.col("_rx").alias("x"), F.col("_ry").alias("y"), F.col("_d").alias("d")), F.struct("_d", "_rid"))
+    away = distance(F.col("_x"), F.col("_y"), F.col("_rx"), F.col("_ry"))
+    found = nearest_places(spots, theirs, on, names, away, 0.0 if flat else 2 * SLACK, best)
+    hits = written(spots.select(*on, "_x", "_y", "_l").join(found, "_l").drop("_l"), "nearest")
+    out = left.join(own.join(hits, [*on, "_x", "_y"]).select(F.col("_lid").alias(id_col), "_n"), id_col, "left" if keep_unmatched else "inner")
     return out.select(*left.columns, F.col("_n.id").alias(right_id), F.col("_n.x").alias("near_x"), F.col("_n.y").alias("near_y"), F.col("_n.d").alias("distance"))
 
 

@@ -5,11 +5,12 @@ import random
 import struct
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from kerbsight.functions import boxes, geo, text, wkb
 from kerbsight.operators import detections as ops
-from kerbsight.operators import evaluation, permits, sampling, spatial
+from kerbsight.operators import evaluation, neighbours, permits, sampling, spatial
 from kerbsight.operators.components import connected_components
 
 
@@ -118,15 +119,53 @@ def test_nearest_equals_brute_force_and_keeps_unmatched(spark):
     a = spark.createDataFrame(left, "detection_id long, object_class int, lat double, lon double")
     b = spark.createDataFrame(right, "permit_id long, object_class int, lat double, lon double")
     dist = lambda x1, y1, x2, y2: geo.planar(x1, y1, x2, y2)
-    got = dict(rows(spatial.nearest(a, b, "detection_id", "permit_id", ["object_class"], dist, start=0.01, flat=True), "detection_id", "permit_id"))
+    got = dict(rows(spatial.nearest(a, b, "detection_id", "permit_id", ["object_class"], dist, flat=True), "detection_id", "permit_id"))
     want = {p[0]: min((math.hypot(p[2] - q[2], p[3] - q[3]), q[0]) for q in right if q[1] == p[1])[1] for p in left if p[1] != 4}
     assert got == want
-    kept = spatial.nearest(a, b, "detection_id", "permit_id", ["object_class"], dist, start=0.01, flat=True, keep_unmatched=True)
+    kept = spatial.nearest(a, b, "detection_id", "permit_id", ["object_class"], dist, flat=True, keep_unmatched=True)
     assert kept.count() == 80 and kept.where("permit_id is null").count() == sum(p[1] == 4 for p in left)
     assert spatial.nearest(a, b.limit(0), "detection_id", "permit_id", ["object_class"]).count() == 0
     assert spatial.nearest(a.limit(0), b, "detection_id", "permit_id", ["object_class"]).count() == 0
 
 
+def crowd(r, x, y, size, n):
+    return [(x + r.uniform(-size, size), y + r.uniform(-size, size)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("pairs", [64, 4096])
+def test_nearest_among_crowds_and_loners(spark, monkeypatch, pairs):
+    """Crowds on a spot, a line of places, repeated places and loners a thousand kilometres off, against brute force."""
+    monkeypatch.setattr(neighbours, "PAIRS", pairs)
+    r = random.Random(12)
+    left = [*crowd(r, 0, 0, 1e-2, 150), *crowd(r, 5000, 0, 300, 100), *[(7.0, 7.0)] * 40, (1e6, -1e6), (-2e6, 3.0), (4000.0, 4000.0)]
+    right = [*crowd(r, 0, 300, 1e-3, 150), *crowd(r, 5100, 50, 300, 60), *[(9.0, 9.0)] * 30, *((k * 10.0, 2000.0) for k in range(100)), (5e6, 5e6)]
+    a = spark.createDataFrame([(i, *p) for i, p in enumerate(left)], "detection_id long, x double, y double")
+    b = spark.createDataFrame([(i, *p) for i, p in enumerate(right)], "permit_id long, u double, v double")
+    got = {x.detection_id: x for x in spatial.nearest(a, b, "detection_id", "permit_id", [], geo.planar, place=("x", "y"), right_place=("u", "v"), flat=True).collect()}
+    for i, p in enumerate(left):
+        d, k = min((math.dist(p, q), k) for k, q in enumerate(right))
+        assert got[i].permit_id == k and math.isclose(got[i].distance, d, abs_tol=1e-9), (p, got[i], right[k])
+
+
+def test_cells_bound_the_pairs_that_are_compared(spark):
+    """A crowd of thousands within a metre of each other makes many small pairs of cells and no large one."""
+    r = random.Random(3)
+    scaled = lambda places: spark.createDataFrame([(x, y, int((x + 1e5) / 2e5 * 2**34), int((y + 1e5) / 2e5 * 2**34)) for x, y in places], "px double, py double, px_cell long, py_cell long")
+    left, right = scaled([*crowd(r, 0, 0, 0.5, 3000), (9e4, 9e4)]), scaled([*crowd(r, 0, 0, 0.5, 3000), *crowd(r, -8e4, 0, 0.5, 3000)])
+    sizes = [x.n for _, df in neighbours.candidate_cells(left, right, [], ["px", "py"], 0.0, pairs=256) for x in df.select((F.col("an") * F.col("bn")).alias("n")).collect()]
+    assert max(sizes) <= 256 and 3000 < sum(sizes) < 400 * 3000
+
+
+def test_nearest_on_the_globe_at_any_distance(spark):
+    r = random.Random(21)
+    some = lambda n: [(math.degrees(math.asin(r.uniform(-1, 1))), r.uniform(-180, 180)) for _ in range(n)]
+    left, right = [*some(60), (90.0, 0.0), (-90.0, 17.0), (0.0, 180.0), (0.0, -180.0)], some(12)
+    a = spark.createDataFrame([(i, *p) for i, p in enumerate(left)], "detection_id long, lat double, lon double")
+    b = spark.createDataFrame([(i, *p) for i, p in enumerate(right)], "permit_id long, lat double, lon double")
+    got = dict(rows(spatial.nearest(a, b, "detection_id", "permit_id", [], geo.far_distance), "detection_id", "permit_id"))
+    assert got == {i: min((sphere(p, q), k) for k, q in enumerate(right))[1] for i, p in enumerate(left)}
+
+
 def sphere(a, b):
     p, q = math.radians(a[0]), math.radians(b[0])
     h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
@@ -149,7 +188,7 @@ def test_places_near_poles_and_the_180th_meridian(spark):
                     label[i], changed = label[j], True
     assert dict(rows(spatial.clusters(df, 40.0, ["g"]), "detection_id", "cluster")) == label
     odd = df.where("detection_id % 2 = 1").select(F.col("detection_id").alias("permit_id"), "g", "gps_lat", "gps_lon")
-    got = dict(rows(spatial.nearest(df, odd, "detection_id", "permit_id", ["g"], geo.haversine, place=("gps_lat", "gps_lon"), right_place=("gps_lat", "gps_lon"), start=20.0), "detection_id", "permit_id"))
+    got = dict(rows(spatial.nearest(df, odd, "detection_id", "permit_id", ["g"], geo.haversine, place=("gps_lat", "gps_lon"), right_place=("gps_lat", "gps_lon")), "detection_id", "permit_id"))
     away = {i: min(sphere(a, b) for j, b in pts if j % 2) for i, a in pts}
     assert len(got) == len(pts) and all(abs(sphere(pts[i][1], pts[j][1]) - away[i]) < 1e-6 for i, j in got.items())
     runs = df.select(F.col("detection_id").alias("frame_id"), "gps_lat", "gps_lon", F.array(F.lit(1)).alias("classes"))
