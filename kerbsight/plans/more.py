@@ -137,6 +137,12 @@ def cube_boxes(spark, sf_dir):
     return panorama.boxes_on_cube(views.pred_boxes(spark, sf_dir), "pred_id", 1280, 720, 512)
 
 
+@query()
+def cube_outlines(spark, sf_dir):
+    """What every face shows of a panorama's boxes, by their outlines."""
+    return panorama.outlines_on_cube(views.pred_boxes(spark, sf_dir), "pred_id", 1280, 720, 512)
+
+
 @query("""select image_id, '{"image_id":"' || image_id || '","category_id":' || object_class || '}' as value from pred where score >= 0.5""", views.BOXES)
 def coco_rows(spark, sf_dir):
     p = views.pred_boxes(spark, sf_dir).where("score >= 0.5")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kerbsight.functions import boxes, geo, text, wkb
+from kerbsight.functions import boxes, geo, panorama, text, wkb
 from kerbsight.operators import detections as ops
 from kerbsight.operators import evaluation, neighbours, permits, sampling, spatial
 from kerbsight.operators.components import connected_components
@@ -525,3 +525,37 @@ def test_boxes_across_cube_faces(spark):
     x0, y0, x1, y1 = got[1, panorama.FRONT]
     assert 40 < x0 < 50 < x1 < 60 and 40 < y0 < 50 < y1 < 60
     assert got[2, panorama.FRONT][2] == 101 and got[2, panorama.RIGHT][0] == 0
+
+
+def on_faces(x, y, width, height, face):
+    """Faces and places on them of points of a panorama, one by one."""
+    u, v = ((x + 0.5) / width - 0.5) * 2 * np.pi, -((y + 0.5) / height - 0.5) * np.pi
+    p = np.stack([np.cos(v) * np.sin(u), np.sin(v), np.cos(v) * np.cos(u)])
+    ax, ay, az = np.abs(p)
+    upright, side = (ay > ax) & (ay > az), ax > az
+    index = np.where(upright, np.where(p[1] > 0, 4, 5), np.where(side, np.where(p[0] > 0, 1, 3), np.where(p[2] > 0, 0, 2)))
+    most = np.maximum(np.maximum(ax, ay), az)
+    across, down = np.where(upright | ~side, p[0], p[2]), np.where(upright, -p[2], -p[1])
+    at = lambda c: (c / most / 2 + 0.5) * (face - 1)
+    return index, at(across), at(down)
+
+
+def test_outlines_on_a_cube_equal_projected_pixels(spark):
+    """Against thousands of points of each box: on a face, over edges and corners, around poles, over the whole width."""
+    r = random.Random(17)
+    w, h, face = 800, 400, 200
+    boxes_ = [(x := r.uniform(0, w - 60), y := r.uniform(0, h - 40), x + r.choice([5, 60, r.uniform(1, w - 1 - x)]), y + r.choice([5, 40, r.uniform(1, h - 1 - y)])) for _ in range(60)]
+    boxes_ = [(a, b, min(c, w - 1), min(d, h - 1)) for a, b, c, d in boxes_] + [(0, 0, w - 1, h - 1), (0, 0, w - 1, 20), (380, 0, 420, h - 1), (290, 90, 310, 110), (0, 150, 30, 250), (770, 150, 799, 250), (5, 5, 5, 9)]
+    df = spark.createDataFrame([(i, *map(float, b)) for i, b in enumerate(boxes_)], "id long, x0 double, y0 double, x1 double, y1 double")
+    got = {(x.id, x.face): (x.x0, x.y0, x.x1, x.y1) for x in panorama.outlines_on_cube(df, "id", w, h, face).collect()}
+    assert not any(i == len(boxes_) - 1 for i, _ in got)
+    for i, (x0, y0, x1, y1) in enumerate(boxes_[:-1]):
+        index, a, b = on_faces(*(g.ravel() for g in np.meshgrid(np.linspace(x0, x1, 700), np.linspace(y0, y1, 700))), w, h, face)
+        for f in range(6):
+            own = index == f
+            if own.any():
+                want = (a[own].min(), b[own].min(), a[own].max(), b[own].max())
+                assert (i, f) in got and all(abs(p - q) <= 2.6 for p, q in zip(got[i, f], want, strict=True)), (boxes_[i], f, got.get((i, f)), want)
+            elif (i, f) in got:
+                g = got[i, f]
+                assert min(g[2] - g[0], g[3] - g[1]) <= 2, (boxes_[i], f, g)
