@@ -82,3 +82,9 @@ def epoch_time(seconds: Column) -> Column:
 def whole_seconds(time: Column) -> Column:
     """A time, or ISO text, without fractions of a second; null where it can't be read."""
     return F.date_trunc("second", F.try_to_timestamp(time.cast("string")))
+
+
+def coordinate(c: Column) -> Column:
+    """A coordinate in text with superfluous dots: the first one counts, the others go; null if it is no number."""
+    whole, rest = F.substring_index(c, ".", 1), F.regexp_replace(c, r"^[^.]*\.?", "")
+    return F.concat(whole, F.when(F.contains(c, F.lit(".")), F.concat(F.lit("."), F.replace(rest, F.lit("."), F.lit("")))).otherwise("")).try_cast("double")

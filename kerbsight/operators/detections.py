@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kerbsight.functions.text import coordinate
+from kerbsight.operators.spatial import clusters
+
 #: Production thresholds by class, and what makes an object suspicious.
 CONFIDENCE = {2: 0.82, 3: 0.83, 4: 0.82}
 BOX_AREA = {2: 0.008, 3: 0.004, 4: 0.1}
@@ -145,3 +148,42 @@ def best_images(objects: DataFrame, detections: DataFrame) -> DataFrame:
     d = detections.groupBy("image_name", "object_class").agg(F.max("area").alias("area"))
     order = F.struct(F.coalesce(-F.col("area"), F.lit(float("inf"))), F.col("image_name"))
     return objects.join(d, ["image_name", "object_class"], "left").groupBy(*keys).agg(F.min_by("image_name", order).alias("image_name"))
+
+
+def selected_images(images: DataFrame, detections: DataFrame, metres: float = 20.0, lat: str = "gps_lat", lon: str = "gps_lon") -> DataFrame:
+    """``(cluster, object_class, image_id, n)``: of each cluster of images and each class that image with most detections.
+
+    Images are clustered by steps of at most ``metres``; one that has no position is in no cluster and isn't selected. Ties
+    go to the least id. Of images that repeat an id the place with the least coordinates counts.
+    """
+    placed = images.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).groupBy("image_id").agg(F.min(F.struct(F.col(lat).alias("la"), F.col(lon).alias("lo"))).alias("_p"))
+    placed = clusters(placed.select("image_id", "_p.la", "_p.lo"), metres, [], "image_id", "la", "lo").select("image_id", "cluster")
+    n = detections.groupBy("image_id", "object_class").agg(F.count("*").alias("n"))
+    best = F.min(F.struct((-F.col("n")).alias("less"), F.col("image_id"))).alias("b")
+    return n.join(placed, "image_id").groupBy("cluster", "object_class").agg(best).select("cluster", "object_class", "b.image_id", (-F.col("b.less")).alias("n"))
+
+
+def of_selected(rows: DataFrame, selected: DataFrame) -> DataFrame:
+    """Annotations or detections on any selected image."""
+    return rows.join(selected.select("image_id").distinct(), "image_id", "left_semi")
+
+
+def fixed_metadata(rows: DataFrame, classes: tuple[int, ...] = (2, 3, 4), coordinates: tuple[str, ...] = ("gps_lat", "gps_lon")) -> tuple[DataFrame, DataFrame]:
+    """Rows of a hand-made metadata table with coordinates as numbers, and rows that are refused, with a ``reason``.
+
+    A row needs a class, and one of ``classes``. Coordinates are text in which dots may have been put between thousands; one
+    that is there but no number is refused, a missing one stays null.
+    """
+    named = rows.withColumns({f"_{c}": coordinate(F.col(c).cast("string")) for c in coordinates})
+    reason = F.when(F.col("object_class").isNull(), "no class").when(~F.col("object_class").isin(*classes), "unknown class")
+    for c in coordinates:
+        reason = reason.when(F.col(c).isNotNull() & F.col(f"_{c}").isNull(), f"{c} is no number")
+    judged = named.withColumn("reason", reason)
+    fixed = judged.where("reason is null").select(*[F.col(f"_{c}").alias(c) if c in coordinates else F.col(c) for c in rows.columns])
+    return fixed, judged.where("reason is not null").select(*rows.columns, "reason")
+
+
+def point_lookup(rows: DataFrame, key: str, value, *order: Column | str) -> DataFrame:
+    """The first row of a key in the given order, any without one, or none; the predicate reaches the files."""
+    found = rows.where(F.col(key) == F.lit(value))
+    return (found.orderBy(*order) if order else found).limit(1)

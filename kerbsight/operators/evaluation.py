@@ -401,6 +401,15 @@ def report_rows(stats: DataFrame, keys: list[str], names: dict[int, str] = CLASS
     return stats.select(*[F.col(k).alias(heading(k)) for k in keys], name.alias("Object Class"), *[F.col(c).alias(heading(c)) for c in columns])
 
 
+def report_slice(report: DataFrame, size: str = "all", split: str | None = None, object_class: str | None = None) -> DataFrame:
+    """Rows of a report of one size, and of one split and class name where they are given; keys that are fixed go."""
+    fixed = {"Size": size} | ({"Split": split} if split is not None else {}) | ({"Object Class": object_class} if object_class is not None else {})
+    out = report
+    for c, value in fixed.items():
+        out = out.where(F.col(f"`{c}`") == F.lit(value))
+    return out.drop(*fixed)
+
+
 def greedy_overlap(gt: DataFrame, pred: DataFrame) -> DataFrame:
     """One-to-one matches by any overlap, predictions in the order of ids, each taking the first free ground truth."""
 

@@ -166,3 +166,27 @@ def nearest_in_run(manual: DataFrame, auto: DataFrame, metres: float, shared_cla
         pairs = pairs.where(F.arrays_overlap("classes", "auto_classes"))
     best = pairs.groupBy("frame_id").agg(F.min_by(F.struct("auto_id", "distance_m", "auto_classes"), F.struct("distance_m", "auto_id")).alias("m"))
     return manual.join(best, "frame_id", "left").select(*manual.columns, "m.auto_id", "m.distance_m", "m.auto_classes")
+
+
+def matched_by_ordinal(rows: DataFrame, details: DataFrame, source: str, rows_order: list[Column | str], details_order: list[Column | str]) -> DataFrame:
+    """Each row with the detail record of the same source that has the same place in its order; nulls where there is none.
+
+    Records beyond a source's number of rows are left out. Numbers come from ranges, so one source may hold most rows.
+    Columns of ``details`` other than the source must not be among those of ``rows``.
+    """
+    a = numbered(rows, "_k", *rows_order, by=(source,))
+    b = numbered(details, "_k", *details_order, by=(source,))
+    return a.join(b, [source, "_k"], "left").select(*rows.columns, *[c for c in details.columns if c != source])
+
+
+def usable_matches(matches: DataFrame, images: DataFrame, metres: float | None = None, name: str = "image_name") -> DataFrame:
+    """Matches within a distance, if one is given, whose image is there."""
+    near = matches if metres is None else matches.where(F.col("distance_m") <= metres)
+    return near.join(images.select(name).distinct(), name, "left_semi")
+
+
+def copy_manifest(sample: DataFrame, folder: str, path: str = "path") -> DataFrame:
+    """``(path, target, clash)``: where each sampled file is to be copied; files of one name clash but for the first path."""
+    named = sample.select(F.col(path).alias("path")).distinct().withColumn("_name", F.substring_index("path", "/", -1))
+    first = named.groupBy("_name").agg(F.min("path").alias("_first"))
+    return named.join(first, "_name").select("path", F.concat(F.lit(folder.rstrip("/") + "/"), "_name").alias("target"), (F.col("path") != F.col("_first")).alias("clash"))

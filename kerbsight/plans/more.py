@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kerbsight.functions import geo, panorama
@@ -56,9 +55,9 @@ def one_candidate_per_key(spark, sf_dir):
   left join (select event_id, user_id % 10 as source, row_number() over (partition by user_id % 10 order by event_id) as k from events where event_id % 4 = 1) m on f.source = m.source and f.k = m.k""", views.FRAMES)
 def ordinal_match(spark, sf_dir):
     """Frames with their source's metadata record of the same ordinal; null where it has fewer, cut where it has more."""
-    f = views.frames(spark, sf_dir).select("frame_id", (F.col("frame_id") % 10).alias("source")).withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy("frame_id")))
-    m = views.table(spark, sf_dir, "events").where("event_id % 4 = 1").select("event_id", (F.col("user_id") % 10).alias("source")).withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy("event_id")))
-    return f.join(m, ["source", "k"], "left").select("frame_id", "event_id")
+    f = views.frames(spark, sf_dir).select("frame_id", (F.col("frame_id") % 10).alias("source"))
+    m = views.table(spark, sf_dir, "events").where("event_id % 4 = 1").select("event_id", (F.col("user_id") % 10).alias("source"))
+    return sampling.matched_by_ordinal(f, m, "source", ["frame_id"], ["event_id"]).select("frame_id", "event_id")
 
 
 @query("select image_id, coalesce(a, 0) as n_gt, coalesce(b, 0) as n_pred from (select image_id, count(*) as a from gt group by 1) full join (select image_id, count(*) as b from pred group by 1) using (image_id) where coalesce(a, 0) <> coalesce(b, 0)", views.BOXES)

@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbsight.functions import geo, wkb
-from kerbsight.operators import spatial
+from kerbsight.operators import detections as ops
+from kerbsight.operators import evaluation, sampling, spatial
 from kerbsight.operators.scratch import scratch_dir
 from kerbsight.operators.status_log import StatusLog
-from kerbsight.plans import views
-from kerbsight.plans.catalogue import query, r3
+from kerbsight.plans import steps, views
+from kerbsight.plans.catalogue import CHAIN, DAY, RUN, _runs, hav, placed, query, r3
 from kerbsight.plans.more import _poly
-from kerbsight.sources import readers
+from kerbsight.plans.reports import SIZED, split_report
+from kerbsight.sources import readers, writers
 from kerbsight.sources.outbox import NotSent, deliver_once
 from kerbsight.sources.schemas import LANDING
 from kerbsight.streaming import rejects
@@ -176,3 +178,93 @@ def notification_split(spark, sf_dir):
     """Tickets sent and refused, each sent once however often the result is computed."""
     new = views.tickets(spark, sf_dir).where("state = 'Gemeld'").select("id", "signal_id")
     return deliver_once(new, _send, f"{scratch_dir(spark)}/outbox-{uuid.uuid4().hex}", chunk=1000).select("id", "outcome", "signal_id")
+
+
+@query("""select cluster, object_class, arg_min(image_id, struct_pack(n := -n, i := image_id)) as image_id, cast(max(n) as bigint) as n from (
+  select l.cluster, d.object_class, d.frame_id as image_id, count(*) as n from detections d join labelled l on l.frame_id = d.frame_id group by 1, 2, 3) group by 1, 2""",
+  views.FRAMES, views.DETECTIONS, f"""near as (select a.frame_id as a, b.frame_id as b from frames a join frames b on abs(a.gps_lat - b.gps_lat) < 0.0005 where a.gps_lat is not null and b.gps_lat is not null and {hav("a.gps_lat", "a.gps_lon", "b.gps_lat", "b.gps_lon")} <= 20.0),
+  reach as (select frame_id as node, frame_id as seen from frames where gps_lat is not null union select r.node, n.b from reach r join near n on n.a = r.seen),
+  labelled as (select node as frame_id, min(seen) as cluster from reach group by node)""")
+def images_by_cluster(spark, sf_dir):
+    """Of images within 20 metres of each other, the one with most detections of each class."""
+    f = views.frames(spark, sf_dir).select(F.col("frame_id").alias("image_id"), "gps_lat", "gps_lon")
+    return ops.selected_images(f, views.detections(spark, sf_dir).select(F.col("frame_id").alias("image_id"), "object_class"), 20.0)
+
+
+@query("""select "Object Class", "True Positives", "False Positives", "False Negatives", "Recall" from (select * from rows_) where split = 'val' and size = 'small'""", views.BOXES, SIZED,
+  """rows_ as (select split, class as "Object Class", size, tp as "True Positives", fp as "False Positives", fn as "False Negatives", round(tp / nullif(tp + fn, 0), 3) as "Recall" from (
+  select coalesce(t.split, s.split) as split, case coalesce(t.object_class, s.object_class) when 2 then 'container' when 3 then 'mobile_toilet' else 'scaffolding' end as class, coalesce(t.size, s.size) as size,
+    count(*) filter (where t.image_id is not null and s.image_id is not null) as tp, count(*) filter (where t.image_id is null) as fp, count(*) filter (where s.image_id is null) as fn
+  from (select distinct image_id, object_class, size, case image_id % 3 when 0 then 'train' when 1 then 'val' else 'test' end as split from sized) t
+  full join (select distinct image_id, object_class, size, case image_id % 3 when 0 then 'train' when 1 then 'val' else 'test' end as split from pred join sizes using (object_class)) s
+  on t.image_id = s.image_id and t.object_class = s.object_class and t.size = s.size group by 1, 2, 3))""")
+def report_slice(spark, sf_dir):
+    """One size and split of the report of all splits."""
+    whole = split_report(spark, sf_dir).withColumnsRenamed({"split": "Split", "size": "Size"})
+    return evaluation.report_slice(whole, size="small", split="val")
+
+
+@query("""select id, category_id, image_id, area, cast(x as varchar) || ',' || cast(w as varchar) as box from (
+  select row_number() over (order by image_id, category_id, x, y, w, h) as id, * from (
+    select object_class + 1 as category_id, dense_rank() over (order by 'run/img_' || frame_id || '.jpg') as image_id, round(cast(width as double) * cast(height as double), 10) as area,
+      round(cast(x_center as double) - cast(width as double) / 2, 6) as x, cast(y_center as double) - cast(height as double) / 2 as y, round(cast(width as double), 6) as w, cast(height as double) as h from detections))""", views.DETECTIONS)
+def relative_coco(spark, sf_dir):
+    """Annotations of a dataset with boxes as shares of the image."""
+    d = views.detections(spark, sf_dir).withColumn("image_name", F.concat(F.lit("img_"), "frame_id", F.lit(".txt")))
+    images = d.select(F.lit("run").alias("folder"), F.concat(F.lit("img_"), "frame_id", F.lit(".jpg")).alias("image_name")).distinct().withColumns({"width": F.lit(1280), "height": F.lit(720)})
+    _, a = writers.relative_coco(images, d, "store://x/", "https://x/", "2024-01-10T00:00:00Z")
+    return a.select("id", "category_id", "image_id", "area", F.concat_ws(",", F.round(F.col("bbox")[0], 6).cast("string"), F.round(F.col("bbox")[2], 6).cast("string")).alias("box"))
+
+
+@query("select frame_id from (select frame_id, min(d) as d from met where d <= 50 group by frame_id) where d <= 30 and frame_id % 4 <> 0", views.FRAMES, RUN)
+def usable_matches(spark, sf_dir):
+    """Matches of two runs within 30 metres whose image is there."""
+    m = sampling.nearest_in_run(*_runs(spark, sf_dir), 50.0).where("auto_id is not null").withColumn("image_name", F.concat(F.lit("img_"), "frame_id", F.lit(".jpg")))
+    there = views.frames(spark, sf_dir).where("frame_id % 4 <> 0").select("image_name")
+    return sampling.usable_matches(m, there, 30.0).select("frame_id")
+
+
+@query("""select p_partkey, lat, case when p_partkey % 7 = 0 then 'no class' when p_partkey % 5 = 0 then 'unknown class' when p_partkey % 11 = 0 then 'gps_lat is no number' end as reason from (
+  select p_partkey, case when p_partkey % 7 <> 0 and p_partkey % 5 <> 0 and p_partkey % 11 <> 0 then 52.3 + (p_partkey % 1000) / 1000000::double end as lat from part)""")
+def metadata_fixed(spark, sf_dir):
+    """Rows of hand-made metadata, with dots between thousands taken out, or why they are refused."""
+    lat = "case when p_partkey % 11 = 0 then 'north' else format_string('52.300.%03d', p_partkey % 1000) end"
+    rows = views.table(spark, sf_dir, "part").selectExpr("p_partkey", "case when p_partkey % 7 = 0 then null when p_partkey % 5 = 0 then 9 else 2 end as object_class", f"{lat} as gps_lat", "'4.9' as gps_lon")
+    good, refused = ops.fixed_metadata(rows)
+    return good.select("p_partkey", F.round("gps_lat", 6).alias("lat"), F.lit(None).cast("string").alias("reason")).unionByName(refused.select("p_partkey", F.lit(None).cast("double").alias("lat"), "reason"))
+
+
+@query("""select path, target, path <> min(path) over (partition by target) as clash from (
+  select distinct 'in/' || (event_id % 3) || '/f' || (event_id // 6) || '.jpg' as path, 'out/f' || (event_id // 6) || '.jpg' as target from events)""")
+def copy_manifest(spark, sf_dir):
+    """Where sampled files go; of several with one name the first path is copied."""
+    e = views.table(spark, sf_dir, "events").selectExpr("concat('in/', event_id % 3, '/f', event_id div 6, '.jpg') as path")
+    return sampling.copy_manifest(e, "out")
+
+
+@query("select o_orderkey, o_orderdate from orders where o_custkey = 7 order by o_orderdate, o_orderkey limit 1")
+def point_lookup(spark, sf_dir):
+    """The first order of one customer."""
+    return ops.point_lookup(views.table(spark, sf_dir, "orders"), "o_custkey", 7, "o_orderdate", "o_orderkey").select("o_orderkey", "o_orderdate")
+
+
+def _notify(row: dict) -> str:
+    """A service that refuses every fifth object."""
+    if row["detection_id"] % 5 == 0:
+        raise NotSent
+    return f"S-{row['detection_id']}"
+
+
+@query("""select detection_id, district, object_class, case when detection_id % 5 = 0 then 'failed' else 'sent' end as outcome, case when detection_id % 5 <> 0 then 'S-' || detection_id end as signal_id from (
+  select *, row_number() over (partition by district, object_class order by round(score, 6) desc, detection_id) as rank from placed
+  where score >= 0.4 and detection_date = date '2024-01-10' and district_k <> 24 and detection_id % 7 <> 0) where rank <= case when district_k % 4 = 0 then case object_class when 2 then 4 when 3 then 3 when 4 then 3 end else 1 end""", *CHAIN)
+def submit_step(spark, sf_dir):
+    """A day's best objects of the active districts, sent once, with two kinds of limits; some were processed before."""
+    objects = placed(spark, sf_dir).withColumn("status", F.lit("Pending"))
+    log = StatusLog(spark, f"{scratch_dir(spark)}/status-{uuid.uuid4().hex}")
+    done = objects.where("detection_id % 7 = 0").select("detection_id", F.lit("Processed").alias("status"), F.current_timestamp().alias("processed_at"))
+    log.append(done)
+    names = {r["n_nationkey"]: r["n_name"] for r in views.table(spark, sf_dir, "nation").select("n_nationkey", "n_name").collect()}
+    config = {name: steps.District() if k % 4 == 0 else steps.District({2: 1, 3: 1, 4: 1}) for k, name in names.items() if k != 24}
+    sent, failed = steps.submit(objects, log, config, _notify, f"{scratch_dir(spark)}/outbox-{uuid.uuid4().hex}", DAY, [F.desc(F.round("score", 6)), F.col("detection_id")], chunk=100)
+    return sent.unionByName(failed).select("detection_id", "district", "object_class", "outcome", "signal_id")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from kerbsight.functions.boxes import pixels_from_centre
-from kerbsight.functions.text import label_line
+from kerbsight.functions.text import label_line, stem
 from kerbsight.functions.wkb import point_wkb
 from kerbsight.operators.detections import MIN_SCORE
 from kerbsight.operators.detections import colour as ops_colour
@@ -153,3 +153,33 @@ def delete_files(manifest: DataFrame, remove: Callable[[str], None], dry_run: bo
             yield pdf[[path_col]].assign(deleted=not dry_run)
 
     return manifest.select(path_col).mapInPandas(each, f"{path_col} string, deleted boolean")
+
+
+def copy_files(manifest: DataFrame, copy: Callable[[str, str], None], dry_run: bool = True) -> DataFrame:
+    """``(path, target, copied)``: copies a manifest's files on the executors, or only lists them; clashes aren't copied."""
+
+    def each(batches: Iterator) -> Iterator:
+        for pdf in batches:
+            if not dry_run:
+                for row in pdf[~pdf["clash"]].itertuples():
+                    copy(row.path, row.target)
+            yield pdf[["path", "target"]].assign(copied=~pdf["clash"] & (not dry_run))
+
+    return manifest.select("path", "target", "clash").mapInPandas(each, "path string, target string, copied boolean")
+
+
+def relative_coco(images: DataFrame, labels: DataFrame, prefix: str, web_prefix: str, captured: str) -> tuple[DataFrame, DataFrame]:
+    """Images and annotations of a dataset for a labelling service, with boxes as shares of the image.
+
+    ``images`` has folder, image_name, width and height; ``labels`` image_name without ending, object_class and centre
+    boxes. Images are numbered by folder and name, annotations by image, then by class and box; categories count from 1.
+    Addresses are a prefix and the file's name, with spaces escaped on the web; ``captured`` is the time that all carry.
+    """
+    file = F.concat_ws("/", "folder", "image_name")
+    i = numbered(images.withColumn("file_name", file), "id", "file_name")
+    web = F.concat(F.lit(web_prefix), F.replace("file_name", F.lit(" "), F.lit("%20")))
+    out = i.select("id", "width", "height", "file_name", F.concat(F.lit(prefix), "file_name").alias("coco_url"), web.alias("absolute_url"), F.lit(captured).alias("date_captured"))
+    x, y, w, h = (F.col(c).cast("double") for c in ("x_center", "y_center", "width", "height"))
+    boxes = labels.select(stem(F.col("image_name")).alias("_stem"), (F.col("object_class") + 1).alias("category_id"), F.round(w * h, 10).alias("area"), F.array(x - w / 2, y - h / 2, w, h).alias("bbox"))
+    a = boxes.join(i.select(F.col("id").alias("image_id"), stem(F.col("image_name")).alias("_stem")), "_stem")
+    return out, numbered(a, "id", "image_id", "category_id", "bbox").select("id", "category_id", "image_id", "area", "bbox")
