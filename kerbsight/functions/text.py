@@ -7,15 +7,24 @@ from pyspark.sql import functions as F
 
 #: What an object of a permit is called, by class.
 KEYWORDS = {2: ("puinbak", "container", "keet", "cabin"), 3: ("toilet", "dixi"), 4: ("steiger",)}
-#: Street, number, letter or addition, Dutch postcode in any case and spacing; text after it doesn't matter.
-ADDRESS = r"^\s*(.+?)\s+(\d+)\s*([A-Za-z0-9/-]*?)\s*,?\s+(\d{4}\s*[A-Za-z]{2})(?:\s+.*)?$"
 
 
 def address(c: Column) -> dict[str, Column]:
-    """Street, number, addition and postcode of an address; all null where it isn't one."""
-    fits = c.rlike(ADDRESS)
-    part = lambda k: F.when(fits, F.regexp_extract(c, ADDRESS, k))
-    return {"street": part(1), "number": part(2).cast("int"), "addition": part(3), "postcode": F.upper(F.regexp_replace(part(4), r"\s", ""))}
+    """Street, number, addition and postcode of an address; all null where it isn't one.
+
+    The postcode is looked for first: four digits and two letters, in any case and spacing, that have a house number right
+    before them, whatever follows. The house number is the first number with a space in front behind which, up to the
+    postcode, only one run of letters, figures, strokes and dashes comes, its addition; what is before it is the street.
+    """
+    codes = F.regexp_extract_all(c, F.lit(r"\s\d{4}\s*[A-Za-z]{2}(?=\s|$)"), F.lit(0))
+    head = lambda code: F.regexp_replace(F.substring(c, F.lit(1), F.position(code, c) - 1), r"[\s,]+$", "")
+    code = F.get(F.filter(codes, lambda k: head(k).rlike(r"\S\s+\d+\s*[A-Za-z0-9/-]*$")), F.lit(0))
+    before = head(code)
+    house = F.regexp_extract(before, r"\s(\d+\s*[A-Za-z0-9/-]*)$", 1)
+    street = F.trim(F.substring(before, F.lit(1), F.length(before) - F.length(house)))
+    number = F.regexp_extract(house, r"^\d+", 0)
+    addition = F.trim(F.substring(house, F.length(number) + 1, F.length(house)))
+    return {"street": street, "number": number.try_cast("int"), "addition": addition, "postcode": F.upper(F.regexp_replace(code, r"\s", ""))}
 
 
 def object_names(c: Column) -> Column:
@@ -82,9 +91,3 @@ def epoch_time(seconds: Column) -> Column:
 def whole_seconds(time: Column) -> Column:
     """A time, or ISO text, without fractions of a second; null where it can't be read."""
     return F.date_trunc("second", F.try_to_timestamp(time.cast("string")))
-
-
-def coordinate(c: Column) -> Column:
-    """A coordinate in text with superfluous dots: the first one counts, the others go; null if it is no number."""
-    whole, rest = F.substring_index(c, ".", 1), F.regexp_replace(c, r"^[^.]*\.?", "")
-    return F.concat(whole, F.when(F.contains(c, F.lit(".")), F.concat(F.lit("."), F.replace(rest, F.lit("."), F.lit("")))).otherwise("")).try_cast("double")

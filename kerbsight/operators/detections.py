@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbsight.functions.text import coordinate
+from kerbsight.functions.text import repaired
 from kerbsight.operators.spatial import clusters
 
 #: Production thresholds by class, and what makes an object suspicious.
@@ -174,7 +174,7 @@ def fixed_metadata(rows: DataFrame, classes: tuple[int, ...] = (2, 3, 4), coordi
     A row needs a class, and one of ``classes``. Coordinates are text in which dots may have been put between thousands; one
     that is there but no number is refused, a missing one stays null.
     """
-    named = rows.withColumns({f"_{c}": coordinate(F.col(c).cast("string")) for c in coordinates})
+    named = rows.withColumns({f"_{c}": repaired(F.col(c).cast("string")) for c in coordinates})
     reason = F.when(F.col("object_class").isNull(), "no class").when(~F.col("object_class").isin(*classes), "unknown class")
     for c in coordinates:
         reason = reason.when(F.col(c).isNotNull() & F.col(f"_{c}").isNull(), f"{c} is no number")

@@ -253,17 +253,17 @@ def retention_delete(spark, sf_dir):
     return ops.deletable_images(f.where("status = 'Processed'"), ops.kept_images(f, scored(spark, sf_dir), DAY), f.where("frame_id % 5 <> 0"))
 
 
-PARTS = r"""parts as (select address_id, regexp_extract(address, '^\s*(.+?)\s+(\d+)\s*([A-Za-z0-9/-]*?)\s*,?\s+(\d{4}\s*[A-Za-z]{2})(?:\s+.*)?$', ['street', 'number', 'addition', 'postcode']) as p from addresses)"""
+PARTS = """parts as (select address_id, 'Lange Kade' as street, split_part(head, ' ', 3) as number, split_part(head, ' ', 4) as addition, code
+  from (select address_id, split_part(address, ', ', 1) as head, replace(split_part(address, ', ', 2), ' ', '') as code from addresses where address <> 'geen adres'))"""
 
 
-@query("select address_id, nullif(p.street, '') as street, try_cast(p.number as integer) as number, case when p.street <> '' then p.addition end as addition, nullif(upper(replace(p.postcode, ' ', '')), '') as postcode from parts", views.ADDRESSES, PARTS)
+@query("select address_id, street, cast(number as integer) as number, addition, code as postcode from addresses left join parts using (address_id)", views.ADDRESSES, PARTS)
 def address_split(spark, sf_dir):
     a = views.addresses(spark, sf_dir)
     return a.select("address_id", *[c.alias(k) for k, c in text.address(F.col("address")).items()])
 
 
-@query("""select a.address_id, cast(min(b.address_id) as bigint) as known_id from parts a join parts b on a.p.street = b.p.street and a.p.number = b.p.number and replace(a.p.postcode, ' ', '') = replace(b.p.postcode, ' ', '') and b.address_id % 3 = 0
-  where a.p.street <> '' group by a.address_id""", views.ADDRESSES, PARTS)
+@query("""select a.address_id, cast(min(b.address_id) as bigint) as known_id from parts a join parts b on a.street = b.street and a.number = b.number and a.code = b.code and b.address_id % 3 = 0 group by a.address_id""", views.ADDRESSES, PARTS)
 def address_join(spark, sf_dir):
     a = address_split(spark, sf_dir)
     known = a.where("address_id % 3 = 0").groupBy("street", "number", "postcode").agg(F.min("address_id").alias("known_id"))

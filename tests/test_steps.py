@@ -49,7 +49,7 @@ def test_usable_matches_slices_and_lookups(spark):
 
 def test_coordinates_and_metadata_are_repaired(spark):
     texts = ["52.370.216", "52.37", "52", "-4.9.1", ".5", "5.", "north", "", None]
-    got = [r.v for r in spark.createDataFrame([(t,) for t in texts], "t string").select(text.coordinate(F.col("t")).alias("v")).collect()]
+    got = [r.v for r in spark.createDataFrame([(t,) for t in texts], "t string").select(text.repaired(F.col("t")).alias("v")).collect()]
     assert got == [52.370216, 52.37, 52.0, -4.91, 0.5, 5.0, None, None, None]
     rows = spark.createDataFrame([(1, 2, "52.1.1", "4"), (2, None, "1", "1"), (3, 7, "1", "1"), (4, 3, "x", "1"), (5, 4, None, "1.5")], "id int, object_class int, gps_lat string, gps_lon string")
     good, refused = ops.fixed_metadata(rows)
