@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from kerbsight.llm import bytescan
 from kerbsight.llm.postings import PACKED_MORE, bucket_bits, by_range, pack, runs
-from kerbsight.llm.runtime import lean, marked
+from kerbsight.llm.runtime import lean, marked, partitions_for
 from kerbsight.operators.components import connected_components
 from kerbsight.operators.scratch import written
 
@@ -312,7 +312,7 @@ def links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame,
     classes of a component; pairs that other links already join need not be there.
     """
     spark = docs.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions_for(docs)
     scanned = written(docs.mapInArrow(_scan(size), _SCANNED), "sets")
     members = scanned.where("part is null").select("_id", "n", "c")
     sketch = scanned.where("part is not null").select("part", "counts").repartition(min(partitions, SKETCH_ROWS), "part")
@@ -344,7 +344,7 @@ def _crossing(long_lists: DataFrame, comps: DataFrame, percent: int, bits: int)
 
     A list is cut in blocks of about ``BLOCK`` classes by a hash, and each two blocks are one group of rows.
     """
-    partitions = int(long_lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions_for(long_lists)
     placed = long_lists.drop("size").join(comps.withColumnRenamed("node", "c"), "c", "left").withColumn("comp", F.coalesce("component", "c"))
     lists = placed.groupBy("h").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"))
     salted = placed.join(lists.where("x < y").select("h", "salts"), "h").withColumn("salt", F.pmod(F.xxhash64("c"), F.col("salts")).cast("int"))
@@ -372,7 +372,7 @@ def _sized(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs whose sets are similar enough. Each centre's members are split over salts of ``MEMBERS``."""
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions_for(docs)
     groups = pairs.groupBy("a", "doc_a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts"))
     spokes = pairs.join(groups.select("a", "salts"), "a").select(F.col("doc_b").alias("_id"), F.col("a").alias("centre"), F.col("b").alias("c"), F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
     hubs = groups.select(F.col("doc_a").alias("_id"), F.col("a").alias("centre"), F.col("a").alias("c"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from kerbsight.llm.runtime import returned
+from kerbsight.llm.runtime import partitions_for, returned
 
 U = np.uint64
 #: Entries that a task gathers before it hands on one blob for each hash range.
@@ -20,8 +20,8 @@ _KEY_BYTES = 5
 
 
 def bucket_bits(df: DataFrame, least: int = 8, each: int = 4) -> int:
-    """Ranges: ``each`` for a shuffle partition, whose number is set by the size of the input, or more."""
-    return max(least, int(np.ceil(np.log2(each * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
+    """Ranges: ``each`` for a partition of the input, whose number follows its bytes, or more."""
+    return max(least, int(np.ceil(np.log2(each * partitions_for(df)))))
 
 
 def pack(parts: Iterable[tuple[np.ndarray, ...]], bits: int) -> Iterator[pa.RecordBatch]:
@@ -88,12 +88,11 @@ def by_range(packed: DataFrame, fold: Callable[..., dict[str, np.ndarray]], sche
     return packed.groupBy("bucket").applyInArrow(each, schema)
 
 
-def by_range_packed(packed: DataFrame, fold: Callable[[pa.Table], tuple[np.ndarray, dict[str, np.ndarray]]], schema: str, unique: str = "") -> DataFrame:
-    """Applies ``fold`` to the rows of each bucket and packs what it gives, (group, columns), by group.
+def by_range_packed(packed: DataFrame, fold: Callable[[pa.Table], tuple[np.ndarray, dict[str, np.ndarray]]], schema: str, partitions: int, unique: str = "") -> DataFrame:
+    """Applies ``fold`` to the rows of each bucket, dealt out to ``partitions``, and packs what it gives, (group, columns), by group.
 
     A task goes through its buckets one at a time and hands on one blob for each group, or more beyond FLUSH values.
     """
-    partitions = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0

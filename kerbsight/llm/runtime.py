@@ -20,6 +20,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of input, as Spark sizes it, for which there is at least one partition.
+PARTITION_BYTES = 256 << 20
+#: From so many bytes on a size is Spark's word for an unknown one.
+UNKNOWN = 1 << 60
+
+
+def partitions_for(df: DataFrame) -> int:
+    """Into how many partitions work on ``df`` is cut: ``spark.sql.shuffle.partitions``, or more where its bytes ask for it.
+
+    Its bytes are those of the files and tables that it reads, as the planner knows them; rows that come from elsewhere
+    have no known size and count as none. No job runs.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    size = sum(x for x in sizes if x < UNKNOWN)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
+
+
 #: Slots of the bitmap of wanted rows.
 MARKS = 1 << 23
 

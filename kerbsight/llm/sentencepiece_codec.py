@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructType
 
 from kerbsight.llm import bytescan
-from kerbsight.llm.runtime import lean, unused
+from kerbsight.llm.runtime import lean, partitions_for, unused
 from kerbsight.operators.scratch import written
 
 U = np.uint64
@@ -320,7 +320,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", check: bool
     """
     spark = docs.sparkSession
     pieces, raw, zero, joints = piece_table(spark, model_path)
-    partitions = max(WORD_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = max(WORD_PARTITIONS, partitions_for(docs))
     new = [ids_col, *[check_col] * check]
     docs = docs.select(*[c for c in docs.columns if c.lower() not in [x.lower() for x in new]])
     words = docs.select(F.col(text_col).alias("_text")).mapInArrow(lean(_distinct_words(joints)), "word string").repartition(partitions, "word").distinct()

@@ -11,7 +11,7 @@ of the sampled suffix that starts within them. (A difference cover makes any two
 than COVER bytes. Here equal windows are aligned on their anchor, so the one-residue cover does that for all pairs that
 may be equal.) Neighbours in that order are compared byte by byte, so no answer depends on a hash.
 
-Memory is that of one bucket, whose number grows with the shuffle partitions. Copies meet early: equal segments are
+Memory is that of one bucket, whose number grows with the bytes of the input. Copies meet early: equal segments are
 folded to the one of the smallest id, within each group of documents before the shuffle and again in the bucket. Anchors
 of more than ``HOT`` postings are dealt out by whole windows instead, so that a passage which a third of all documents
 share doesn't fill one bucket with its differing surroundings.
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from kerbsight.llm import bytescan
 from kerbsight.llm.postings import PACKED, bucket_bits, by_range_packed, kept_bits, pack, runs, unpack
+from kerbsight.llm.runtime import partitions_for
 
 U = np.uint64
 WINDOW, GRAM, COVER = 50, 20, 16
@@ -376,11 +377,11 @@ def _plain(columns: dict) -> dict:
 
 def _pieces(rows: DataFrame, finish) -> DataFrame:
     """The whole plan; the texts are shuffled once, into groups that are used both before and after the sort."""
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions_for(rows)
     groups, bits = 2 * partitions + 1, bucket_bits(rows, 9, 2)
     packed = rows.mapInArrow(_anchor_postings(bits), PACKED)
-    found = by_range_packed(packed, _repeated(groups), "g int, keys binary", "keys")
+    found = by_range_packed(packed, _repeated(groups), "g int, keys binary", partitions, "keys")
     texts = rows.withColumn("g", _group_column("_id", groups))
     cut = texts.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(_cut(bits), SEGMENTS)
-    ranges = by_range_packed(cut, _sort_bucket(groups), RANGES)
+    ranges = by_range_packed(cut, _sort_bucket(groups), RANGES, partitions)
     return texts.groupBy("g").cogroup(ranges.groupBy("g")).applyInArrow(lambda d, r: pa.table(finish(d, r)), RESULT)

@@ -352,3 +352,19 @@ def test_components_of_ids_with_several_texts(spark):
     rows = [(1, " ".join(a)), (1, " ".join(b)), (7, " ".join([*a[:-1], "changed"])), (7, "one text more"), (9, " ".join([*b[:-1], "changed"])), (9, None)]
     got = jaccard_join.jaccard_components(frame(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
     assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got if x.n_shingles > 40) == [(1, 56, 1), (1, 56, 1), (7, 56, 1), (9, 56, 1)]
+
+
+def test_partitions_follow_the_bytes_that_are_read(spark, tmp_path, monkeypatch):
+    from kerbsight.llm import runtime
+
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.range(20000).selectExpr("id as doc_id", "uuid() as text").write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    assert runtime.partitions_for(docs) == usual == runtime.partitions_for(frame(spark, ["a"]))
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    monkeypatch.setattr(runtime, "PARTITION_BYTES", 10_000)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        assert runtime.partitions_for(docs) == runtime.partitions_for(docs.where("doc_id > 5").select("text")) == -(-size // 10_000) > 4
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(usual))
