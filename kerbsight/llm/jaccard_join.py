@@ -347,7 +347,9 @@ def _crossing(long_lists: DataFrame, comps: DataFrame, percent: int, bits: int)
     partitions = partitions_for(long_lists)
     placed = long_lists.drop("size").join(comps.withColumnRenamed("node", "c"), "c", "left").withColumn("comp", F.coalesce("component", "c"))
     lists = placed.groupBy("h").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"))
-    salted = placed.join(lists.where("x < y").select("h", "salts"), "h").withColumn("salt", F.pmod(F.xxhash64("c"), F.col("salts")).cast("int"))
+    # Written, so that the join can split the rows of a long list.
+    lists = written(lists.where("x < y").select("h", "salts"), "lists")
+    salted = placed.join(lists, "h").withColumn("salt", F.pmod(F.xxhash64("c"), F.col("salts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("other")
     blocks = salted.select("h", "comp", "c", "n", "at", "salt", other).withColumns({"s": F.least("salt", "other"), "t": F.greatest("salt", "other")})
     ordered = blocks.repartition(partitions, "h", "s", "t").sortWithinPartitions("h", "s", "t")
