@@ -26,14 +26,25 @@ def distance_note(permit: Column, bridge: Column) -> Column:
     return F.array_join(F.filter(F.array(line("permit", permit), line("weak quay", bridge)), lambda x: x.isNotNull()), "\n")
 
 
-def triage_note(object_class: Column) -> Column:
+#: What the notes of a ticket say if a caller gives no lines of its own; ``{}`` stands for the class's name.
+TRIAGE = ("Look at the picture first; a ticket without a {} in it ends here.", "Keep the source of the ticket: it tells that no person reported it.")
+INSPECTION = ("Is the {} in the picture of a kind that needs leave to stand there?", "Has its owner, or anyone at this place, such leave?", "If not, go on as with any other {}.")
+
+
+def note(heading: str, object_class: Column, lines: tuple[str, ...]) -> Column:
+    """A heading and numbered lines, in which ``{}`` is the name of the class."""
+    text = "\n".join([f"{heading}:", *(f"{k}. {line}" for k, line in enumerate(lines, 1))])
+    return F.replace(F.lit(text), F.lit("{}"), class_name(object_class))
+
+
+def triage_note(object_class: Column, lines: tuple[str, ...] = TRIAGE, heading: str = "Sorting") -> Column:
     """What whoever sorts tickets has to do."""
-    return F.format_string("Sorting:\n1. Look at the picture; pass the ticket on only if it shows a %s.\n2. Leave the ticket's source as it is, so that it is known as an automatic one.", class_name(object_class))
+    return note(heading, object_class, lines)
 
 
-def inspection_note(object_class: Column) -> Column:
+def inspection_note(object_class: Column, lines: tuple[str, ...] = INSPECTION, heading: str = "Inspection") -> Column:
     """What an inspector has to do."""
-    return F.format_string("Inspection:\n1. Look at the picture: does this %s need a permit?\n2. Look for a permit of this place, or ask the owner.\n3. Without a valid one, follow the usual procedure.", class_name(object_class))
+    return note(heading, object_class, lines)
 
 
 def payload(text: Column, lat: Column, lon: Column, day: Column, district: Column | None = None) -> Column:

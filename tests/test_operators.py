@@ -498,6 +498,7 @@ def test_notes_lists_and_times(spark):
         f=text.epoch_time(F.lit(1.5)).cast("double"), g=text.whole_seconds(F.lit("1970-01-01T00:00:09.75Z")).cast("long"), h=text.whole_seconds(F.lit("no")), i=text.share_a_class(F.lit("2"), F.lit(None).cast("string")),
     )
     assert r.a == "Distance to the nearest permit: 42 m" and "mobile toilet" in r.b and "container" in r.c
+    assert one(spark, n=tickets.triage_note(F.lit(2), ("Is it a {}?", "Then go on."), "Steps")).n == "Steps:\n1. Is it a container?\n2. Then go on."
     assert (r.d, r.e, r.f, r.g, r.h, r.i) == (True, False, 1.5, 9, None, False)
 
 
