@@ -162,36 +162,81 @@ def coco_match(gt: DataFrame, pred: DataFrame, ious: tuple[float, ...] = IOUS, a
     return p.join(g, keys, "left").select(*keys, "g", "p").mapInArrow(match, _MATCHED)
 
 
+_JUDGED = "object_class int, area string, score double, image_id long, pred_id long, place int, hits long, counted long"
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each prediction with one bit for each threshold at which it hits, and one for each at which it counts."""
+    for b in batches:
+        n = b.num_rows
+        hit = np.array(b.column("gt_ids").flatten().is_valid()).reshape(n, -1)
+        counted = ~b.column("ignored").flatten().to_numpy(zero_copy_only=False).astype(bool).reshape(n, -1)
+        weight = 1 << np.arange(hit.shape[1], dtype=np.int64)
+        own = [b.column(c) for c in ("object_class", "area", "score", "image_id", "pred_id", "place")]
+        yield pa.RecordBatch.from_arrays([*own, pa.array((hit & counted) @ weight), pa.array(counted @ weight)], names=[x.split()[0] for x in _JUDGED.split(", ")])
+
+
+def _bit(column: str, k: int) -> Column:
+    return F.shiftright(column, k).bitwiseAND(F.lit(1))
+
+
+def _best_points(before: dict, truth: dict, n: int):
+    """The best precision at each level of recall that a range of one class and area reaches, by threshold."""
+
+    def fold(rows: pa.Table) -> pa.Table:
+        kind, area, part = (rows[c][0].as_py() for c in ("object_class", "area", "_part"))
+        out: dict[str, list[np.ndarray]] = {"_t": [], "level": [], "p": []}
+        score, image, pred = (rows[c].to_numpy() for c in ("score", "image_id", "pred_id"))
+        order = np.lexsort((pred, image, -score))
+        hits, counted = (rows[c].to_numpy()[order] for c in ("hits", "counted"))
+        for t in range(n if (kind, area) in truth else 0):
+            hit = (hits >> t) & 1
+            tp, seen = (np.cumsum(x) + y for x, y in zip((hit, (counted >> t) & 1), before[kind, area, part][:, t], strict=True))
+            at = np.flatnonzero(hit)
+            if len(at):
+                level = np.floor(RECALL_STEPS * tp[at] / truth[kind, area]).astype(np.int32)
+                first = np.flatnonzero(np.concatenate([[True], level[1:] != level[:-1]]))
+                out["_t"].append(np.full(len(first), t, np.int32))
+                out["level"].append(level[first])
+                out["p"].append(np.maximum.reduceat(tp[at] / seen[at], first))
+        columns = [np.concatenate(x) if x else np.zeros(0, np.int32) for x in out.values()]
+        m = len(columns[0])
+        return pa.table([pa.array([kind] * m, pa.int32()), pa.array([area] * m, pa.string()), *(pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.float64()), strict=True))], names=["object_class", "area", *out])
+
+    return fold
+
+
 def average_precision(matched: DataFrame, gt: DataFrame, areas: Areas | None = None, ious: tuple[float, ...] = IOUS) -> DataFrame:
     """``(object_class, area, iou, n_gt, ap, recall_M...)`` for all classes, areas and thresholds that have ground truth.
 
     ``ap`` is the mean of the best precision at or beyond each of 101 levels of recall; ``recall_M`` the recall of each
-    image's first M predictions. Predictions are dealt out by ranges of the score; counts of the ranges before one are
-    added to running counts within it, so no task holds all predictions of a class.
+    image's first M predictions. A prediction is one row for all thresholds. Rows are dealt out by ranges of class, area
+    and score; counts of the ranges before one are added to running counts within it, so no task holds all predictions of
+    a class, and a range hands on no more than 101 levels for each threshold.
     """
-    areas = areas or {"all": (0.0, float("inf"))}
-    group = ["object_class", "area", "_t"]
+    areas, n = areas or {"all": (0.0, float("inf"))}, len(ious)
+    pair, group = ["object_class", "area"], ["object_class", "area", "_t"]
     steps = F.posexplode(F.array(*[F.lit(t) for t in ious])).alias("_t", "iou")
-    truth = in_ranges(gt, areas).groupBy("object_class", "area").agg(F.count("*").alias("n_gt")).select("*", steps)
-    each = matched.select("object_class", "area", "score", "image_id", "pred_id", "place", F.posexplode(F.arrays_zip("gt_ids", "ignored")).alias("_t", "m"))
-    rows = each.where(~F.col("m.ignored")).select(*group, "score", "image_id", "pred_id", "place", F.col("m.gt_ids").isNotNull().cast("int").alias("hit"))
+    counts = written(in_ranges(gt, areas).groupBy(*pair).agg(F.count("*").alias("n_gt")).select(F.col("object_class").cast("int").alias("object_class"), "area", "n_gt"), "truth")
+    truth = counts.select("*", steps)
     partitions = int(gt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(partitions, F.desc("score"), "image_id", "pred_id").withColumn("_part", F.spark_partition_id())
-    dealt = written(dealt, "ranges")
-    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = dealt.groupBy(*group, "_part").agg(F.sum("hit").alias("h"), F.count("*").alias("c"))
-    sums = sums.select(*group, "_part", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}_before") for x in ("h", "c")])
-    inside = Window.partitionBy(*group, "_part").orderBy(F.desc("score"), "image_id", "pred_id")
-    run = dealt.withColumn("h", F.sum("hit").over(inside.rowsBetween(Window.unboundedPreceding, 0))).withColumn("c", F.row_number().over(inside))
-    curve = run.where("hit = 1").join(sums, [*group, "_part"]).join(truth.select(*group, "n_gt"), group)
-    tp, n = F.col("h") + F.col("h_before"), F.col("c") + F.col("c_before")
-    level = F.floor(RECALL_STEPS * tp / F.col("n_gt")).cast("int")
-    points = curve.groupBy(*group, level.alias("level")).agg(F.max(tp / n).alias("p")).groupBy(*group).agg(F.collect_list(F.struct("level", "p")).alias("points"))
+    rows = matched.mapInArrow(_judged, _JUDGED).where("counted <> 0")
+    dealt = written(rows.repartitionByRange(partitions, *pair, F.desc("score"), "image_id", "pred_id").withColumn("_part", F.spark_partition_id()), "ranges")
+    sums = dealt.groupBy(*pair, "_part").agg(*[F.array(*[F.sum(_bit(c, t)) for t in range(n)]).alias(c) for c in ("hits", "counted")]).orderBy(*pair, "_part").collect()
+    before, run = {}, {}
+    for r in sums:  # one row for each range and what begins in it
+        key = r["object_class"], r["area"]
+        run.setdefault(key, np.zeros((2, n), np.int64))
+        before[*key, r["_part"]] = run[key].copy()
+        run[key] += np.array([r["hits"], r["counted"]])
+    known = {(r["object_class"], r["area"]): r["n_gt"] for r in counts.collect()}
+    curve = dealt.select(*pair, "_part", "score", "image_id", "pred_id", "hits", "counted").groupBy(*pair, "_part").applyInArrow(_best_points(before, known, n), "object_class int, area string, _t int, level int, p double")
+    points = curve.groupBy(*group, "level").agg(F.max("p").alias("p")).groupBy(*group).agg(F.collect_list(F.struct("level", "p")).alias("points"))
     best = F.transform(F.sequence(F.lit(0), F.lit(RECALL_STEPS)), lambda k: F.coalesce(F.array_max(F.transform(F.filter("points", lambda x: x["level"] >= k), lambda x: x["p"])), F.lit(0.0)))
     mean = F.aggregate(best, F.lit(0.0), lambda a, b: a + b) / (RECALL_STEPS + 1)
-    found = dealt.groupBy(*group).agg(*[F.sum(F.when(F.col("place") <= m, F.col("hit")).otherwise(0)).alias(f"_{m}") for m in MAX_DETECTIONS])
-    recalls = [(F.coalesce(F.col(f"_{m}"), F.lit(0)) / F.col("n_gt")).alias(f"recall_{m}") for m in MAX_DETECTIONS]
-    out = truth.join(points.select(*group, mean.alias("ap")), group, "left").join(found, group, "left")
+    found = dealt.groupBy(*pair).agg(*[F.array(*[F.sum(F.when(F.col("place") <= m, _bit("hits", t)).otherwise(0)) for t in range(n)]).alias(f"_{m}") for m in MAX_DETECTIONS])
+    out = truth.join(points.select(*group, mean.alias("ap")), group, "left").join(found, pair, "left")
+    recalls = [(F.coalesce(F.get(f"_{m}", F.col("_t")), F.lit(0)) / F.col("n_gt")).alias(f"recall_{m}") for m in MAX_DETECTIONS]
     return out.select("object_class", "area", "iou", "n_gt", F.coalesce("ap", F.lit(0.0)).alias("ap"), *recalls)
 
 

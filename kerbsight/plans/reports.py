@@ -94,13 +94,14 @@ def permits_prepared(spark, sf_dir):
     return p.select("permit_id", F.array_join("classes", ",").alias("classes"), F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "healthy")
 
 
-@query("""select object_class, step, tp, fp, n - tp as fn, round_even(tp / nullif(tp + fp, 0), 3) as precision, round_even(tp / nullif(n, 0), 3) as recall from (
+@query("""select *, round_even(2 * precision * recall / nullif(precision + recall, 0), 3) as f_1, round_even(1.25 * precision * recall / nullif(0.25 * precision + recall, 0), 3) as f_05, round_even(5 * precision * recall / nullif(4 * precision + recall, 0), 3) as f_2 from (
+  select object_class, step, tp, fp, n - tp as fn, round_even(tp / nullif(tp + fp, 0), 3) as precision, round_even(tp / nullif(n, 0), 3) as recall from (
   select t.object_class, s.step, any_value(t.n) as n, count(*) filter (where b.best >= s.step and b.t) as tp, count(*) filter (where b.best >= s.step and not b.t) as fp
   from (select object_class, count(distinct image_id) as n from gt group by 1) t cross join (select unnest(range(1, 20)) * 0.05::double as step) s
-  left join (select p.object_class, p.image_id, max(score) as best, bool_or(g.image_id is not null) as t from pred p left join (select distinct image_id, object_class from gt) g on p.image_id = g.image_id and p.object_class = g.object_class group by 1, 2) b on b.object_class = t.object_class group by 1, 2)""", views.BOXES)
+  left join (select p.object_class, p.image_id, max(score) as best, bool_or(g.image_id is not null) as t from pred p left join (select distinct image_id, object_class from gt) g on p.image_id = g.image_id and p.object_class = g.object_class group by 1, 2) b on b.object_class = t.object_class group by 1, 2))""", views.BOXES)
 def image_sweep(spark, sf_dir):
     s = evaluation.image_sweep(views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir), [k * 0.05 for k in range(1, 20)])
-    return s.select("object_class", "step", "tp", "fp", "fn", "precision", "recall")
+    return s.select("object_class", "step", "tp", "fp", "fn", "precision", "recall", "f_1", "f_05", "f_2")
 
 
 SEEN = """seen as (select 'i' || image_id as image_name, score as confidence from pred where object_class = 2), real_ as (select distinct 'i' || image_id as image_name from gt where object_class = 2 and image_id % 3 <> 0),
