@@ -6,8 +6,8 @@ cell and keeps what may matter: the box around a cell's places bounds all distan
 above, and no right cell can hold a neighbour that is farther off than the farthest place of another one. Dense cells are
 split on, sparse ones stay large, and a pair is done when its places make few enough pairs to compare.
 
-So neither a crowd in one spot nor a place far from all others meets more than a few cells at a time. Equal places count
-once. What a round leaves is written, so no round repeats another.
+So neither a crowd in one spot nor a place far from all others meets more than a few cells at a time. What a round leaves
+is written, so no round repeats another. What has an extent, such as a segment, is a box in the cell of its middle.
 """
 
 from __future__ import annotations
@@ -27,9 +27,9 @@ STEP, DEPTH = 2, 34
 
 
 def _cells(places: DataFrame, on: list[str], names: list[str], level: int, tag: str) -> DataFrame:
-    """Cells of a level: place in the grid, the parent's, number of places and the box around them."""
+    """Cells of a level: place in the grid, number of places and the box around them."""
     at = [F.shiftright(f"{n}_cell", level).alias(f"{tag}{k}") for k, n in enumerate(names)]
-    box = [f(n).alias(f"{tag}{word}{k}") for k, n in enumerate(names) for f, word in ((F.min, "low"), (F.max, "high"))]
+    box = [f(f"{n}_{word}").alias(f"{tag}{word}{k}") for k, n in enumerate(names) for f, word in ((F.min, "low"), (F.max, "high"))]
     return places.groupBy(*on, *at).agg(F.count("*").alias(f"{tag}n"), *box)
 
 
@@ -42,7 +42,8 @@ def _gaps(k: int) -> tuple[Column, Column]:
 def candidate_cells(left: DataFrame, right: DataFrame, on: list[str], names: list[str], slack: float, pairs: int | None = None) -> list[tuple[int, DataFrame]]:
     """Pairs of cells that can hold a left place and its nearest right one, by level: ``(*on, a0.., b0.., an, bn)``.
 
-    Both tables have for each coordinate its cell of level 0, ``<name>_cell``. Distances in which the result is ranked may
+    Both tables have for each coordinate the ends ``<name>_low`` and ``<name>_high`` and the cell of level 0, ``<name>_cell``.
+    Distances in which the result is ranked may
     differ from those between the points by the share ``slack``.
     """
     pairs = PAIRS if pairs is None else pairs
@@ -77,25 +78,33 @@ def _at_levels(places: DataFrame, on: list[str], names: list[str], levels: list[
     return rows.withColumns({f"{tag}{k}": F.expr(f"shiftright(`{n}_cell`, _level)") for k, n in enumerate(names)}).drop(*[f"{n}_cell" for n in names])
 
 
+def _boxed(places: DataFrame, names: list[str]) -> DataFrame:
+    """Points as boxes without extent."""
+    return places if f"{names[0]}_low" in places.columns else places.withColumns({f"{n}_{w}": F.col(n) for n in names for w in ("low", "high")}).drop(*names)
+
+
 def nearest_places(left: DataFrame, right: DataFrame, on: list[str], names: list[str], distance: Column, slack: float, best: Column) -> DataFrame:
     """``(_l, _n)`` for each left place that has a right one in its group: what ``best`` takes of all that are near enough.
 
-    ``left`` has _l, the columns ``on``, the coordinates ``names`` and any others, ``right`` the same coordinates and
-    others; ``distance``, a column over both, becomes ``_d``. Other names must differ between the two.
+    ``left`` has _l, the columns ``on``, the coordinates ``names`` and any others; ``right`` the same coordinates, or their
+    ends ``<name>_low`` and ``<name>_high``, and others. ``distance``, a column over the others of both, becomes ``_d``; it
+    must be no less than that of the boxes and no more than to their farthest point. Other names must differ.
     """
     axes = range(len(names))
-    ends = left.select(*names).unionByName(right.select(*names)).agg(*[f(n).alias(f"{w}_{n}") for n in names for f, w in ((F.min, "low"), (F.max, "high"))]).first()
-    if ends[f"low_{names[0]}"] is None:
+    left, right = _boxed(left, names), _boxed(right, names)
+    box = [f"{n}_{w}" for n in names for w in ("low", "high")]
+    ends = left.select(*box).unionByName(right.select(*box)).agg(*[f(f"{n}_{w}").alias(f"{n}_{w}") for n in names for f, w in ((F.min, "low"), (F.max, "high"))]).first()
+    if ends[0] is None:
         return left.select("_l", F.lit(None).alias("_n")).limit(0)
-    extent = max(max(ends[f"high_{n}"] - ends[f"low_{n}"] for n in names), 1e-9)
-    unit = extent / (1 << DEPTH)
-    cell = {f"{n}_cell": F.least(F.floor((F.col(n) - ends[f"low_{n}"]) / unit), F.lit((1 << DEPTH) - 1)) for n in names}
+    unit = max(max(ends[f"{n}_high"] - ends[f"{n}_low"] for n in names), 1e-9) / (1 << DEPTH)
+    middle = lambda n: (F.col(f"{n}_low") + F.col(f"{n}_high")) / 2
+    cell = {f"{n}_cell": F.greatest(F.lit(0), F.least(F.floor((middle(n) - ends[f"{n}_low"]) / unit), F.lit((1 << DEPTH) - 1))) for n in names}
     left, right = left.withColumns(cell), right.withColumns(cell)
     done = candidate_cells(left, right, on, names, slack)
     levels = [level for level, _ in done]
     pairs = reduce(DataFrame.unionByName, [df.withColumn("_level", F.lit(level)) for level, df in done]).drop("an", "bn")
     a, b = [f"a{k}" for k in axes], [f"b{k}" for k in axes]
     # A cell of either side holds few places for what it meets; right ones come first, as many left cells may share one.
-    met = pairs.join(_at_levels(right.drop(*names).withColumns({f"{n}_cell": F.col(f"{n}_cell") for n in names}), on, names, levels, "b"), [*on, "_level", *b]).drop(*b)
-    met = met.join(_at_levels(left.drop(*names), on, names, levels, "a"), [*on, "_level", *a])
+    met = pairs.join(_at_levels(right.drop(*box), on, names, levels, "b"), [*on, "_level", *b]).drop(*b)
+    met = met.join(_at_levels(left.drop(*box), on, names, levels, "a"), [*on, "_level", *a])
     return met.withColumn("_d", distance).groupBy("_l").agg(best.alias("_n"))

@@ -97,40 +97,24 @@ def _cells(x0: Column, x1: Column, y0: Column, y1: Column, size: float) -> Colum
     return F.flatten(F.transform(span(x0, x1), lambda i: F.transform(span(y0, y1), lambda j: F.struct(i.alias("i"), j.alias("j")))))
 
 
-def nearest_segment(points: DataFrame, segments: DataFrame, id_col: str, segment_id: str, start: float = 250.0) -> DataFrame:
+def nearest_segment(points: DataFrame, segments: DataFrame, id_col: str, segment_id: str) -> DataFrame:
     """Each point (x, y) with its closest segment (ax, ay, bx, by), in the plane, the closest point on it and the distance.
 
-    As :func:`nearest`, with the cells that a segment's bounding box touches; ties go to the least segment id. Points and
-    segments without coordinates are left out.
+    As :func:`nearest`, with a segment's bounding box in the cell of its middle; ties go to the least segment id. Points
+    and segments without coordinates are left out. Point ids are unique.
     """
-    corners = ("ax", "ay", "bx", "by")
-    s = segments.select(F.col(segment_id).alias("_sid"), *corners).where(" and ".join(f"{c} is not null" for c in corners))
-    rest = written(points.select(F.col(id_col).alias("_pid"), "x", "y").where("x is not null and y is not null"), "rest")
-    ends = s.agg(*[f(c).alias(f"{n}_{c}") for c in corners for n, f in (("lo", F.min), ("hi", F.max))])
-    own = rest.agg(F.min("x").alias("lo_x"), F.max("x").alias("hi_x"), F.min("y").alias("lo_y"), F.max("y").alias("hi_y"))
-    row = ends.first().asDict() | own.first().asDict()
-    extent = max((max(v) - min(v) for v in ([x for k, x in row.items() if k.endswith(axis) and x is not None] for axis in "xy") if v), default=0.0)
-    t = along_segment(*[F.col(c) for c in ("x", "y", *corners)])
-    foot = {"_fx": F.col("ax") + t * (F.col("bx") - F.col("ax")), "_fy": F.col("ay") + t * (F.col("by") - F.col("ay"))}
-    best = F.min_by(F.struct(F.col("_sid").alias("id"), F.col("_fx").alias("x"), F.col("_fy").alias("y"), F.col("_d").alias("d")), F.struct("_d", "_sid")).alias("_n")
-    side, settled = start, []
-    while True:
-        whole = side >= extent
-        box = _cells(F.least("ax", "bx") - side, F.greatest("ax", "bx") + side, F.least("ay", "by") - side, F.greatest("ay", "by") + side, side)
-        met = rest.withColumn("_cell", _cell_of("x", "y", side)).join(s.withColumn("_cell", F.explode(box)), "_cell").withColumns(foot)
-        hit = met.withColumn("_d", planar(F.col("x"), F.col("y"), F.col("_fx"), F.col("_fy"))).groupBy("_pid").agg(best)
-        hit = written(hit if whole else hit.where(F.col("_n.d") <= side), "nearest")
-        settled.append(hit)
-        if whole:
-            break
-        rest = written(rest.join(hit.select("_pid"), "_pid", "left_anti"), "rest")
-        if rest.isEmpty():
-            break
-        side *= 4
-    found = settled[0]
-    for x in settled[1:]:
-        found = found.unionByName(x)
-    out = points.join(found.withColumnRenamed("_pid", id_col), id_col)
+    corners = ["ax", "ay", "bx", "by"]
+    own = points.select(F.col(id_col).alias("_pid"), F.col("x").alias("_x"), F.col("y").alias("_y")).where("_x is not null and _y is not null")
+    spots = written(own.select("_x", "_y").distinct().withColumns({"_p0": F.col("_x").cast("double"), "_p1": F.col("_y").cast("double"), "_l": F.monotonically_increasing_id()}), "spots")
+    s = segments.select(F.col(segment_id).alias("_sid"), *[F.col(c).cast("double").alias(c) for c in corners]).where(" and ".join(f"{c} is not null" for c in corners))
+    ends = {f"_p{k}_{w}": f(f"a{axis}", f"b{axis}") for k, axis in enumerate("xy") for w, f in (("low", F.least), ("high", F.greatest))}
+    s = written(s.groupBy(*corners).agg(F.min("_sid").alias("_sid")).withColumns(ends), "segments")
+    t = along_segment(*[F.col(c) for c in ("_x", "_y", *corners)])
+    fx, fy = F.col("ax") + t * (F.col("bx") - F.col("ax")), F.col("ay") + t * (F.col("by") - F.col("ay"))
+    best = F.min_by(F.struct(F.col("_sid").alias("id"), fx.alias("x"), fy.alias("y"), F.col("_d").alias("d")), F.struct("_d", "_sid"))
+    found = nearest_places(spots, s, [], ["_p0", "_p1"], planar(F.col("_x"), F.col("_y"), fx, fy), 0.0, best)
+    hits = written(spots.select("_x", "_y", "_l").join(found, "_l").drop("_l"), "nearest")
+    out = points.join(own.join(hits, ["_x", "_y"]).select(F.col("_pid").alias(id_col), "_n"), id_col)
     return out.select(*points.columns, F.col("_n.id").alias(segment_id), F.col("_n.x").alias("near_x"), F.col("_n.y").alias("near_y"), F.col("_n.d").alias("distance"))
 
 
@@ -187,16 +171,16 @@ def edges_of(features: DataFrame, feature_id: str, lines: str = "lines") -> Data
     return line.where(F.size("_line") > 1).select(feature_id, F.explode(ends).alias("e")).select(feature_id, F.col("e.a.x").alias("ax"), F.col("e.a.y").alias("ay"), F.col("e.b.x").alias("bx"), F.col("e.b.y").alias("by"))
 
 
-def nearest_feature(points: DataFrame, features: DataFrame, id_col: str, feature_id: str, start: float = 250.0) -> DataFrame:
+def nearest_feature(points: DataFrame, features: DataFrame, id_col: str, feature_id: str, size: float = 250.0) -> DataFrame:
     """Each point (x, y) with its closest feature, the closest point of it and the distance, in the plane.
 
     Features have ``lines`` and, where they are areas, ``rings``, else null there. A point within an area is at distance 0
     from it; otherwise edges count, of holes too. Ties go to the least feature id.
     """
-    inside = containing(points, features, id_col, feature_id, ring="rings", size=start)
+    inside = containing(points, features, id_col, feature_id, ring="rings", size=size)
     at_zero = inside.select(*points.columns, feature_id, F.col("x").alias("near_x"), F.col("y").alias("near_y"), F.lit(0.0).alias("distance"))
     rest = points.join(inside.select(id_col), id_col, "left_anti")
-    return at_zero.unionByName(nearest_segment(rest, edges_of(features, feature_id), id_col, feature_id, start))
+    return at_zero.unionByName(nearest_segment(rest, edges_of(features, feature_id), id_col, feature_id))
 
 
 def within_any(points: DataFrame, centres: DataFrame, id_col: str, radius: float, x: str = "x", y: str = "y", cx: str = "cx", cy: str = "cy") -> DataFrame:

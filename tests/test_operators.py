@@ -150,7 +150,7 @@ def test_nearest_among_crowds_and_loners(spark, monkeypatch, pairs):
 def test_cells_bound_the_pairs_that_are_compared(spark):
     """A crowd of thousands within a metre of each other makes many small pairs of cells and no large one."""
     r = random.Random(3)
-    scaled = lambda places: spark.createDataFrame([(x, y, int((x + 1e5) / 2e5 * 2**34), int((y + 1e5) / 2e5 * 2**34)) for x, y in places], "px double, py double, px_cell long, py_cell long")
+    scaled = lambda places: spark.createDataFrame([(x, y, int((x + 1e5) / 2e5 * 2**34), int((y + 1e5) / 2e5 * 2**34)) for x, y in places], "px double, py double, px_cell long, py_cell long").selectExpr("px as px_low", "px as px_high", "py as py_low", "py as py_high", "px_cell", "py_cell")
     left, right = scaled([*crowd(r, 0, 0, 0.5, 3000), (9e4, 9e4)]), scaled([*crowd(r, 0, 0, 0.5, 3000), *crowd(r, -8e4, 0, 0.5, 3000)])
     sizes = [x.n for _, df in neighbours.candidate_cells(left, right, [], ["px", "py"], 0.0, pairs=256) for x in df.select((F.col("an") * F.col("bn")).alias("n")).collect()]
     assert max(sizes) <= 256 and 3000 < sum(sizes) < 400 * 3000

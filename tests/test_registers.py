@@ -93,7 +93,7 @@ def test_nearest_feature_equals_a_plain_version(spark):
     vertices = lambda parts: [[{"x": x, "y": y} for x, y in part] for part in parts]
     rows = [(k, vertices(v), vertices([r + r[:1] for r in v])) for k, v in found.items()] + [(k, None, vertices(v)) for k, v in lines.items()] + [("N", None, None)]
     features = spark.createDataFrame(rows, f"feature_id string, rings array<{RING}>, lines array<{RING}>")
-    got = {r.id: r for r in spatial.nearest_feature(points, features, "id", "feature_id", start=40.0).collect()}
+    got = {r.id: r for r in spatial.nearest_feature(points, features, "id", "feature_id", size=40.0).collect()}
     assert len(got) == len(at)
     for k, (x, y) in at.items():
         d = {f: away(x, y, v) for f, v in found.items()} | {f: min(to_segment(x, y, a, b) for part in v for a, b in zip(part, part[1:], strict=False)) for f, v in lines.items() if f != "L0"}
