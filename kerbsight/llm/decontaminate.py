@@ -12,17 +12,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbsight.llm import bytescan
-from kerbsight.llm.runtime import lean
+from kerbsight.llm.runtime import lean, partitions_for
+from kerbsight.operators.scratch import written
 
 U = np.uint64
 WINDOW = 8
 #: Of a window's tokens at least so many must be words, or all but one in a shorter window, to match by template. Other
 #: windows match by their values.
 LEAST_WORDS = 4
+#: Items that may share a window before it has to wait for pairs that other windows find.
+FREQUENT = 16
 #: Bits of a window's hash that address the bitmap of benchmark windows, which takes 1 MB.
 BITMAP_BITS = 23
 NUMBER, UNIT, NAME = (U(x) for x in (0x6E756D626572, 0x756E6974, 0x6E616D65))
@@ -116,11 +119,11 @@ def windows(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarra
     return np.where(few, bytescan.mix(exact + U(0x6578616374)), h), row, place, value, word, first
 
 
-WINDOWS = "_h long, _id long, _at int, _n int, _size int, _slots array<long>, _spots array<int>"
-_WINDOWS = pa.schema([("_h", pa.int64()), ("_id", pa.int64()), ("_at", pa.int32()), ("_n", pa.int32()), ("_size", pa.int32()), ("_slots", pa.list_(pa.int64())), ("_spots", pa.list_(pa.int32()))])
+WINDOWS = "_h long, _row long, _id long, _at int, _n int, _size int, _slots array<long>, _spots array<int>"
+_WINDOWS = pa.schema([("_h", pa.int64()), ("_row", pa.int64()), ("_id", pa.int64()), ("_at", pa.int32()), ("_n", pa.int32()), ("_size", pa.int32()), ("_slots", pa.list_(pa.int64())), ("_spots", pa.list_(pa.int32()))])
 
 
-def _rows(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, size: int, keep) -> pa.RecordBatch | None:
+def _rows(numbers: np.ndarray, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, size: int, keep) -> pa.RecordBatch | None:
     h, row, place, value, word, first = windows(data, offsets, size)
     h = bytescan.mix(h + U(size))
     take = keep(h, np.diff(first)[row])
@@ -132,16 +135,16 @@ def _rows(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, size: int, kee
     at = np.concatenate([[0], np.cumsum(slot.sum(axis=1))]).astype(np.int32)
     slots = pa.ListArray.from_arrays(pa.array(at), pa.array(value[index][slot].view(np.int64)))
     spots = pa.ListArray.from_arrays(pa.array(at), pa.array((place[:, None] + np.arange(size))[slot].astype(np.int32)))
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[row]), pa.array(place, pa.int32()), pa.array(np.diff(first)[row], pa.int32()), pa.array(np.full(len(h), size), pa.int32()), slots, spots], schema=_WINDOWS)
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(numbers[row]), pa.array(ids[row]), pa.array(place, pa.int32()), pa.array(np.diff(first)[row], pa.int32()), pa.array(np.full(len(h), size), pa.int32()), slots, spots], schema=_WINDOWS)
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         data, offsets = bytescan.flat(b.column("_text"))
-        ids = b.column("_id").to_numpy()
+        numbers, ids = (b.column(c).to_numpy() for c in ("_row", "_id"))
         for size in range(1, WINDOW + 1):
             keep = (lambda h, n, size=size: (n == size) if size < WINDOW else np.ones(len(h), bool))
-            if (out := _rows(ids, data, offsets, size, keep)) is not None:
+            if (out := _rows(numbers, ids, data, offsets, size, keep)) is not None:
                 yield out
 
 
@@ -154,10 +157,10 @@ def _document_windows(bitmap, sizes: list[int]):
             return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
         for b in batches:
-            ids = b.column("_id").to_numpy()
+            numbers, ids = (b.column(c).to_numpy() for c in ("_row", "_id"))
             for i, j, d, o in bytescan.pieces(*bytescan.flat(b.column("_text"))):
                 for size in sizes:
-                    if (out := _rows(ids[i:j], d, o, size, keep)) is not None:
+                    if (out := _rows(numbers[i:j], ids[i:j], d, o, size, keep)) is not None:
                         yield out
 
     return emit
@@ -178,6 +181,36 @@ def _union(table: pa.Table) -> pa.Table:
     return pa.table({"bits": pa.array([total.tobytes()], pa.binary())})
 
 
+def _covered(places: Column, size: Column) -> Column:
+    """How many tokens the windows of one size at these sorted places cover."""
+    start = F.struct(F.lit(0).alias("n"), F.lit(-1).alias("to"))
+    return F.aggregate(places, start, lambda s, p: F.struct((s["n"] + size - F.greatest(F.lit(0), s["to"] - p)).alias("n"), (p + size).alias("to")), lambda s: s["n"])
+
+
+def _met(found: DataFrame, items: DataFrame, coverage: float) -> DataFrame:
+    """Windows of documents with the equal ones of items.
+
+    A window that more than ``FREQUENT`` items share would pair each of them with every document that has it. Such windows
+    wait for the pairs that others find: an item of which they cover less than ``coverage`` can't be held by a document
+    without one of its other windows. Items that they cover further are joined by all their windows.
+    """
+    window = ["_h", "_item", "_of", "_in", "_tokens", "_theirs", "_spots"]
+    item = items.select("_h", F.col("_row").alias("_item"), F.col("_id").alias("_of"), F.col("_at").alias("_in"), F.col("_n").alias("_tokens"), F.col("_slots").alias("_theirs"), "_spots", "_size")
+    own = found.select("_h", "_row", "_id", "_at", "_size", "_slots")
+    shared = written(items.groupBy("_h").agg(F.countDistinct("_row").alias("n")).where(F.col("n") > FREQUENT).select("_h"), "shared")
+    if shared.isEmpty():
+        return own.join(item.select(*window), "_h").distinct()
+    often = item.join(shared, "_h", "left_semi")
+    places = often.groupBy("_item", "_tokens", "_size").agg(F.sort_array(F.collect_set("_in")).alias("p"))
+    whole = places.where(_covered(F.col("p"), F.col("_size")) / F.col("_tokens") >= coverage).select("_item")
+    waiting = often.join(whole, "_item", "left_anti").select(*window)
+    first = own.join(item.select(*window).join(waiting.select("_h", "_item", "_in"), ["_h", "_item", "_in"], "left_anti"), "_h").distinct()
+    first = written(first, "met")
+    pairs = first.select("_row", "_item").distinct()
+    rest = own.join(shared, "_h", "left_semi").join(pairs, "_row").join(waiting, ["_h", "_item"])
+    return first.unionByName(rest.select(*first.columns).distinct())
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", coverage: float = 0.5) -> DataFrame:
     """Returns ``(id, item_id, coverage, n_windows, reparameterised)``: one row for each document and item that it holds.
 
@@ -188,30 +221,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     the item, ``reparameterised`` tells whether any of them matches with other values only. Windows with fewer than 4 words, or with fewer than all but one in items
     below 8 tokens, match with equal values only.
 
-    Ids must be integers; rows with a null id or text and texts without words match nothing. Documents or items that
-    repeat an id count as one. Other columns are ignored; either table may be empty.
+    Ids must be integers; rows with a null id or text and texts without words match nothing. Rows that repeat an id, of
+    documents or items, are compared each by its own text, and the best of them counts for the id. Other columns are
+    ignored; either table may be empty.
     """
     spark = docs.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    own = lambda df, a, b: df.select(F.col(a).cast("long").alias("_id"), F.col(b).alias("_text")).where("_id is not null and _text is not null")
-    items = own(benchmark, item_col, item_text_col).mapInArrow(_item_windows, WINDOWS)
+    partitions = partitions_for(benchmark)
+    own = lambda df, a, b: df.select(F.monotonically_increasing_id().alias("_row"), F.col(a).cast("long").alias("_id"), F.col(b).alias("_text")).where("_id is not null and _text is not null")
+    items = written(own(benchmark, item_col, item_text_col).mapInArrow(_item_windows, WINDOWS), "items")
     maps = items.repartition(min(partitions, 64), "_h").mapInArrow(_bitmaps, "bits binary").groupBy().applyInArrow(_union, "bits binary").collect()
     bitmap = spark.sparkContext.broadcast(bytes(maps[0]["bits"]) if maps else bytes(1 << (BITMAP_BITS - 3)))
     sizes = [r[0] for r in items.select("_size").distinct().collect()]
-    found = own(docs, id_col, text_col).mapInArrow(lean(_document_windows(bitmap, sizes)), WINDOWS)
-    item = items.select("_h", F.col("_id").alias("_item"), F.col("_at").alias("_in"), F.col("_n").alias("_tokens"), F.col("_slots").alias("_theirs"), "_spots")
-    met = found.select("_h", "_id", "_at", "_size", "_slots").join(item, "_h").distinct()
+    found = written(own(docs, id_col, text_col).mapInArrow(lean(_document_windows(bitmap, sizes)), WINDOWS), "found")
+    met = _met(found, items, coverage)
     value = F.arrays_zip(F.col("_theirs").alias("a"), F.col("_slots").alias("b"), F.col("_spots").alias("at"))
-    shift = ["_id", "_item", "_tokens", "_size", "_shift"]
-    slots = met.repartition("_id", "_item").select("_id", "_item", "_tokens", "_size", (F.col("_at") - F.col("_in")).alias("_shift"), "_in", F.explode_outer(value).alias("_v"))
+    pair = ["_row", "_item", "_id", "_of", "_tokens", "_size"]
+    shift = [*pair, "_shift"]
+    slots = met.repartition("_row", "_item").select(*pair, (F.col("_at") - F.col("_in")).alias("_shift"), "_in", F.explode_outer(value).alias("_v"))
     of = Window.partitionBy(*shift, "_v.a")
     slots = slots.withColumn("_b", F.size(F.collect_set("_v.at").over(Window.partitionBy(*shift, "_v.a", "_v.b")))).withColumn("_all", F.size(F.collect_set("_v.at").over(of))).withColumn("_same", F.max(F.col("_v.a") == F.col("_v.b")).over(of))
     fits = F.col("_v").isNull() | F.when(F.col("_same"), F.col("_v.a") == F.col("_v.b")).otherwise(2 * F.col("_b") > F.col("_all"))
     kept = slots.groupBy(*shift, "_in").agg(F.every(fits).alias("_fits"), F.coalesce(F.max(F.col("_v.a") != F.col("_v.b")), F.lit(False)).alias("_other")).where("_fits")
-    placed = kept.groupBy("_id", "_item", "_tokens", "_size", "_in").agg(F.min("_other").alias("_other"))
-    covering = placed.groupBy("_id", "_item", "_tokens", "_size").agg(F.sort_array(F.collect_list("_in")).alias("_places"), F.max("_other").alias("other"))
-    covered = F.aggregate("_places", F.struct(F.lit(0).alias("n"), F.lit(-1).alias("to")), lambda s, p: F.struct((s["n"] + F.col("_size") - F.greatest(F.lit(0), s["to"] - p)).alias("n"), (p + F.col("_size")).alias("to")), lambda s: s["n"])
-    share = covered / F.col("_tokens")
-    hits = covering.select("_id", "_item", share.alias("share"), F.size("_places").cast("long").alias("n"), "other").where(F.col("share") >= coverage)
-    best = hits.groupBy("_id", "_item").agg(F.max(F.struct("share", "n", ~F.col("other"))).alias("m"))
-    return best.select(F.col("_id").alias(id_col), F.col("_item").alias(item_col), F.col("m.share").alias("coverage"), F.col("m.n").alias("n_windows"), (~F.col("m.col3")).alias("reparameterised"))
+    placed = kept.groupBy(*pair, "_in").agg(F.min("_other").alias("_other"))
+    covering = placed.groupBy(*pair).agg(F.sort_array(F.collect_list("_in")).alias("_places"), F.max("_other").alias("other"))
+    share = _covered(F.col("_places"), F.col("_size")) / F.col("_tokens")
+    hits = covering.select("_id", "_of", share.alias("share"), F.size("_places").cast("long").alias("n"), "other").where(F.col("share") >= coverage)
+    best = hits.groupBy("_id", "_of").agg(F.max(F.struct("share", "n", ~F.col("other"))).alias("m"))
+    return best.select(F.col("_id").alias(id_col), F.col("_of").alias(item_col), F.col("m.share").alias("coverage"), F.col("m.n").alias("n_windows"), (~F.col("m.col3")).alias("reparameterised"))

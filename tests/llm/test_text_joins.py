@@ -326,8 +326,36 @@ def test_leaks_in_the_tables_equal_plain_search(spark):
     plain = lambda s: " ".join(re.findall(r"[^\W_]+", s.lower()))
     items = {r.item_id: plain(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
     docs = {r.doc_id: plain(r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    want = {(d, i) for d, t in docs.items() for i, x in items.items() if x in t}
-    assert want <= {(r.doc_id, r.item_id) for r in op5_decontamination(spark, sf).collect()}
+    whole = {(d, i) for d, t in docs.items() for i, x in items.items() if x in t}
+    got = {(r.doc_id, r.item_id): (round(r.coverage, 9), r.n_windows, r.reparameterised) for r in op5_decontamination(spark, sf).collect()}
+    assert whole <= set(got) and got == plain_leaks({r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}, {r.item_id: r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()})
+
+
+def test_windows_that_many_items_share_pair_only_what_others_found(spark, monkeypatch):
+    """A preamble of forty items, in hundreds of documents: equal results, and rows only for pairs that have more in common."""
+    r = random.Random(31)
+    preamble = "consider the following statement carefully before you choose one of these answers"
+    items = [(k, f"{preamble} " + " ".join(words(r, 14, 3000))) for k in range(40)] + [(90, preamble), (91, f"{preamble} indeed it does")]
+    docs = [(k, " ".join([*words(r, 20, 3000), preamble, *words(r, 20, 3000)])) for k in range(150)] + [(1000 + k, " ".join([*words(r, 5, 3000), t, *words(r, 5, 3000)])) for k, t in items[:30]] + [(2000 + k, " ".join(t.split()[9:])) for k, t in items[:5]]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    seen, met = [], decontaminate._met
+    monkeypatch.setattr(decontaminate, "_met", lambda *a: (lambda df: (seen.append(df.count()), df)[1])(met(*a)))
+    found = lambda: {(x.doc_id, x.item_id): (round(x.coverage, 9), x.n_windows, x.reparameterised) for x in decontaminate.contaminated(d, b).collect()}
+    guarded = found()
+    monkeypatch.setattr(decontaminate, "FREQUENT", 10**6)
+    assert guarded == found() == plain_leaks(dict(docs), dict(items))
+    assert {(1000 + k, k) for k in range(30)} <= set(guarded) and seen[0] < seen[1] / 10
+
+
+def test_leaks_of_ids_with_several_texts(spark):
+    """Windows of different texts aren't added up, and the best text counts for its id."""
+    r = random.Random(8)
+    a, b = words(r, 30, 900), words(r, 30, 900)
+    halves = [(1, " ".join(a[:14])), (1, " ".join(a[16:])), (2, " ".join(a)), (2, "nothing of it at all here"), (3, " ".join(b))]
+    items = [(7, " ".join(a)), (8, " ".join(a[:8])), (8, " ".join(b))]
+    d, i = spark.createDataFrame(halves, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id): round(x.coverage, 3) for x in decontaminate.contaminated(d, i).collect()}
+    assert got == {(1, 8): 1.0, (2, 7): 1.0, (2, 8): 1.0, (3, 8): 1.0}
 
 
 @pytest.mark.parametrize("seed", range(20))
