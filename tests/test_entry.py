@@ -40,3 +40,20 @@ def test_no_private_folder_on_a_cluster():
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="yarn", _jsc=jvm))
     with pytest.raises(RuntimeError, match="share"):
         scratch.scratch_dir(session)
+
+
+def test_written_tables_are_dropped(spark):
+    import glob
+
+    folder = scratch.scratch_dir(spark).removeprefix("file://").removeprefix("file:")
+    before = set(glob.glob(f"{folder}/*"))
+    with pytest.raises(ZeroDivisionError), scratch.dropped_after(spark):
+        one = scratch.written(spark.range(5), "one")
+        with scratch.dropped_after(spark):
+            two = scratch.written(one.where("id > 2"), "two")
+            assert two.count() == 2
+        assert one.count() == 5 and len(set(glob.glob(f"{folder}/*")) - before) == 1
+        raise ZeroDivisionError
+    assert set(glob.glob(f"{folder}/*")) == before
+    kept = scratch.written(spark.range(3), "kept")
+    assert kept.count() == 3
