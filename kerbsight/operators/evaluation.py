@@ -206,18 +206,27 @@ def _best_points(before: dict, truth: dict, n: int):
     return fold
 
 
-def average_precision(matched: DataFrame, gt: DataFrame, areas: Areas | None = None, ious: tuple[float, ...] = IOUS) -> DataFrame:
+#: Stands between the values of a group and the name of an area.
+_SEPARATOR = "\x1f"
+
+
+def average_precision(matched: DataFrame, gt: DataFrame, areas: Areas | None = None, ious: tuple[float, ...] = IOUS, images: DataFrame | None = None) -> DataFrame:
     """``(object_class, area, iou, n_gt, ap, recall_M...)`` for all classes, areas and thresholds that have ground truth.
 
+    ``images`` names what images are told apart by, such as their split: image_id and further columns, which come first in
+    the result, each value with a table of its own in the same plan; images that it lacks are left out.
+
     ``ap`` is the mean of the best precision at or beyond each of 101 levels of recall; ``recall_M`` the recall of each
     image's first M predictions. A prediction is one row for all thresholds. Rows are dealt out by ranges of class, area
     and score; counts of the ranges before one are added to running counts within it, so no task holds all predictions of
     a class, and a range hands on no more than 101 levels for each threshold.
     """
-    areas, n = areas or {"all": (0.0, float("inf"))}, len(ious)
+    areas, n, by = areas or {"all": (0.0, float("inf"))}, len(ious), [c for c in (images.columns if images is not None else []) if c != "image_id"]
+    named = lambda df: df.join(images, "image_id").withColumn("area", F.concat_ws(_SEPARATOR, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by], "area")) if by else df
+    matched = named(matched)
     pair, group = ["object_class", "area"], ["object_class", "area", "_t"]
     steps = F.posexplode(F.array(*[F.lit(t) for t in ious])).alias("_t", "iou")
-    counts = written(in_ranges(gt, areas).groupBy(*pair).agg(F.count("*").alias("n_gt")).select(F.col("object_class").cast("int").alias("object_class"), "area", "n_gt"), "truth")
+    counts = written(named(in_ranges(gt, areas)).groupBy(*pair).agg(F.count("*").alias("n_gt")).select(F.col("object_class").cast("int").alias("object_class"), "area", "n_gt"), "truth")
     truth = counts.select("*", steps)
     partitions = int(gt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = matched.mapInArrow(_judged, _JUDGED).where("counted <> 0")
@@ -237,7 +246,9 @@ def average_precision(matched: DataFrame, gt: DataFrame, areas: Areas | None = N
     found = dealt.groupBy(*pair).agg(*[F.array(*[F.sum(F.when(F.col("place") <= m, _bit("hits", t)).otherwise(0)) for t in range(n)]).alias(f"_{m}") for m in MAX_DETECTIONS])
     out = truth.join(points.select(*group, mean.alias("ap")), group, "left").join(found, pair, "left")
     recalls = [(F.coalesce(F.get(f"_{m}", F.col("_t")), F.lit(0)) / F.col("n_gt")).alias(f"recall_{m}") for m in MAX_DETECTIONS]
-    return out.select("object_class", "area", "iou", "n_gt", F.coalesce("ap", F.lit(0.0)).alias("ap"), *recalls)
+    part = F.split("area", _SEPARATOR)
+    of = [F.nullif(part[k], F.lit("")).cast(images.schema[c].dataType).alias(c) for k, c in enumerate(by)]
+    return out.select(*of, "object_class", F.element_at(part, -1).alias("area"), "iou", "n_gt", F.coalesce("ap", F.lit(0.0)).alias("ap"), *recalls)
 
 
 def coco_summary(table: DataFrame, by: tuple[str, ...] = (), decimals: int = 3) -> DataFrame:

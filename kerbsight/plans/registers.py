@@ -13,7 +13,7 @@ from kerbsight.operators import evaluation, sampling, spatial
 from kerbsight.operators.scratch import scratch_dir
 from kerbsight.operators.status_log import StatusLog
 from kerbsight.plans import steps, views
-from kerbsight.plans.catalogue import CHAIN, DAY, RUN, _runs, hav, placed, query, r3
+from kerbsight.plans.catalogue import CHAIN, DAY, RUN, SIZES, _runs, hav, placed, query, r3
 from kerbsight.plans.more import _poly
 from kerbsight.plans.reports import SIZED, split_report
 from kerbsight.sources import readers, writers
@@ -268,3 +268,11 @@ def submit_step(spark, sf_dir):
     config = {name: steps.District() if k % 4 == 0 else steps.District({2: 1, 3: 1, 4: 1}) for k, name in names.items() if k != 24}
     sent, failed = steps.submit(objects, log, config, _notify, f"{scratch_dir(spark)}/outbox-{uuid.uuid4().hex}", DAY, [F.desc(F.round("score", 6)), F.col("detection_id")], chunk=100)
     return sent.unionByName(failed).select("detection_id", "district", "object_class", "outcome", "signal_id")
+
+
+@query()
+def evaluation_summary(spark, sf_dir):
+    """The twelve values of every split, over all classes and by class, in one plan."""
+    g, p = views.gt_boxes(spark, sf_dir), views.pred_boxes(spark, sf_dir)
+    images = g.select("image_id").unionByName(p.select("image_id")).distinct().withColumn("split", F.element_at(F.array(F.lit("train"), F.lit("val"), F.lit("test")), (F.col("image_id") % 3 + 1).cast("int")))
+    return steps.evaluate(g, p, images, 1280, 720, SIZES)["summary"]

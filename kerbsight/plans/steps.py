@@ -1,4 +1,4 @@
-"""The bodies of scheduled steps as plans over tables: sending what was found, and taking over what became of it."""
+"""The bodies of scheduled steps as plans over tables: sending what was found, taking over what became of it, evaluating."""
 
 from __future__ import annotations
 
@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbsight.operators import detections as ops
+from kerbsight.operators import evaluation
 from kerbsight.operators.scratch import written
 from kerbsight.operators.status_log import StatusLog
+from kerbsight.sources import writers
 from kerbsight.sources.outbox import SENT, deliver_once
 
 
@@ -67,3 +69,30 @@ def take_feedback(notifications: DataFrame, states: DataFrame, log: StatusLog, f
     if not moved.isEmpty():
         log.append(moved.select(F.col("signal_id").alias(log.id_col), "status", F.col("update_time").alias("processed_at")))
     return moved
+
+
+def evaluate(gt: DataFrame, pred: DataFrame, images: DataFrame, width: int, height: int, sizes: evaluation.Areas, by: str = "split") -> dict[str, DataFrame]:
+    """All statistics of a model for every split at once, by name: images, pixels, objects and summary.
+
+    Boxes have image_id, object_class and corners, predictions a score; ``images`` has image_id and the split. ``sizes`` are
+    shares of an image. Images without a split are left out. Splits are a column of each plan, so
+    there is no loop over them.
+    """
+    scale = float(width * height)
+    split = images.select("image_id", by).where(F.col(by).isNotNull()).dropDuplicates(["image_id"])
+    g, p = gt.join(split, "image_id"), pred.join(split, "image_id")
+    pixels = {name: {k: (a * scale, b * scale) for k, (a, b) in r.items()} if isinstance(r, dict) else (r[0] * scale, r[1] * scale) for name, r in sizes.items()}
+    objects = written(evaluation.average_precision(evaluation.coco_match(gt, pred, areas=pixels), gt, pixels, images=split), "objects")
+    every = evaluation.coco_summary(objects, (by,)).withColumn("object_class", F.lit(-1))
+    return {
+        "images": evaluation.report_rows(evaluation.per_image_stats(g, p, sizes, scale, by=(by,)), [by, "size"]),
+        "pixels": evaluation.report_rows(evaluation.pixel_stats(g, p, width, height, sizes, by=(by,)), [by, "size"]),
+        "objects": objects,
+        "summary": evaluation.coco_summary(objects, (by, "object_class")).unionByName(every),
+    }
+
+
+def report(tables: dict[str, DataFrame], folder: str) -> None:
+    """Each table as CSV in a folder of its name."""
+    for name, df in tables.items():
+        writers.report(df, f"{folder}/{name}")

@@ -2,6 +2,7 @@
 
 import datetime
 import os
+import random
 import sys
 
 import pytest
@@ -156,3 +157,29 @@ def test_only_active_districts_and_classes_are_chosen(spark):
     assert steps.chosen(d, {}, order()).count() == 0 and steps.chosen(d, {"centrum": steps.District({})}, order()).count() == 0
     every = steps.chosen(d, {"NOORD": steps.District({2: -1})}, order(), min_score=0.0).collect()
     assert {r.detection_id for r in every} == {k for k in range(1, 41) if k % 4 == 2}
+
+
+def test_evaluation_of_all_splits_equals_each_alone(spark, tmp_path):
+    r = random.Random(2)
+    box = lambda: (x := r.randrange(60), y := r.randrange(40), x + r.randrange(2, 30), y + r.randrange(2, 30))
+    gt = [(k, k // 3, 2 + k % 2, *map(float, box())) for k in range(150)]
+    pred = [(k, g[1], g[2], r.randrange(8) / 8, *(c + r.randrange(-2, 3) for c in g[3:])) for k, g in enumerate(r.choices(gt, k=200))]
+    cols = "x0 double, y0 double, x1 double, y1 double"
+    g, p = spark.createDataFrame(gt, f"gt_id long, image_id long, object_class int, {cols}"), spark.createDataFrame(pred, f"pred_id long, image_id long, object_class int, score double, {cols}")
+    name = lambda k: None if k % 10 == 9 else ("train", "val")[k % 2]
+    images = spark.createDataFrame([(k, name(k)) for k in [*range(50), 3]], "image_id long, split string")
+    sizes = evaluation.sizes_of(1.0, {2: (0.05, 0.2), 3: (0.04, 0.1)})
+    tables = steps.evaluate(g, p, images, 90, 70, sizes)
+    pixels = {n: {k: (a * 6300.0, b * 6300.0) for k, (a, b) in v.items()} for n, v in sizes.items()}
+    rounded = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in row) for row in df.collect())
+    for split in ("train", "val"):
+        keep = images.where(F.col("split") == split).select("image_id").distinct()
+        a, b = g.join(keep, "image_id"), p.join(keep, "image_id")
+        alone = evaluation.average_precision(evaluation.coco_match(a, b, areas=pixels), a, pixels)
+        own = tables["objects"].where(F.col("split") == split).drop("split")
+        assert own.columns == alone.columns and rounded(own) == rounded(alone) and own.count() > 50
+        assert rounded(tables["summary"].where(F.col("split") == split).where("object_class = -1").select("metric", "value")) == rounded(evaluation.coco_summary(alone).select("metric", "value"))
+    assert {x["split"] for x in tables["objects"].select("split").distinct().collect()} == {"train", "val"}
+    steps.report(tables, str(tmp_path / "out"))
+    assert sorted(os.listdir(tmp_path / "out")) == ["images", "objects", "pixels", "summary"]
+    assert {"True Positives", "Size"} <= set(spark.read.option("header", True).csv(str(tmp_path / "out/images")).columns)
