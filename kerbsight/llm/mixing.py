@@ -79,8 +79,15 @@ def mixed(docs: DataFrame, size_col: str, id_col: str = "doc_id", source_col: st
 
 
 def mixture(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source", weights: Sequence[int] = (5, 2, 1), most: int = 3, seed: str = "mix") -> DataFrame:
-    """The mix itself: the columns of ``docs``, each row as often as the mix takes it, with ``_copy`` from 1."""
-    size, copy = unused(docs.columns, "_words", "_copy")
-    rows = mixed(docs.withColumn(size, n_words(F.col(text_col))), size, id_col, source_col, weights, most, seed)
-    (copies,) = unused([*docs.columns, size], "_copies")
-    return rows.where(F.col(copies) > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copy))
+    """The mix itself: the columns of ``docs``, each row as often as the mix takes it, with ``_copy`` from 1.
+
+    Rows are numbered and written once; what decides is worked out on sizes and ids alone, and texts are shuffled once, to
+    meet their number of copies.
+    """
+    size, row, copy = unused([*docs.columns, "_copies"], "_words", "_row", "_copy")
+    rows = written(docs.withColumns({size: n_words(F.col(text_col)), row: F.monotonically_increasing_id()}), "docs")
+    narrow = rows.select(*dict.fromkeys((id_col, source_col)), size, row)
+    taken = mixed(narrow, size, id_col, source_col, weights, most, seed)
+    copies = next(c for c in taken.columns if c not in narrow.columns)
+    taken = taken.where(F.col(copies) > 0).select(F.col(row).alias(f"{row}_of"), F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copy))
+    return rows.join(taken, F.col(row) == F.col(f"{row}_of")).select(*docs.columns, copy)
