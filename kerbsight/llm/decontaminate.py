@@ -228,8 +228,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     spark = docs.sparkSession
     partitions = partitions_for(benchmark)
     own = lambda df, a, b: df.select(F.monotonically_increasing_id().alias("_row"), F.col(a).cast("long").alias("_id"), F.col(b).alias("_text")).where("_id is not null and _text is not null")
-    items = written(own(benchmark, item_col, item_text_col).mapInArrow(_item_windows, WINDOWS), "items")
-    maps = items.repartition(min(partitions, 64), "_h").mapInArrow(_bitmaps, "bits binary").groupBy().applyInArrow(_union, "bits binary").collect()
+    items = written(own(benchmark, item_col, item_text_col).mapInArrow(lean(_item_windows), WINDOWS), "items")
+    maps = items.repartition(min(partitions, 64), "_h").mapInArrow(lean(_bitmaps), "bits binary").groupBy().applyInArrow(_union, "bits binary").collect()
     bitmap = spark.sparkContext.broadcast(bytes(maps[0]["bits"]) if maps else bytes(1 << (BITMAP_BITS - 3)))
     sizes = [r[0] for r in items.select("_size").distinct().collect()]
     found = written(own(docs, id_col, text_col).mapInArrow(lean(_document_windows(bitmap, sizes)), WINDOWS), "found")
