@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from kerbsight.operators.scratch import written
 
 #: Pairs of places that a pair of cells compares at most, unless they lie within one unit.
-PAIRS = 1 << 12
+PAIRS = 1 << 14
 #: Levels that a round descends, and levels in all: units are the extent / 2**DEPTH, millimetres for the whole earth.
 STEP, DEPTH = 2, 34
 
