@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from kerbsight.llm import bytescan
 from kerbsight.llm.postings import PACKED_MORE, bucket_bits, by_range, pack, runs
-from kerbsight.llm.runtime import lean, marked, partitions_for
+from kerbsight.llm.runtime import batches_of, lean, marked, partitions_for
 from kerbsight.operators.components import connected_components
 from kerbsight.operators.scratch import written
 
@@ -44,6 +44,8 @@ MEMBERS = 128
 ORDERS = (0, 0x51ED270B7F4A7C15)
 #: Places of tokens are kept in so many steps of a set's size, rounded towards its beginning, so no bound gets too low.
 STEPS = 1000
+#: Postings that a task gathers at once, and texts of an Arrow batch.
+GATHERED, BATCH_ROWS = 1 << 18, 1000
 #: Members of a long list, in one block, that are compared across components with those of another block.
 BLOCK = 1 << 16
 
@@ -142,7 +144,7 @@ def _postings(size: int, percent: int, bits: int, levels):
                             # size and place go in one value: no set has 2**48 tokens
                             yield (bytescan.mix(p) >> U(1)) | U(k << 63), np.full(len(p), c), (len(s) << 16) + at
 
-        yield from pack(parts(), bits)
+        yield from pack(parts(), bits, GATHERED)
 
     return lean(emit)
 
@@ -239,7 +241,7 @@ def reach(n: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.n
 _MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("order", pa.int32())])
 
 
-def _cross_pairs(percent: int, bits: int, step: int = 1 << 20):
+def _cross_pairs(percent: int, bits: int, step: int = 1 << 18):
     """Pairs of classes in one block of a long list whose components differ and that are in each other's reach.
 
     Rows come ordered by (h, s, t); left and right tell on which side of the block a class stands. Of each block only
@@ -394,13 +396,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Other columns are ignored; an empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    members, edges = links(rows.where("_id is not null"), size, percent)
-    comps = connected_components(edges)
-    own = members.where("n > 0").groupBy("c").agg(F.min("_id").alias("doc"))
-    named = own.join(comps, own["c"] == comps["node"], "left").select("c", "doc", F.coalesce("component", "c").alias("comp"))
-    # Written, so that the join can split the rows of a large component.
-    least = written(named.groupBy("comp").agg(F.min("doc").alias("least")), "least")
-    of_class = written(named.join(least, "comp").select(F.col("c").alias("_c"), "least"), "named")
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        members, edges = links(rows.where("_id is not null"), size, percent)
+        comps = connected_components(edges)
+        own = members.where("n > 0").groupBy("c").agg(F.min("_id").alias("doc"))
+        named = own.join(comps, own["c"] == comps["node"], "left").select("c", "doc", F.coalesce("component", "c").alias("comp"))
+        # Written, so that the join can split the rows of a large component.
+        least = written(named.groupBy("comp").agg(F.min("doc").alias("least")), "least")
+        of_class = written(named.join(least, "comp").select(F.col("c").alias("_c"), "least"), "named")
     out = members.join(of_class, (members["c"] == of_class["_c"]) & (members["n"] > 0), "left").select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "_id").alias("component_id"))
     nulls = rows.where("_id is null").mapInArrow(_scan(size), _SCANNED).where("part is null")
     return out.unionByName(nulls.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("_id").alias("component_id")))

@@ -24,8 +24,11 @@ def bucket_bits(df: DataFrame, least: int = 8, each: int = 4) -> int:
     return max(least, int(np.ceil(np.log2(each * partitions_for(df)))))
 
 
-def pack(parts: Iterable[tuple[np.ndarray, ...]], bits: int) -> Iterator[pa.RecordBatch]:
-    """Blobs of (hash, owner) arrays, or (hash, owner, value). Of each hash its top ``bits`` and last 40 bits are kept."""
+def pack(parts: Iterable[tuple[np.ndarray, ...]], bits: int, most: int = FLUSH) -> Iterator[pa.RecordBatch]:
+    """Blobs of (hash, owner) arrays, or (hash, owner, value). Of each hash its top ``bits`` and last 40 bits are kept.
+
+    Beyond ``most`` entries what is gathered is handed on.
+    """
     held: list[tuple[np.ndarray, ...]] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
@@ -46,7 +49,7 @@ def pack(parts: Iterable[tuple[np.ndarray, ...]], bits: int) -> Iterator[pa.Reco
     for entry in parts:
         held.append(entry)
         n += len(entry[0])
-        if n >= FLUSH:
+        if n >= most:
             yield from flush()
             n = 0
     yield from flush()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import sys
 from collections.abc import Callable, Iterable, Iterator
@@ -65,6 +66,18 @@ def marked(rows: DataFrame, wanted: DataFrame, id_col: str) -> DataFrame:
     return flagged(rows, wanted, [id_col], flag).where(flag).drop(flag)
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows for what runs within; whole texts make batches large, on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), rows) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def returned() -> None:
     """Gives memory that this Python worker no longer uses back to the machine; workers live on from stage to stage."""
     pa.default_memory_pool().release_unused()
