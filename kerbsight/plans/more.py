@@ -114,8 +114,7 @@ def recall_by_distance(spark, sf_dir):
 def distance_to_set(spark, sf_dir):
     """Distance of each point to the closest corner of a set, where that is within 400 metres."""
     corners = views.terrain(spark, sf_dir).select("terrain_id", F.col("ring")[0]["x"].alias("cx"), F.col("ring")[0]["y"].alias("cy"))
-    p = spatial.within_any(views.grid_points(spark, sf_dir), corners, "frame_id", 400.0)
-    near = spatial.nearest(p, corners, "frame_id", "terrain_id", [], geo.planar, place=("x", "y"), right_place=("cx", "cy"), flat=True)
+    near = spatial.nearest(views.grid_points(spark, sf_dir), corners, "frame_id", "terrain_id", [], geo.planar, place=("x", "y"), right_place=("cx", "cy"), flat=True, within=400.0)
     return near.select("frame_id", r3("distance").alias("distance"))
 
 
