@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,18 +84,59 @@ def best_match(gt: DataFrame, pred: DataFrame) -> DataFrame:
 _MATCHED = "image_id long, object_class int, pred_id long, score double, place int, area string, gt_ids array<long>, ignored array<boolean>"
 
 
+#: Numbers that the arrays of images and classes which are matched together hold at most, beyond a single one's.
+_TOGETHER = 1 << 21
+
+
+def _boxes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of a column of arrays of structs where each begins, its size, and all their fields one behind the other."""
+    flat = column.flatten()
+    size = np.array(column.value_lengths().fill_null(0)).astype(np.int64)
+    return np.cumsum(size) - size, size, [flat.field(k).to_numpy(zero_copy_only=False) for k in range(flat.type.num_fields)]
+
+
+def _padded(corners: list[np.ndarray]) -> np.ndarray:
+    """Boxes as rows, and an empty one behind them."""
+    return np.concatenate([np.stack([c.astype(float) for c in corners], axis=1), np.zeros((1, 4))])
+
+
+def _places(start: np.ndarray, size: np.ndarray, n: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the ``n`` first entries of each array are, and whether it has them; else that is the last place of all."""
+    inside = np.arange(n) < size[:, None]
+    return np.where(inside, start[:, None] + np.arange(n), last - 1), inside
+
+
+def _alike(n: np.ndarray, m: np.ndarray, times: int) -> Iterator[np.ndarray]:
+    """Rows with predictions, in groups of like numbers of predictions and ground truth."""
+    rows, most = [], 1
+    for k in np.lexsort((m, n)):
+        if n[k]:
+            wider = max(most, m[k])
+            if rows and (len(rows) + 1) * (times * (n[k] + wider) + n[k] * wider) > _TOGETHER:
+                yield np.array(rows)
+                rows, wider = [], max(m[k], 1)
+            rows.append(k)
+            most = wider
+    if rows:
+        yield np.array(rows)
+
+
 def _greedy(overlap: np.ndarray, outside: np.ndarray, ious: np.ndarray) -> np.ndarray:
-    """For each prediction (best first) and IoU threshold the ground truth it takes, or -1."""
-    n, m = overlap.shape
-    hit, free, rows = np.full((n, len(ious)), -1), np.ones((len(ious), m), bool), np.arange(len(ious))
-    for i in range(n if m else 0):
-        fits = free & (overlap[i] >= ious[:, None])
-        inner = fits & ~outside
-        fits = np.where(inner.any(axis=1)[:, None], inner, fits)
-        best = m - 1 - np.where(fits, overlap[i], -1.0)[:, ::-1].argmax(axis=1)
-        some = fits.any(axis=1)
-        hit[i, some] = best[some]
-        free[rows[some], best[some]] = False
+    """By image, area, prediction (best first) and IoU threshold the ground truth that a prediction takes, or -1.
+
+    ``overlap`` is by image, prediction and ground truth, -1 where there is none; ``outside`` by image, area and truth.
+    """
+    (images, n, m), areas = overlap.shape, outside.shape[1]
+    hit, free = np.full((images, areas, n, len(ious)), -1), np.ones((images, areas, len(ious), m), bool)
+    for i in range(n):
+        own = overlap[:, i, None, None]
+        fits = free & (own >= ious[:, None])
+        inner = fits & ~outside[:, :, None]
+        fits = np.where(inner.any(axis=3, keepdims=True), inner, fits)
+        best = m - 1 - np.where(fits, own, -1.0)[..., ::-1].argmax(axis=3)
+        some = fits.any(axis=3)
+        hit[:, :, i] = np.where(some, best, -1)
+        free &= ~(some[..., None] & (np.arange(m) == best[..., None]))
     return hit
 
 
@@ -110,56 +150,47 @@ def coco_match(gt: DataFrame, pred: DataFrame, ious: tuple[float, ...] = IOUS, a
     ``most`` predictions, meet in one row; images are scattered over all tasks.
     """
     areas = areas or {"all": (0.0, float("inf"))}
-    thresholds = np.minimum(np.array(ious), 1 - 1e-10)
+    thresholds, names = np.minimum(np.array(ious), 1 - 1e-10), list(areas)
     keys, box = ["image_id", "object_class"], ["x0", "y0", "x1", "y1"]
     g = gt.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("gt_id", *box))).alias("g"))
     best = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "pred_id", *box)))
     p = pred.groupBy(*keys).agg(F.slice(best, 1, most).alias("p"))
 
-    def boxes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        flat = column.flatten()
-        size = np.array(column.value_lengths().fill_null(0))
-        ends = np.cumsum(size)
-        return ends - size, ends, [flat.field(k).to_numpy(zero_copy_only=False) for k in range(flat.type.num_fields)]
-
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            images, classes = (batch.column(k).to_pylist() for k in keys)
-            g_from, g_to, gs = boxes_of(batch.column("g"))
-            p_from, p_to, ps = boxes_of(batch.column("p"))
-            out: dict[str, list] = {k.split()[0]: [] for k in _MATCHED.split(", ")}
-            for row, (image, kind) in enumerate(zip(images, classes, strict=True)):
-                a = np.stack([x[g_from[row] : g_to[row]] for x in gs[-4:]], axis=1).astype(float)
-                b = np.stack([x[p_from[row] : p_to[row]] for x in ps[-4:]], axis=1).astype(float)
-                ids = np.append(gs[0][g_from[row] : g_to[row]], 0).astype(np.int64)
-                w = np.clip(np.minimum(b[:, None, 2], a[None, :, 2]) - np.maximum(b[:, None, 0], a[None, :, 0]), 0, None)
-                h = np.clip(np.minimum(b[:, None, 3], a[None, :, 3]) - np.maximum(b[:, None, 1], a[None, :, 1]), 0, None)
-                ga, pa_ = ((x[:, 2] - x[:, 0]) * (x[:, 3] - x[:, 1]) for x in (a, b))
-                union = pa_[:, None] + ga[None] - w * h
+            kinds = batch.column("object_class").to_numpy(zero_copy_only=False)
+            g_from, g_size, gs = _boxes_of(batch.column("g"))
+            p_from, p_size, ps = _boxes_of(batch.column("p"))
+            a, b = (_padded(x[-4:]) for x in (gs, ps))
+            ids, preds, minus = np.append(gs[0], 0).astype(np.int64), np.append(ps[1], 0).astype(np.int64), np.append(ps[0], 0.0).astype(float)
+            for rows in _alike(p_size, g_size, len(areas) * len(thresholds)):
+                n, m = p_size[rows].max(), max(g_size[rows].max(), 1)
+                p_at, p_in = _places(p_from[rows], p_size[rows], n, len(preds))
+                g_at, g_in = _places(g_from[rows], g_size[rows], m, len(ids))
+                x, y = a[g_at], b[p_at]
+                w = np.clip(np.minimum(y[:, :, None, 2], x[:, None, :, 2]) - np.maximum(y[:, :, None, 0], x[:, None, :, 0]), 0, None)
+                h = np.clip(np.minimum(y[:, :, None, 3], x[:, None, :, 3]) - np.maximum(y[:, :, None, 1], x[:, None, :, 1]), 0, None)
+                ga, pa_ = ((z[..., 2] - z[..., 0]) * (z[..., 3] - z[..., 1]) for z in (x, y))
+                union = pa_[:, :, None] + ga[:, None] - w * h
                 overlap = np.divide(w * h, union, out=np.zeros_like(union), where=union > 0)
-                for name, r in areas.items():
-                    low, high = r.get(kind, (np.inf, -np.inf)) if isinstance(r, dict) else r
-                    outside = (ga < low) | (ga > high)
-                    hit = _greedy(overlap, outside, thresholds)
-                    ignored = np.where(hit >= 0, np.append(outside, False)[hit], ((pa_ < low) | (pa_ > high))[:, None])
-                    n = len(b)
-                    out["image_id"] += [image] * n
-                    out["object_class"] += [kind] * n
-                    out["pred_id"].append(ps[1][p_from[row] : p_to[row]])
-                    out["score"].append(-ps[0][p_from[row] : p_to[row]])
-                    out["place"].append(np.arange(1, n + 1))
-                    out["area"] += [name] * n
-                    out["gt_ids"].append(np.where(hit >= 0, ids[hit], -1).ravel())
-                    out["ignored"].append(ignored.ravel())
-            if not out["area"]:
-                continue
-            joined = {k: np.concatenate(out[k]) for k in ("pred_id", "score", "place", "gt_ids", "ignored")}
-            at = pa.array(np.arange(len(out["area"]) + 1, dtype=np.int32) * len(thresholds))
-            lists = [pa.ListArray.from_arrays(at, pa.array(joined["gt_ids"], mask=joined["gt_ids"] < 0)), pa.ListArray.from_arrays(at, pa.array(joined["ignored"]))]
-            first = [pa.array(out["image_id"], pa.int64()), pa.array(out["object_class"], pa.int32()), pa.array(joined["pred_id"].astype(np.int64)), pa.array(joined["score"].astype(float)), pa.array(joined["place"], pa.int32()), pa.array(out["area"])]
-            yield pa.RecordBatch.from_arrays([*first, *lists], names=list(out))
-
-    return p.join(g, keys, "left").select(*keys, "g", "p").mapInArrow(match, _MATCHED)
+                overlap[~(p_in[:, :, None] & g_in[:, None])] = -1.0
+                bounds = np.array([[r.get(k, (np.inf, -np.inf)) if isinstance(r, dict) else r for r in areas.values()] for k in kinds[rows]])
+                beyond = lambda z: (z[:, None] < bounds[:, :, :1]) | (z[:, None] > bounds[:, :, 1:])  # noqa: B023, E731
+                outside = beyond(ga)
+                hit = _greedy(overlap, outside, thresholds)
+                found = np.maximum(hit, 0)
+                taken = np.take_along_axis(outside[:, :, None], found, axis=3)
+                ignored = np.where(hit >= 0, taken, beyond(pa_)[..., None])
+                row, area, k = np.nonzero(np.broadcast_to(p_in[:, None], hit.shape[:3]))
+                own = np.where(hit >= 0, ids[g_at[np.arange(len(rows))[:, None, None, None], found]], -1)[row, area, k].ravel()
+                at = pa.array(np.arange(len(row) + 1, dtype=np.int32) * len(thresholds))
+                lists = [pa.ListArray.from_arrays(at, pa.array(own, mask=own < 0)), pa.ListArray.from_arrays(at, pa.array(ignored[row, area, k].ravel()))]
+                of, place = pa.array(rows[row]), p_at[row, k]
+                first = [batch.column("image_id").take(of), batch.column("object_class").take(of), pa.array(preds[place]), pa.array(-minus[place]), pa.array((k + 1).astype(np.int32)), pa.array(names).take(pa.array(area))]
+                yield pa.RecordBatch.from_arrays([*first, *lists], names=[c.split()[0] for c in _MATCHED.split(", ")])
+
+    typed = [F.col("image_id").cast("long").alias("image_id"), F.col("object_class").cast("int").alias("object_class")]
+    return p.join(g, keys, "left").select(*typed, "g", "p").mapInArrow(match, _MATCHED)
 
 
 _JUDGED = "object_class int, area string, score double, image_id long, pred_id long, place int, hits long, counted long"
@@ -229,7 +260,8 @@ def average_precision(matched: DataFrame, gt: DataFrame, areas: Areas | None = N
     counts = written(named(in_ranges(gt, areas)).groupBy(*pair).agg(F.count("*").alias("n_gt")).select(F.col("object_class").cast("int").alias("object_class"), "area", "n_gt"), "truth")
     truth = counts.select("*", steps)
     partitions = int(gt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = matched.mapInArrow(_judged, _JUDGED).where("counted <> 0")
+    # Written first, as dealing out by ranges reads its rows twice: for a sample, and to move them.
+    rows = written(matched.mapInArrow(_judged, _JUDGED).where("counted <> 0"), "judged")
     dealt = written(rows.repartitionByRange(partitions, *pair, F.desc("score"), "image_id", "pred_id").withColumn("_part", F.spark_partition_id()), "ranges")
     sums = dealt.groupBy(*pair, "_part").agg(*[F.array(*[F.sum(_bit(c, t)) for t in range(n)]).alias(c) for c in ("hits", "counted")]).orderBy(*pair, "_part").collect()
     before, run = {}, {}
@@ -469,16 +501,29 @@ def report_slice(report: DataFrame, size: str = "all", split: str | None = None,
 def greedy_overlap(gt: DataFrame, pred: DataFrame) -> DataFrame:
     """One-to-one matches by any overlap, predictions in the order of ids, each taking the first free ground truth."""
 
-    def match(g: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        g, p, used, out = g.sort_values("gt_id"), p.sort_values("pred_id"), set(), []
-        for r in p.itertuples():
-            for s in g.itertuples():
-                if s.gt_id not in used and min(r.x1, s.x1) > max(r.x0, s.x0) and min(r.y1, s.y1) > max(r.y0, s.y0):
-                    used.add(s.gt_id)
-                    out.append((r.image_id, r.object_class, r.pred_id, s.gt_id))
-                    break
-        return pd.DataFrame(out, columns=["image_id", "object_class", "pred_id", "gt_id"])
-
-    keys = ["image_id", "object_class"]
-    cols = ["x0", "y0", "x1", "y1"]
-    return gt.select(*keys, "gt_id", *cols).groupBy(*keys).cogroup(pred.select(*keys, "pred_id", *cols).groupBy(*keys)).applyInPandas(match, "image_id long, object_class int, pred_id long, gt_id long")
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            g_from, g_size, gs = _boxes_of(batch.column("g"))
+            p_from, p_size, ps = _boxes_of(batch.column("p"))
+            a, b = (np.stack([c.astype(float) for c in x[1:]], axis=1) for x in (gs, ps))
+            taker, taken, row = [], [], []
+            for k in np.flatnonzero((g_size > 0) & (p_size > 0)):
+                g, ids = a[g_from[k] : g_from[k] + g_size[k]], gs[0][g_from[k] : g_from[k] + g_size[k]]
+                free = np.ones(len(g), bool)
+                for i in range(p_from[k], p_from[k] + p_size[k]):
+                    x0, y0, x1, y1 = b[i]
+                    fits = free & (np.minimum(x1, g[:, 2]) > np.maximum(x0, g[:, 0])) & (np.minimum(y1, g[:, 3]) > np.maximum(y0, g[:, 1]))
+                    j = fits.argmax()
+                    if fits[j]:
+                        free &= ids != ids[j]
+                        row.append(k)
+                        taker.append(ps[0][i])
+                        taken.append(ids[j])
+            of = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("image_id").take(of), batch.column("object_class").take(of), pa.array(taker, pa.int64()), pa.array(taken, pa.int64())], names=["image_id", "object_class", "pred_id", "gt_id"])
+
+    keys = [F.col("image_id").cast("long").alias("image_id"), F.col("object_class").cast("int").alias("object_class")]
+    boxes = lambda df, name: df.select(*keys, F.struct(F.col(f"{name}_id").cast("long").alias("id"), *BOX).alias(name))
+    both = boxes(gt, "gt").unionByName(boxes(pred, "pred"), allowMissingColumns=True)
+    met = both.groupBy("image_id", "object_class").agg(F.array_sort(F.collect_list("gt")).alias("g"), F.array_sort(F.collect_list("pred")).alias("p"))
+    return met.where((F.size("g") > 0) & (F.size("p") > 0)).mapInArrow(match, "image_id long, object_class int, pred_id long, gt_id long")
