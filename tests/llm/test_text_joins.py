@@ -182,6 +182,32 @@ def test_repeats_odd_rows(spark):
     assert suffix_dedup.remove_repeats(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("sent", [1 << 20, 0])
+def test_whole_copies_are_not_sorted(spark, monkeypatch, sent):
+    """Of equal texts only the first, and what is shorter than a window, meets the buckets, by either way of leaving copies out."""
+    monkeypatch.setattr(suffix_dedup, "SENT", sent, raising=False)
+    sorted_, pieces = [], suffix_dedup._pieces
+    monkeypatch.setattr(suffix_dedup, "_pieces", lambda rows, *rest: (sorted_.extend(x._id for x in rows.select("_id").collect()), pieces(rows, *rest))[1])
+    texts = [t for t in passages(3) if t and len(t) > 60][:20]
+    texts += [*texts[:12], *texts[:5], texts[0][:-3], "short", "short", "", None]
+    ids = random.Random(3).sample(range(10**12), len(texts))
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(frame(spark, texts, ids)).collect()}
+    assert got == repeats(texts, ids)
+    first = {}
+    for i, t in sorted(zip(ids, texts, strict=True)):
+        first.setdefault(t if len((t or "").encode()) >= 50 else i, i)
+    assert sorted(sorted_) == sorted(first.values())
+
+
+@pytest.mark.parametrize("sent", [1 << 20, 0])
+def test_copies_of_rows_that_share_an_id(spark, monkeypatch, sent):
+    """A row is a copy by its id and text: another text of the same id stays, and equal rows don't remove each other."""
+    monkeypatch.setattr(suffix_dedup, "SENT", sent, raising=False)
+    a, b = ("".join(chr(97 + k * i * i % 26) for i in range(60)) for k in (3, 7))
+    got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(frame(spark, [a, a, b, a, a, a], [3, 5, 5, 3, 5, None])).collect())
+    assert got == [(0, 60, 0, 0), (3, 60, 0, 0), (3, 60, 0, 0), (5, 60, 0, 0), (5, 60, 60, 1), (5, 60, 60, 1)]
+
+
 def found(spark, texts, items, **kw):
     bench = spark.createDataFrame(list(enumerate(items, 100)), "item_id long, text string")
     return {(r.doc_id, r.item_id): r.reparameterised for r in decontaminate.contaminated(frame(spark, texts), bench, **kw).collect()}
