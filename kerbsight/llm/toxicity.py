@@ -20,7 +20,8 @@ probability.
 
 Counts come from every labelled document outside the held-out fifth, exactly, by 64-bit hash, in shuffles that grow with
 the labelled text. The model is the table of differences of all words and word pairs beyond the discount in some class;
-it grows with the input, is broadcast up to ``BROADCAST_MB`` and joined beyond that.
+it grows with the input. Beyond ``BROADCAST_MB`` it is cut by word, and the texts are read once for each slice, which is
+broadcast: a text's sums are those of its words in each slice, so neither texts nor their words are shuffled.
 """
 
 from __future__ import annotations
@@ -39,8 +40,10 @@ from kerbsight.operators.scratch import written
 U = np.uint64
 #: Kneser-Ney discount of every count.
 DISCOUNT = 2
-#: Size up to which the model, or the labels, are broadcast.
+#: Size of model slices and size up to which the labels are broadcast.
 BROADCAST_MB = 64
+#: Slices are made of slots of words, told by as many first bits of the word's hash.
+SLOT_BITS = 8
 #: Folds of crc32 modulo 5: one is held out, three give counts, one fits the curve.
 HELD_OUT, CURVE_FOLD = 0, 4
 #: A word stands out by how much its difference exceeds each of these.
@@ -54,6 +57,8 @@ FEW_LETTERS = 20
 ROOT = U(0x1234567890ABCDEF)
 #: Bytes of text whose words are looked up together, each distinct one once.
 PIECE = 1 << 22
+#: Entries of counts that a task sums up at once, and words whose pairs are dealt out by the first word too.
+FLUSH, HOT = 1 << 20, 256
 #: First bytes of characters that are words of their own, as scripts without spaces begin here (U+3000).
 ALONE = 0xE3
 
@@ -84,11 +89,23 @@ def pair(before: np.ndarray, h: np.ndarray) -> np.ndarray:
     return bytescan.mix(bytescan.mix(before + U(0x70616972)) + h)
 
 
-_COUNTS = pa.schema([("v", pa.int64()), ("w", pa.int64()), ("n0", pa.int64()), ("n1", pa.int64())])
+_COUNTS = pa.schema([("w", pa.int64()), ("v", pa.int64()), ("n0", pa.int64()), ("n1", pa.int64())])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers of documents of either class by pair of words, summed over a piece of a batch."""
+    """Numbers of documents of either class by pair of words, summed over ``FLUSH`` entries and ordered by the second word."""
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def summed() -> pa.RecordBatch:
+        key, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        distinct, at, place = np.unique(key, return_index=True, return_inverse=True)
+        v, w = (x[at] for x in rest[:2])
+        n = [np.bincount(place, x, len(distinct)).astype(np.int64) for x in rest[2:]]
+        order = np.lexsort((v, w))
+        return pa.RecordBatch.from_arrays([pa.array(x[order].view(np.int64)) for x in (w, v, *n)], schema=_COUNTS)
+
+    size = 0
     for batch in batches:
         label = batch.column("_y").to_numpy()
         for i, j, d, o in bytescan.pieces(*bytescan.flat(batch.column("_text")), PIECE):
@@ -97,12 +114,34 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = np.repeat(np.arange(i, j), np.diff(first))
             once = np.unique(bytescan.mix(key + row.astype(U) * U(bytescan.BASE)), return_index=True)[1]
             distinct, at, place = np.unique(key[once], return_index=True, return_inverse=True)
-            n = [np.bincount(place[label[row[once]] == y], minlength=len(distinct)).astype(np.int64) for y in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (before[once][at], h[once][at])), *map(pa.array, n)], schema=_COUNTS)
+            n = [np.bincount(place[label[row[once]] == y], minlength=len(distinct)) for y in (0, 1)]
+            held.append((distinct, before[once][at], h[once][at], *n))
+            size += len(distinct)
+            if size >= FLUSH:
+                yield summed()
+                size = 0
+    if held:
+        yield summed()
+
+
+def counted(text: DataFrame) -> DataFrame:
+    """``(w, v, n0, n1)`` of all pairs in ``(_id, _text, _y)``, dealt out and ordered by the second word.
+
+    A word's pairs then lie together and its hash takes hardly any room, in the shuffle and in the files, however many
+    partitions there are. Those of the words with most pairs in a part of the documents are dealt out by the first word too.
+    """
+    schema = "w long, v long, n0 long, n1 long"
+    some = text.where(F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(64)) == 0).mapInArrow(lean(_count), schema)
+    hot = [r["w"] for r in some.groupBy("w").count().orderBy(F.desc("count"), "w").limit(HOT).collect()]
+    salt = F.when(F.col("w").isin(hot), F.pmod("v", F.lit(32))).otherwise(0)
+    dealt = text.mapInArrow(lean(_count), schema).withColumn("_salt", salt).repartition("w", "_salt")
+    return dealt.groupBy("w", "_salt", "v").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).drop("_salt").sortWithinPartitions("w", "v")
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
-    """``(h, difference)`` of all words and pairs that either class has beyond the discount, from ``(v, w, n0, n1)``.
+    """``(h, slot, difference)`` of all words and pairs that either class has beyond the discount, from ``(v, w, n0, n1)``.
+
+    The slot is that of the word, or of a pair's second word.
 
     Three partial aggregates, by word, by preceding word and over all; hot words are summed before they are shuffled, and
     the joins back are ordinary ones that adaptive execution may split.
@@ -113,23 +152,28 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     by_word = written(counts.groupBy("w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count("*").alias("after")), "words")
     by_context = counts.groupBy("v").agg(*given).where("k0 > 0 and k1 > 0")
     known = F.col("n0") > DISCOUNT, F.col("n1") > DISCOUNT
+    slot = F.shiftrightunsigned("w", 64 - SLOT_BITS).cast("int")
     total = by_word.agg(*given, F.sum("after").alias("after")).first()
     if not total["k0"] or not total["k1"]:
-        return counts.select(F.col("w").alias("h"), F.lit(0.0).alias("difference")).limit(0)
+        return counts.select(F.col("w").alias("h"), slot.alias("slot"), F.lit(0.0).alias("difference")).limit(0)
     share = total["given"] / total["n"]
     own = lambda c: (1 - share) * left(f"n{c}") / total[f"k{c}"] + share * F.col("after") / total["after"]
     likely = written(by_word.where(known[0] | known[1]).select("w", own(0).alias("p0"), own(1).alias("p1")), "likely")
     weight = F.col("given") / F.col("n")
     pairs = counts.where(known[0] | known[1]).join(by_context.select("v", "k0", "k1", weight.alias("l")), "v").join(likely, "w")
     after = lambda c: (1 - F.col("l")) * left(f"n{c}") / F.col(f"k{c}") + F.col("l") * F.col(f"p{c}")
-    keyed = pairs.select("v", "w", difference(after(0), after(1))).mapInArrow(_keyed, "h long, difference double")
-    return likely.select(F.col("w").alias("h"), difference(F.col("p0"), F.col("p1"))).unionByName(keyed)
+    keyed = pairs.select("v", "w", difference(after(0), after(1))).mapInArrow(_keyed, "h long, slot int, difference double")
+    return likely.select(F.col("w").alias("h"), slot.alias("slot"), difference(F.col("p0"), F.col("p1"))).unionByName(keyed)
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         v, w = (b.column(c).to_numpy().view(U) for c in ("v", "w"))
-        yield pa.RecordBatch.from_arrays([pa.array(pair(v, w).view(np.int64)), b.column("difference")], names=["h", "difference"])
+        yield pa.RecordBatch.from_arrays([pa.array(pair(v, w).view(np.int64)), pa.array(slot_of(w)), b.column("difference")], names=["h", "slot", "difference"])
+
+
+def slot_of(w: np.ndarray) -> np.ndarray:
+    return (w >> U(64 - SLOT_BITS)).astype(np.int32)
 
 
 def difference(p0: Column, p1: Column) -> Column:
@@ -149,9 +193,7 @@ def model_of(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_c
         text = text.join(F.broadcast(known), "_id")
     else:
         text = marked(text, known, "_id").join(known.hint("merge"), "_id")
-    counts = text.select("_text", "_y").mapInArrow(lean(_count), "v long, w long, n0 long, n1 long").groupBy("v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    # Ordered by the first word, which then takes hardly any room in the files.
-    return written(kneser_ney(written(counts.sortWithinPartitions("v"), "counts")), "model")
+    return written(kneser_ney(written(counted(text), "counts")), "model")
 
 
 def lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,18 +206,26 @@ def lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np
     return has[place], np.where(has, values[at], 0.0)[place]
 
 
-def features(data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each text: mean excess over each margin, mean difference, number of words, shares of letters."""
+def features(data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, values: np.ndarray, own: np.ndarray | None = None, whole: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text: mean excess over each margin, mean difference, number of words, shares of letters.
+
+    With ``own``, by slot, only the words of these slots add to the means; letters are left at 0 unless ``whole``.
+    """
     n = len(offsets) - 1
     excess, mean, size, letters = np.zeros((n, len(MARGINS))), np.zeros(n), np.zeros(n, np.int64), np.zeros((n, LETTERS), np.float32)
     for i, j, d, o in bytescan.pieces(data, offsets, PIECE):
         h, before, first = words(d, o)
-        longer, x = lookup(keys, values, pair(before, h))
-        x = np.where(longer, x, lookup(keys, values, h)[1])
         size[i:j] = np.diff(first)
         row = np.repeat(np.arange(j - i), size[i:j])
+        if own is not None:
+            take = np.flatnonzero(own[slot_of(h)])
+            h, before, row = h[take], before[take], row[take]
+        longer, x = lookup(keys, values, pair(before, h))
+        x = np.where(longer, x, lookup(keys, values, h)[1])
         for out, w in [(mean[i:j], x), *((excess[i:j, k], np.maximum(x - t, 0)) for k, t in enumerate(MARGINS))]:
             out += np.bincount(row, w, j - i) / np.maximum(size[i:j], 1)
+        if not whole:
+            continue
         kinds = np.bincount(np.repeat(np.arange(j - i) * (LETTERS + 1), np.diff(o)) + KIND[d], minlength=(j - i) * (LETTERS + 1)).reshape(j - i, -1)[:, :LETTERS]
         letters[i:j] = kinds / (kinds.sum(axis=1, keepdims=True) + FEW_LETTERS)
     return excess, mean, size, letters
@@ -220,50 +270,71 @@ def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[np.ndarra
 STAND_OUT = [f"x{k}" for k in range(len(MARGINS))]
 
 
-def _row_of(ids: pa.Array, found: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
-    excess, mean, size, letters = found
-    shares = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * LETTERS), pa.array(letters.ravel()))
-    return pa.RecordBatch.from_arrays([ids, *(pa.array(x) for x in excess.T), pa.array(mean), pa.array(size), shares], names=["_id", *STAND_OUT, "ratio", "n_words", "letters"])
+SUMS = [*STAND_OUT, "ratio"]
 
 
-def with_features(docs: DataFrame, model: DataFrame, broadcast_mb: float = BROADCAST_MB) -> DataFrame:
-    """Features of each row of ``(_id, _text)``. A model beyond ``broadcast_mb`` is joined with each text's distinct keys."""
-    kind = docs.schema["_id"].dataType.simpleString()
-    schema = f"_id {kind}, {', '.join(f'{x} double' for x in STAND_OUT)}, ratio double, n_words long, letters array<float>"
-    if 16 * model.count() <= broadcast_mb * 1e6:
-        parts = model.mapInArrow(_packed, "keys binary, vals binary").toLocalIterator()
-        parts = [(np.frombuffer(r["keys"], U), np.frombuffer(r["vals"], np.float64)) for r in parts]
-        keys, values = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, U), np.zeros(0))
-        order = np.argsort(keys)
-        sent = docs.sparkSession.sparkContext.broadcast((keys[order], values[order]))
+def slices_of(model: DataFrame, broadcast_mb: float) -> list[list[int]]:
+    """Slots dealt into as few slices as ``broadcast_mb`` asks for, of about equal numbers of entries."""
+    counted = sorted(((r["count"], r["slot"]) for r in model.groupBy("slot").count().collect()), reverse=True)
+    entries = sum(n for n, _ in counted)
+    n = 1 if 16 * entries <= broadcast_mb * 1e6 else min(len(counted), int(np.ceil(16 * entries / max(broadcast_mb * 1e6, 1))))
+    slices, held = [[] for _ in range(n)], [0] * n
+    for size, slot in counted:
+        k = held.index(min(held))
+        slices[k].append(slot)
+        held[k] += size
+    return slices
 
-        def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield _row_of(b.column("_id"), features(*bytescan.flat(b.column("_text")), *sent.value))
 
-        return docs.mapInArrow(lean(apply), schema)
+def with_features(docs: DataFrame, model: DataFrame, broadcast_mb: float = BROADCAST_MB) -> DataFrame:
+    """Features of each row of ``(_id, _text)``.
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, j, d, o in bytescan.pieces(*bytescan.flat(b.column("_text")), PIECE):
-                h, before, first = words(d, o)
-                both = pair(before, h)
-                for k in range(j - i):
-                    x = np.unique(np.concatenate([y[first[k] : first[k + 1]] for y in (h, both)]))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), b.column("_row")[i + k].as_py())), pa.array(x.view(np.int64))], names=["_row", "h"])
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    With a model of several slices, their sums are written one after another and added up by id and text, the latter by
+    its 64-bit hash; a slice's broadcast ends before the next one's begins.
+    """
+    slices = slices_of(model, broadcast_mb)
+    kind = docs.schema["_id"].dataType.simpleString()
+    sums, others = ", ".join(f"{c} double" for c in SUMS), ", n_words long, letters array<float>"
+    if len(slices) == 1:
+        return docs.mapInArrow(lean(_scan(["_id"], _sent(model))), f"_id {kind}, {sums}{others}")
+    keyed, found = docs.withColumn("_x", F.xxhash64("_text")), []
+    for k, slots in enumerate(slices):
+        own = np.zeros(1 << SLOT_BITS, bool)
+        own[slots] = True
+        sent = _sent(model.where(F.col("slot").isin(slots)))
+        scan = _scan(["_id", "_x"], sent, own, whole=k == 0)
+        found.append(written(keyed.mapInArrow(lean(scan), f"_id {kind}, _x long, {sums}{others if k == 0 else ''}"), "sums"))
+        sent.destroy()
+    rest = found[1].withColumn("_k", F.lit(1))
+    for k in range(2, len(slices)):
+        rest = rest.unionByName(found[k].withColumn("_k", F.lit(k)))
+    of = lambda k, c: F.max(F.when(F.col("_k") == k, F.col(c))).alias(f"{c}_{k}")
+    rest = rest.groupBy(F.col("_id").alias("_of"), F.col("_x").alias("_y")).agg(*[of(k, c) for c in SUMS for k in range(1, len(slices))])
+    both = found[0].join(rest.hint("merge"), F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_x") == F.col("_y")))
+    return both.select("_id", *[sum((F.col(f"{c}_{k}") for k in range(1, len(slices))), F.col(c)).alias(c) for c in SUMS], "n_words", "letters")
+
+
+def _sent(model: DataFrame):
+    """The model as sorted keys and their values, broadcast."""
+    parts = model.mapInArrow(_packed, "keys binary, vals binary").toLocalIterator()
+    parts = [(np.frombuffer(r["keys"], U), np.frombuffer(r["vals"], np.float64)) for r in parts]
+    keys, values = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, U), np.zeros(0))
+    order = np.argsort(keys)
+    return model.sparkSession.sparkContext.broadcast((keys[order], values[order]))
+
+
+def _scan(names: list[str], sent, own: np.ndarray | None = None, whole: bool = True):
+    """Columns of a batch with its texts' features, or only their sums unless ``whole``."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(b.num_rows):
-                one = b.slice(k, 1)
-                keys, values = (one.column(c).flatten().to_numpy() for c in ("_keys", "_vals"))
-                order = np.argsort(keys.view(U))
-                yield _row_of(one.column("_id"), features(*bytescan.flat(one.column("_text")), keys.view(U)[order], values[order]))
-
-    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    asked = numbered.select("_row", "_text").mapInArrow(lean(ask), "_row long, h long")
-    told = asked.join(model.hint("merge"), "h").groupBy("_row").agg(F.collect_list("h").alias("_keys"), F.collect_list("difference").alias("_vals"))
-    return numbered.join(told.hint("merge"), "_row", "left").select("_id", "_text", "_keys", "_vals").mapInArrow(lean(answer), schema)
+            excess, mean, size, letters = features(*bytescan.flat(b.column("_text")), *sent.value, own, whole)
+            out = dict(zip(SUMS, (pa.array(x) for x in (*excess.T, mean)), strict=True))
+            if whole:
+                out |= {"n_words": pa.array(size), "letters": pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * LETTERS), pa.array(letters.ravel()))}
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *out.values()], names=[*names, *out])
+
+    return apply
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -178,6 +178,29 @@ def test_likelihoods_equal_a_plain_model(spark, broadcast_mb):
     assert all(abs(got[k].ratio - want[k]) < 1e-9 and got[k].n_words == len(plain_words(texts[k])) for k in got)
 
 
+def test_toxicity_model_in_slices(spark, monkeypatch):
+    """A model of several slices gives the scores of one, also of repeated rows and null ids, and no text is written or shuffled."""
+    r, keep, columns = random.Random(4), toxicity.written, []
+    monkeypatch.setattr(toxicity, "written", lambda df, name: (columns.extend(df.columns), keep(df, name))[1])
+    monkeypatch.setattr(toxicity, "HOT", 2, raising=False)
+    texts = [" ".join(r.choice(["one", "two", "three", "idiot", "five"]) for _ in range(r.randrange(1, 40))) for _ in range(60)]
+    rows = [*enumerate(texts), (3, texts[3]), (3, texts[4]), (None, texts[5]), (None, texts[5]), (None, None), (70, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+
+    def scores(mb):
+        found = toxicity.score_toxicity(docs, labels, broadcast_mb=mb)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted(((-1 if x.doc_id is None else x.doc_id), x.n_words, x.ratio, x.score) for x in found.collect())
+        return got, plan
+
+    one, _ = scores(64)
+    cut, plan = scores(80e-6)
+    assert len(one) == len(rows) and "_text" not in columns and "_text" not in plan
+    assert all(a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], abs=1e-9) for a, b in zip(one, cut, strict=True))
+    assert len({round(x[2], 6) for x in one}) > 20
+
+
 def test_toxic_expressions_of_ordinary_words(spark):
     r = np.random.default_rng(5)
     some = lambda k: list(r.choice([f"w{k}" for k in range(30)], k))
